@@ -108,3 +108,65 @@ _ENRICHED_JSON_SQL = """
 def enriched_json(spark, sf_dir):
     from trendstream.functions import codec
     return FX.enriched_events(spark, sf_dir).select(codec.enriched_json().alias("body"))
+
+
+# --------------------------------------------------------- stream queries
+def _enriched_topic(spark, sf_dir) -> str:
+    """Enrichment stage as a stream: events -> enriched JSON text topic."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.tables import stream_table
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.runner import run_once
+    topic = fresh_path(spark, "topic-enriched")
+    bodies = P.enriched_bodies(FX.enriched_from_events(stream_table(spark, sf_dir, "events")))
+    run_once(bodies.select(F.col("body").alias("value")), sink="text", path=topic,
+             checkpoint=topic + ".chk")
+    return topic
+
+
+def _run_alert_stream(spark, topic: str, out: str, threshold: int):
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.runner import run_once
+    return run_once(P.alerts(read_topic(spark, topic, "text"), threshold),
+                    sink="parquet", path=out, checkpoint=out + ".chk")
+
+
+def _read_alert_sink(spark, out: str) -> DataFrame:
+    return spark.read.parquet(out).select(
+        F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
+        F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count")
+
+
+_CLOSED_SQL = f"""
+    SELECT * FROM ({_window_counts_sql()})
+    WHERE windowEnd <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+
+
+@register("stream_threshold_alerts", f"SELECT * FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}")
+def stream_threshold_alerts(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD):
+    """Notebook-05 dataflow as a Structured Streaming run over a file topic."""
+    from trendstream.session import fresh_path
+    topic = _enriched_topic(spark, sf_dir)
+    out = fresh_path(spark, "alerts")
+    _run_alert_stream(spark, topic, out, threshold)
+    return _read_alert_sink(spark, out)
+
+
+# Fixture rule (fixed value): how many of the earliest posts are re-delivered late.
+LATE_REDELIVERED = 20
+
+
+@register("late_data_dropped", _CLOSED_SQL)
+def late_data_dropped(spark, sf_dir):
+    """All closed window counts; re-delivering the earliest posts afterwards changes nothing."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import write_topic
+    from trendstream.streaming import pipelines as P
+    topic = _enriched_topic(spark, sf_dir)
+    out = fresh_path(spark, "counts")
+    _run_alert_stream(spark, topic, out, 1)
+    late = FX.enriched_events(spark, sf_dir).orderBy("timestamp").limit(LATE_REDELIVERED)
+    write_topic(P.enriched_bodies(late), topic, "text")
+    _run_alert_stream(spark, topic, out, 1)
+    return _read_alert_sink(spark, out)

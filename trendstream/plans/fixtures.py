@@ -18,7 +18,11 @@ SHARE_EVENT_TYPE = "view"
 
 
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    return enriched_from_events(read_table(spark, sf_dir, "events"))
+
+
+def enriched_from_events(ev: DataFrame) -> DataFrame:
+    """Works on a bounded or a streaming events DataFrame."""
     return ev.select(
         F.col("props").alias("content"),
         F.col("ts").alias("timestamp"),

@@ -8,3 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the data folder; column pruning and filters reach the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A table folder (or single parquet file) as a streaming file source.
+
+    The schema comes from the table footer; a single file is addressed by a
+    one-file glob because the file source expects a folder.
+    """
+    import os
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    if not os.path.isdir(path) and "://" not in path:
+        path = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(path)
