@@ -170,3 +170,83 @@ def late_data_dropped(spark, sf_dir):
     write_topic(P.enriched_bodies(late), topic, "text")
     _run_alert_stream(spark, topic, out, 1)
     return _read_alert_sink(spark, out)
+
+
+# ------------------------------------------------- messages, search, paging
+# Search fixture (fixed values): a text fragment frequent in English documents.
+SEARCH_QUERY = "ndre"
+SEARCH_LANG = "en"
+
+
+@register("messages_projection", """
+    SELECT props AS text, epoch_us(ts) // 1000 AS timestamp, 'Twitter' AS source,
+           CAST(trunc(value) AS INTEGER) AS numOfShares, CAST(user_id AS INTEGER) AS numOfLikes,
+           event_type = 'view' AS isShareOrRetweet, 'en' AS lang, event_id AS id,
+           CAST(NULL AS MAP(VARCHAR, INTEGER)) AS reactions, CAST(NULL AS VARCHAR[]) AS topics,
+           0.0::DOUBLE AS sentiment
+    FROM events""")
+def messages_projection(spark, sf_dir):
+    from trendstream.operators import messages as M
+    return M.project_statuses(FX.statuses(spark, sf_dir))
+
+
+@register("message_defaults", """
+    SELECT text, CAST(0 AS BIGINT) AS timestamp, source, 0 AS numOfShares, 0 AS numOfLikes,
+           false AS isShareOrRetweet, lang, doc_id AS id,
+           CAST(NULL AS MAP(VARCHAR, INTEGER)) AS reactions, CAST(NULL AS VARCHAR[]) AS topics,
+           0.0::DOUBLE AS sentiment
+    FROM documents""")
+def message_defaults(spark, sf_dir):
+    """Documents written as a message file with only text/id/lang/source, read back."""
+    from trendstream.session import fresh_path
+    from trendstream.sources import messages as SM
+    path = fresh_path(spark, "messages")
+    SM.write_messages(FX.document_messages(spark, sf_dir), path)
+    return SM.read_messages_json(spark, path, json_array=False)
+
+
+@register("search_topic_lang", f"""
+    SELECT doc_id AS id, text, lang, source FROM documents
+    WHERE contains(lower(text), '{SEARCH_QUERY}') AND lang = '{SEARCH_LANG}'
+    ORDER BY doc_id DESC LIMIT 100""")
+def search_topic_lang(spark, sf_dir):
+    from trendstream.operators import paging as PG
+    return PG.search(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG, PG.PAGE_SIZE)
+
+
+_PAGES_SQL = f"""
+    SELECT doc_id AS id, text, lang, source, row_number() OVER (ORDER BY doc_id DESC) AS rank,
+           CAST(ceil(row_number() OVER (ORDER BY doc_id DESC) / 100) AS BIGINT) AS page
+    FROM documents WHERE contains(lower(text), '{SEARCH_QUERY}') AND lang = '{SEARCH_LANG}'"""
+
+
+@register("search_pages", f"SELECT id, rank, page FROM ({_PAGES_SQL})")
+def search_pages(spark, sf_dir):
+    from trendstream.operators import paging as PG
+    return PG.rank_pages(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG,
+                         PG.PAGE_SIZE).select("id", "rank", "page")
+
+
+@register("search_page_cursors", f"""
+    SELECT page, count(*) AS n, min(id) AS min_id, min(id) - 1 AS next_max_id
+    FROM ({_PAGES_SQL}) GROUP BY page""")
+def search_page_cursors(spark, sf_dir):
+    from trendstream.operators import paging as PG
+    return PG.page_cursors(PG.rank_pages(FX.document_messages(spark, sf_dir), SEARCH_QUERY,
+                                         SEARCH_LANG, PG.PAGE_SIZE))
+
+
+@register("drop_shares", """
+    SELECT id, text, page, next_max_id FROM (
+      SELECT event_id AS id, props AS text, event_type = 'view' AS share, p.page,
+             min(event_id) OVER (PARTITION BY p.page) - 1 AS next_max_id
+      FROM (SELECT *, CAST(ceil(row_number() OVER (ORDER BY event_id DESC) / 100) AS BIGINT) AS page
+            FROM events) p)
+    WHERE NOT share""")
+def drop_shares(spark, sf_dir):
+    """Ingest loop over all pages of the statuses: shares are skipped, cursors still move."""
+    from trendstream.operators import messages as M
+    from trendstream.operators import paging as PG
+    msgs = M.project_statuses(FX.statuses(spark, sf_dir))
+    paged = PG.rank_pages(msgs, count=PG.PAGE_SIZE)
+    return M.drop_shares(paged).select("id", "text", "page", "next_max_id")
