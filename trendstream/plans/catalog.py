@@ -250,3 +250,66 @@ def drop_shares(spark, sf_dir):
     msgs = M.project_statuses(FX.statuses(spark, sf_dir))
     paged = PG.rank_pages(msgs, count=PG.PAGE_SIZE)
     return M.drop_shares(paged).select("id", "text", "page", "next_max_id")
+
+
+# -------------------------------------------------------------- enrichment
+from trendstream.functions import entities as EN  # noqa: E402
+from trendstream.functions import lang as LG  # noqa: E402
+
+# Dictionary fixture (fixed value): a capitalised run is an entity when this
+# many documents mention it.
+ENTITY_MIN_DOCS = 10
+
+
+def _docs(spark, sf_dir):
+    from trendstream.sources.tables import read_table
+    return read_table(spark, sf_dir, "documents")
+
+
+@register("language_detected",
+          f"SELECT doc_id, lang, {LG.detect_language_sql('text')} AS language FROM documents")
+def language_detected(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", "lang", LG.detect_language("text").alias("language"))
+
+
+@register("language_accuracy", f"""
+    SELECT lang, language, count(*) AS n FROM (
+      SELECT lang, {LG.detect_language_sql('text')} AS language FROM documents)
+    GROUP BY ALL""")
+def language_accuracy(spark, sf_dir):
+    return (language_detected(spark, sf_dir).groupBy("lang", "language")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("entities_capitalised",
+          f"SELECT doc_id, {EN.capitalised_entities_sql('text')} AS entities FROM documents")
+def entities_capitalised(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", EN.capitalised_entities("text").alias("entities"))
+
+
+@register("entities_gazetteer", f"""
+    WITH c AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{EN.CAPITALISED_RUN}'))) AS entity
+               FROM documents),
+         d AS (SELECT entity FROM c GROUP BY entity HAVING count(*) >= {ENTITY_MIN_DOCS}),
+         t AS (SELECT c.doc_id, list_sort(list(c.entity)) AS ents FROM c JOIN d USING (entity)
+               GROUP BY c.doc_id)
+    SELECT documents.doc_id, CASE WHEN t.ents IS NULL THEN ['None'] ELSE t.ents END AS entities
+    FROM documents LEFT JOIN t USING (doc_id)""")
+def entities_gazetteer(spark, sf_dir):
+    from trendstream.operators import enrich as ER
+    docs = _docs(spark, sf_dir)
+    return ER.tag_entities(docs, ER.entity_dictionary(docs, ENTITY_MIN_DOCS))
+
+
+@register("enriched_documents", f"""
+    SELECT '{{"content":' || to_json(text) || ',"timestamp":null,"language":' ||
+           to_json({LG.detect_language_sql('text')}) || ',"entities":' ||
+           to_json({EN.capitalised_entities_sql('text')}) || '}}' AS body
+    FROM documents""")
+def enriched_documents(spark, sf_dir):
+    """Whole enrichment stage over documents posted to the raw topic (no arrival time)."""
+    from trendstream.operators import enrich as ER
+    from trendstream.sources.topics import produce_raw
+    from trendstream.streaming import pipelines as P
+    raw = produce_raw(_docs(spark, sf_dir)).withColumn("enqueuedTime", F.lit(None).cast("timestamp"))
+    return P.enriched_bodies(ER.enrich(raw))
