@@ -313,3 +313,212 @@ def enriched_documents(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     raw = produce_raw(_docs(spark, sf_dir)).withColumn("enqueuedTime", F.lit(None).cast("timestamp"))
     return P.enriched_bodies(ER.enrich(raw))
+
+
+# --------------------------------------------------- codec round trips
+_BASE_SQL = ("SELECT props AS content, ts AS timestamp, 'en' AS language, "
+             "[event_type, 'user_' || CAST(user_id AS VARCHAR)] AS entities FROM events")
+
+
+@register("enriched_roundtrip", _BASE_SQL)
+def enriched_roundtrip(spark, sf_dir):
+    """Enriched JSON -> UTF-8 payload -> text -> struct -> columns."""
+    from trendstream.functions import codec
+    raw = enriched_json(spark, sf_dir).select(codec.encode_text("body").alias("body"))
+    dec = T.decode_enriched(raw)
+    return dec.select("content", T.event_time(dec, "timestamp").alias("timestamp"),
+                      "language", "entities")
+
+
+@register("malformed_json_dropped", _TOPIC_ROWS)
+def malformed_json_dropped(spark, sf_dir):
+    """A topic holding enriched payloads and non-JSON text: the latter yields no topic row."""
+    junk = _docs(spark, sf_dir).select(F.col("text").alias("body"))
+    return T.explode_topics(T.decode_enriched(enriched_json(spark, sf_dir).unionByName(junk)))
+
+
+# ---------------------------------------------------------------- history
+_HISTORY_SQL = """
+    SELECT substr(sha256(props || chr(1) || CAST(ts AS VARCHAR)), 1, 36) AS uniqueId,
+           props AS content, CAST(ts AS VARCHAR) AS timestamp, 'en' AS language,
+           unnest([event_type, 'user_' || CAST(user_id AS VARCHAR)]) AS topic
+    FROM events"""
+
+
+@register("history_rows", _HISTORY_SQL)
+def history_rows(spark, sf_dir):
+    return T.history_rows(FX.enriched_events(spark, sf_dir))
+
+
+@register("history_table_roundtrip", f"""
+    SELECT uniqueId AS UniqueId, CAST(timestamp AS TIMESTAMP) AS TweetTime, content AS Content,
+           language AS Language, topic AS Topic
+    FROM ({_HISTORY_SQL})""")
+def history_table_roundtrip(spark, sf_dir):
+    """History stream (enriched topic -> table folder, exactly once) read back."""
+    from trendstream.operators import history as H
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    topic = _enriched_topic(spark, sf_dir)
+    loc = fresh_path(spark, "history")
+    H.start_stream(P.history(read_topic(spark, topic, "text")), loc, loc + ".chk").awaitTermination()
+    return H.read_history(spark, loc).select(
+        "UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"),
+        "Content", "Language", "Topic")
+
+
+# ---------------------------------------------------------------- watcher
+# Watch fixture (fixed value): alerts must start strictly after this time.
+WATCH_START = "2024-01-15 00:00:00"
+_ALERTS_SQL = f"SELECT * FROM ({_window_counts_sql()}) WHERE count >= {TR.ALERT_THRESHOLD}"
+
+
+def _alert_topic(spark, sf_dir):
+    """Alert payloads plus non-alert text (conversation turns) that must be skipped."""
+    junk = FX.read_table(spark, sf_dir, "conversations").select(F.col("text").alias("body"))
+    return alert_json(spark, sf_dir).unionByName(junk)
+
+
+@register("fresh_alerts",
+          f"SELECT * FROM ({_ALERTS_SQL}) WHERE windowStart > TIMESTAMP '{WATCH_START}'")
+def fresh_alerts(spark, sf_dir):
+    from trendstream.operators import watch as W
+    return W.fresh_alerts(_alert_topic(spark, sf_dir), WATCH_START).select(
+        F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
+        F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count")
+
+
+@register("has_fresh_alert", f"""
+    SELECT (SELECT count(*) FROM ({_ALERTS_SQL})) + (SELECT count(*) FROM conversations) AS received,
+           count(*) AS valid,
+           count(*) FILTER (WHERE windowStart > TIMESTAMP '{WATCH_START}') AS fresh,
+           max(windowStart) AS last_window_start,
+           count(*) FILTER (WHERE windowStart > TIMESTAMP '{WATCH_START}') > 0 AS has_fresh
+    FROM ({_ALERTS_SQL})""")
+def has_fresh_alert(spark, sf_dir):
+    from trendstream.operators import watch as W
+    return W.alert_summary(_alert_topic(spark, sf_dir), WATCH_START).withColumn(
+        "last_window_start", F.col("last_window_start").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------ declared operators
+from trendstream.operators import longterm as LT  # noqa: E402
+
+
+@register("recent_trends", f"""
+    SELECT topic, count(*) AS count FROM ({_TOPIC_ROWS})
+    WHERE ts > (SELECT max(ts) FROM events) - INTERVAL {LT.RECENT_MINUTES} MINUTE
+    GROUP BY topic ORDER BY count DESC, topic LIMIT {LT.TOP_K}""")
+def recent_trends(spark, sf_dir):
+    return LT.recent_trends(_topic_rows(spark, sf_dir))
+
+
+def _period_sql(unit: str) -> str:
+    return f"""
+    SELECT * FROM (
+      SELECT period, topic, count, row_number() OVER (PARTITION BY period ORDER BY count DESC, topic) AS rank
+      FROM (SELECT date_trunc('{unit}', ts) AS period, topic, count(*) AS count
+            FROM ({_TOPIC_ROWS}) GROUP BY ALL))
+    WHERE rank <= {LT.TOP_K}"""
+
+
+@register("weekly_trends", _period_sql("week"))
+def weekly_trends(spark, sf_dir):
+    return LT.period_top_topics(_topic_rows(spark, sf_dir), "week")
+
+
+@register("monthly_trends", _period_sql("month"))
+def monthly_trends(spark, sf_dir):
+    return LT.period_top_topics(_topic_rows(spark, sf_dir), "month")
+
+
+@register("topic_anomaly", f"""
+    SELECT windowStart, topic, count, round(a, 6) AS baseline_avg, round(s, 6) AS baseline_std,
+           round(CASE WHEN s > 0 THEN (count - a) / s END, 6) AS z
+    FROM (SELECT *, avg(count) OVER w AS a, stddev_samp(count) OVER w AS s
+          FROM ({_window_counts_sql()})
+          WINDOW w AS (PARTITION BY topic ORDER BY windowStart
+                       ROWS BETWEEN {LT.ANOMALY_HISTORY} PRECEDING AND 1 PRECEDING))""")
+def topic_anomaly(spark, sf_dir):
+    return LT.topic_anomaly(TR.topic_counts(_topic_rows(spark, sf_dir)))
+
+
+@register("sentiment_score", f"SELECT doc_id, {LT.sentiment_sql('text')} AS sentiment FROM documents")
+def sentiment_score(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", LT.sentiment("text").alias("sentiment"))
+
+
+@register("new_alerts", f"""
+    SELECT windowStart, windowEnd, topic, count FROM (
+      SELECT *, lag(windowEnd) OVER (PARTITION BY topic ORDER BY windowStart) AS prev_end
+      FROM ({_ALERTS_SQL}))
+    WHERE prev_end IS NULL OR windowStart >= prev_end""")
+def new_alerts(spark, sf_dir):
+    return LT.new_alerts(threshold_alerts(spark, sf_dir))
+
+
+# ------------------------------------------------------------ small scalars
+@register("port_default", """
+    SELECT o_orderkey,
+           CASE WHEN regexp_full_match(o_orderpriority, '[0-9]+')
+                THEN coalesce(TRY_CAST(o_orderpriority AS INTEGER), 1433) ELSE 1433 END AS port_from_priority,
+           CASE WHEN regexp_full_match(CAST(o_orderkey AS VARCHAR), '[0-9]+')
+                THEN coalesce(TRY_CAST(CAST(o_orderkey AS VARCHAR) AS INTEGER), 1433) ELSE 1433 END AS port_from_key
+    FROM orders""")
+def port_default(spark, sf_dir):
+    from trendstream.operators import history as H
+    o = FX.read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", H.jdbc_port("o_orderpriority").alias("port_from_priority"),
+                    H.jdbc_port(F.col("o_orderkey").cast("string")).alias("port_from_key"))
+
+
+@register("escape_quotes",
+          "SELECT conv_id, turn, replace(text, '''', '''''') AS escaped FROM conversations")
+def escape_quotes(spark, sf_dir):
+    c = FX.read_table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.replace("text", F.lit("'"), F.lit("''")).alias("escaped"))
+
+
+# ---------------------------------------------------------------- service
+@register("service_request_json", """
+    SELECT doc_id, '{"documents":[{"id":"' || CAST(doc_id AS VARCHAR) || '","text":' || to_json(text)
+           || '}]}' AS request FROM documents""")
+def service_request_json(spark, sf_dir):
+    from trendstream.operators import service as SV
+    return _docs(spark, sf_dir).select("doc_id", SV.language_request("doc_id", "text").alias("request"))
+
+
+# Codes answered by the local stand-in language service, chosen by text length
+# (fixed values; the empty code exercises the 'en' fallback).
+STAND_IN_CODES = ["en", "de", "fr", "es", ""]
+
+
+def stand_in_language_service(requests: list[str]) -> list[str]:
+    """Local stand-in for the language service (no network)."""
+    import json
+    out = []
+    for r in requests:
+        docs = json.loads(r)["documents"]
+        replies = []
+        for d in docs:
+            text = d.get("text") or ""
+            if not text:
+                continue
+            code = STAND_IN_CODES[len(text) % len(STAND_IN_CODES)]
+            replies.append({"id": d["id"], "detectedLanguages": [
+                {"name": code, "iso6391Name": code, "score": 1.0}]})
+        out.append(json.dumps({"documents": replies}))
+    return out
+
+
+@register("service_reply_parsed", """
+    SELECT doc_id, CASE WHEN text IS NULL OR length(text) = 0 THEN 'en'
+                        ELSE ['en', 'de', 'fr', 'es', 'en'][length(text) % 5 + 1] END AS language
+    FROM documents""")
+def service_reply_parsed(spark, sf_dir):
+    from trendstream.operators import service as SV
+    req = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"),
+                                      SV.language_request("doc_id", "text").alias("request"))
+    replies = SV.call_service(req, stand_in_language_service)
+    return replies.select(F.col("id").alias("doc_id"), SV.reply_language("reply").alias("language"))

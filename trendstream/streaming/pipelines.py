@@ -42,12 +42,3 @@ def alert_bodies(alert_rows: DataFrame) -> DataFrame:
 def history(bodies: DataFrame, deterministic_ids: bool = True) -> DataFrame:
     """Enriched payloads -> history rows (one per message and topic)."""
     return T.history_rows(T.decode_enriched(bodies), deterministic_ids)
-
-
-def history_table_rows(hist: DataFrame) -> DataFrame:
-    """History rows in the column names and types of the history table."""
-    return hist.select(F.col("uniqueId").alias("UniqueId"),
-                       F.try_to_timestamp("timestamp").alias("TweetTime"),
-                       F.col("content").alias("Content"),
-                       F.col("language").alias("Language"),
-                       F.col("topic").alias("Topic"))
