@@ -47,9 +47,9 @@ def topic_counts(rows: DataFrame, length: str = WINDOW_LENGTH, slide: str = WIND
     step = F.lit(_dt.timedelta(seconds=S))
     per_bucket = (rows.groupBy(F.window(ts, slide).start.alias("bucket"), F.col(topic).alias("topic"))
                   .agg(F.count(F.lit(1)).alias("n")))
+    # The k window starts of a bucket as a literal-size array: stays in codegen.
     expanded = per_bucket.select(
-        F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                              lambda i: F.col("bucket") - step * i)).alias("windowStart"),
+        F.explode(F.array(*[F.col("bucket") - step * i for i in range(k)])).alias("windowStart"),
         "topic", "n")
     return (expanded.groupBy("windowStart", "topic").agg(F.sum("n").alias("count"))
             .select("windowStart",

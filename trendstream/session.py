@@ -38,6 +38,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.driver.memory", "16g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # Small local inputs: keep post-shuffle partitions from collapsing
+         # into one task (cluster sessions keep their own setting).
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     for k, v in {**CORE_CONF, **(extra or {})}.items():

@@ -2,12 +2,44 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no SparkContext
+        return None
+
+
+def balance(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster.
+
+    A scan of big data already has far more splits than cores and is left
+    alone (no shuffle).  A scan with fewer splits than the default
+    parallelism (a single small file or row group) would run all per-row
+    work in a few tasks, so it is hash-partitioned by ``key`` (deterministic
+    on retry, no sort needed) into ``defaultParallelism`` partitions.
+    Filters and column pruning are still pushed below the repartition.
+    """
+    target = _parallelism(df.sparkSession)
+    if not target:
+        return df
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    if n >= target:
+        return df
+    return df.repartition(target, key or df.columns[0])
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balanced: bool = True) -> DataFrame:
     """One table of the data folder; column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(df) if balanced else df
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -17,7 +49,6 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     The schema comes from the table footer; a single file is addressed by a
     one-file glob because the file source expects a folder.
     """
-    import os
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     if not os.path.isdir(path) and "://" not in path:
