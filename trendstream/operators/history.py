@@ -35,9 +35,19 @@ def ensure_table(spark: SparkSession, location: str, name: str = HISTORY_TABLE)
     return name
 
 
-def append_batch(rows: DataFrame, location: str) -> None:
-    """Append a bounded batch of history rows to the table folder."""
-    history_table_rows(rows).write.mode("append").partitionBy("TweetDate").parquet(location)
+def append_batch(rows: DataFrame, location: str | None = None, table: str | None = None) -> None:
+    """Append a bounded batch of history rows to the table (column sizes are
+    enforced) or, without a table name, to the table folder."""
+    out = history_table_rows(rows)
+    if table:
+        out.write.insertInto(table)
+    else:
+        out.write.mode("append").partitionBy("TweetDate").parquet(location)
+
+
+def refresh_partitions(spark: SparkSession, name: str = HISTORY_TABLE) -> None:
+    """Register partitions written into the folder by a stream or another job."""
+    spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def start_stream(rows: DataFrame, location: str, checkpoint: str, mode: str = "once"):
