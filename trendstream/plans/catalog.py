@@ -116,11 +116,12 @@ def _enriched_topic(spark, sf_dir) -> str:
     from trendstream.session import fresh_path
     from trendstream.sources.tables import stream_table
     from trendstream.streaming import pipelines as P
+    from trendstream.sources.topics import producer_path
     from trendstream.streaming.runner import run_once
     topic = fresh_path(spark, "topic-enriched")
     bodies = P.enriched_bodies(FX.enriched_from_events(stream_table(spark, sf_dir, "events")))
-    run_once(bodies.select(F.col("body").alias("value")), sink="text", path=topic,
-             checkpoint=topic + ".chk")
+    run_once(bodies.select(F.col("body").alias("value")), sink="text",
+             path=producer_path(topic, "enrich"), checkpoint=topic + ".chk")
     return topic
 
 
@@ -522,3 +523,27 @@ def service_reply_parsed(spark, sf_dir):
                                       SV.language_request("doc_id", "text").alias("request"))
     replies = SV.call_service(req, stand_in_language_service)
     return replies.select(F.col("id").alias("doc_id"), SV.reply_language("reply").alias("language"))
+
+
+@register("stream_new_alerts", f"""
+    SELECT windowStart, windowEnd, topic, count FROM (
+      SELECT *, lag(windowEnd) OVER (PARTITION BY topic ORDER BY windowStart) AS prev_end
+      FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD})
+    WHERE prev_end IS NULL OR windowStart >= prev_end""")
+def stream_new_alerts(spark, sf_dir):
+    """events -> enriched topic -> alerts topic (JSON) -> stateful new-episode stream."""
+    from trendstream.operators import watch as W
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import producer_path, read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.newalerts import new_alerts_stream
+    from trendstream.streaming.runner import run_once
+    topic = _enriched_topic(spark, sf_dir)
+    alerts_topic = fresh_path(spark, "topic-alerts")
+    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text")))
+             .select(F.col("body").alias("value")),
+             sink="text", path=producer_path(alerts_topic, "alerts"), checkpoint=alerts_topic + ".chk")
+    out = fresh_path(spark, "new-alerts")
+    run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, alerts_topic, "text"))),
+             sink="parquet", path=out, checkpoint=out + ".chk")
+    return _read_alert_sink(spark, out)

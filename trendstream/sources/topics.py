@@ -8,10 +8,18 @@ form; the same downstream functions consume both.
 File layouts:
   text     one payload per line (enriched and alert JSON)
   parquet  body BINARY, enqueuedTime TIMESTAMP (raw posts)
+
+A file topic is a folder with one sub-folder per producer (a streaming
+sink, or one batch append).  Readers address ``<topic>/*``: for a glob
+path the file source does not restrict itself to the commit log of one
+sink, so every producer's files are seen, and each consumer's checkpoint
+records which files it has already processed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +31,8 @@ def read_topic(spark: SparkSession, path: str, kind: str = "text", stream: bool
     """Open a topic as a streaming (default) or bounded DataFrame."""
     r = spark.readStream if stream else spark.read
     opts = dict(options or {})
+    if kind in ("text", "parquet"):
+        path = f"{path.rstrip('/')}/*"
     if stream and max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     if kind == "text":
@@ -41,12 +51,19 @@ def read_topic(spark: SparkSession, path: str, kind: str = "text", stream: bool
     raise ValueError(f"unknown topic kind {kind!r}")
 
 
+def producer_path(topic: str, name: str) -> str:
+    """Folder of one producer inside a file topic (streaming sink path)."""
+    return f"{topic.rstrip('/')}/{name}"
+
+
 def write_topic(df: DataFrame, path: str, kind: str = "text", options: dict | None = None) -> None:
     """Append a bounded DataFrame of payloads to a topic (batch producer)."""
     if kind == "text":
-        df.select(F.col("body").cast("string").alias("value")).write.mode("append").text(path)
+        out = producer_path(path, f"batch-{uuid.uuid4().hex}")
+        df.select(F.col("body").cast("string").alias("value")).write.text(out)
     elif kind == "parquet":
-        df.select("body", "enqueuedTime").write.mode("append").parquet(path)
+        out = producer_path(path, f"batch-{uuid.uuid4().hex}")
+        df.select("body", "enqueuedTime").write.parquet(out)
     elif kind == "kafka":
         (df.select(F.col("body").alias("value")).write.format("kafka")
          .options(**{"topic": path, **(options or {})}).save())
