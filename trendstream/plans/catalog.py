@@ -547,3 +547,37 @@ def stream_new_alerts(spark, sf_dir):
     run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, alerts_topic, "text"))),
              sink="parquet", path=out, checkpoint=out + ".chk")
     return _read_alert_sink(spark, out)
+
+
+@register("stream_enriched_documents", f"""
+    SELECT text AS content, {LG.detect_language_sql('text')} AS language,
+           {EN.capitalised_entities_sql('text')} AS entities
+    FROM documents""")
+def stream_enriched_documents(spark, sf_dir):
+    """Ingest documents to the raw topic, enrich them as a stream, read the enriched topic."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming.ingest import ingest, start_enrichment
+    raw, enriched = fresh_path(spark, "topic-raw"), fresh_path(spark, "topic-enriched")
+    ingest(FX.document_messages(spark, sf_dir), raw)
+    start_enrichment(spark, raw, enriched, enriched + ".chk").awaitTermination()
+    dec = T.decode_enriched(read_topic(spark, enriched, "text", stream=False))
+    return dec.select("content", "language", "entities")
+
+
+@register("capture_dataset", f"""
+    SELECT text, CAST(0 AS BIGINT) AS timestamp, source, 0 AS numOfShares, 0 AS numOfLikes,
+           false AS isShareOrRetweet, lang, doc_id AS id,
+           CAST(NULL AS MAP(VARCHAR, INTEGER)) AS reactions, CAST(NULL AS VARCHAR[]) AS topics,
+           0.0::DOUBLE AS sentiment
+    FROM documents WHERE contains(lower(text), '{SEARCH_QUERY}') AND lang = '{SEARCH_LANG}'
+    ORDER BY doc_id DESC LIMIT 2000""")
+def capture_dataset(spark, sf_dir):
+    """Search a topic, keep the newest 2000 posts, save them as a message file, read it back."""
+    from trendstream.operators import paging as PG
+    from trendstream.session import fresh_path
+    from trendstream.sources import messages as SM
+    path = fresh_path(spark, "dataset")
+    page = PG.search(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG, PG.CAPTURE_SIZE)
+    SM.write_messages(page, path)
+    return SM.read_messages_json(spark, path, json_array=False)
