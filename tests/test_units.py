@@ -342,3 +342,29 @@ def test_history_topic_length_is_enforced(spark):
         "body string")
     with pytest.raises(Exception):
         H.append_batch(T.history_rows(T.decode_enriched(bodies)), table=name)
+
+
+def test_default_message_file_from_session_setting(spark, tmp_path):
+    path = _message_file(tmp_path, [{"text": "Hello"}, {"text": "Hi"}])
+    spark.conf.set(SM.DEFAULT_MESSAGES_CONF, path)
+    try:
+        df, _ = SM.reader("fixed", spark).search(SM.SearchRequest("x"))
+        assert df.count() > 0
+    finally:
+        spark.conf.unset(SM.DEFAULT_MESSAGES_CONF)
+
+
+def test_pandas_udf_hooks(spark):
+    df = spark.createDataFrame([("Bonjour Paris",), (None,), ("",)], "text string")
+    lang = SV.language_udf(lambda t: "fr" if "Bonjour" in t else "")
+    ents = SV.entities_udf(lambda t: [w for w in t.split() if w[:1].isupper()])
+    got = df.select(lang("text").alias("l"), ents("text").alias("e")).collect()
+    assert [(r.l, list(r.e)) for r in got] == [("fr", ["Bonjour", "Paris"]), ("en", ["None"]), ("en", ["None"])]
+
+
+def test_weekly_trends_ignore_case(spark):
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 2), "Rust"), (dt.datetime(2024, 1, 3), "rust"),
+                                  (dt.datetime(2024, 1, 3), "Go")], "ts timestamp_ntz, topic string")
+    from trendstream.operators import longterm as LT
+    got = {(r.topic, r["count"]) for r in LT.period_top_topics(rows, "week", ignore_case=True).collect()}
+    assert got == {("rust", 2), ("go", 1)}

@@ -40,10 +40,15 @@ def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int,
 
 
 def period_top_topics(rows: DataFrame, unit: str = "week", k: int = TOP_K,
-                      ts: str = "ts", topic: str = "topic") -> DataFrame:
-    """Leading topics per calendar week (Monday) or month: period, topic, count, rank."""
+                      ts: str = "ts", topic: str = "topic", ignore_case: bool = False) -> DataFrame:
+    """Leading topics per calendar week (Monday) or month: period, topic, count, rank.
+
+    ``ignore_case`` groups topics by their lower-case text, as a
+    case-insensitive SQL collation of the history table would.
+    """
     period = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
-    counts = rows.groupBy(period.alias("period"), F.col(topic).alias("topic")) \
+    t = F.lower(F.col(topic)) if ignore_case else F.col(topic)
+    counts = rows.groupBy(period.alias("period"), t.alias("topic")) \
         .agg(F.count(F.lit(1)).alias("count"))
     return top_k_per_group(counts, "period", [F.col("count").desc(), F.col("topic")], k, "topic")
 

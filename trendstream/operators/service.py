@@ -82,3 +82,24 @@ def call_service(df: DataFrame, call: Callable[[list[str]], list[str]], request:
                 yield pd.DataFrame({key: part[key].values, "reply": replies})
 
     return df.select(key, request).mapInPandas(run, f"{key} {key_type}, reply string")
+
+
+def language_udf(detect: Callable[[str], str]):
+    """Wrap a per-text language function as an Arrow-batched pandas UDF
+    (alternative body of the language column; the built-in scorer is the default)."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def run(texts):
+        return texts.map(lambda t: DEFAULT_LANGUAGE if t is None else (detect(t) or DEFAULT_LANGUAGE))
+    return run
+
+
+def entities_udf(extract: Callable[[str], list]):
+    """Wrap a per-text entity function as a pandas UDF; empty results become ["None"]."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<string>")
+    def run(texts):
+        return texts.map(lambda t: (extract(t) if t is not None else None) or list(NO_ENTITIES))
+    return run

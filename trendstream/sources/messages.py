@@ -67,11 +67,24 @@ class SearchSource:
                               request.max_id if request.max_id >= 0 else None)
 
 
+# Session setting naming the built-in message file of the fixed source.
+DEFAULT_MESSAGES_CONF = "trendstream.messages.path"
+
+
 def reader(kind: str, spark: SparkSession, **kw):
-    """Source by name: 'search' or 'fixed'; anything else is an error."""
+    """Source by name: 'search' or 'fixed'; anything else is an error.
+
+    ``fixed`` without a path or DataFrame reads the file named by the
+    session setting ``trendstream.messages.path``.
+    """
     k = kind.lower()
     if k == "search":
         return SearchSource(kw["posts"])
     if k == "fixed":
-        return FixedSource(spark, kw.get("path"), kw.get("messages"), kw.get("json_array", True))
+        path = kw.get("path")
+        if path is None and kw.get("messages") is None:
+            path = spark.conf.get(DEFAULT_MESSAGES_CONF, None)
+            if not path:
+                raise ValueError(f"no message file: set {DEFAULT_MESSAGES_CONF}")
+        return FixedSource(spark, path, kw.get("messages"), kw.get("json_array", True))
     raise ValueError(f"unknown message source {kind!r}")
