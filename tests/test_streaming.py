@@ -109,3 +109,21 @@ def test_stream_new_alerts_equals_batch_on_closed_alerts(spark):
     from trendstream.operators import longterm as LT
     expected = _as_set(LT.new_alerts(_batch_closed(spark, TR.ALERT_THRESHOLD)))
     assert got == expected
+
+
+def test_rocksdb_state_store_gives_the_same_alerts(spark):
+    from trendstream.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        topic = C._enriched_topic(spark, SF_SMALL)
+        out = fresh_path(spark, "counts-rocksdb")
+        C._run_alert_stream(spark, topic, out, 2)
+        got = _as_set(C._read_alert_sink(spark, out))
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+    assert got == _as_set(_batch_closed(spark, 2))

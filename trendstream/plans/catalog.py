@@ -118,8 +118,12 @@ def _enriched_topic(spark, sf_dir) -> str:
     from trendstream.streaming import pipelines as P
     from trendstream.sources.topics import producer_path
     from trendstream.streaming.runner import run_once
+    from trendstream.session import default_parallelism
     topic = fresh_path(spark, "topic-enriched")
     bodies = P.enriched_bodies(FX.enriched_from_events(stream_table(spark, sf_dir, "events")))
+    # spread payloads round-robin over the topic's files, as a broker spreads
+    # events over its partitions, so consumers read in parallel
+    bodies = bodies.repartition(default_parallelism(spark))
     run_once(bodies.select(F.col("body").alias("value")), sink="text",
              path=producer_path(topic, "enrich"), checkpoint=topic + ".chk")
     return topic

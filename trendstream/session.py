@@ -30,9 +30,18 @@ CORE_CONF = {
 }
 
 
+# State store for large streaming state (off-heap, incremental checkpoints).
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "trendstream", extra: dict | None = None) -> SparkSession:
-    """Session for tests, scripts and the bench (never used on a cluster)."""
+                  app_name: str = "trendstream", extra: dict | None = None,
+                  state_store: str | None = None) -> SparkSession:
+    """Session for tests, scripts and the bench (never used on a cluster).
+
+    ``state_store="rocksdb"`` selects the RocksDB provider, the choice for
+    state that outgrows executor heaps; small local runs keep Spark's default.
+    """
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
@@ -40,9 +49,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          # Small local inputs: keep post-shuffle partitions from collapsing
          # into one task (cluster sessions keep their own setting).
-         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
-         .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"))
+    if state_store == "rocksdb":
+        b = b.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     for k, v in {**CORE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -60,6 +69,13 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", str(fallback)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root for checkpoints, stream topics and written tables.
 

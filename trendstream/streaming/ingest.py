@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstream.operators import enrich as ER
+from trendstream.session import default_parallelism
 from trendstream.sources.topics import producer_path, produce_raw, read_topic, write_topic
 from trendstream.streaming import pipelines as P
 from trendstream.streaming.runner import start
@@ -36,7 +37,6 @@ def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, c
     """
     raw = read_topic(spark, raw_topic, "parquet", max_files_per_trigger=max_files_per_trigger)
     bodies = P.enriched_bodies(ER.enrich(raw, gazetteer=gazetteer))
-    if partitions:
-        bodies = bodies.repartition(partitions)
+    bodies = bodies.repartition(partitions or default_parallelism(spark))
     return start(bodies.select(F.col("body").alias("value")), sink="text",
                  path=producer_path(enriched_topic, "enrich"), checkpoint=checkpoint, mode=mode)
