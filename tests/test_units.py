@@ -251,7 +251,7 @@ def test_dictionary_join_salted_path_equals_broadcast(spark):
                                  + [(100, "nothing"), (101, None)], "doc_id long, text string")
     d = ER.entity_dictionary(docs, 10)
     a = sorted(ER.tag_entities(docs, d).collect())
-    b = sorted(ER.tag_entities(docs, d, broadcast_max_rows=0, salts=4).collect())
+    b = sorted(ER.tag_entities(docs, d, broadcast_max_bytes=0, salts=4).collect())
     assert a == b
     assert dict((r.doc_id, r.entities) for r in a)[0] == ["Alpha", "Beta", "Gamma"]
     assert dict((r.doc_id, r.entities) for r in a)[100] == ["None"]

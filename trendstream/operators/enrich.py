@@ -16,8 +16,10 @@ from pyspark.sql.types import BinaryType
 from trendstream.functions import entities as EN
 from trendstream.functions import lang as LG
 
-# Largest dictionary (rows) that is broadcast to every task.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest dictionary (estimated bytes) that is broadcast to every task.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Per-row overhead added to the text bytes in that estimate.
+ROW_OVERHEAD_BYTES = 48
 # Number of salt values for the shuffle join of a large dictionary.
 JOIN_SALTS = 32
 
@@ -55,13 +57,24 @@ def entity_dictionary(docs: DataFrame, min_docs: int, id_col: str = "doc_id",
             .where(F.col("docs") >= F.lit(min_docs)).select("entity"))
 
 
+def estimated_bytes(dictionary: DataFrame, col: str = "entity") -> int:
+    """Size of the dictionary as it would be broadcast (one small aggregate job)."""
+    r = dictionary.agg(F.count(F.lit(1)).alias("n"),
+                       F.coalesce(F.sum(F.octet_length(col)), F.lit(0)).alias("b")).first()
+    return int(r["b"]) + ROW_OVERHEAD_BYTES * int(r["n"])
+
+
 def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
-                 text: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                 text: str = "text", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  salts: int = JOIN_SALTS) -> DataFrame:
     """(id, entities): the dictionary entries each document mentions, sorted; ["None"] if none."""
+    from trendstream.session import shared_dir
+    shared_dir(docs.sparkSession)
+    # computed once, kept in the shared checkpoint folder for the size check and the join
+    dictionary = dictionary.select("entity").checkpoint(eager=True)
     cand = entity_candidates(docs, id_col, text)
     hits = dictionary.select("entity", F.lit(True).alias("_hit"))
-    if dictionary.count() <= broadcast_max_rows:
+    if estimated_bytes(dictionary) <= broadcast_max_bytes:
         joined = cand.join(F.broadcast(hits), "entity", "left")
     else:
         salted = cand.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))

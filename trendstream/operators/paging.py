@@ -66,6 +66,8 @@ def rank_desc(df: DataFrame, id_col: str = "id") -> DataFrame:
     come from the same partitioning; the offset table has one row per
     partition.
     """
+    from trendstream.session import shared_dir
+    shared_dir(df.sparkSession)
     pos = (df.orderBy(F.col(id_col).desc())
            .withColumns({"_part": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
            .checkpoint(eager=True))
