@@ -127,3 +127,20 @@ def test_rocksdb_state_store_gives_the_same_alerts(spark):
         else:
             spark.conf.set(key, old)
     assert got == _as_set(_batch_closed(spark, 2))
+
+
+def test_foreach_batch_history_writer_is_idempotent(spark):
+    topic = C._enriched_topic(spark, SF_SMALL)
+    loc = fresh_path(spark, "history-fb")
+    writer = H.batch_folder_writer(loc)
+    q = run_once(P.history(read_topic(spark, topic, "text")), sink=None, checkpoint=loc + ".chk",
+                 foreach_batch=writer)
+    events = read_table(spark, SF_SMALL, "events").count()
+    assert spark.read.parquet(loc).count() == 2 * events
+    # replaying batch 0 by hand (as after a failure) replaces its folder
+    first = q.recentProgress[0]["batchId"]
+    writer(P.history(read_topic(spark, topic, "text", stream=False)), first)
+    assert spark.read.parquet(loc).count() == 2 * events
+    q2 = run_once(P.history(read_topic(spark, topic, "text")), sink=None, checkpoint=loc + ".chk",
+                  foreach_batch=writer)
+    assert sum(rows_received(q2)) == 0

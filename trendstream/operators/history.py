@@ -74,6 +74,16 @@ def jdbc_port(text) -> F.Column:
         .otherwise(F.lit(DEFAULT_JDBC_PORT))
 
 
+def batch_folder_writer(location: str):
+    """foreachBatch function: each micro-batch replaces its own ``batch_id=N``
+    folder, so a batch replayed after a failure overwrites instead of
+    duplicating (exactly-once output with an idempotent writer)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (history_table_rows(batch).write.mode("overwrite").partitionBy("TweetDate")
+         .parquet(f"{location}/batch_id={batch_id}"))
+    return write
+
+
 def jdbc_writer(url: str, table: str = HISTORY_TABLE, properties: dict | None = None):
     """foreachBatch function appending each micro-batch over JDBC (batched inserts)."""
     props = {"batchsize": "1000", **(properties or {})}
