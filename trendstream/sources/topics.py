@@ -72,6 +72,14 @@ def write_topic(df: DataFrame, path: str, kind: str = "text", options: dict | No
 
 
 def produce_raw(posts: DataFrame, text: str = "text", time_col: str | None = None) -> DataFrame:
-    """Posts -> raw events: UTF-8 body and an arrival time (now unless given)."""
-    t = F.col(time_col).cast("timestamp") if time_col else F.current_timestamp()
+    """Posts -> raw events: UTF-8 body and an arrival time (now unless given).
+
+    An integral time column is read as epoch milliseconds (message timestamps).
+    """
+    if time_col is None:
+        t = F.current_timestamp()
+    elif dict(posts.dtypes)[time_col] in ("bigint", "int"):
+        t = F.timestamp_millis(F.col(time_col))
+    else:
+        t = F.col(time_col).cast("timestamp")
     return posts.select(F.encode(F.col(text), "UTF-8").alias("body"), t.alias("enqueuedTime"))
