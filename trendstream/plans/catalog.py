@@ -585,3 +585,36 @@ def capture_dataset(spark, sf_dir):
     page = PG.search(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG, PG.CAPTURE_SIZE)
     SM.write_messages(page, path)
     return SM.read_messages_json(spark, path, json_array=False)
+
+
+def stand_in_entity_service(requests: list[str]) -> list[str]:
+    """Local stand-in for the entity service: capitalised runs of the text; one
+    run is answered as a single object, none as a document without entities."""
+    import json
+
+    import regex
+    out = []
+    for r in requests:
+        replies = []
+        for d in json.loads(r)["documents"]:
+            names = regex.findall(EN.CAPITALISED_RUN, d.get("text") or "")
+            doc = {"id": d["id"]}
+            if len(names) == 1:
+                doc["entities"] = {"name": names[0]}
+            elif names:
+                doc["entities"] = [{"name": n} for n in names]
+            replies.append(doc)
+        out.append(json.dumps({"documents": replies}))
+    return out
+
+
+@register("service_entities_parsed",
+          f"SELECT doc_id, {EN.capitalised_entities_sql('text')} AS entities FROM documents")
+def service_entities_parsed(spark, sf_dir):
+    """Entity requests (with the detected language) through the batched service hook."""
+    from trendstream.operators import service as SV
+    docs = _docs(spark, sf_dir)
+    req = docs.select(F.col("doc_id").alias("id"),
+                      SV.entities_request("doc_id", LG.detect_language("text"), "text").alias("request"))
+    replies = SV.call_service(req, stand_in_entity_service)
+    return replies.select(F.col("id").alias("doc_id"), SV.reply_entities("reply").alias("entities"))
