@@ -33,3 +33,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["windowStart", "windowEnd", "topic", "count"]
     assert len(rows) > 0
     assert all(r["count"] >= E.SMOKE_THRESHOLD for r in rows)
+
+
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+               "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]",
+               "map<string,int>": "MAP(VARCHAR, INTEGER)"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_result_types_match_oracle(spark, duck_small, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    ours = {f.name: _DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+    theirs = {r[0]: r[1] for r in duck_small.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert ours == theirs

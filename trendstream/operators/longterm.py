@@ -36,7 +36,8 @@ def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int,
     w1 = Window.partitionBy(F.col(group), sub).orderBy(*order)
     w2 = Window.partitionBy(group).orderBy(*order)
     return (df.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-            .withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k).drop("_r"))
+            .withColumn("rank", F.row_number().over(w2).cast("bigint")).where(F.col("rank") <= k)
+            .drop("_r"))
 
 
 def period_top_topics(rows: DataFrame, unit: str = "week", k: int = TOP_K,

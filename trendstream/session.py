@@ -82,14 +82,18 @@ def shared_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
     (local tests) a local folder is chosen and registered.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = os.environ.get("TRENDSTREAM_LOCAL_DIR") or tempfile.mkdtemp(prefix="trendstream-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
