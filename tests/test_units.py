@@ -368,3 +368,12 @@ def test_weekly_trends_ignore_case(spark):
     from trendstream.operators import longterm as LT
     got = {(r.topic, r["count"]) for r in LT.period_top_topics(rows, "week", ignore_case=True).collect()}
     assert got == {("rust", 2), ("go", 1)}
+
+
+def test_observed_received_rows(spark):
+    bodies = spark.createDataFrame(
+        [(json.dumps({"windowStart": "2024-01-01 10:00:01", "windowEnd": "x", "topic": "t", "count": 5}),),
+         ("garbage",), (None,)], "body string")
+    df, obs = W.observed(bodies)
+    fresh = W.fresh_alerts(df, "2024-01-01 10:00:00").count()
+    assert fresh == 1 and obs.get == {"rows": 3, "valid": 1}

@@ -28,6 +28,16 @@ def parsed_alerts(bodies: DataFrame, body: str = "body") -> DataFrame:
             .where(F.col("windowStart").isNotNull()))
 
 
+def observed(bodies: DataFrame, name: str = "received"):
+    """(DataFrame, Observation): payloads received and valid alerts are counted
+    as metrics of whatever job consumes the DataFrame, without a second pass."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    b = F.col("body").cast("string")
+    ws = codec.parse_alert_time(codec.json_field(b, "windowStart"))
+    return bodies.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(ws).alias("valid")), obs
+
+
 def _start(start) -> Column:
     return F.to_timestamp(F.lit(start)) if isinstance(start, str) else F.lit(start)
 
