@@ -75,3 +75,19 @@ def test_top_k_two_pass_equals_single_window(spark):
     w = Window.partitionBy("period").orderBy(*order)
     one = {tuple(r) for r in counts.withColumn("rank", F.row_number().over(w)).where("rank <= 3").collect()}
     assert two == one
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 6 * 3600), st.sampled_from("ab"), st.integers(1, 9)),
+                     min_size=1, max_size=80, unique_by=lambda r: (r[0] // 60, r[1])))
+def test_chunked_anomaly_equals_whole_topic_window(spark, rows):
+    from pyspark.sql import Window
+    data = [(BASE + dt.timedelta(minutes=m // 60), t, c) for m, t, c in rows]
+    counts = spark.createDataFrame(data, "windowStart timestamp_ntz, topic string, count bigint")
+    chunked = {tuple(r) for r in LT.topic_anomaly(counts, history=3, chunk_unit="hour").collect()}
+    w = Window.partitionBy("topic").orderBy("windowStart").rowsBetween(-3, -1)
+    avg, sd = F.avg("count").over(w), F.stddev_samp("count").over(w)
+    whole = {tuple(r) for r in counts.select(
+        "windowStart", "topic", "count", F.round(avg, 6), F.round(sd, 6),
+        F.round(F.when(sd > 0, (F.col("count") - avg) / sd), 6)).collect()}
+    assert chunked == whole

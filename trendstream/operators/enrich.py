@@ -68,10 +68,9 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
                  text: str = "text", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  salts: int = JOIN_SALTS) -> DataFrame:
     """(id, entities): the dictionary entries each document mentions, sorted; ["None"] if none."""
-    from trendstream.session import shared_dir
-    shared_dir(docs.sparkSession)
-    # computed once, kept in the shared checkpoint folder for the size check and the join
-    dictionary = dictionary.select("entity").checkpoint(eager=True)
+    from trendstream.session import materialize
+    # computed once, kept in the shared folder for the size check and the join
+    dictionary = materialize(dictionary.select("entity"), "dictionary")
     cand = entity_candidates(docs, id_col, text)
     hits = dictionary.select("entity", F.lit(True).alias("_hit"))
     if estimated_bytes(dictionary) <= broadcast_max_bytes:

@@ -54,29 +54,65 @@ def period_top_topics(rows: DataFrame, unit: str = "week", k: int = TOP_K,
     return top_k_per_group(counts, "period", [F.col("count").desc(), F.col("topic")], k, "topic")
 
 
-def topic_anomaly(counts: DataFrame, history: int = ANOMALY_HISTORY) -> DataFrame:
-    """z-score of each window count against the topic's previous ``history`` windows.
+# Time chunk of the per-topic ordered windows (anomaly, new alerts).
+CHUNK = "day"
 
-    The rows per topic are bounded by the number of windows, not by the input
-    size, since the counts are already aggregated.
+
+def with_halo(df: DataFrame, key: str, order: str, history: int, chunk_unit: str = CHUNK) -> DataFrame:
+    """Rows of ``df`` split into (key, time chunk) groups, each preceded by a
+    halo: the ``history`` rows of the same key that come right before the chunk.
+
+    A window over ``partitionBy(key, "_chunk")`` with at most ``history``
+    preceding rows then gives exactly the result of ``partitionBy(key)``,
+    while no group is larger than one chunk plus its halo; a key that holds
+    a large share of all rows is spread over its chunks.  The halo comes from
+    the last ``history`` rows of each earlier chunk: since every chunk present
+    has at least one row, the previous ``history`` chunks of the key contain
+    them all (a window over chunk summaries, one row per key and chunk).
     """
-    w = Window.partitionBy("topic").orderBy("windowStart").rowsBetween(-history, -1)
+    from trendstream.session import materialize
+    cols = df.columns
+    # the input (already aggregated) feeds both the rows and the tails: write it
+    # once to the shared folder instead of recomputing it from the source
+    rows = materialize(df.withColumn("_chunk", F.date_trunc(chunk_unit, F.col(order))), "halo-input")
+    # last `history` rows of each (key, chunk): one hash aggregate over a chunk-bounded group
+    rest = [c for c in cols if c not in (key, order)]
+    chunk_rows = F.sort_array(F.collect_list(F.struct(order, *rest)), asc=False)
+    tails = (rows.groupBy(key, "_chunk")
+             .agg(F.reverse(F.slice(chunk_rows, 1, history)).alias("_tail")))
+    prev = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-history, -1)
+    before = F.flatten(F.collect_list("_tail").over(prev))
+    halos = (tails.select(key, "_chunk", before.alias("_prev"))
+             .select(key, "_chunk", F.explode(F.slice("_prev", F.greatest(F.size("_prev") - history + 1,
+                                                                          F.lit(1)), history)).alias("_h"))
+             .select(key, "_chunk", "_h.*", F.lit(True).alias("_halo")))
+    return rows.withColumn("_halo", F.lit(False)).unionByName(halos)
+
+
+def topic_anomaly(counts: DataFrame, history: int = ANOMALY_HISTORY, chunk_unit: str = CHUNK) -> DataFrame:
+    """z-score of each window count against the topic's previous ``history`` windows."""
+    framed = with_halo(counts.select("windowStart", "topic", "count"), "topic", "windowStart", history,
+                       chunk_unit)
+    w = Window.partitionBy("topic", "_chunk").orderBy("windowStart").rowsBetween(-history, -1)
     avg, sd = F.avg("count").over(w), F.stddev_samp("count").over(w)
-    return counts.select(
-        "windowStart", "topic", "count",
+    return (framed.select(
+        "windowStart", "topic", "count", "_halo",
         F.round(avg, 6).alias("baseline_avg"), F.round(sd, 6).alias("baseline_std"),
         F.round(F.when(sd > 0, (F.col("count") - avg) / sd), 6).alias("z"))
+        .where(~F.col("_halo")).drop("_halo"))
 
 
-def new_alerts(alerts: DataFrame, quiet: str | None = None) -> DataFrame:
-    """Alerts that start a new episode: no earlier alert window of the topic
-    reaches this window's start (minus an optional quiet gap)."""
-    w = Window.partitionBy("topic").orderBy("windowStart")
-    prev_end = F.lag("windowEnd").over(w)
+def new_alerts(alerts: DataFrame, quiet: str | None = None, chunk_unit: str = CHUNK) -> DataFrame:
+    """Alerts that start a new episode: the topic's previous alert window ends
+    at or before this window's start (plus an optional quiet gap)."""
+    framed = with_halo(alerts.select("windowStart", "windowEnd", "topic", "count"),
+                       "topic", "windowStart", 1, chunk_unit)
+    w = Window.partitionBy("topic", "_chunk").orderBy("windowStart")
     gap = F.lit(_dt.timedelta(0)) if quiet is None else F.expr(f"INTERVAL {quiet}")
-    return (alerts.withColumn("_prev_end", prev_end)
+    return (framed.withColumn("_prev_end", F.lag("windowEnd").over(w))
+            .where(~F.col("_halo"))
             .where(F.col("_prev_end").isNull() | (F.col("windowStart") >= F.col("_prev_end") + gap))
-            .drop("_prev_end"))
+            .select("windowStart", "windowEnd", "topic", "count"))
 
 
 # Sentiment lexicon (fixed values).

@@ -62,15 +62,14 @@ def search_page(posts: DataFrame, query: str | None = None, lang: str | None = N
 def rank_desc(df: DataFrame, id_col: str = "id") -> DataFrame:
     """Adds ``rank`` (1 = highest id) with a distributed sort.
 
-    The sorted rows are checkpointed once so that the offsets and the rows
-    come from the same partitioning; the offset table has one row per
-    partition.
+    The sorted rows with their positions are written once to the shared
+    folder, so the offsets and the rows come from the same partitioning; the
+    offset table has one row per partition.
     """
-    from trendstream.session import shared_dir
-    shared_dir(df.sparkSession)
-    pos = (df.orderBy(F.col(id_col).desc())
-           .withColumns({"_part": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
-           .checkpoint(eager=True))
+    from trendstream.session import materialize
+    pos = materialize(df.orderBy(F.col(id_col).desc())
+                      .withColumns({"_part": F.spark_partition_id(),
+                                    "_mono": F.monotonically_increasing_id()}), "ranked")
     offsets = (pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
                .select("_part", F.coalesce(F.sum("_n").over(
                    Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),

@@ -100,3 +100,16 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, kind: str) -> str:
     """A new, unused sub-folder of the shared folder."""
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, kind: str = "stage"):
+    """Write ``df`` once as parquet into the shared folder and read it back.
+
+    Cuts the lineage (a lost executor does not recompute the source), keeps
+    computed columns fixed (ids, positions), and is reused by every consumer
+    of the result.  Columnar and compressed, so cheaper than an RDD checkpoint.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, kind)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
