@@ -28,3 +28,19 @@ def test_end_to_end_with_fixed_source(spark):
     assert spark.table("e2e_history").where(F.col("Topic") == "None").count() == originals
     assert J.watch_job(spark, cfg, "2024-01-01 00:00:00", deadline_minutes=0)
     assert not J.watch_job(spark, cfg, "2030-01-01 00:00:00", deadline_minutes=0)
+
+
+def test_command_line_jobs(spark):
+    from trendstream.__main__ import main
+    path = fresh_path(spark, "messages")
+    SM.write_messages(M.project_statuses(FX.statuses(spark, SF_SMALL)), path)
+    root = fresh_path(spark, "cli")
+    common = ["--root", root, "--table", "cli_history", "--threshold", "2"]
+    assert main(["initialize", *common]) == 0
+    assert main(["ingest", *common, "--path", path, "--json-lines", "--time-col", "timestamp"]) == 0
+    for job in ("enrich", "history", "alerts"):
+        assert main([job, *common]) == 0
+    assert main(["watch", *common, "--start", "2020-01-01 00:00:00", "--deadline-minutes", "0"]) == 0
+    assert main(["watch", *common, "--start", "2030-01-01 00:00:00", "--deadline-minutes", "0"]) == 1
+    cfg = J.PipelineConfig(root=root)
+    assert read_topic(spark, cfg.enriched_topic, "text", stream=False).count() > 0
