@@ -144,3 +144,24 @@ def test_foreach_batch_history_writer_is_idempotent(spark):
     q2 = run_once(P.history(read_topic(spark, topic, "text")), sink=None, checkpoint=loc + ".chk",
                   foreach_batch=writer)
     assert sum(rows_received(q2)) == 0
+
+
+def test_new_alert_stream_over_several_batches(spark):
+    """Alerts delivered in time-ordered slices, one per trigger: state carries the
+    last alert end across batches and times out behind the watermark."""
+    from trendstream.operators import longterm as LT
+    from trendstream.streaming.newalerts import new_alerts_stream
+    alerts = _batch_closed(spark, 2)
+    assert alerts.count() > 10
+    topic = fresh_path(spark, "topic-alerts")
+    days = sorted({r.d for r in alerts.select(F.to_date("windowStart").alias("d")).collect()})
+    cuts = days[::10] + [days[-1] + dt.timedelta(days=1)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        part = alerts.where((F.to_date("windowStart") >= lo) & (F.to_date("windowStart") < hi))
+        write_topic(TR.alert_bodies(part).coalesce(1), topic, "text")
+    out = fresh_path(spark, "new-alerts")
+    q = run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=1))),
+                 sink="parquet", path=out, checkpoint=out + ".chk")
+    assert len([n for n in rows_received(q) if n > 0]) >= 3
+    got = _as_set(C._read_alert_sink(spark, out))
+    assert got == _as_set(LT.new_alerts(alerts)) and len(got) > 0

@@ -23,6 +23,10 @@ def _episodes(quiet_seconds: float):
 
     def fn(key, pdfs, state):
         import pandas as pd
+        if state.hasTimedOut:
+            # the watermark passed last_end + gap: any later alert is new anyway
+            state.remove()
+            return
         parts = list(pdfs)
         if not parts:
             return
@@ -37,13 +41,27 @@ def _episodes(quiet_seconds: float):
         if state.exists and state.get[0] is not None:
             newest = max(newest, pd.Timestamp(state.get[0]))
         state.update((newest.to_pydatetime(),))
+        state.setTimeoutTimestamp(int((newest + gap).timestamp() * 1000))
         yield pdf.loc[keep, ["windowStart", "windowEnd", "topic", "count"]]
     return fn
 
 
-def new_alerts_stream(alert_rows: DataFrame, quiet_seconds: float = 0) -> DataFrame:
-    """Streaming (or bounded) alert rows -> rows that open a new episode per topic."""
+# Disorder tolerated between alert rows of one topic (alerts of a window
+# are emitted once the upstream watermark passes its end, so they arrive
+# nearly in order).
+ALERT_DELAY = "1 hour"
+
+
+def new_alerts_stream(alert_rows: DataFrame, quiet_seconds: float = 0,
+                      delay: str = ALERT_DELAY) -> DataFrame:
+    """Streaming alert rows -> rows that open a new episode per topic.
+
+    The per-topic state (end of the last alert window) times out on event
+    time once the watermark passes that end plus the quiet gap, so state is
+    kept only for topics that alerted recently.
+    """
     return (alert_rows.select("windowStart", "windowEnd", "topic", "count")
+            .withWatermark("windowStart", delay)
             .groupBy("topic")
             .applyInPandasWithState(_episodes(quiet_seconds), OUTPUT_SCHEMA, STATE_SCHEMA,
-                                    "append", GroupStateTimeout.NoTimeout))
+                                    "append", GroupStateTimeout.EventTimeTimeout))
