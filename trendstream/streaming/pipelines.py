@@ -10,7 +10,6 @@ The functions take a streaming or a bounded DataFrame; ``start`` in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from trendstream.functions import codec
 from trendstream.operators import topics as T
