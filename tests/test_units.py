@@ -377,3 +377,31 @@ def test_observed_received_rows(spark):
     df, obs = W.observed(bodies)
     fresh = W.fresh_alerts(df, "2024-01-01 10:00:00").count()
     assert fresh == 1 and obs.get == {"rows": 3, "valid": 1}
+
+
+def test_dictionary_join_with_names_languages_and_ngrams(spark):
+    from trendstream.operators import enrich as ER
+    docs = spark.createDataFrame([(1, "A trip to Seattle to see the space needle", "en"),
+                                  (2, "Un viaje a Seattle", "es"), (3, "nothing", "en")],
+                                 "doc_id long, text string, lang string")
+    gaz = spark.createDataFrame([("Seattle", "Seattle, WA", "en"), ("space needle", "Space Needle", "en"),
+                                 ("Seattle", "Seattle (es)", "es")], "entity string, name string, language string")
+    got = {r.doc_id: r.entities for r in ER.tag_entities(docs, gaz, candidates="ngrams",
+                                                         doc_language="lang").collect()}
+    assert got == {1: ["Seattle, WA", "Space Needle"], 2: ["Seattle (es)"], 3: ["None"]}
+    salted = {r.doc_id: r.entities for r in ER.tag_entities(docs, gaz, candidates="ngrams", doc_language="lang",
+                                                            broadcast_max_bytes=0, salts=3).collect()}
+    assert salted == got
+
+
+def test_ngram_join_agrees_with_literal_gazetteer(spark):
+    from trendstream.operators import enrich as ER
+    from tests.conftest import SF_SMALL
+    from trendstream.sources.tables import read_table
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    words = ["Le", "Der", "The", "El", "Die Das"]
+    lit_form = {r.doc_id: sorted(r.e) for r in docs.select(
+        "doc_id", EN.gazetteer_entities("text", words).alias("e")).collect()}
+    join_form = {r.doc_id: sorted(r.entities) for r in ER.tag_entities(
+        docs, spark.createDataFrame([(w,) for w in words], "entity string"), candidates="ngrams").collect()}
+    assert join_form == lit_form

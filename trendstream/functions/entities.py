@@ -44,12 +44,15 @@ def word_tokens(text="text") -> Column:
 
 
 def ngrams(tokens: Column) -> Column:
-    """Unigrams followed by space-joined bigrams."""
-    bigrams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(1))),
-        lambda i: F.when(F.size(tokens) > 1,
-                         F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1))))
-    return F.concat(tokens, F.filter(bigrams, lambda b: b.isNotNull()))
+    """Unigrams followed by space-joined bigrams.
+
+    Bigrams pair the array with itself shifted by one (``zip_with``), so the
+    token array is evaluated once per row, not once per position.
+    """
+    shifted = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(1)))
+    bigrams = F.zip_with(tokens, shifted,
+                         lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+    return F.concat(tokens, F.filter(bigrams, lambda g: g.isNotNull()))
 
 
 def gazetteer_entities(text, gazetteer: list[str]) -> Column:

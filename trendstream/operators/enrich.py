@@ -38,11 +38,21 @@ def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedT
                        ents.alias("entities"))
 
 
-def entity_candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, entity) per distinct capitalised run of each document; documents
-    without any keep one row with a NULL entity."""
-    runs = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(EN.CAPITALISED_RUN), 0))
-    return docs.select(id_col, F.explode_outer(runs).alias("entity"))
+def entity_candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                      kind: str = "capitalised", extra: list[str] | None = None) -> DataFrame:
+    """(id, entity) per distinct candidate of each document; documents without
+    any keep one row with a NULL entity.
+
+    kind: "capitalised" runs of capitalised words, or "ngrams" (word unigrams
+    and bigrams, for a gazetteer of arbitrary surface forms).
+    """
+    if kind == "capitalised":
+        found = F.regexp_extract_all(F.col(text), F.lit(EN.CAPITALISED_RUN), 0)
+    elif kind == "ngrams":
+        found = EN.ngrams(EN.word_tokens(text))
+    else:
+        raise ValueError(f"unknown candidate kind {kind!r}")
+    return docs.select(id_col, *(extra or []), F.explode_outer(F.array_distinct(found)).alias("entity"))
 
 
 def entity_dictionary(docs: DataFrame, min_docs: int, id_col: str = "doc_id",
@@ -66,19 +76,33 @@ def estimated_bytes(dictionary: DataFrame, col: str = "entity") -> int:
 
 def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
                  text: str = "text", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-                 salts: int = JOIN_SALTS) -> DataFrame:
-    """(id, entities): the dictionary entries each document mentions, sorted; ["None"] if none."""
+                 salts: int = JOIN_SALTS, candidates: str = "capitalised",
+                 doc_language: str | None = None) -> DataFrame:
+    """(id, entities): the dictionary entries each document mentions, sorted; ["None"] if none.
+
+    ``dictionary`` has a column ``entity`` (the surface form) and optionally
+    ``name`` (reported instead of the surface) and ``language`` (the entry
+    only applies to documents of that language, given by ``doc_language``).
+    """
     from trendstream.session import materialize
+    has_name, has_lang = "name" in dictionary.columns, "language" in dictionary.columns
+    entry = dictionary.select("entity", (F.col("name") if has_name else F.col("entity")).alias("_name"),
+                              *([F.col("language").alias("_lang")] if has_lang else []))
     # computed once, kept in the shared folder for the size check and the join
-    dictionary = materialize(dictionary.select("entity"), "dictionary")
-    cand = entity_candidates(docs, id_col, text)
-    hits = dictionary.select("entity", F.lit(True).alias("_hit"))
-    if estimated_bytes(dictionary) <= broadcast_max_bytes:
-        joined = cand.join(F.broadcast(hits), "entity", "left")
+    entry = materialize(entry, "dictionary")
+    extra = [F.col(doc_language).alias("_doc_lang")] if (has_lang and doc_language) else []
+    cand = entity_candidates(docs, id_col, text, candidates, extra)
+    keys = ["entity"]
+    if extra:
+        entry, keys = entry.withColumnRenamed("_lang", "_doc_lang"), ["entity", "_doc_lang"]
+    elif has_lang:
+        entry = entry.drop("_lang")
+    if estimated_bytes(entry) <= broadcast_max_bytes:
+        joined = cand.join(F.broadcast(entry), keys, "left")
     else:
         salted = cand.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
-        replicas = hits.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        joined = salted.join(replicas, ["entity", "_salt"], "left").drop("_salt")
-    per_doc = joined.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_hit"), F.col("entity")))).alias("entities"))
+        replicas = entry.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+        joined = salted.join(replicas, keys + ["_salt"], "left").drop("_salt")
+    per_doc = joined.groupBy(id_col).agg(F.array_sort(F.array_distinct(F.collect_list("_name")))
+                                         .alias("entities"))
     return per_doc.select(id_col, EN.or_none(F.col("entities")).alias("entities"))
