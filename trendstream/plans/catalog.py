@@ -153,7 +153,7 @@ _CLOSED_SQL = f"""
 
 @register("stream_threshold_alerts", f"SELECT * FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}")
 def stream_threshold_alerts(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD):
-    """Notebook-05 dataflow as a Structured Streaming run over a file topic."""
+    """The alert job as a Structured Streaming run over a file topic."""
     from trendstream.session import fresh_path
     topic = _enriched_topic(spark, sf_dir)
     out = fresh_path(spark, "alerts")
