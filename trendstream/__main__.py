@@ -24,6 +24,7 @@ def main(argv=None) -> int:
     p.add_argument("job", choices=["initialize", "ingest", "enrich", "history", "alerts", "watch"])
     p.add_argument("--root", required=True, help="shared folder of topics, tables and checkpoints")
     p.add_argument("--mode", default="once", choices=["once", "continuous"])
+    p.add_argument("--interval", default="10 seconds", help="trigger interval in continuous mode")
     p.add_argument("--table", default="ItemHistory")
     p.add_argument("--threshold", type=int, default=5)
     p.add_argument("--source", default="fixed", choices=["fixed", "search"],
@@ -42,7 +43,8 @@ def main(argv=None) -> int:
     if a.master:
         b = b.master(a.master)
     spark = apply_core_conf(b.getOrCreate())
-    cfg = J.PipelineConfig(root=a.root.rstrip("/"), table=a.table, threshold=a.threshold, mode=a.mode)
+    cfg = J.PipelineConfig(root=a.root.rstrip("/"), table=a.table, threshold=a.threshold, mode=a.mode,
+                           interval=a.interval)
 
     if a.job == "initialize":
         J.initialize(spark, cfg)

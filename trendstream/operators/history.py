@@ -50,11 +50,12 @@ def refresh_partitions(spark: SparkSession, name: str = HISTORY_TABLE) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def start_stream(rows: DataFrame, location: str, checkpoint: str, mode: str = "once"):
+def start_stream(rows: DataFrame, location: str, checkpoint: str, mode: str = "once",
+                 interval: str = "10 seconds"):
     """Stream history rows into the table folder (file sink, exactly once)."""
     from trendstream.streaming.runner import start
     return start(history_table_rows(rows), sink="parquet", path=location, checkpoint=checkpoint,
-                 mode=mode, partition_by=["TweetDate"])
+                 mode=mode, interval=interval, partition_by=["TweetDate"])
 
 
 def read_history(spark: SparkSession, location: str, since=None, until=None) -> DataFrame:

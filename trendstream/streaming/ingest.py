@@ -29,7 +29,8 @@ def ingest(posts: DataFrame, raw_topic: str, text: str = "text", time_col: str |
 
 def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, checkpoint: str,
                      mode: str = "once", max_files_per_trigger: int | None = None,
-                     gazetteer: list[str] | None = None, partitions: int | None = None):
+                     gazetteer: list[str] | None = None, partitions: int | None = None,
+                     interval: str = "10 seconds"):
     """Stateless enrichment stream from the raw topic to the enriched topic.
 
     ``partitions`` spreads the payloads over that many output files
@@ -39,4 +40,5 @@ def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, c
     bodies = P.enriched_bodies(ER.enrich(raw, gazetteer=gazetteer))
     bodies = bodies.repartition(partitions or default_parallelism(spark))
     return start(bodies.select(F.col("body").alias("value")), sink="text",
-                 path=producer_path(enriched_topic, "enrich"), checkpoint=checkpoint, mode=mode)
+                 path=producer_path(enriched_topic, "enrich"), checkpoint=checkpoint, mode=mode,
+                 interval=interval)

@@ -37,6 +37,7 @@ class PipelineConfig:
     slide: str = TR.WINDOW_SLIDE
     delay: str = TR.WATERMARK_DELAY
     mode: str = "once"
+    interval: str = "10 seconds"
     gazetteer: list[str] | None = None
     extra: dict = field(default_factory=dict)
 
@@ -74,12 +75,13 @@ def ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = Non
 
 def enrichment_job(spark: SparkSession, cfg: PipelineConfig):
     return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
-                              mode=cfg.mode, gazetteer=cfg.gazetteer)
+                              mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval)
 
 
 def history_job(spark: SparkSession, cfg: PipelineConfig):
     rows = P.history(read_topic(spark, cfg.enriched_topic, "text"))
-    return H.start_stream(rows, cfg.history_location, cfg.checkpoint("history"), mode=cfg.mode)
+    return H.start_stream(rows, cfg.history_location, cfg.checkpoint("history"), mode=cfg.mode,
+                          interval=cfg.interval)
 
 
 def alerts_job(spark: SparkSession, cfg: PipelineConfig):
@@ -87,7 +89,7 @@ def alerts_job(spark: SparkSession, cfg: PipelineConfig):
                       cfg.length, cfg.slide, cfg.delay)
     return start(P.alert_bodies(alerts).select(F.col("body").alias("value")), sink="text",
                  path=producer_path(cfg.alerts_topic, "alerts"), checkpoint=cfg.checkpoint("alerts"),
-                 mode=cfg.mode)
+                 mode=cfg.mode, interval=cfg.interval)
 
 
 def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_minutes: float = 15,
