@@ -8,7 +8,7 @@ equal to one of the language's stop words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stop words per language (fixed values); the order of the keys is the
@@ -32,17 +32,32 @@ def stop_word_hits(text, lang: str) -> Column:
     return F.regexp_count(F.lower(c), F.lit(_word_pattern(STOP_WORDS[lang])))
 
 
-def detect_language(text="text", languages: dict | None = None) -> Column:
-    """ISO 639-1 code with the most stop-word hits; ties by list order; none -> 'en'."""
-    langs = list((languages or STOP_WORDS).keys())
-    hits = {lang: stop_word_hits(text, lang) for lang in langs}
-    best = F.greatest(*hits.values()) if len(hits) > 1 else list(hits.values())[0]
+def _arg_max(hits: dict) -> Column:
+    langs = list(hits)
+    best = F.greatest(*hits.values()) if len(hits) > 1 else hits[langs[0]]
     out = F.when(F.coalesce(best, F.lit(0)) == 0, F.lit(DEFAULT_LANGUAGE))
     for lang in langs:
         out = out.when(hits[lang] == best, F.lit(lang))
     return out.otherwise(F.lit(DEFAULT_LANGUAGE))
 
 
+def detect_language(text="text", languages: dict | None = None) -> Column:
+    """ISO 639-1 code with the most stop-word hits; ties by list order; none -> 'en'."""
+    langs = list((languages or STOP_WORDS).keys())
+    return _arg_max({lang: stop_word_hits(text, lang) for lang in langs})
+
+
+def with_language(df: DataFrame, text: str = "text", out: str = "language",
+                  languages: dict | None = None) -> DataFrame:
+    """``df`` plus the detected language; the hit counts are projected first so
+    each regex scan runs once per row (the arg-max refers to them repeatedly)."""
+    langs = list((languages or STOP_WORDS).keys())
+    hit_cols = {lang: f"_hits_{lang}" for lang in langs}
+    counted = df.withColumns({c: stop_word_hits(text, lang) for lang, c in hit_cols.items()})
+    return (counted.withColumn(out, _arg_max({lang: F.col(c) for lang, c in hit_cols.items()}))
+            .drop(*hit_cols.values()))
+
+
 def detect_language_sql(text: str = "text") -> str:
     """The same scorer in DuckDB SQL (token lists instead of regex counting)."""
     tok = f"regexp_split_to_array(lower({text}), '[^\\p{{L}}]+')"

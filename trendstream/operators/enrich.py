@@ -34,8 +34,8 @@ def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedT
     base = raw.select(content.alias("content"), ts.alias("timestamp"))
     ents = (EN.gazetteer_entities("content", gazetteer) if gazetteer is not None
             else EN.capitalised_entities("content"))
-    return base.select("content", "timestamp", LG.detect_language("content").alias("language"),
-                       ents.alias("entities"))
+    return LG.with_language(base, "content").select("content", "timestamp", "language",
+                                                   ents.alias("entities"))
 
 
 def entity_candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",

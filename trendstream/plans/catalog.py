@@ -275,7 +275,8 @@ def _docs(spark, sf_dir):
 @register("language_detected",
           f"SELECT doc_id, lang, {LG.detect_language_sql('text')} AS language FROM documents")
 def language_detected(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", "lang", LG.detect_language("text").alias("language"))
+    return LG.with_language(_docs(spark, sf_dir).select("doc_id", "lang", "text")).select(
+        "doc_id", "lang", "language")
 
 
 @register("language_accuracy", f"""
