@@ -165,3 +165,16 @@ def test_new_alert_stream_over_several_batches(spark):
     assert len([n for n in rows_received(q) if n > 0]) >= 3
     got = _as_set(C._read_alert_sink(spark, out))
     assert got == _as_set(LT.new_alerts(alerts)) and len(got) > 0
+
+
+def test_incremental_watcher(spark):
+    from trendstream.streaming.watcher import wait_for_fresh
+    topic = fresh_path(spark, "topic-alerts")
+    alerts = _batch_closed(spark, 2)
+    old = alerts.where(F.col("windowStart") < F.lit(dt.datetime(2024, 1, 20)))
+    new = alerts.where(F.col("windowStart") >= F.lit(dt.datetime(2024, 1, 20)))
+    write_topic(TR.alert_bodies(old), topic, "text")
+    work = fresh_path(spark, "watch")
+    assert not wait_for_fresh(spark, topic, "2024-01-20 00:00:00", work, deadline_minutes=0)
+    write_topic(TR.alert_bodies(new), topic, "text")
+    assert wait_for_fresh(spark, topic, "2024-01-20 00:00:00", work, deadline_minutes=0)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from trendstream.operators import history as H
 from trendstream.operators import trends as TR
-from trendstream.operators import watch as W
 from trendstream.session import shared_dir
 from trendstream.sources.topics import producer_path, read_topic
 from trendstream.streaming import ingest as I
@@ -94,8 +93,12 @@ def alerts_job(spark: SparkSession, cfg: PipelineConfig):
 
 def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_minutes: float = 15,
               poll_seconds: float = 10.0) -> bool:
-    return W.wait_for(lambda: read_topic(spark, cfg.alerts_topic, "text", stream=False),
-                      start_time, deadline_minutes, poll_seconds)
+    """Incremental watch: every poll reads only the alert files that are new."""
+    import uuid
+
+    from trendstream.streaming.watcher import wait_for_fresh
+    return wait_for_fresh(spark, cfg.alerts_topic, start_time, f"{cfg.root}/watch/{uuid.uuid4().hex}",
+                          deadline_minutes, poll_seconds)
 
 
 def run_once(spark: SparkSession, cfg: PipelineConfig, posts: DataFrame,
