@@ -38,19 +38,38 @@ class PipelineConfig:
     mode: str = "once"
     interval: str = "10 seconds"
     gazetteer: list[str] | None = None
+    # "files": topics are folders under root; "kafka": topics are broker topics
+    # named raw/enriched/alerts, reached with ``topic_options``
+    # (kafka.bootstrap.servers, security settings, ...)
+    topic_kind: str = "files"
+    topic_options: dict = field(default_factory=dict)
     extra: dict = field(default_factory=dict)
 
+    def _topic(self, name):
+        return name if self.topic_kind == "kafka" else f"{self.root}/topics/{name}"
+
     @property
     def raw_topic(self):
-        return f"{self.root}/topics/raw"
+        return self._topic("raw")
 
     @property
     def enriched_topic(self):
-        return f"{self.root}/topics/enriched"
+        return self._topic("enriched")
 
     @property
     def alerts_topic(self):
-        return f"{self.root}/topics/alerts"
+        return self._topic("alerts")
+
+    def read(self, spark, topic: str, file_kind: str = "text", stream: bool = True):
+        if self.topic_kind == "kafka":
+            return read_topic(spark, topic, "kafka", stream=stream, options=self.topic_options)
+        return read_topic(spark, topic, file_kind, stream=stream)
+
+    def sink(self, topic: str, job: str) -> dict:
+        """Arguments of ``runner.start`` that write payloads to ``topic``."""
+        if self.topic_kind == "kafka":
+            return {"sink": "kafka", "options": {"topic": topic, **self.topic_options}}
+        return {"sink": "text", "path": producer_path(topic, job)}
 
     @property
     def history_location(self):
@@ -69,26 +88,37 @@ def initialize(spark: SparkSession, cfg: PipelineConfig) -> str:
 
 
 def ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = None) -> None:
-    I.ingest(posts, cfg.raw_topic, time_col=time_col)
+    if cfg.topic_kind == "kafka":
+        from trendstream.sources.topics import produce_raw, write_topic
+        if "isShareOrRetweet" in posts.columns:
+            posts = posts.where(~F.coalesce(F.col("isShareOrRetweet"), F.lit(False)))
+        write_topic(produce_raw(posts, "text", time_col), cfg.raw_topic, "kafka", cfg.topic_options)
+    else:
+        I.ingest(posts, cfg.raw_topic, time_col=time_col)
 
 
 def enrichment_job(spark: SparkSession, cfg: PipelineConfig):
-    return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
-                              mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval)
+    if cfg.topic_kind == "files":
+        return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
+                                  mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval)
+    from trendstream.operators import enrich as ER
+    bodies = P.enriched_bodies(ER.enrich(cfg.read(spark, cfg.raw_topic), gazetteer=cfg.gazetteer))
+    return start(bodies.select(F.col("body").alias("value")), checkpoint=cfg.checkpoint("enrich"),
+                 mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.enriched_topic, "enrich"))
 
 
 def history_job(spark: SparkSession, cfg: PipelineConfig):
-    rows = P.history(read_topic(spark, cfg.enriched_topic, "text"))
+    rows = P.history(cfg.read(spark, cfg.enriched_topic))
     return H.start_stream(rows, cfg.history_location, cfg.checkpoint("history"), mode=cfg.mode,
                           interval=cfg.interval)
 
 
 def alerts_job(spark: SparkSession, cfg: PipelineConfig):
-    alerts = P.alerts(read_topic(spark, cfg.enriched_topic, "text"), cfg.threshold,
+    alerts = P.alerts(cfg.read(spark, cfg.enriched_topic), cfg.threshold,
                       cfg.length, cfg.slide, cfg.delay)
-    return start(P.alert_bodies(alerts).select(F.col("body").alias("value")), sink="text",
-                 path=producer_path(cfg.alerts_topic, "alerts"), checkpoint=cfg.checkpoint("alerts"),
-                 mode=cfg.mode, interval=cfg.interval)
+    return start(P.alert_bodies(alerts).select(F.col("body").alias("value")),
+                 checkpoint=cfg.checkpoint("alerts"), mode=cfg.mode, interval=cfg.interval,
+                 **cfg.sink(cfg.alerts_topic, "alerts"))
 
 
 def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_minutes: float = 15,
