@@ -405,3 +405,15 @@ def test_ngram_join_agrees_with_literal_gazetteer(spark):
     join_form = {r.doc_id: sorted(r.entities) for r in ER.tag_entities(
         docs, spark.createDataFrame([(w,) for w in words], "entity string"), candidates="ngrams").collect()}
     assert join_form == lit_form
+
+
+def test_page_protocol_walks_all_pages(spark):
+    posts = spark.createDataFrame([(i, f"storm {i}", "en") for i in range(1, 251)], "id long, text string, lang string")
+    src = SM.reader("search", spark, posts=posts)
+    req, sizes = SM.SearchRequest("storm", lang="en", count=100), []
+    while req is not None:
+        page = src.search(req)
+        assert page.request == req
+        sizes.append(page.messages.count())
+        req = page.next_request()
+    assert sizes == [100, 100, 50, 0]

@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +27,28 @@ class SearchRequest:
     max_id: int = -1
 
 
+class SearchPage:
+    """One result page: the messages, the request that produced them and the
+    keyset cursor of the next request (None when the page was empty).
+
+    Unpacks as ``(messages, next_max_id)``.
+    """
+
+    def __init__(self, messages: DataFrame, request: SearchRequest | None, next_max_id: int | None):
+        self.messages, self.request, self.next_max_id = messages, request, next_max_id
+
+    def __iter__(self):
+        return iter((self.messages, self.next_max_id))
+
+    def has_next(self) -> bool:
+        return self.next_max_id is not None
+
+    def next_request(self) -> SearchRequest | None:
+        if not self.has_next() or self.request is None:
+            return None
+        return replace(self.request, max_id=self.next_max_id)
+
+
 def read_messages_json(spark: SparkSession, path: str, json_array: bool = True,
                        default_now: bool = False) -> DataFrame:
     """Message file(s): a JSON array per file (``json_array``) or JSON lines."""
@@ -52,8 +74,8 @@ class FixedSource:
                  json_array: bool = True):
         self._df = messages if messages is not None else read_messages_json(spark, path, json_array)
 
-    def search(self, request: SearchRequest):
-        return self._df, None
+    def search(self, request: SearchRequest) -> SearchPage:
+        return SearchPage(self._df, request, None)
 
 
 class SearchSource:
@@ -62,9 +84,10 @@ class SearchSource:
     def __init__(self, posts: DataFrame):
         self._posts = posts
 
-    def search(self, request: SearchRequest):
-        return PG.search_page(self._posts, request.query, request.lang, request.count,
-                              request.max_id if request.max_id >= 0 else None)
+    def search(self, request: SearchRequest) -> SearchPage:
+        page, cursor = PG.search_page(self._posts, request.query, request.lang, request.count,
+                                      request.max_id if request.max_id >= 0 else None)
+        return SearchPage(page, request, cursor)
 
 
 # Session setting naming the built-in message file of the fixed source.
