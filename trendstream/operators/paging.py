@@ -80,9 +80,15 @@ def rank_desc(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def rank_pages(posts: DataFrame, query: str | None = None, lang: str | None = None,
-               count: int = PAGE_SIZE, id_col: str = "id") -> DataFrame:
-    """Every page of a search at once: adds rank and page (1-based)."""
-    ranked = rank_desc(matches(posts, query, lang, id_col=id_col), id_col)
+               count: int = PAGE_SIZE, id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """Every page of a search at once: adds rank and page (1-based).
+
+    ``columns`` limits what is carried (and written once) with the ranked rows.
+    """
+    found = matches(posts, query, lang, id_col=id_col)
+    if columns is not None:
+        found = found.select(*dict.fromkeys([id_col, *columns]))
+    ranked = rank_desc(found, id_col)
     return ranked.withColumn("page", F.ceil(F.col("rank") / F.lit(count)).cast("bigint"))
 
 

@@ -232,7 +232,7 @@ _PAGES_SQL = f"""
 def search_pages(spark, sf_dir):
     from trendstream.operators import paging as PG
     return PG.rank_pages(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG,
-                         PG.PAGE_SIZE).select("id", "rank", "page")
+                         PG.PAGE_SIZE, columns=["id"]).select("id", "rank", "page")
 
 
 @register("search_page_cursors", f"""
@@ -241,7 +241,7 @@ def search_pages(spark, sf_dir):
 def search_page_cursors(spark, sf_dir):
     from trendstream.operators import paging as PG
     return PG.page_cursors(PG.rank_pages(FX.document_messages(spark, sf_dir), SEARCH_QUERY,
-                                         SEARCH_LANG, PG.PAGE_SIZE))
+                                         SEARCH_LANG, PG.PAGE_SIZE, columns=["id"]))
 
 
 @register("drop_shares", """
@@ -256,7 +256,7 @@ def drop_shares(spark, sf_dir):
     from trendstream.operators import messages as M
     from trendstream.operators import paging as PG
     msgs = M.project_statuses(FX.statuses(spark, sf_dir))
-    paged = PG.rank_pages(msgs, count=PG.PAGE_SIZE)
+    paged = PG.rank_pages(msgs, count=PG.PAGE_SIZE, columns=["id", "text", "isShareOrRetweet"])
     return M.drop_shares(paged).select("id", "text", "page", "next_max_id")
 
 
