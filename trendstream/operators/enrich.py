@@ -56,14 +56,16 @@ def entity_candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
 
 def entity_dictionary(docs: DataFrame, min_docs: int, id_col: str = "doc_id",
-                      text: str = "text") -> DataFrame:
+                      text: str = "text", candidates: DataFrame | None = None) -> DataFrame:
     """Capitalised runs found in at least ``min_docs`` documents.
 
     Runs are de-duplicated inside each row first, so the count is a plain
     partial + final aggregation: frequent runs are reduced before the shuffle.
+    ``candidates`` (from ``entity_candidates``) avoids extracting them again.
     """
-    cand = entity_candidates(docs, id_col, text).where(F.col("entity").isNotNull())
-    return (cand.groupBy("entity").agg(F.count(F.lit(1)).alias("docs"))
+    cand = candidates if candidates is not None else entity_candidates(docs, id_col, text)
+    return (cand.where(F.col("entity").isNotNull()).groupBy("entity")
+            .agg(F.count(F.lit(1)).alias("docs"))
             .where(F.col("docs") >= F.lit(min_docs)).select("entity"))
 
 
@@ -77,12 +79,14 @@ def estimated_bytes(dictionary: DataFrame, col: str = "entity") -> int:
 def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
                  text: str = "text", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  salts: int = JOIN_SALTS, candidates: str = "capitalised",
-                 doc_language: str | None = None) -> DataFrame:
+                 doc_language: str | None = None, candidate_rows: DataFrame | None = None) -> DataFrame:
     """(id, entities): the dictionary entries each document mentions, sorted; ["None"] if none.
 
     ``dictionary`` has a column ``entity`` (the surface form) and optionally
     ``name`` (reported instead of the surface) and ``language`` (the entry
     only applies to documents of that language, given by ``doc_language``).
+    ``candidate_rows`` are precomputed (id, entity) rows to use instead of
+    extracting candidates from ``docs`` again.
     """
     from trendstream.session import materialize
     has_name, has_lang = "name" in dictionary.columns, "language" in dictionary.columns
@@ -91,7 +95,8 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     # computed once, kept in the shared folder for the size check and the join
     entry = materialize(entry, "dictionary")
     extra = [F.col(doc_language).alias("_doc_lang")] if (has_lang and doc_language) else []
-    cand = entity_candidates(docs, id_col, text, candidates, extra)
+    cand = candidate_rows if candidate_rows is not None else \
+        entity_candidates(docs, id_col, text, candidates, extra)
     keys = ["entity"]
     if extra:
         entry, keys = entry.withColumnRenamed("_lang", "_doc_lang"), ["entity", "_doc_lang"]

@@ -304,8 +304,12 @@ def entities_capitalised(spark, sf_dir):
     FROM documents LEFT JOIN t USING (doc_id)""")
 def entities_gazetteer(spark, sf_dir):
     from trendstream.operators import enrich as ER
+    from trendstream.session import materialize
     docs = _docs(spark, sf_dir)
-    return ER.tag_entities(docs, ER.entity_dictionary(docs, ENTITY_MIN_DOCS))
+    # one regex pass over the texts: (doc, candidate) rows feed both steps
+    cand = materialize(ER.entity_candidates(docs), "candidates")
+    return ER.tag_entities(docs, ER.entity_dictionary(docs, ENTITY_MIN_DOCS, candidates=cand),
+                           candidate_rows=cand)
 
 
 @register("enriched_documents", f"""
