@@ -1 +1 @@
-"""functions"""
+"""Column functions: payload codecs, language scorer, entity extraction."""

@@ -1 +1 @@
-"""operators"""
+"""DataFrame operators: topics, sliding counts, paging, enrichment, history, watch, long-term trends."""

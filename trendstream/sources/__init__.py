@@ -1 +1 @@
-"""sources"""
+"""Readers and writers: parquet tables, file/Kafka topics, message files and post searches."""

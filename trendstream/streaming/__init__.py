@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming: runner, stream stages, jobs, stateful new-alert stream, watcher."""
