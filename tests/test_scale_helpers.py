@@ -32,3 +32,39 @@ def test_materialize_cuts_lineage_into_the_shared_folder(spark):
     assert "FileScan parquet" in plan and shared_dir(spark).split("/")[-1] in plan
     # values are fixed once written: two reads agree even for a random column
     assert sorted(m.collect()) == sorted(m.collect())
+
+
+def test_hot_topic_is_spread_and_exact(spark):
+    """One topic holds a third of all topic rows (events' five types plus users,
+    with every third row re-labelled 'hot'); its window counts stay exact and
+    land in many reduce partitions."""
+    import collections
+
+    from tests.conftest import SF_SMALL
+    from trendstream.operators import longterm as LT
+    from trendstream.operators import trends as TR
+    from trendstream.plans import catalog as C
+    rows = C._topic_rows(spark, SF_SMALL)
+    rows = rows.withColumn("topic", F.when(F.xxhash64("ts", "topic") % 3 == 0, F.lit("hot"))
+                           .otherwise(F.col("topic")))
+    counts = TR.topic_counts(rows)
+    hot = counts.where(F.col("topic") == "hot")
+    # tiny inputs are coalesced into one partition by AQE; look at the hash layout itself
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        parts = {r.p for r in hot.select(F.spark_partition_id().alias("p")).collect()}
+    finally:
+        spark.conf.set(key, "true")
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # exact: brute force over the collected hot rows
+    import datetime as dt
+    bf = collections.Counter()
+    for r in rows.where(F.col("topic") == "hot").collect():
+        m = r.ts.replace(second=0, microsecond=0)
+        for i in range(10):
+            bf[m - dt.timedelta(minutes=i)] += 1
+    assert {r.windowStart: r["count"] for r in hot.collect()} == dict(bf)
+    # the chunked anomaly spreads the hot topic over its days
+    framed = LT.with_halo(counts.select("windowStart", "topic", "count"), "topic", "windowStart", 10)
+    assert framed.where(F.col("topic") == "hot").select("_chunk").distinct().count() > 20
