@@ -417,3 +417,9 @@ def test_page_protocol_walks_all_pages(spark):
         sizes.append(page.messages.count())
         req = page.next_request()
     assert sizes == [100, 100, 50, 0]
+
+
+def test_dictionary_size_estimate_counts_every_text_column(spark):
+    from trendstream.operators import enrich as ER
+    d = spark.createDataFrame([("ab", "abcd"), ("c", None)], "entity string, name string")
+    assert ER.estimated_bytes(d) == (2 + 4 + 1) + 2 * ER.ROW_OVERHEAD_BYTES

@@ -69,10 +69,13 @@ def entity_dictionary(docs: DataFrame, min_docs: int, id_col: str = "doc_id",
             .where(F.col("docs") >= F.lit(min_docs)).select("entity"))
 
 
-def estimated_bytes(dictionary: DataFrame, col: str = "entity") -> int:
-    """Size of the dictionary as it would be broadcast (one small aggregate job)."""
+def estimated_bytes(dictionary: DataFrame) -> int:
+    """Size of the dictionary as it would be broadcast: bytes of every string
+    column plus a per-row overhead (one small aggregate job)."""
+    texts = [f.name for f in dictionary.schema.fields if f.dataType.simpleString() == "string"]
+    text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
     r = dictionary.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.sum(F.octet_length(col)), F.lit(0)).alias("b")).first()
+                       F.coalesce(F.sum(text_bytes), F.lit(0)).alias("b")).first()
     return int(r["b"]) + ROW_OVERHEAD_BYTES * int(r["n"])
 
 
