@@ -423,3 +423,13 @@ def test_dictionary_size_estimate_counts_every_text_column(spark):
     from trendstream.operators import enrich as ER
     d = spark.createDataFrame([("ab", "abcd"), ("c", None)], "entity string, name string")
     assert ER.estimated_bytes(d) == (2 + 4 + 1) + 2 * ER.ROW_OVERHEAD_BYTES
+
+
+def test_history_replay_is_removed_on_read(spark):
+    loc = fresh_path(spark, "hist-replay")
+    bodies = spark.createDataFrame([(b,) for b in ENRICHED_EDGE], "body string")
+    rows = T.history_rows(T.decode_enriched(bodies))
+    H.append_batch(rows, loc)
+    H.append_batch(rows, loc)  # the same batch delivered again
+    assert H.read_history(spark, loc).count() == 10
+    assert H.read_history(spark, loc, dedupe=True).count() == 5
