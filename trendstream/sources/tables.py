@@ -20,8 +20,11 @@ def balance(df: DataFrame, key: str | None = None) -> DataFrame:
     A scan of big data already has far more splits than cores and is left
     alone (no shuffle).  A scan with fewer splits than the default
     parallelism (a single small file or row group) would run all per-row
-    work in a few tasks, so it is hash-partitioned by ``key`` (deterministic
-    on retry, no sort needed) into ``defaultParallelism`` partitions.
+    work in a few tasks, so it is split round-robin into
+    ``defaultParallelism`` partitions: even whatever the values (a key with
+    many copies cannot pile up), and deterministic on retry through Spark's
+    local sort before the split, which is cheap for such small inputs.  A
+    ``key`` hash-partitions instead, when a later stage wants that layout.
     Filters and column pruning are still pushed below the repartition.
     """
     target = _parallelism(df.sparkSession)
@@ -33,7 +36,7 @@ def balance(df: DataFrame, key: str | None = None) -> DataFrame:
         return df
     if n >= target:
         return df
-    return df.repartition(target, key or df.columns[0])
+    return df.repartition(target, key) if key else df.repartition(target)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, balanced: bool = True) -> DataFrame:
