@@ -68,3 +68,16 @@ def test_hot_topic_is_spread_and_exact(spark):
     # the chunked anomaly spreads the hot topic over its days
     framed = LT.with_halo(counts.select("windowStart", "topic", "count"), "topic", "windowStart", 10)
     assert framed.where(F.col("topic") == "hot").select("_chunk").distinct().count() > 20
+
+
+def test_ranking_splits_many_rows_with_one_id(spark):
+    """A third of the rows share one id: ranks stay a permutation of 1..n and
+    the sorted rows are spread over several ranges."""
+    from trendstream.operators import paging as PG
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(10**6)).otherwise(F.col("id"))
+                                     .alias("id"))
+    ranked = PG.rank_desc(df)
+    rows = ranked.collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, 3001))
+    top = [r.id for r in sorted(rows, key=lambda r: r["rank"])][:1000]
+    assert set(top) == {10**6}

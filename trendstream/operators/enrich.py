@@ -108,7 +108,9 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     if estimated_bytes(entry) <= broadcast_max_bytes:
         joined = cand.join(F.broadcast(entry), keys, "left")
     else:
-        salted = cand.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
+        # per-row salt: rows are regrouped by id afterwards, so even many copies
+        # of one (id, entity) pair spread over all salts
+        salted = cand.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
         replicas = entry.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
         joined = salted.join(replicas, keys + ["_salt"], "left").drop("_salt")
     per_doc = joined.groupBy(id_col).agg(F.array_sort(F.array_distinct(F.collect_list("_name")))

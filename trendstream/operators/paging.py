@@ -67,16 +67,18 @@ def rank_desc(df: DataFrame, id_col: str = "id") -> DataFrame:
     offset table has one row per partition.
     """
     from trendstream.session import materialize
-    pos = materialize(df.orderBy(F.col(id_col).desc())
-                      .withColumns({"_part": F.spark_partition_id(),
-                                    "_mono": F.monotonically_increasing_id()}), "ranked")
+    # the tiebreaker lets the range partitioner split many rows with one id
+    ordered = (df.withColumn("_tie", F.monotonically_increasing_id())
+               .orderBy(F.col(id_col).desc(), F.col("_tie")))
+    pos = materialize(ordered.withColumns({"_part": F.spark_partition_id(),
+                                           "_mono": F.monotonically_increasing_id()}), "ranked")
     offsets = (pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
                .select("_part", F.coalesce(F.sum("_n").over(
                    Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off")))
     return (pos.join(F.broadcast(offsets), "_part")
             .withColumn("rank", F.col("_off") + F.col("_mono").bitwiseAND(F.lit(_LOW33)) + 1)
-            .drop("_part", "_mono", "_off"))
+            .drop("_part", "_mono", "_off", "_tie"))
 
 
 def rank_pages(posts: DataFrame, query: str | None = None, lang: str | None = None,
