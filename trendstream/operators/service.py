@@ -64,6 +64,8 @@ def call_service(df: DataFrame, call: Callable[[list[str]], list[str]], request:
                  key: str = "id", docs_per_call: int = DOCS_PER_CALL,
                  max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """(key, request) rows -> (key, reply) rows, one service call per ``docs_per_call`` rows."""
+    from trendstream.session import ship_package
+    ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -87,8 +89,13 @@ def call_service(df: DataFrame, call: Callable[[list[str]], list[str]], request:
 def language_udf(detect: Callable[[str], str]):
     """Wrap a per-text language function as an Arrow-batched pandas UDF
     (alternative body of the language column; the built-in scorer is the default)."""
+    from pyspark.sql import SparkSession
     from pyspark.sql.functions import pandas_udf
 
+    from trendstream.session import ship_package
+    if SparkSession.getActiveSession() is not None:
+        ship_package(SparkSession.getActiveSession())
+
     @pandas_udf("string")
     def run(texts):
         return texts.map(lambda t: DEFAULT_LANGUAGE if t is None else (detect(t) or DEFAULT_LANGUAGE))
@@ -97,8 +104,13 @@ def language_udf(detect: Callable[[str], str]):
 
 def entities_udf(extract: Callable[[str], list]):
     """Wrap a per-text entity function as a pandas UDF; empty results become ["None"]."""
+    from pyspark.sql import SparkSession
     from pyspark.sql.functions import pandas_udf
 
+    from trendstream.session import ship_package
+    if SparkSession.getActiveSession() is not None:
+        ship_package(SparkSession.getActiveSession())
+
     @pandas_udf("array<string>")
     def run(texts):
         return texts.map(lambda t: (extract(t) if t is not None else None) or list(NO_ENTITIES))

@@ -113,3 +113,38 @@ def materialize(df, kind: str = "stage"):
     path = fresh_path(spark, kind)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (pandas UDFs,
+    mapInPandas, applyInPandasWithState), once per application.
+
+    The package is zipped on the driver and added with ``addPyFile``; Spark
+    serves it to every executor.  Deployments that already ship it with
+    ``--py-files`` lose nothing but a second copy.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with spark.addArtifacts instead
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import io
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    path = os.path.join(tempfile.mkdtemp(prefix="trendstream-code-"), "trendstream.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

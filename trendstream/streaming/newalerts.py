@@ -60,6 +60,8 @@ def new_alerts_stream(alert_rows: DataFrame, quiet_seconds: float = 0,
     time once the watermark passes that end plus the quiet gap, so state is
     kept only for topics that alerted recently.
     """
+    from trendstream.session import ship_package
+    ship_package(alert_rows.sparkSession)
     return (alert_rows.select("windowStart", "windowEnd", "topic", "count")
             .withWatermark("windowStart", delay)
             .groupBy("topic")
