@@ -81,3 +81,17 @@ def test_ranking_splits_many_rows_with_one_id(spark):
     assert sorted(r["rank"] for r in rows) == list(range(1, 3001))
     top = [r.id for r in sorted(rows, key=lambda r: r["rank"])][:1000]
     assert set(top) == {10**6}
+
+
+def test_package_is_shipped_once_to_python_workers(spark):
+    import zipfile
+
+    from trendstream import session as S
+    S.ship_package(spark)
+    S.ship_package(spark)
+    assert spark.sparkContext.applicationId in S._SHIPPED
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("trendstream.zip")]
+    assert len(shipped) == 1
+    path = shipped[0].replace("file:", "", 1)
+    names = zipfile.ZipFile(path).namelist()
+    assert "trendstream/__init__.py" in names and "trendstream/operators/service.py" in names
