@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -116,6 +117,7 @@ def materialize(df, kind: str = "stage"):
 
 
 _SHIPPED: set = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -131,8 +133,14 @@ def ship_package(spark: SparkSession) -> None:
     except Exception:  # Spark Connect: ship with spark.addArtifacts instead
         return
     app = sc.applicationId
-    if app in _SHIPPED:
-        return
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        _ship(sc)
+        _SHIPPED.add(app)
+
+
+def _ship(sc) -> None:
     import io
     import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -146,5 +154,8 @@ def ship_package(spark: SparkSession) -> None:
     path = os.path.join(tempfile.mkdtemp(prefix="trendstream-code-"), "trendstream.zip")
     with open(path, "wb") as fh:
         fh.write(buf.getvalue())
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+    try:
+        sc.addPyFile(path)
+    except Exception as e:  # registered earlier in this application (another session object)
+        if "already registered" not in str(e):
+            raise
