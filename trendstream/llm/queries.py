@@ -41,3 +41,20 @@ def op6_simhash(spark, sf_dir):
     return near_duplicates(docs, words=3, radius=2).select(
         F.col("row.doc_id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@query()
+def op10_token_counts(spark, sf_dir):
+    from trendstream.llm.token_counts import token_counts
+    docs = table(spark, sf_dir, "documents")
+    return token_counts(docs, tokenizer_path()).select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
