@@ -58,3 +58,11 @@ def op10_token_counts(spark, sf_dir):
     return token_counts(docs, tokenizer_path()).select(
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query()
+def op5_packing(spark, sf_dir):
+    from trendstream.llm.packing import pack
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
