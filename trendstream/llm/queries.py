@@ -125,3 +125,23 @@ def op8_warc(spark, sf_dir):
     from trendstream.llm.warc import read_warc, write_warc
     index = write_warc(table(spark, sf_dir, "pages"), min_payload=0)
     return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_quality(spark, sf_dir):
+    from trendstream.llm.common import held_out
+    from trendstream.llm.quality import fit, with_scores
+    docs = table(spark, sf_dir, "documents")
+    logits = fit(docs, table(spark, sf_dir, "labels"))
+    return with_scores(docs, logits).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op9_language(spark, sf_dir):
+    from trendstream.llm.common import held_out
+    from trendstream.llm.langid import fit, with_language
+    docs = table(spark, sf_dir, "documents")
+    return with_language(docs, fit(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
