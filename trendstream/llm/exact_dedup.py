@@ -10,9 +10,8 @@ and no digest is compared anywhere.
 At scale: only counts per (group, bytes) are aggregated, combined on the map
 side, so a group with a third of all rows sends one row per task.  Labels come
 back by a join whose two sides are plain exchanges, which AQE can split when
-one group is hot.  The corpus is shuffled once (or not at all when the repeated
-keys are few enough to broadcast); later rounds move just the bytes not yet
-compared of documents that still have company.
+one group is hot.  The corpus is shuffled once; later rounds move just the bytes
+not yet compared of documents that still have company.
 """
 
 from __future__ import annotations
@@ -69,7 +68,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, first: int, growth: int
         .select("n", "part", F.monotonically_increasing_id().alias("gid")), "radix-keys")
     body = one_space(F.col("row")[text_col]).cast("binary")
     rows = materialize(
-        keyed.join(shared, ["n", "part"], "left")
+        keyed.join(shared.hint("shuffle_hash"), ["n", "part"], "left")
         .select("row", "gid", F.monotonically_increasing_id().alias("uid"),
                 F.when(F.col("gid").isNotNull(),
                        F.substring(body, first + 1, 2 ** 31 - 1)).alias("rest")), "radix-rows")
@@ -81,7 +80,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, first: int, growth: int
     labels = _split(rows.filter("gid IS NOT NULL")
                     .select("uid", own_id.alias("id"), "gid", "rest"), first * growth, growth)
     together = (rows.filter("gid IS NOT NULL").select("row", "uid")
-                .join(labels, "uid").select("row", "keep_id", "group_size", "kept"))
+                .join(labels.hint("merge"), "uid").select("row", "keep_id", "group_size", "kept"))
     return alone.unionByName(together)
 
 
@@ -103,7 +102,7 @@ def _split(active: DataFrame, size: int, growth: int) -> DataFrame:
                     ((F.col("group_size") == 1) | (F.col("left") <= size)).alias("over"),
                     F.monotonically_increasing_id().alias("gid")), "radix-groups")
         step = materialize(
-            parts.withColumnRenamed("gid", "old").join(groups, ["old", "part"])
+            parts.withColumnRenamed("gid", "old").join(groups.hint("merge"), ["old", "part"])
             .select("uid", "id", "gid", "over", F.col("stays.id").alias("keep_id"), "group_size",
                     (F.col("stays.uid") == F.col("uid")).alias("kept"),
                     F.when(~F.col("over"), F.substring("rest", size + 1, 2 ** 31 - 1)).alias("rest")),
