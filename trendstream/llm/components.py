@@ -35,12 +35,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         # large-star: larger neighbours of u go to the smallest of u and its neighbours
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "cc-min")
-        large = materialize(both.filter("b > a").join(least, "a")
+        large = materialize(both.filter("b > a").join(least.hint("merge"), "a")
                             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "cc-large")
         # small-star: u and its smaller neighbours go to the smallest of them
         least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "cc-min")
         stars = materialize(
-            large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large.join(least.hint("merge"), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "cc-links")
         before, state = state, _state(stars)
         if state == before:

@@ -88,7 +88,7 @@ def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
         *[F.col("fp").bitwiseAND(F.lit(m)) for m in family])).alias("t", "key"))
     shared = materialize(tables.groupBy("t", "key").count().filter("count > 1").select("t", "key"),
                          "covering-buckets")
-    members = tables.join(shared, ["t", "key"], "left_semi")
+    members = tables.join(shared.hint("merge"), ["t", "key"], "left_semi")
     variants = F.lit(None)
     for t, m in enumerate(family):
         flips = F.array(*[F.lit(f) for f in _flips(m, radius // 2)])
@@ -121,9 +121,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select(F.struct("id", "fp").alias("node"), "fp"), "simhash-nodes")
     components = connected_components(fingerprint_links(nodes, radius))
     named = materialize(
-        nodes.join(components, "node", "left")
+        nodes.join(components.hint("merge"), "node", "left")
         .select("fp", F.coalesce(F.col("root.id"), F.col("node.id")).alias("component")), "simhash-components")
-    return rows.join(named, "fp").select(
+    return rows.join(named.hint("merge"), "fp").select(
         "row", "uid", "fp",
         F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"))
 
@@ -137,4 +137,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stays = materialize(marked.select("component_id", own.alias("own"))
                         .groupBy("component_id").agg(F.min("own").alias("own"))
                         .select(F.col("own.uid").alias("uid")), "simhash-stays")
-    return marked.join(stays, "uid", "left_semi").select("row.*")
+    return marked.join(stays.hint("merge"), "uid", "left_semi").select("row.*")
