@@ -145,3 +145,9 @@ def op9_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return with_language(docs, fit(docs)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op2_nearest_neighbours(spark, sf_dir):
+    from trendstream.llm.ann import nearest_neighbours
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
