@@ -151,3 +151,13 @@ def op9_language(spark, sf_dir):
 def op2_nearest_neighbours(spark, sf_dir):
     from trendstream.llm.ann import nearest_neighbours
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+MIX = {"clean": 0.92, "toxic": 0.04, "junk": 0.04}
+
+
+@query()
+def op7_mixing(spark, sf_dir):
+    from trendstream.llm.mixing import with_rates
+    mixed = with_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX)
+    return mixed.select("doc_id", "source", *[c for c in mixed.columns if c.startswith("p_")], "tokens", "rate", "copies")
