@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendstream.llm.common import quoted
+from trendstream.llm.common import hash_below, quoted
 from trendstream.session import materialize
 
 SAMPLE = 8192          # vectors to learn the rotation from, at most
@@ -125,8 +125,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
     places = materialize(asked.select("vid", "v").distinct()
                          .withColumn("block", F.pmod(F.xxhash64("vid"), F.lit(_blocks(asked)))), "ann-places")
 
-    order = points.select("v", F.xxhash64("vid").alias("h")).orderBy("h").limit(SAMPLE)
-    coder = learn(_matrix(order.select("v").toArrow()["v"].combine_chunks(), dims), k)
+    sample = points.select("v", F.xxhash64("vid").alias("h"))
+    sample = sample.filter(hash_below(F.col("h"), SAMPLE, points.count())).orderBy("h").limit(SAMPLE)
+    coder = learn(_matrix(sample.select("v").toArrow()["v"].combine_chunks(), dims), k)
     index = _write_index(points, coder, dims)
     found = None
     for block in range(_blocks(asked)):

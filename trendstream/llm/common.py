@@ -36,3 +36,13 @@ def unpack(df: DataFrame, row: str, added: list[str]) -> DataFrame:
     taken = {a.lower() for a in added}
     fields = [f.name for f in df.schema[row].dataType.fields if f.name.lower() not in taken]
     return df.select(*[F.col(row)[f].alias(f) for f in fields], *[F.col(a) for a in added])
+
+
+def hash_below(h: Column, most: int, total: Column | int) -> Column:
+    """Holds for about 4 * ``most`` of ``total`` rows, those with the smallest hash ``h`` (all, if there are fewer).
+
+    Taken before "the ``most`` rows with the smallest hash" it leaves their choice
+    as it is and keeps what one task or the driver has to order bounded.
+    """
+    share = F.least(F.lit(1.0), F.lit(4.0 * most) / F.greatest(F.lit(1), total if isinstance(total, Column) else F.lit(total)))
+    return h.cast("double") <= F.lit(-2.0 ** 63) + share * F.lit(2.0 ** 64)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from trendstream.llm.common import held_out, quoted, text_or_empty
+from trendstream.llm.common import hash_below, held_out, quoted, text_or_empty
 
 UNKNOWN = "und"
 SAMPLE = 600           # labelled rows of each language to learn from, at most
@@ -30,7 +30,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16           # of each width
 EMBED = 8
 PAD = 256              # the byte after a text's end
-EPOCHS = 4
+EPOCHS = 3
 BATCH = 64             # windows
 
 
@@ -126,9 +126,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                          & F.col(quoted(text_col)).isNotNull())
              .select(F.xxhash64(F.col(quoted(id_col)), F.col(quoted(lang_col))).alias("h"),
                      F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang")))
-    frequent = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    frequent = [r["lang"] for r in counts.collect()]
     order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (known.filter(F.col("lang").isin(frequent)).withColumn("nth", F.row_number().over(order))
+    chosen = (known.join(F.broadcast(counts), "lang")                     # at most ``languages`` rows
+              .filter(hash_below(F.col("h"), sample, F.col("n"))).withColumn("nth", F.row_number().over(order))
               .filter(F.col("nth") <= sample).select("id", "lang").distinct())
     data = F.col(quoted(text_col)).cast("binary")
     span = F.greatest(F.octet_length(data) - WINDOW, F.lit(0))
@@ -142,7 +144,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not parts:
         return None
     names = sorted(frequent)
-    return train(windows_of([w for w, _ in parts])[0], np.array([names.index(x) for _, x in parts]), names)
+    lengths = np.random.default_rng(1).integers(8, WINDOW // 2, len(parts))       # and short texts
+    data = [w for w, _ in parts] + [w[:n] for (w, _), n in zip(parts, lengths)]
+    return train(windows_of(data)[0], np.array([names.index(x) for _, x in parts] * 2), names)
 
 
 def predict(net: ByteNet | None, texts: list[str | None]) -> list[tuple[str, float]]:

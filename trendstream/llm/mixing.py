@@ -16,10 +16,12 @@ that, the step 1 is 1 over the Lipschitz constant, so every step
 
     rate <- max(0, rate - p . G^-1 (S(rate) - T) / N)
 
-lowers the residual.  S needs one aggregate of as many numbers as there are
-domains, combined on the map side whatever the skew of sources; the step's
-direction is a handful of numbers, so rates are an expression over the
-posterior columns and nothing is written between steps.
+lowers the residual.  A longer step, with G over the documents whose rate is not
+at 0, is tried first and kept when it lowers the residual too.  S and G need one
+aggregate of a few numbers for each pair of domains, combined on the map side
+whatever the skew of sources; the step's direction is a number for each domain,
+so rates are an expression over the posterior columns and nothing is written
+between steps.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendstream.llm.common import quoted, text_or_empty, unpack
+from trendstream.llm.common import hash_below, quoted, text_or_empty, unpack
 from trendstream.session import materialize
 
 LABELLED = 20_000     # labelled rows to learn from, at most
@@ -75,13 +77,16 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, domains: l
     """(domains with labelled documents, log of their shares, bucket -> weight in each domain)."""
     known = (labels.select(F.col(quoted(id_col)).alias("id"), domain.alias("domain"))
              .filter(F.col("id").isNotNull() & F.col("domain").isin(domains))
-             .groupBy("id").agg(F.min("domain").alias("domain"))
-             .orderBy(F.xxhash64("id"), "id").limit(labelled))            # bounded: broadcast below
+             .groupBy("id").agg(F.min("domain").alias("domain")).withColumn("h", F.xxhash64("id")))
+    known = (known.filter(hash_below(F.col("h"), labelled, known.count()))
+             .orderBy("h", "id").limit(labelled).select("id", "domain"))          # bounded: broadcast below
     rows = materialize(
         docs.select(F.col(quoted(id_col)).alias("id"), text_or_empty(F.col(quoted(text_col))).alias("text"))
         .join(F.broadcast(known), "id").select("domain", F.array_distinct(_buckets(F.col("text"))).alias("b")), "mix-sample")
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = [d for d in domains if d in sizes]
+    if not names:
+        return [], [], {}
     total = sum(sizes.values())
     counts = (rows.select("domain", F.explode("b").alias("bucket")).groupBy("bucket")
               .agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(names)]))
@@ -127,32 +132,46 @@ def fit_rates(docs: DataFrame, tokens: str, members: list[str], targets: list[fl
     ``targets`` are weights; ``total`` the tokens wanted in all, by default as
     many as leave the domain with the largest weight the tokens it has.
     """
-    k = len(members)
-    p = [F.col(m) for m in members]
-    t = F.col(tokens)
-    sums = docs.agg(F.sum(t).alias("all"), *[F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
-                    *[F.sum(t * p[i]).alias(f"s{i}") for i in range(k)]).first()
-    everything = float(sums["all"] or 0)
-    have = [float(sums[f"s{i}"] or 0) for i in range(k)]
+    t, p = F.col(tokens), [F.col(m) for m in members]
     weight = np.array(targets, dtype=float) / sum(targets)
+    rate = F.lit(1.0)
+    all_tokens, have, free = _expected(docs, t, p, rate)
     if total is None:
         largest = int(weight.argmax())
         total = have[largest] / weight[largest]
     want = weight * total
-    rate = F.lit(1.0)
-    if everything == 0:
-        return rate, have, want.tolist()
-    gram = np.array([[sums[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / everything
-    inverse, expected = np.linalg.pinv(gram, rcond=1e-9, hermitian=True), np.array(have)
+    if all_tokens == 0:
+        return rate, have.tolist(), want.tolist()
+    whitened = np.linalg.pinv(free, rcond=1e-9, hermitian=True)
+    now, metric = have, whitened
     for _ in range(steps):
-        if np.abs(expected - want).max() <= CLOSE * everything:
+        off = now - want
+        if np.abs(off).max() <= CLOSE * all_tokens:
             break
-        step = inverse @ (expected - want) / everything
-        move = sum([F.lit(round(float(step[i]), 12)) * p[i] for i in range(1, k)], F.lit(round(float(step[0]), 12)) * p[0])
-        rate = F.greatest(F.lit(0.0), rate - move)
-        got = docs.agg(*[F.sum(t * rate * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        expected = np.array([float(got[f"s{i}"]) for i in range(k)])
-    return rate, expected.tolist(), want.tolist()
+        for inverse in (metric, whitened):
+            step = [round(float(x), 12) for x in inverse @ off / all_tokens]
+            tried = F.greatest(F.lit(0.0), rate - sum((F.lit(x) * c for x, c in zip(step[1:], p[1:])), F.lit(step[0]) * p[0]))
+            _, then, free = _expected(docs, t, p, tried)
+            lower = (then - want) @ whitened @ (then - want) < off @ whitened @ off
+            if lower or inverse is whitened:
+                break
+        rate, now = tried, then
+        metric = np.linalg.pinv(free, rcond=1e-9, hermitian=True) if lower else whitened
+    return rate, now.tolist(), want.tolist()
+
+
+def _expected(docs: DataFrame, t: Column, p: list[Column], rate: Column) -> tuple[float, np.ndarray, np.ndarray]:
+    """All tokens, expected tokens of each domain, Gram matrix per token of documents whose rate isn't 0."""
+    k = len(p)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    got = docs.select(t.alias("t"), rate.alias("rate"), *[c.alias(f"p{i}") for i, c in enumerate(p)]).agg(
+        F.sum("t"), *[F.sum(F.col("t") * F.col("rate") * F.col(f"p{i}")) for i in range(k)],
+        *[F.sum(F.when(F.col("rate") > 0, F.col("t") * F.col(f"p{i}") * F.col(f"p{j}"))) for i, j in pairs]).first()
+    values = [float(x or 0) for x in got]
+    gram = np.zeros((k, k))
+    for (i, j), v in zip(pairs, values[1 + k:]):
+        gram[i, j] = gram[j, i] = v / values[0] if values[0] else 0.0
+    return values[0], np.array(values[1:1 + k]), gram
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None,

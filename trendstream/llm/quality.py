@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from trendstream.llm.common import held_out, quoted, text_or_empty
+from trendstream.llm.common import hash_below, held_out, quoted, text_or_empty
 
 SAMPLE = 1000          # labelled rows of each label to learn from, at most
 BUCKETS = 1 << 17
@@ -118,10 +118,11 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, most: int, learn: Co
     known = (labels.filter(learn & F.col(quoted(label_col)).isin(0, 1) & F.col(quoted(id_col)).isNotNull())
              .select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(label_col)).cast("int").alias("label"))
              .distinct())
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    picked = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most)
     shares = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return picked.join(F.broadcast(shares), "label").select("id", "label", "n")   # two rows
+    order = Window.partitionBy("label").orderBy("h", "id")
+    return (known.withColumn("h", F.xxhash64("id")).join(F.broadcast(shares), "label")     # two rows
+            .filter(hash_below(F.col("h"), most, F.col("n")))
+            .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most).select("id", "label", "n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
