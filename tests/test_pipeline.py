@@ -22,7 +22,7 @@ def test_end_to_end_with_fixed_source(spark):
     originals = posts.where(~F.col("isShareOrRetweet")).count()
     raw = read_topic(spark, cfg.raw_topic, "parquet", stream=False)
     assert raw.count() == originals
-    enriched = read_topic(spark, cfg.enriched_topic, "text", stream=False)
+    enriched = cfg.read(spark, cfg.enriched_topic, stream=False)
     assert enriched.count() == originals
     # texts without capitalised runs carry the placeholder entity
     assert spark.table("e2e_history").where(F.col("Topic") == "None").count() == originals
@@ -43,7 +43,7 @@ def test_command_line_jobs(spark):
     assert main(["watch", *common, "--start", "2020-01-01 00:00:00", "--deadline-minutes", "0"]) == 0
     assert main(["watch", *common, "--start", "2030-01-01 00:00:00", "--deadline-minutes", "0"]) == 1
     cfg = J.PipelineConfig(root=root)
-    assert read_topic(spark, cfg.enriched_topic, "text", stream=False).count() > 0
+    assert cfg.read(spark, cfg.enriched_topic, stream=False).count() > 0
 
 
 def test_continuous_jobs_follow_arriving_posts(spark):
@@ -72,9 +72,9 @@ def test_continuous_jobs_follow_arriving_posts(spark):
             q.stop()
     originals = statuses.where(~F.col("isShareOrRetweet"))
     # batch answer: the same posts, enriched the same way, counted per closed window
-    rows = T.explode_topics(T.decode_enriched(read_topic(spark, cfg.enriched_topic, "text", stream=False)))
+    rows = T.explode_topics(T.decode_enriched(cfg.read(spark, cfg.enriched_topic, stream=False)))
     expected = TR.closed_windows(TR.topic_counts(rows), rows)
-    got = W.parsed_alerts(read_topic(spark, cfg.alerts_topic, "text", stream=False))
+    got = W.parsed_alerts(cfg.read(spark, cfg.alerts_topic, stream=False))
     key = lambda r: (r.windowStart, r.topic, r["count"])
     assert {key(r) for r in got.collect()} == {key(r) for r in expected.collect()}
     assert rows.count() == originals.count()

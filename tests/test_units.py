@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import Row
@@ -25,10 +26,10 @@ STATUS_DATE = dt.datetime(2024, 3, 1, 12, 30, 15, 250000)
 
 
 def _status(spark, is_retweet):
-    # Status stub: text "Hello", id 8, retweetCount 5, lang "EN".
+    # One status, with more shares than likes.
     return spark.createDataFrame(
-        [Row(id=8, text="Hello", created_at=STATUS_DATE, retweet_count=5, favorite_count=0,
-             is_retweet=is_retweet, lang="EN")],
+        [Row(id=41, text="first light", created_at=STATUS_DATE, retweet_count=17, favorite_count=3,
+             is_retweet=is_retweet, lang="de")],
         "id long, text string, created_at timestamp_ntz, retweet_count int, favorite_count int, "
         "is_retweet boolean, lang string")
 
@@ -36,8 +37,8 @@ def _status(spark, is_retweet):
 @pytest.mark.parametrize("is_retweet", [False, True])
 def test_status_projection(spark, is_retweet):
     m = M.project_statuses(_status(spark, is_retweet)).first()
-    assert m.id == 8 and m.text == "Hello" and m.source == "Twitter"
-    assert m.isShareOrRetweet is is_retweet and m.numOfShares == 5
+    assert m.id == 41 and m.text == "first light" and m.source == "Twitter"
+    assert m.isShareOrRetweet is is_retweet and m.numOfShares == 17
 
 
 def test_status_projection_timestamp_and_sentiment(spark):
@@ -48,39 +49,39 @@ def test_status_projection_timestamp_and_sentiment(spark):
 
 
 def test_search_request_text_only():
-    r = SM.SearchRequest("russia")
-    assert r.query == "russia" and r.lang is None and r.count == PG.PAGE_SIZE and r.max_id == -1
+    r = SM.SearchRequest("harbour")
+    assert r.query == "harbour" and r.lang is None and r.count == PG.PAGE_SIZE and r.max_id == -1
 
 
 def test_search_request_lang_and_count(spark):
-    r = SM.SearchRequest("russia", lang="Armenian", count=713)
-    posts = spark.createDataFrame([(i, f"news from russia {i}", "Armenian" if i % 2 else "en")
+    r = SM.SearchRequest("harbour", lang="nl", count=640)
+    posts = spark.createDataFrame([(i, f"ships in the harbour {i}", "nl" if i % 2 else "en")
                                    for i in range(2000)], "id long, text string, lang string")
     page, cursor = SM.reader("search", spark, posts=posts).search(r)
     ids = [x.id for x in page.collect()]
-    assert len(ids) == 713 and ids == sorted(ids, reverse=True) and ids[0] == 1999
+    assert len(ids) == 640 and ids == sorted(ids, reverse=True) and ids[0] == 1999
     assert cursor == min(ids) - 1
 
 
 def _message_file(tmp_dir, rows):
-    path = f"{tmp_dir}/test_messages.json"
+    path = f"{tmp_dir}/two_posts.json"
     with open(path, "w") as f:
         json.dump(rows, f, indent=2)
     return path
 
 
-def test_file_source_first_text_is_hello(spark, tmp_path):
-    path = _message_file(tmp_path, [{"text": "Hello"}, {"text": "Hi"}])
+def test_file_source_keeps_order_and_defaults(spark, tmp_path):
+    path = _message_file(tmp_path, [{"text": "low tide"}, {"text": "high tide"}])
     df, cursor = SM.reader("fixed", spark, path=path).search(SM.SearchRequest("ignored"))
     rows = df.collect()
-    assert [r.text for r in rows] == ["Hello", "Hi"] and cursor is None
+    assert [r.text for r in rows] == ["low tide", "high tide"] and cursor is None
     r = rows[0]
     assert (r.numOfShares, r.numOfLikes, r.isShareOrRetweet, r.id, r.timestamp) == (0, 0, False, 0, 0)
     assert r.source is None and r.reactions is None and r.topics is None
 
 
 def test_fixed_source_in_memory_not_empty(spark):
-    df = SM.fixed_messages(spark, [Row(text="Hello", timestamp=None, source=None, numOfShares=None,
+    df = SM.fixed_messages(spark, [Row(text="ebb", timestamp=None, source=None, numOfShares=None,
                                        numOfLikes=None, isShareOrRetweet=None, lang=None, id=None,
                                        reactions={"like": 2}, topics=["a"], sentiment=None)])
     r = df.first()
@@ -105,7 +106,7 @@ def test_message_file_round_trip(spark):
 
 # ------------------------------------------------------------- enriched edges
 ENRICHED_EDGE = [
-    '{"content":"a","timestamp":"2024-01-01 00:00:00","language":"en","entities":["Seattle","Space Needle"]}',
+    '{"content":"a","timestamp":"2024-01-01 00:00:00","language":"en","entities":["Brunnfeld","Alte Warte"]}',
     '{"content":"b","timestamp":"2024-01-01 00:00:00","language":"en","entities":[]}',
     '{"content":"c","timestamp":"2024-01-01 00:00:00","language":"en","entities":null}',
     '{"content":"d","timestamp":"2024-01-01 00:00:00","language":"en","entities":[null]}',
@@ -118,15 +119,15 @@ ENRICHED_EDGE = [
 def test_enriched_edges(spark):
     bodies = spark.createDataFrame([(b,) for b in ENRICHED_EDGE], "body string")
     rows = T.explode_topics(T.decode_enriched(bodies)).collect()
-    assert sorted((r.topic or "<null>") for r in rows) == ["<null>", "Seattle", "Space Needle", "x", "y"]
+    assert sorted((r.topic or "<null>") for r in rows) == ["<null>", "Alte Warte", "Brunnfeld", "x", "y"]
     hist = T.history_rows(T.decode_enriched(bodies)).collect()
-    ids = {r.topic: r.uniqueId for r in hist if r.topic in ("Seattle", "Space Needle")}
-    assert ids["Seattle"] == ids["Space Needle"] and len(ids["Seattle"]) == 36
+    ids = {r.topic: r.uniqueId for r in hist if r.topic in ("Brunnfeld", "Alte Warte")}
+    assert ids["Brunnfeld"] == ids["Alte Warte"] and len(ids["Brunnfeld"]) == 36
     assert [r.content for r in hist if r.topic == "x"] == [None]
 
 
 def test_enriched_json_keeps_key_order_and_nulls(spark):
-    df = spark.createDataFrame([("hi", None, "en", ["a"])], ENRICHED)
+    df = spark.createDataFrame([("hi", None, "en", ["a"], None)], ENRICHED)
     body = df.select(codec.enriched_json().alias("b")).first().b
     assert body == '{"content":"hi","timestamp":null,"language":"en","entities":["a"]}'
 
@@ -230,19 +231,19 @@ def test_language_tie_goes_to_first_language(spark):
 
 
 def test_capitalised_entities(spark):
-    df = spark.createDataFrame([("I had a wonderful trip to Seattle and enjoyed seeing the Space Needle!",),
+    df = spark.createDataFrame([("we walked from Brunnfeld up to the Alte Warte before noon.",),
                                 ("nothing here",), (None,)], "text string")
     got = [r.e for r in df.select(EN.capitalised_entities("text").alias("e")).collect()]
     # "I" is no run: a capitalised word needs at least one lower-case letter
-    assert got == [["Seattle", "Space Needle"], ["None"], ["None"]]
+    assert got == [["Brunnfeld", "Alte Warte"], ["None"], ["None"]]
 
 
 def test_gazetteer_entities_literal_form(spark):
-    df = spark.createDataFrame([("A trip to Seattle to see the Space Needle",), ("no hit",), (None,)],
+    df = spark.createDataFrame([("from Brunnfeld you can see the Alte Warte",), ("no hit",), (None,)],
                                "text string")
-    got = [r.e for r in df.select(EN.gazetteer_entities("text", ["Seattle", "Space Needle"]).alias("e"))
+    got = [r.e for r in df.select(EN.gazetteer_entities("text", ["Brunnfeld", "Alte Warte"]).alias("e"))
            .collect()]
-    assert got == [["Seattle", "Space Needle"], ["None"], ["None"]]
+    assert got == [["Brunnfeld", "Alte Warte"], ["None"], ["None"]]
 
 
 def test_dictionary_join_salted_path_equals_broadcast(spark):
@@ -268,11 +269,11 @@ LANGUAGE_REPLIES = [
 ]
 
 ENTITY_REPLIES = [
-    ('{"documents":[{"id":"1","entities":[{"name":"Seattle"},{"name":"Space Needle"}]}]}',
-     ["Seattle", "Space Needle"]),
+    ('{"documents":[{"id":"1","entities":[{"name":"Brunnfeld"},{"name":"Alte Warte"}]}]}',
+     ["Brunnfeld", "Alte Warte"]),
     ('{"documents":[]}', ["None"]),
     ('{"documents":[{"id":"1"}]}', ["None"]),
-    ('{"documents":[{"id":"1","entities":{"name":"Seattle"}}]}', ["Seattle"]),
+    ('{"documents":[{"id":"1","entities":{"name":"Brunnfeld"}}]}', ["Brunnfeld"]),
     ('{"documents":[{"id":"1","entities":[]}]}', ["None"]),
 ]
 
@@ -289,19 +290,37 @@ def test_entity_reply_edges(spark):
     assert got == [e for _, e in ENTITY_REPLIES]
 
 
-def test_service_call_batches_and_retries(spark):
-    calls = {"n": 0}
-
-    def flaky(requests):
-        calls["n"] += 1
-        return [json.dumps({"documents": [{"id": json.loads(r)["documents"][0]["id"],
-                                           "detectedLanguages": [{"iso6391Name": "es"}]}]})
-                for r in requests]
-    df = spark.createDataFrame([(i, f"t{i}") for i in range(250)], "id long, text string")
-    req = df.select("id", SV.language_request("id", "text").alias("request"))
-    out = SV.call_service(req, flaky, docs_per_call=100).select("id", SV.reply_language("reply").alias("l"))
-    rows = out.collect()
-    assert len(rows) == 250 and {r.l for r in rows} == {"es"}
+def test_service_call_batches_and_retries(spark, tmp_path):
+    """Requests of up to 100 documents; each fails twice before it is answered, in whatever order, without one document."""
+    log = str(tmp_path)
+
+    def flaky(request):
+        import hashlib
+        import os
+        docs = json.loads(request)["documents"]
+        name = os.path.join(log, hashlib.sha1(request.encode()).hexdigest())
+        with open(name, "a") as f:
+            f.write(f"{len(docs)}\n")
+        if len(open(name).readlines()) < 3:
+            raise OSError("try again")
+        return json.dumps({"documents": [{"id": d["id"], "detectedLanguages": [{"iso6391Name": "es"}]}
+                                         for d in reversed(docs) if d["id"] != "7"]})
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(250)], "id long, text string").coalesce(1)
+    req = df.select("id", SV.language_document("id", "text").alias("document"))
+    rows = SV.call_service(req, flaky, docs_per_call=100).withColumn("l", SV.reply_language("reply")).collect()
+    assert len(rows) == 250 and {r.l for r in rows if r.id != 7} == {"es"}
+    assert [r.reply for r in rows if r.id == 7] == [None]
+    assert all(json.loads(r.reply)["documents"][0]["id"] == str(r.id) for r in rows if r.id != 7)
+    calls = [open(f"{log}/{f}").read().split() for f in os.listdir(log)]
+    assert sorted(calls) == [["100"] * 3, ["100"] * 3, ["50"] * 3]
+
+
+def test_service_call_gives_up_after_the_last_attempt(spark):
+    def down(request):
+        raise OSError("down")
+    df = spark.createDataFrame([(1, "{}")], "id long, document string")
+    with pytest.raises(Exception, match="down"):
+        SV.call_service(df, down, max_attempts=1).collect()
 
 
 def test_request_json_shape(spark):
@@ -345,7 +364,7 @@ def test_history_topic_length_is_enforced(spark):
 
 
 def test_default_message_file_from_session_setting(spark, tmp_path):
-    path = _message_file(tmp_path, [{"text": "Hello"}, {"text": "Hi"}])
+    path = _message_file(tmp_path, [{"text": "low tide"}, {"text": "high tide"}])
     spark.conf.set(SM.DEFAULT_MESSAGES_CONF, path)
     try:
         df, _ = SM.reader("fixed", spark).search(SM.SearchRequest("x"))
@@ -355,11 +374,11 @@ def test_default_message_file_from_session_setting(spark, tmp_path):
 
 
 def test_pandas_udf_hooks(spark):
-    df = spark.createDataFrame([("Bonjour Paris",), (None,), ("",)], "text string")
-    lang = SV.language_udf(lambda t: "fr" if "Bonjour" in t else "")
+    df = spark.createDataFrame([("Salut Vernay",), (None,), ("",)], "text string")
+    lang = SV.language_udf(lambda t: "fr" if "Salut" in t else "")
     ents = SV.entities_udf(lambda t: [w for w in t.split() if w[:1].isupper()])
     got = df.select(lang("text").alias("l"), ents("text").alias("e")).collect()
-    assert [(r.l, list(r.e)) for r in got] == [("fr", ["Bonjour", "Paris"]), ("en", ["None"]), ("en", ["None"])]
+    assert [(r.l, list(r.e)) for r in got] == [("fr", ["Salut", "Vernay"]), ("en", ["None"]), ("en", ["None"])]
 
 
 def test_weekly_trends_ignore_case(spark):
@@ -381,14 +400,14 @@ def test_observed_received_rows(spark):
 
 def test_dictionary_join_with_names_languages_and_ngrams(spark):
     from trendstream.operators import enrich as ER
-    docs = spark.createDataFrame([(1, "A trip to Seattle to see the space needle", "en"),
-                                  (2, "Un viaje a Seattle", "es"), (3, "nothing", "en")],
+    docs = spark.createDataFrame([(1, "from Brunnfeld you can see the alte warte", "en"),
+                                  (2, "hacia Brunnfeld", "es"), (3, "nothing", "en")],
                                  "doc_id long, text string, lang string")
-    gaz = spark.createDataFrame([("Seattle", "Seattle, WA", "en"), ("space needle", "Space Needle", "en"),
-                                 ("Seattle", "Seattle (es)", "es")], "entity string, name string, language string")
+    gaz = spark.createDataFrame([("Brunnfeld", "Brunnfeld, AT", "en"), ("alte warte", "Alte Warte", "en"),
+                                 ("Brunnfeld", "Brunnfeld (es)", "es")], "entity string, name string, language string")
     got = {r.doc_id: r.entities for r in ER.tag_entities(docs, gaz, candidates="ngrams",
                                                          doc_language="lang").collect()}
-    assert got == {1: ["Seattle, WA", "Space Needle"], 2: ["Seattle (es)"], 3: ["None"]}
+    assert got == {1: ["Alte Warte", "Brunnfeld, AT"], 2: ["Brunnfeld (es)"], 3: ["None"]}
     salted = {r.doc_id: r.entities for r in ER.tag_entities(docs, gaz, candidates="ngrams", doc_language="lang",
                                                             broadcast_max_bytes=0, salts=3).collect()}
     assert salted == got

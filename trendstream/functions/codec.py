@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trendstream.schemas import ALERT, ENRICHED
+from trendstream.schemas import ALERT_TEXT, ENRICHED
 
 # Format of window bounds in alert payloads (fixed value).
 ALERT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -22,8 +22,8 @@ def _c(x) -> Column:
 
 
 def decode_body(body="body") -> Column:
-    """Broker payload (binary, UTF-8) to text."""
-    return F.decode(_c(body), "UTF-8")
+    """Broker payload (binary, UTF-8) to text; bytes that are not UTF-8 become U+FFFD."""
+    return F.make_valid_utf8(_c(body).cast("string"))
 
 
 def encode_text(text="text") -> Column:
@@ -31,28 +31,20 @@ def encode_text(text="text") -> Column:
     return F.encode(_c(text), "UTF-8")
 
 
-def ts_to_string(ts) -> Column:
-    """Timestamp to its SQL text form, as the payloads carry it."""
-    return _c(ts).cast("string")
-
-
-def string_to_ts(s, ntz: bool = False) -> Column:
-    """Text to timestamp; malformed text gives NULL instead of failing."""
-    return F.try_to_timestamp(_c(s)) if not ntz else _c(s).try_cast("timestamp_ntz")
-
-
 def parse_alert_time(s) -> Column:
     """'yyyy-MM-dd HH:mm:ss' text to timestamp, NULL when malformed."""
     return F.try_to_timestamp(_c(s), F.lit(ALERT_TIME_FORMAT))
 
 
 def enriched_json(content="content", timestamp="timestamp", language="language",
-                  entities="entities") -> Column:
-    """Enriched event payload with key order content, timestamp, language, entities."""
+                  entities="entities", key=None) -> Column:
+    """Enriched event payload with key order content, timestamp, language, entities
+    (and the message's id, where it has a key)."""
     return F.to_json(F.struct(_c(content).alias("content"),
                               _c(timestamp).cast("string").alias("timestamp"),
                               _c(language).alias("language"),
-                              _c(entities).alias("entities")), _JSON_KEEP_NULLS)
+                              _c(entities).alias("entities"),
+                              *([_c(key).alias("id")] if key is not None else [])), _JSON_KEEP_NULLS)
 
 
 def parse_enriched(body="body", schema=ENRICHED) -> Column:
@@ -71,9 +63,5 @@ def alert_json(window_start="windowStart", window_end="windowEnd", topic="topic"
 
 
 def parse_alert(body="body") -> Column:
-    return F.from_json(_c(body), ALERT, {"mode": "PERMISSIVE"})
-
-
-def json_field(body, name: str) -> Column:
-    """One top-level string field of a JSON text."""
-    return F.get_json_object(_c(body), f"$.{name}")
+    """Alert payload to struct, all fields as text; NULL unless the whole payload is one JSON value."""
+    return F.when(F.try_parse_json(_c(body)).isNotNull(), F.from_json(_c(body), ALERT_TEXT))

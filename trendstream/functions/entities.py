@@ -1,7 +1,7 @@
 """Named entities of a text as built-in column expressions.
 
-* ``capitalised_entities``: runs of capitalised words (``Space Needle``);
-* ``gazetteer_entities``: unigrams and bigrams of the text that appear in a
+* ``capitalised_entities``: runs of capitalised words (``Alte Warte``);
+* ``gazetteer_entities``: runs of words of the text that appear in a
   small literal gazetteer (the streaming form; for large gazetteers use the
   join in ``operators.enrich``).
 
@@ -43,20 +43,30 @@ def word_tokens(text="text") -> Column:
     return F.filter(F.split(_c(text), "[^\\p{L}]+"), lambda t: t != F.lit(""))
 
 
-def ngrams(tokens: Column) -> Column:
-    """Unigrams followed by space-joined bigrams.
+def ngrams(tokens: Column, longest: int = 2) -> Column:
+    """Space-joined runs of 1 to ``longest`` tokens, shorter ones first.
 
-    Bigrams pair the array with itself shifted by one (``zip_with``), so the
-    token array is evaluated once per row, not once per position.
+    Runs of n pair the runs of n - 1 with the tokens n - 1 places on
+    (``zip_with``), so no array is evaluated once per position.
     """
-    shifted = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(1)))
-    bigrams = F.zip_with(tokens, shifted,
-                         lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-    return F.concat(tokens, F.filter(bigrams, lambda g: g.isNotNull()))
+    runs, out = tokens, [tokens]
+    for n in range(2, longest + 1):
+        later = F.slice(tokens, n, F.greatest(F.size(tokens) - (n - 1), F.lit(1)))
+        runs = F.zip_with(runs, later, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
+        out.append(F.filter(runs, lambda g: g.isNotNull()))
+    return F.concat(*out) if len(out) > 1 else tokens
+
+
+def words_in(entry: str) -> int:
+    """Words of a gazetteer entry, as ``word_tokens`` counts them."""
+    return len([w for w in entry.split(" ") if w])
 
 
 def gazetteer_entities(text, gazetteer: list[str]) -> Column:
-    """N-grams of ``text`` found in a literal gazetteer, first-occurrence order, distinct."""
-    gz = F.array(*[F.lit(g) for g in gazetteer])
-    hits = F.filter(ngrams(word_tokens(text)), lambda g: F.array_contains(gz, g))
+    """N-grams of ``text`` found in a literal gazetteer, distinct; n goes up to its longest entry.
+
+    ``isin`` over many literals is a hash lookup.
+    """
+    longest = max((words_in(g) for g in gazetteer), default=1)
+    hits = F.filter(ngrams(word_tokens(text), max(1, longest)), lambda g: g.isin(*gazetteer))
     return or_none(F.array_distinct(hits))

@@ -26,10 +26,16 @@ def _word_pattern(words: list[str]) -> str:
     return "(?<!\\p{L})(?:" + "|".join(words) + ")(?!\\p{L})"
 
 
-def stop_word_hits(text, lang: str) -> Column:
-    """Number of tokens of ``text`` that are stop words of ``lang``."""
+def stop_words_found(text, languages: list[str]) -> Column:
+    """Every token of ``text`` that is a stop word of some language: one scan of the text."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_count(F.lower(c), F.lit(_word_pattern(STOP_WORDS[lang])))
+    words = sorted({w for lang in languages for w in STOP_WORDS[lang]})
+    return F.regexp_extract_all(F.lower(c), F.lit(_word_pattern(words)), 0)
+
+
+def stop_word_hits(found: Column, lang: str) -> Column:
+    """Number of the stop words found that are of ``lang``."""
+    return F.size(F.filter(found, lambda w: w.isin(*STOP_WORDS[lang])))
 
 
 def _arg_max(hits: dict) -> Column:
@@ -44,18 +50,20 @@ def _arg_max(hits: dict) -> Column:
 def detect_language(text="text", languages: dict | None = None) -> Column:
     """ISO 639-1 code with the most stop-word hits; ties by list order; none -> 'en'."""
     langs = list((languages or STOP_WORDS).keys())
-    return _arg_max({lang: stop_word_hits(text, lang) for lang in langs})
+    found = stop_words_found(text, langs)
+    return _arg_max({lang: stop_word_hits(found, lang) for lang in langs})
 
 
 def with_language(df: DataFrame, text: str = "text", out: str = "language",
                   languages: dict | None = None) -> DataFrame:
-    """``df`` plus the detected language; the hit counts are projected first so
-    each regex scan runs once per row (the arg-max refers to them repeatedly)."""
+    """``df`` plus the detected language; the stop words found and the counts are
+    projected first, so a text is scanned once."""
     langs = list((languages or STOP_WORDS).keys())
-    hit_cols = {lang: f"_hits_{lang}" for lang in langs}
-    counted = df.withColumns({c: stop_word_hits(text, lang) for lang, c in hit_cols.items()})
-    return (counted.withColumn(out, _arg_max({lang: F.col(c) for lang, c in hit_cols.items()}))
-            .drop(*hit_cols.values()))
+    hits = {lang: f"_hits_{lang}" for lang in langs}
+    counted = (df.withColumn("_found", stop_words_found(text, langs))
+               .withColumns({c: stop_word_hits(F.col("_found"), lang) for lang, c in hits.items()}))
+    return (counted.withColumn(out, _arg_max({lang: F.col(c) for lang, c in hits.items()}))
+            .drop("_found", *hits.values()))
 
 
 def detect_language_sql(text: str = "text") -> str:

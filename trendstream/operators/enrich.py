@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from trendstream.functions import codec
 from trendstream.functions import entities as EN
 from trendstream.functions import lang as LG
 
@@ -29,27 +30,29 @@ def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedT
     """Raw posts (binary or text body + arrival time) -> enriched columns."""
     content = F.col(body)
     if isinstance(raw.schema[body].dataType, BinaryType):
-        content = F.decode(content, "UTF-8")
+        content = codec.decode_body(content)
     ts = F.col(time_col).cast("string") if time_col else F.lit(None).cast("string")
-    base = raw.select(content.alias("content"), ts.alias("timestamp"))
+    key = [F.col("key").alias("id")] if "key" in raw.columns else []
+    base = raw.select(content.alias("content"), ts.alias("timestamp"), *key)
     ents = (EN.gazetteer_entities("content", gazetteer) if gazetteer is not None
             else EN.capitalised_entities("content"))
     return LG.with_language(base, "content").select("content", "timestamp", "language",
-                                                   ents.alias("entities"))
+                                                   ents.alias("entities"), *[c for c in base.columns if c == "id"])
 
 
 def entity_candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                      kind: str = "capitalised", extra: list[str] | None = None) -> DataFrame:
+                      kind: str = "capitalised", extra: list[str] | None = None,
+                      longest: int = 2) -> DataFrame:
     """(id, entity) per distinct candidate of each document; documents without
     any keep one row with a NULL entity.
 
-    kind: "capitalised" runs of capitalised words, or "ngrams" (word unigrams
-    and bigrams, for a gazetteer of arbitrary surface forms).
+    kind: "capitalised" runs of capitalised words, or "ngrams" (runs of up to
+    ``longest`` words, for a gazetteer of arbitrary surface forms).
     """
     if kind == "capitalised":
         found = F.regexp_extract_all(F.col(text), F.lit(EN.CAPITALISED_RUN), 0)
     elif kind == "ngrams":
-        found = EN.ngrams(EN.word_tokens(text))
+        found = EN.ngrams(EN.word_tokens(text), longest)
     else:
         raise ValueError(f"unknown candidate kind {kind!r}")
     return docs.select(id_col, *(extra or []), F.explode_outer(F.array_distinct(found)).alias("entity"))
@@ -69,6 +72,11 @@ def entity_dictionary(docs: DataFrame, min_docs: int, id_col: str = "doc_id",
             .where(F.col("docs") >= F.lit(min_docs)).select("entity"))
 
 
+def longest_entry(dictionary: DataFrame) -> int:
+    """Words of the longest dictionary entry."""
+    return dictionary.agg(F.max(F.size(F.split("entity", " ")))).first()[0] or 1
+
+
 def estimated_bytes(dictionary: DataFrame) -> int:
     """Size of the dictionary as it would be broadcast: bytes of every string
     column plus a per-row overhead (one small aggregate job)."""
@@ -99,7 +107,8 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     entry = materialize(entry, "dictionary")
     extra = [F.col(doc_language).alias("_doc_lang")] if (has_lang and doc_language) else []
     cand = candidate_rows if candidate_rows is not None else \
-        entity_candidates(docs, id_col, text, candidates, extra)
+        entity_candidates(docs, id_col, text, candidates, extra,
+                          longest_entry(entry) if candidates == "ngrams" else 1)
     keys = ["entity"]
     if extra:
         entry, keys = entry.withColumnRenamed("_lang", "_doc_lang"), ["entity", "_doc_lang"]

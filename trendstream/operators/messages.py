@@ -22,8 +22,8 @@ def project_statuses(statuses: DataFrame, source_name: str = STATUS_SOURCE_NAME)
         F.col("text"),
         F.unix_millis(F.col("created_at").cast("timestamp")).alias("timestamp"),
         F.lit(source_name).alias("source"),
-        F.col("retweet_count").cast("int").alias("numOfShares"),
-        F.col("favorite_count").cast("int").alias("numOfLikes"),
+        F.col("retweet_count").try_cast("int").alias("numOfShares"),
+        F.col("favorite_count").try_cast("int").alias("numOfLikes"),
         F.col("is_retweet").alias("isShareOrRetweet"),
         F.col("lang"),
         F.col("id").cast("bigint").alias("id"),

@@ -19,6 +19,9 @@ EMPTY_PAGE_MIN_ID = 9223372036854775807
 PAGE_SIZE = 100
 CAPTURE_SIZE = 2000
 
+# Groups of splits in the first level of a top-k.
+TOP_GROUPS = 64
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -37,8 +40,20 @@ def matches(posts: DataFrame, query: str | None = None, lang: str | None = None,
 
 def search(posts: DataFrame, query: str | None = None, lang: str | None = None,
            count: int = PAGE_SIZE, max_id: int | None = None, id_col: str = "id") -> DataFrame:
-    """One page: the ``count`` newest matches (top-k, no full sort)."""
-    return matches(posts, query, lang, max_id, id_col=id_col).orderBy(F.col(id_col).desc()).limit(count)
+    """One page: the ``count`` newest matches.
+
+    The top-k runs on ids alone, in two levels (a bounded number of groups of
+    splits first, so the last task reads ``TOP_GROUPS * count`` ids however many
+    splits there are); texts are fetched by the page's lowest id afterwards and
+    only the page's rows are ordered.
+    """
+    found = matches(posts, query, lang, max_id, id_col=id_col)
+    group = Window.partitionBy("_g").orderBy(F.col(id_col).desc())
+    ids = (found.select(id_col, (F.spark_partition_id() % TOP_GROUPS).alias("_g"))
+           .withColumn("_n", F.row_number().over(group)).where(F.col("_n") <= count)
+           .select(id_col).orderBy(F.col(id_col).desc()).limit(count))
+    lowest = ids.agg(F.min(id_col)).scalar()
+    return found.where(F.col(id_col) >= lowest).orderBy(F.col(id_col).desc()).limit(count)
 
 
 def page_min_id(page: DataFrame, id_col: str = "id") -> Column:
@@ -68,6 +83,7 @@ def rank_desc(df: DataFrame, id_col: str = "id") -> DataFrame:
     """
     from trendstream.session import materialize
     # the tiebreaker lets the range partitioner split many rows with one id
+    df = materialize(df, "matches")      # the range sort reads its input twice
     ordered = (df.withColumn("_tie", F.monotonically_increasing_id())
                .orderBy(F.col(id_col).desc(), F.col("_tie")))
     pos = materialize(ordered.withColumns({"_part": F.spark_partition_id(),

@@ -3,20 +3,21 @@
 Requests and replies are built and parsed with built-in JSON functions; the
 call itself runs in ``mapInPandas``, many documents per request, with
 bounded retries.  The network client is supplied by the caller as a plain
-function ``call(list_of_request_json) -> list_of_reply_json``.
+function ``call(request_json) -> reply_json``.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendstream.functions.entities import NO_ENTITIES
+from trendstream.functions.entities import NO_ENTITIES, or_none
 from trendstream.functions.lang import DEFAULT_LANGUAGE
-from trendstream.schemas import LANGUAGE_REPLY
+from trendstream.schemas import ENTITIES_REPLY, LANGUAGE_REPLY
 
 # Documents per service request, attempts per request (fixed values).
 DOCS_PER_CALL = 100
@@ -29,15 +30,12 @@ def _c(x) -> Column:
 
 def language_request(id_col="id", text="text") -> Column:
     """{"documents":[{"id":..., "text":...}]}"""
-    return F.to_json(F.struct(F.array(F.struct(_c(id_col).cast("string").alias("id"),
-                                               _c(text).alias("text"))).alias("documents")))
+    return F.concat(F.lit('{"documents":['), language_document(id_col, text), F.lit("]}"))
 
 
 def entities_request(id_col="id", language="language", text="text") -> Column:
     """{"documents":[{"id":..., "language":..., "text":...}]}"""
-    return F.to_json(F.struct(F.array(F.struct(_c(id_col).cast("string").alias("id"),
-                                               _c(language).alias("language"),
-                                               _c(text).alias("text"))).alias("documents")))
+    return F.concat(F.lit('{"documents":['), entities_document(id_col, language, text), F.lit("]}"))
 
 
 def reply_language(reply="reply") -> Column:
@@ -49,21 +47,37 @@ def reply_language(reply="reply") -> Column:
 
 def reply_entities(reply="reply") -> Column:
     """Names of documents[0].entities (a list or a single object); ["None"] when absent."""
-    r = F.trim(_c(reply))
-    as_list = F.from_json(F.get_json_object(r, "$.documents[0].entities"),
-                          "array<struct<name:string>>")
-    names = F.filter(F.transform(as_list, lambda e: e["name"]), lambda n: n.isNotNull())
-    single = F.get_json_object(r, "$.documents[0].entities.name")
-    none = F.array(*[F.lit(x) for x in NO_ENTITIES])
-    return (F.when(F.size(names) > 0, names)
-            .when(as_list.isNull() & single.isNotNull(), F.array(single))
-            .otherwise(none))
-
-
-def call_service(df: DataFrame, call: Callable[[list[str]], list[str]], request: str = "request",
+    doc = F.get(F.from_json(F.trim(_c(reply)), ENTITIES_REPLY)["documents"], 0)
+    names = F.transform(F.from_json(doc["entities"], "array<struct<name:string>>"), lambda e: e["name"])
+    return or_none(F.filter(names, lambda n: n.isNotNull()))
+
+
+def language_document(id_col="id", text="text") -> Column:
+    """One document of a language request: {"id":..., "text":...}"""
+    return F.to_json(F.struct(_c(id_col).cast("string").alias("id"), _c(text).alias("text")))
+
+
+def entities_document(id_col="id", language="language", text="text") -> Column:
+    """One document of an entity request: {"id":..., "language":..., "text":...}"""
+    return F.to_json(F.struct(_c(id_col).cast("string").alias("id"), _c(language).alias("language"),
+                              _c(text).alias("text")))
+
+
+def split_reply(reply: str) -> dict[str, str]:
+    """Reply of many documents -> id -> reply of that document alone."""
+    return {str(d.get("id")): json.dumps({"documents": [d]}, ensure_ascii=False)
+            for d in (json.loads(reply).get("documents") or [])}
+
+
+def call_service(df: DataFrame, call: Callable[[str], str], document: str = "document",
                  key: str = "id", docs_per_call: int = DOCS_PER_CALL,
                  max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """(key, request) rows -> (key, reply) rows, one service call per ``docs_per_call`` rows."""
+    """(key, document) rows -> (key, reply) rows.
+
+    One request holds up to ``docs_per_call`` documents; its reply is taken
+    apart by document id, and a document without an answer has a NULL reply.
+    A failing request is repeated up to ``max_attempts`` times.
+    """
     from trendstream.session import ship_package
     ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
@@ -73,17 +87,19 @@ def call_service(df: DataFrame, call: Callable[[list[str]], list[str]], request:
         for pdf in batches:
             for lo in range(0, len(pdf), docs_per_call):
                 part = pdf.iloc[lo:lo + docs_per_call]
+                request = '{"documents":[' + ",".join(part[document]) + "]}"
                 for attempt in range(max_attempts):
                     try:
-                        replies = call(list(part[request]))
+                        replies = split_reply(call(request))
                         break
                     except Exception:
                         if attempt == max_attempts - 1:
                             raise
                         time.sleep(min(2 ** attempt, 30))
-                yield pd.DataFrame({key: part[key].values, "reply": replies})
+                yield pd.DataFrame({key: part[key].values,
+                                    "reply": [replies.get(str(k)) for k in part[key]]})
 
-    return df.select(key, request).mapInPandas(run, f"{key} {key_type}, reply string")
+    return df.select(key, document).mapInPandas(run, f"{key} {key_type}, reply string")
 
 
 def language_udf(detect: Callable[[str], str]):

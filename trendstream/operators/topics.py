@@ -29,7 +29,9 @@ def event_time(df: DataFrame, col: str = "timestamp", tz_aware: bool = False):
     dt = df.schema[col].dataType.simpleString()
     c = F.col(col)
     if dt == "string":
-        return F.try_to_timestamp(c) if tz_aware else c.try_cast("timestamp_ntz")
+        # an offset in the text is honoured; without one it is session time
+        ts = F.try_to_timestamp(c)
+        return ts if tz_aware else ts.cast("timestamp_ntz")
     if tz_aware and dt == "timestamp_ntz":
         return c.cast("timestamp")
     return c
@@ -42,16 +44,20 @@ def explode_topics(enriched: DataFrame, time_col: str = "timestamp",
                            F.explode(entities).alias("topic"))
 
 
-def unique_id(content="content", timestamp="timestamp", deterministic: bool = True):
+def unique_id(content="content", timestamp="timestamp", deterministic: bool = True, key: str | None = None):
     """Message id shared by all topics of one message (fits VARCHAR(37)).
 
-    The deterministic form hashes the message, so a replayed batch yields the
-    same ids and can be de-duplicated; the random form is ``uuid()``.
+    The deterministic form hashes the message's key, so a replayed batch yields
+    the same ids and can be de-duplicated, and equal posts keep ids of their
+    own; a message without a key is known by its text and time.  The random
+    form is ``uuid()``.
     """
     if not deterministic:
         return F.expr("uuid()")
-    return F.substring(F.sha2(F.concat_ws("\u0001", F.col(content),
-                                          F.col(timestamp).cast("string")), 256), 1, 36)
+    known = F.concat_ws("\u0001", F.col(content), F.col(timestamp).cast("string"))
+    if key is not None:
+        known = F.coalesce(F.concat(F.lit("key\u0001"), F.col(key)), known)
+    return F.substring(F.sha2(known, 256), 1, 36)
 
 
 def history_rows(enriched: DataFrame, deterministic_ids: bool = True) -> DataFrame:
@@ -59,8 +65,9 @@ def history_rows(enriched: DataFrame, deterministic_ids: bool = True) -> DataFra
 
     The id is assigned before the explode so it identifies the message.
     """
+    key = "id" if "id" in enriched.columns else None
     return (enriched
-            .select(unique_id(deterministic=deterministic_ids).alias("uniqueId"),
+            .select(unique_id(deterministic=deterministic_ids, key=key).alias("uniqueId"),
                     "content", F.col("timestamp").cast("string").alias("timestamp"),
                     "language", "entities")
             .select("uniqueId", "content", "timestamp", "language",

@@ -19,22 +19,31 @@ DEADLINE_MINUTES = 15
 
 def parsed_alerts(bodies: DataFrame, body: str = "body") -> DataFrame:
     """Alert payloads -> (windowStart, windowEnd, topic, count); malformed rows dropped."""
-    b = F.col(body).cast("string")
-    return (bodies.where(b.isNotNull())
-            .select(codec.parse_alert_time(codec.json_field(b, "windowStart")).alias("windowStart"),
-                    codec.parse_alert_time(codec.json_field(b, "windowEnd")).alias("windowEnd"),
-                    codec.json_field(b, "topic").alias("topic"),
-                    codec.json_field(b, "count").try_cast("bigint").alias("count"))
+    return (_parsed(bodies, body)
+            .select(codec.parse_alert_time("a.windowStart").alias("windowStart"),
+                    codec.parse_alert_time("a.windowEnd").alias("windowEnd"),
+                    "a.topic", F.col("a.count").try_cast("bigint").alias("count"))
             .where(F.col("windowStart").isNotNull()))
 
 
+def _parsed(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Payloads with their parsed fields ``a`` (one parse each); NULL for what is not an alert."""
+    return bodies.select(codec.parse_alert(F.col(body).cast("string")).alias("a"))
+
+
+def rejected_payloads(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """One row: payloads received, alerts among them, and payloads rejected."""
+    valid = F.count(codec.parse_alert_time("a.windowStart"))
+    return _parsed(bodies, body).agg(F.count(F.lit(1)).alias("received"), valid.alias("valid"),
+                                     (F.count(F.lit(1)) - valid).alias("rejected"))
+
+
 def observed(bodies: DataFrame, name: str = "received"):
     """(DataFrame, Observation): payloads received and valid alerts are counted
     as metrics of whatever job consumes the DataFrame, without a second pass."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    b = F.col("body").cast("string")
-    ws = codec.parse_alert_time(codec.json_field(b, "windowStart"))
+    ws = codec.parse_alert_time(codec.parse_alert(F.col("body").cast("string"))["windowStart"])
     return bodies.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(ws).alias("valid")), obs
 
 
@@ -49,10 +58,10 @@ def fresh_alerts(bodies: DataFrame, start) -> DataFrame:
 
 def alert_summary(bodies: DataFrame, start) -> DataFrame:
     """One row: payloads received, valid alerts, fresh alerts, latest window start, success."""
-    b = F.col("body").cast("string")
-    ws = codec.parse_alert_time(codec.json_field(b, "windowStart"))
+    ws = F.col("ws")
     fresh = F.count_if(ws > _start(start))
-    return bodies.agg(F.count(F.lit(1)).alias("received"),
+    parsed = _parsed(bodies).select(codec.parse_alert_time("a.windowStart").alias("ws"))
+    return parsed.agg(F.count(F.lit(1)).alias("received"),
                       F.count(ws).alias("valid"),
                       fresh.alias("fresh"),
                       F.max(ws).alias("last_window_start"),

@@ -88,10 +88,13 @@ def closed_window_counts(spark, sf_dir):
 
 
 @register("distinct_per_message_counts", _window_counts_sql(
-    rows="SELECT ts, unnest(list_distinct([event_type, 'user_' || CAST(user_id AS VARCHAR)])) "
+    rows="SELECT ts, unnest(list_distinct([event_type, 'user_' || CAST(user_id AS VARCHAR), event_type])) "
          "AS topic FROM events"))
 def distinct_per_message_counts(spark, sf_dir):
-    return TR.topic_counts(TR.distinct_per_message(FX.enriched_events(spark, sf_dir)))
+    """Every message names its type twice; it counts once."""
+    twice = FX.enriched_events(spark, sf_dir).withColumn(
+        "entities", F.concat("entities", F.slice("entities", 1, 1)))
+    return TR.topic_counts(TR.distinct_per_message(twice))
 
 
 # ------------------------------------------------------------ codec queries
@@ -114,29 +117,27 @@ def enriched_json(spark, sf_dir):
 
 
 # --------------------------------------------------------- stream queries
+# Micro-batches of a replayed history, and files of each (fixture rules, fixed values).
+SLICES, FILES_A_SLICE = 4, 4
+
+
 def _enriched_topic(spark, sf_dir) -> str:
-    """Enrichment stage as a stream: events -> enriched JSON text topic."""
+    """The history of enriched payloads, replayed into a topic in event-time slices."""
     from trendstream.session import fresh_path
-    from trendstream.sources.tables import stream_table
+    from trendstream.sources.topics import time_slices, write_topic
     from trendstream.streaming import pipelines as P
-    from trendstream.sources.topics import producer_path
-    from trendstream.streaming.runner import run_once
-    from trendstream.session import default_parallelism
     topic = fresh_path(spark, "topic-enriched")
-    bodies = P.enriched_bodies(FX.enriched_from_events(stream_table(spark, sf_dir, "events")))
-    # spread payloads round-robin over the topic's files, as a broker spreads
-    # events over its partitions, so consumers read in parallel
-    bodies = bodies.repartition(default_parallelism(spark))
-    run_once(bodies.select(F.col("body").alias("value")), sink="text",
-             path=producer_path(topic, "enrich"), checkpoint=topic + ".chk")
+    for part in time_slices(FX.enriched_events(spark, sf_dir), "timestamp", SLICES):
+        write_topic(P.enriched_bodies(part).repartition(FILES_A_SLICE), topic, "text")
     return topic
 
 
 def _run_alert_stream(spark, topic: str, out: str, threshold: int):
+    """One slice in each micro-batch, so no row is late and state holds a slice's windows."""
     from trendstream.sources.topics import read_topic
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import run_once
-    return run_once(P.alerts(read_topic(spark, topic, "text"), threshold),
+    return run_once(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold),
                     sink="parquet", path=out, checkpoint=out + ".chk")
 
 
@@ -210,7 +211,7 @@ def message_defaults(spark, sf_dir):
     from trendstream.sources import messages as SM
     path = fresh_path(spark, "messages")
     SM.write_messages(FX.document_messages(spark, sf_dir), path)
-    return SM.read_messages_json(spark, path, json_array=False)
+    return SM.read_messages_json(spark, path)
 
 
 @register("search_topic_lang", f"""
@@ -312,6 +313,34 @@ def entities_gazetteer(spark, sf_dir):
                            candidate_rows=cand)
 
 
+# Gazetteer fixture (fixed values): runs of one to four words of the documents' opening sentences.
+LONG_NAMES = ["the", "of the", "The and attion to", "and attion to", "la de", "der ist die das"]
+
+
+def _long_names_sql() -> str:
+    tokens = "list_filter(regexp_split_to_array(text, '[^\\p{L}]+'), lambda t: t <> '')"
+    joined = f"' ' || array_to_string({tokens}, ' ') || ' '"
+    names = "list_filter([" + ", ".join(f"'{n}'" for n in LONG_NAMES) + "], lambda n: contains(joined, ' ' || n || ' '))"
+    return f"""
+    SELECT doc_id, CASE WHEN len(found) > 0 THEN list_sort(found) ELSE ['None'] END AS entities
+    FROM (SELECT doc_id, {names} AS found FROM (SELECT doc_id, {joined} AS joined FROM documents))"""
+
+
+@register("entities_long_names", _long_names_sql())
+def entities_long_names(spark, sf_dir):
+    """Entries of up to four words, by the dictionary join."""
+    from trendstream.operators import enrich as ER
+    names = FX.read_table(spark, sf_dir, "region").limit(1).select(F.explode(F.array(*map(F.lit, LONG_NAMES))).alias("entity"))
+    return ER.tag_entities(_docs(spark, sf_dir), names, candidates="ngrams")
+
+
+@register("entities_long_names_literal", _long_names_sql())
+def entities_long_names_literal(spark, sf_dir):
+    """The same by the literal gazetteer of the stream form."""
+    found = EN.gazetteer_entities("text", LONG_NAMES)
+    return _docs(spark, sf_dir).select("doc_id", F.array_sort(found).alias("entities"))
+
+
 @register("enriched_documents", f"""
     SELECT '{{"content":' || to_json(text) || ',"timestamp":null,"language":' ||
            to_json({LG.detect_language_sql('text')}) || ',"entities":' ||
@@ -373,12 +402,159 @@ def history_table_roundtrip(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     topic = _enriched_topic(spark, sf_dir)
     loc = fresh_path(spark, "history")
-    H.start_stream(P.history(read_topic(spark, topic, "text")), loc, loc + ".chk").awaitTermination()
+    H.start_stream(P.history(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)), loc,
+                   loc + ".chk").awaitTermination()
     return H.read_history(spark, loc).select(
         "UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"),
         "Content", "Language", "Topic")
 
 
+@register("history_two_writers", f"""
+    SELECT uniqueId AS UniqueId, CAST(timestamp AS TIMESTAMP) AS TweetTime, content AS Content,
+           language AS Language, topic AS Topic
+    FROM ({_HISTORY_SQL}) UNION ALL
+    SELECT substr(sha256('key' || chr(1) || CAST(o_orderkey AS VARCHAR)), 1, 36), CAST(date_trunc('year', o_orderdate) AS TIMESTAMP),
+           o_orderstatus, 'en', o_orderpriority FROM orders""")
+def history_two_writers(spark, sf_dir):
+    """A stream and a batch append into one catalog table, read back from its folder."""
+    import uuid
+    from trendstream.operators import history as H
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    loc, table = fresh_path(spark, "history"), f"history_{uuid.uuid4().hex[:12]}"
+    H.ensure_table(spark, loc, table)
+    H.start_stream(P.history(read_topic(spark, _enriched_topic(spark, sf_dir), "text",
+                                        max_files_per_trigger=FILES_A_SLICE)), loc, loc + ".chk").awaitTermination()
+    orders = FX.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("content"), F.date_trunc("year", "o_orderdate").alias("timestamp"),
+        F.lit("en").alias("language"), F.array("o_orderpriority").alias("entities"),
+        F.col("o_orderkey").cast("string").alias("id"))
+    H.append_batch(T.history_rows(orders), table=table)
+    H.refresh_partitions(spark, table)
+    out = spark.table(table).select("UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"),
+                                    "Content", "Language", "Topic")
+    spark.sql(f"DROP TABLE {table}")          # the folder stays and is what is read
+    back = H.read_history(spark, loc)
+    return back.select("UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"),
+                       *[c for c in out.columns if c not in ("UniqueId", "TweetTime")])
+
+
+@register("history_dedupe", """
+    SELECT substr(sha256('key' || chr(1) || CAST(doc_id AS VARCHAR)), 1, 36) AS UniqueId, text AS Content,
+           lang AS Language, source AS Topic
+    FROM documents""")
+def history_dedupe(spark, sf_dir):
+    """Documents delivered twice by an at-least-once writer: repeats go, equal texts stay."""
+    from trendstream.operators import history as H
+    from trendstream.session import fresh_path
+    loc = fresh_path(spark, "history")
+    rows = T.history_rows(_docs(spark, sf_dir).select(
+        F.col("text").alias("content"), F.lit("2024-01-01 00:00:00").alias("timestamp"),
+        F.col("lang").alias("language"), F.array("source").alias("entities"), F.col("doc_id").cast("string").alias("id")))
+    for _ in range(2):
+        H.append_batch(rows, loc)
+    return H.read_history(spark, loc, dedupe=True).select("UniqueId", "Content", "Language", "Topic")
+
+
+@register("topic_after_aborted_write", _ENRICHED_JSON_SQL)
+def topic_after_aborted_write(spark, sf_dir):
+    """Enrichment as a stream into a topic whose folder also holds files that no commit names."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.tables import stream_table
+    from trendstream.sources.topics import producer_path, read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.ingest import ENRICH
+    from trendstream.streaming.runner import run_once
+    topic = fresh_path(spark, "topic-enriched")
+    bodies = P.enriched_bodies(FX.enriched_from_events(stream_table(spark, sf_dir, "events")))
+    run_once(bodies.select(F.col("body").alias("value")), sink="text", path=producer_path(topic, ENRICH),
+             checkpoint=topic + ".chk")
+    enriched_json(spark, sf_dir).select(F.col("body").alias("value")).write.mode("append").text(
+        producer_path(topic, ENRICH))
+    return read_topic(spark, topic, "text", stream=False, producers=(ENRICH,))
+
+
+@register("message_array_file", """
+    SELECT text, CAST(0 AS BIGINT) AS timestamp, source, 0 AS numOfShares, 0 AS numOfLikes,
+           false AS isShareOrRetweet, lang, doc_id AS id,
+           CAST(NULL AS MAP(VARCHAR, INTEGER)) AS reactions, CAST(NULL AS VARCHAR[]) AS topics,
+           0.0::DOUBLE AS sentiment
+    FROM documents""")
+def message_array_file(spark, sf_dir):
+    """Documents as message files that hold one JSON array over several lines, read by the default reader."""
+    from trendstream.session import fresh_path
+    from trendstream.sources import messages as SM
+    path = fresh_path(spark, "messages-array")
+    # one array for each source and hundred documents: a file's array has to fit in a task
+    groups = (FX.document_messages(spark, sf_dir).groupBy("source", (F.col("id") % 97).alias("part"))
+              .agg(F.array_join(F.collect_list(F.to_json(F.struct("id", "text", "lang", "source"))), ",\n").alias("rows")))
+    (groups.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value"),
+                   F.concat_ws("-", "source", "part").alias("file"))
+     .repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(path))
+    return SM.reader("fixed", spark, path=path).search(SM.SearchRequest("any")).messages.drop("file")
+
+
+@register("payloads_with_bad_bytes", """
+    SELECT event_id, ts AS timestamp, props || chr(65533) AS content FROM events""")
+def payloads_with_bad_bytes(spark, sf_dir):
+    """Raw payloads that end in a byte that is not UTF-8: enrichment goes on with the replacement character."""
+    from trendstream.operators import enrich as ER
+    ev = FX.read_table(spark, sf_dir, "events")
+    raw = ev.select(F.concat(F.encode("props", "UTF-8"), F.unhex(F.lit("FF"))).alias("body"),
+                    F.col("ts").cast("timestamp").alias("enqueuedTime"), F.col("event_id").cast("string").alias("key"))
+    out = ER.enrich(raw)
+    return out.select(F.col("id").cast("bigint").alias("event_id"),
+                      T.event_time(out, "timestamp").alias("timestamp"), "content")
+
+
+_OFFSET_SQL = """
+    SELECT ts - INTERVAL 2 HOUR AS ts, unnest([event_type, 'user_' || CAST(user_id AS VARCHAR)]) AS topic
+    FROM events"""
+
+
+def _with_offset(events: DataFrame) -> DataFrame:
+    """Enriched payloads whose timestamps state an offset of two hours."""
+    from trendstream.streaming import pipelines as P
+    e = FX.enriched_from_events(events)
+    return P.enriched_bodies(e.withColumn("timestamp", F.concat(F.col("timestamp").cast("string"), F.lit("+02:00"))))
+
+
+@register("offset_timestamps", _OFFSET_SQL)
+def offset_timestamps(spark, sf_dir):
+    return T.explode_topics(T.decode_enriched(_with_offset(FX.read_table(spark, sf_dir, "events"))))
+
+
+@register("stream_offset_timestamps", _OFFSET_SQL)
+def stream_offset_timestamps(spark, sf_dir):
+    """The same as a stream: one rule for time in both."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.tables import stream_table
+    from trendstream.streaming.runner import run_once
+    out = fresh_path(spark, "topic-rows")
+    rows = T.explode_topics(T.decode_enriched(_with_offset(stream_table(spark, sf_dir, "events")), narrow=True),
+                            tz_aware=True)
+    run_once(rows, sink="parquet", path=out, checkpoint=out + ".chk")
+    return spark.read.parquet(out).select(F.col("ts").cast("timestamp_ntz").alias("ts"), "topic")
+
+
+@register("stream_ingest", f"""
+    SELECT doc_id AS id, text, {LG.detect_language_sql('text')} AS language
+    FROM documents WHERE contains(lower(text), '{SEARCH_QUERY}')""")
+def stream_ingest(spark, sf_dir):
+    """Continuous ingest of a posts table (search by text), then enrichment; ids travel as keys."""
+    from trendstream.operators import paging as PG
+    from trendstream.session import fresh_path
+    from trendstream.sources.tables import stream_table
+    from trendstream.streaming import jobs as J
+    cfg = J.PipelineConfig(root=fresh_path(spark, "ingest"), max_files_per_trigger=2)
+    posts = stream_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    J.continuous_ingest_job(PG.matches(posts, SEARCH_QUERY), cfg).awaitTermination()
+    J.enrichment_job(spark, cfg).awaitTermination()
+    dec = T.decode_enriched(cfg.read(spark, cfg.enriched_topic, stream=False))
+    return dec.select(F.col("id").cast("bigint").alias("id"), F.col("content").alias("text"), "language")
+
+
 # ---------------------------------------------------------------- watcher
 # Watch fixture (fixed value): alerts must start strictly after this time.
 WATCH_START = "2024-01-15 00:00:00"
@@ -386,9 +562,25 @@ _ALERTS_SQL = f"SELECT * FROM ({_window_counts_sql()}) WHERE count >= {TR.ALERT_
 
 
 def _alert_topic(spark, sf_dir):
-    """Alert payloads plus non-alert text (conversation turns) that must be skipped."""
-    junk = FX.read_table(spark, sf_dir, "conversations").select(F.col("text").alias("body"))
-    return alert_json(spark, sf_dir).unionByName(junk)
+    """A written topic of alert payloads and of payloads to be skipped: conversation
+    turns, alerts cut short, alerts with trailing text.  NULL bodies, which no text
+    file holds, come beside it (one for each region)."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic, write_topic
+    topic = fresh_path(spark, "topic-alerts")
+    alerts = alert_json(spark, sf_dir)
+    turns = FX.read_table(spark, sf_dir, "conversations").select(
+        F.regexp_replace("text", "[\\r\\n]", " ").alias("body"))
+    cut = alerts.select(F.expr("substring(body, 1, length(body) - 12)").alias("body"))
+    trailing = alerts.select(F.concat("body", F.lit(" and more")).alias("body"))
+    write_topic(alerts, topic, "text")
+    write_topic(turns.unionByName(cut).unionByName(trailing), topic, "text")
+    nulls = FX.read_table(spark, sf_dir, "region").select(F.lit(None).cast("string").alias("body"))
+    return read_topic(spark, topic, "text", stream=False).unionByName(nulls)
+
+
+_REJECTED_SQL = (f"(SELECT count(*) FROM conversations) + 2 * (SELECT count(*) FROM ({_ALERTS_SQL})) "
+                 "+ (SELECT count(*) FROM region)")
 
 
 @register("fresh_alerts",
@@ -401,7 +593,7 @@ def fresh_alerts(spark, sf_dir):
 
 
 @register("has_fresh_alert", f"""
-    SELECT (SELECT count(*) FROM ({_ALERTS_SQL})) + (SELECT count(*) FROM conversations) AS received,
+    SELECT (SELECT count(*) FROM ({_ALERTS_SQL})) + {_REJECTED_SQL} AS received,
            count(*) AS valid,
            count(*) FILTER (WHERE windowStart > TIMESTAMP '{WATCH_START}') AS fresh,
            max(windowStart) AS last_window_start,
@@ -413,6 +605,30 @@ def has_fresh_alert(spark, sf_dir):
         "last_window_start", F.col("last_window_start").cast("timestamp_ntz"))
 
 
+@register("rejected_payloads", f"""
+    SELECT (SELECT count(*) FROM ({_ALERTS_SQL})) + {_REJECTED_SQL} AS received,
+           (SELECT count(*) FROM ({_ALERTS_SQL})) AS valid, {_REJECTED_SQL} AS rejected""")
+def rejected_payloads(spark, sf_dir):
+    from trendstream.operators import watch as W
+    return W.rejected_payloads(_alert_topic(spark, sf_dir))
+
+
+@register("watch_finds_fresh_alert", f"""
+    SELECT count(*) FILTER (WHERE windowStart > TIMESTAMP '{WATCH_START}') > 0 AS found,
+           count(*) FILTER (WHERE windowStart > TIMESTAMP '2100-01-01') > 0 AS found_later
+    FROM ({_ALERTS_SQL})""")
+def watch_finds_fresh_alert(spark, sf_dir):
+    """The deadline watch over the alerts topic of a configured pipeline."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import write_topic
+    from trendstream.streaming import jobs as J
+    cfg = J.PipelineConfig(root=fresh_path(spark, "watched"), max_files_per_trigger=FILES_A_SLICE)
+    write_topic(alert_json(spark, sf_dir), cfg.alerts_topic, "text")
+    found = [J.watch_job(spark, cfg, at, deadline_minutes=0) for at in (WATCH_START, "2100-01-01 00:00:00")]
+    return FX.read_table(spark, sf_dir, "region").limit(1).select(
+        F.lit(found[0]).alias("found"), F.lit(found[1]).alias("found_later"))
+
+
 # ------------------------------------------------------ declared operators
 
 
@@ -499,39 +715,19 @@ def service_request_json(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", SV.language_request("doc_id", "text").alias("request"))
 
 
-# Codes answered by the local stand-in language service, chosen by text length
-# (fixed values; the empty code exercises the 'en' fallback).
-STAND_IN_CODES = ["en", "de", "fr", "es", ""]
-
-
-def stand_in_language_service(requests: list[str]) -> list[str]:
-    """Local stand-in for the language service (no network)."""
-    import json
-    out = []
-    for r in requests:
-        docs = json.loads(r)["documents"]
-        replies = []
-        for d in docs:
-            text = d.get("text") or ""
-            if not text:
-                continue
-            code = STAND_IN_CODES[len(text) % len(STAND_IN_CODES)]
-            replies.append({"id": d["id"], "detectedLanguages": [
-                {"name": code, "iso6391Name": code, "score": 1.0}]})
-        out.append(json.dumps({"documents": replies}))
-    return out
-
-
 @register("service_reply_parsed", """
-    SELECT doc_id, CASE WHEN text IS NULL OR length(text) = 0 THEN 'en'
-                        ELSE ['en', 'de', 'fr', 'es', 'en'][length(text) % 5 + 1] END AS language
-    FROM documents""")
+    SELECT doc_id, CASE WHEN doc_id % 7 IN (0, 1, 2) THEN 'en' ELSE lang END AS language FROM documents""")
 def service_reply_parsed(spark, sf_dir):
+    """Replies of a language service made from the documents' languages, in the forms
+    that have to be read: padded with blanks, an empty code, no language, no document."""
     from trendstream.operators import service as SV
-    req = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"),
-                                      SV.language_request("doc_id", "text").alias("request"))
-    replies = SV.call_service(req, stand_in_language_service)
-    return replies.select(F.col("id").alias("doc_id"), SV.reply_language("reply").alias("language"))
+    code = lambda c: F.array(F.struct(c.alias("name"), c.alias("iso6391Name"), F.lit(1.0).alias("score")))
+    found = F.when(F.col("doc_id") % 7 == 0, F.filter(code(F.lit("")), lambda _: F.lit(False))) \
+        .when(F.col("doc_id") % 7 == 1, code(F.lit(""))).otherwise(code(F.col("lang")))
+    doc = F.struct(F.col("doc_id").cast("string").alias("id"), found.alias("detectedLanguages"))
+    docs = F.when(F.col("doc_id") % 7 != 2, F.array(doc))
+    reply = F.concat(F.lit("  "), F.to_json(F.struct(docs.alias("documents"))), F.lit("\n"))
+    return _docs(spark, sf_dir).select("doc_id", SV.reply_language(reply).alias("language"))
 
 
 @register("stream_new_alerts", f"""
@@ -549,11 +745,11 @@ def stream_new_alerts(spark, sf_dir):
     from trendstream.streaming.runner import run_once
     topic = _enriched_topic(spark, sf_dir)
     alerts_topic = fresh_path(spark, "topic-alerts")
-    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text")))
+    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)))
              .select(F.col("body").alias("value")),
              sink="text", path=producer_path(alerts_topic, "alerts"), checkpoint=alerts_topic + ".chk")
     out = fresh_path(spark, "new-alerts")
-    run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, alerts_topic, "text"))),
+    run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, alerts_topic, "text", producers=("alerts",)))),
              sink="parquet", path=out, checkpoint=out + ".chk")
     return _read_alert_sink(spark, out)
 
@@ -566,11 +762,11 @@ def stream_enriched_documents(spark, sf_dir):
     """Ingest documents to the raw topic, enrich them as a stream, read the enriched topic."""
     from trendstream.session import fresh_path
     from trendstream.sources.topics import read_topic
-    from trendstream.streaming.ingest import ingest, start_enrichment
+    from trendstream.streaming.ingest import ENRICH, ingest, start_enrichment
     raw, enriched = fresh_path(spark, "topic-raw"), fresh_path(spark, "topic-enriched")
     ingest(FX.document_messages(spark, sf_dir), raw)
     start_enrichment(spark, raw, enriched, enriched + ".chk").awaitTermination()
-    dec = T.decode_enriched(read_topic(spark, enriched, "text", stream=False))
+    dec = T.decode_enriched(read_topic(spark, enriched, "text", stream=False, producers=(ENRICH,)))
     return dec.select("content", "language", "entities")
 
 
@@ -589,37 +785,20 @@ def capture_dataset(spark, sf_dir):
     path = fresh_path(spark, "dataset")
     page = PG.search(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG, PG.CAPTURE_SIZE)
     SM.write_messages(page, path)
-    return SM.read_messages_json(spark, path, json_array=False)
-
-
-def stand_in_entity_service(requests: list[str]) -> list[str]:
-    """Local stand-in for the entity service: capitalised runs of the text; one
-    run is answered as a single object, none as a document without entities."""
-    import json
-
-    import regex
-    out = []
-    for r in requests:
-        replies = []
-        for d in json.loads(r)["documents"]:
-            names = regex.findall(EN.CAPITALISED_RUN, d.get("text") or "")
-            doc = {"id": d["id"]}
-            if len(names) == 1:
-                doc["entities"] = {"name": names[0]}
-            elif names:
-                doc["entities"] = [{"name": n} for n in names]
-            replies.append(doc)
-        out.append(json.dumps({"documents": replies}))
-    return out
+    return SM.read_messages_json(spark, path)
 
 
 @register("service_entities_parsed",
           f"SELECT doc_id, {EN.capitalised_entities_sql('text')} AS entities FROM documents")
 def service_entities_parsed(spark, sf_dir):
-    """Entity requests (with the detected language) through the batched service hook."""
+    """Replies of an entity service made from the documents' capitalised runs: a list,
+    one run as a single object, none as a document without entities."""
     from trendstream.operators import service as SV
-    docs = _docs(spark, sf_dir)
-    req = docs.select(F.col("doc_id").alias("id"),
-                      SV.entities_request("doc_id", LG.detect_language("text"), "text").alias("request"))
-    replies = SV.call_service(req, stand_in_entity_service)
-    return replies.select(F.col("id").alias("doc_id"), SV.reply_entities("reply").alias("entities"))
+    runs = F.regexp_extract_all("text", F.lit(EN.CAPITALISED_RUN), 0)
+    docs = _docs(spark, sf_dir).select("doc_id", F.transform(runs, lambda r: F.struct(r.alias("name"))).alias("runs"))
+    id_ = F.col("doc_id").cast("string").alias("id")
+    reply = (F.when(F.size("runs") == 0, F.to_json(F.struct(F.array(F.struct(id_)).alias("documents"))))
+             .when(F.size("runs") == 1, F.to_json(F.struct(F.array(
+                 F.struct(id_, F.get("runs", F.lit(0)).alias("entities"))).alias("documents"))))
+             .otherwise(F.to_json(F.struct(F.array(F.struct(id_, F.col("runs").alias("entities"))).alias("documents")))))
+    return docs.select("doc_id", SV.reply_entities(reply).alias("entities"))

@@ -38,8 +38,8 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"),
         F.col("props").alias("text"),
         F.col("ts").alias("created_at"),
-        F.col("value").cast("int").alias("retweet_count"),
-        F.col("user_id").cast("int").alias("favorite_count"),
+        F.col("value").try_cast("int").alias("retweet_count"),
+        F.col("user_id").try_cast("int").alias("favorite_count"),
         (F.col("event_type") == F.lit(SHARE_EVENT_TYPE)).alias("is_retweet"),
         F.lit("en").alias("lang"))
 

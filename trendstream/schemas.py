@@ -25,18 +25,22 @@ MESSAGE_PRIMITIVE_DEFAULTS = {
     "isShareOrRetweet": False, "id": 0, "sentiment": 0.0,
 }
 
-# Raw topic event: UTF-8 text of a post plus broker arrival time.
+# Raw topic event: UTF-8 text of a post plus broker arrival time, and the
+# message's key (post id) when its producer knows one.
 RAW = StructType([
     StructField("body", BinaryType()),
     StructField("enqueuedTime", TimestampType()),
+    StructField("key", StringType()),
 ])
 
-# Enriched topic event, the JSON payload between enrichment and consumers.
+# Enriched topic event, the JSON payload between enrichment and consumers;
+# ``id`` only where the raw event had a key.
 ENRICHED = StructType([
     StructField("content", StringType()),
     StructField("timestamp", StringType()),
     StructField("language", StringType()),
     StructField("entities", ArrayType(StringType())),
+    StructField("id", StringType()),
 ])
 
 # Narrow view of ENRICHED for the trend branch (only what it reads).
@@ -45,21 +49,6 @@ ENRICHED_TRENDS = StructType([
     StructField("entities", ArrayType(StringType())),
 ])
 
-TOPIC_ROW = StructType([
-    StructField("uniqueId", StringType()),
-    StructField("content", StringType()),
-    StructField("timestamp", StringType()),
-    StructField("language", StringType()),
-    StructField("topic", StringType()),
-])
-
-TOPIC_COUNT = StructType([
-    StructField("windowStart", TimestampType()),
-    StructField("windowEnd", TimestampType()),
-    StructField("topic", StringType()),
-    StructField("count", LongType()),
-])
-
 # Alert payload; the window bounds travel as 'yyyy-MM-dd HH:mm:ss' text.
 ALERT = StructType([
     StructField("windowStart", StringType()),
@@ -68,6 +57,9 @@ ALERT = StructType([
     StructField("count", LongType()),
 ])
 
+# The same with every field as text: one bad field doesn't cost the others.
+ALERT_TEXT = StructType([StructField(f.name, StringType()) for f in ALERT.fields])
+
 # History table DDL (column sizes of the original SQL table).
 HISTORY_DDL = ("UniqueId VARCHAR(37), TweetTime TIMESTAMP, Content STRING, "
                "Language VARCHAR(10), Topic VARCHAR(255)")
@@ -84,20 +76,5 @@ LANGUAGE_REPLY = StructType([
     ]))),
 ])
 
-ENTITIES_REPLY_LIST = StructType([
-    StructField("documents", ArrayType(StructType([
-        StructField("id", StringType()),
-        StructField("entities", ArrayType(StructType([
-            StructField("name", StringType()),
-        ]))),
-    ]))),
-])
-
-ENTITIES_REPLY_SINGLE = StructType([
-    StructField("documents", ArrayType(StructType([
-        StructField("id", StringType()),
-        StructField("entities", StructType([
-            StructField("name", StringType()),
-        ])),
-    ]))),
-])
+# Entities of a document are a list or one object: kept as JSON text until both are read alike.
+ENTITIES_REPLY = "documents array<struct<id:string,entities:string>>"

@@ -9,6 +9,7 @@ setting is absent, which is the case in tests and the local bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -23,13 +24,15 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Generate adds size(entities) > 0 filters that re-run from_json on the
-    # scan side; the explode already drops empty arrays, so the rule only
-    # costs extra JSON parses.
-    "spark.sql.optimizer.excludedRules":
-        "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
+# Generate adds size(entities) > 0 filters that re-run from_json on the scan
+# side; the explode already drops empty arrays, so the rule only costs extra
+# JSON parses.  It joins the rules the user has excluded.
+EXCLUDED_RULES = "spark.sql.optimizer.excludedRules"
+NO_GENERATE_FILTERS = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate"
+TIME_ZONE = "spark.sql.session.timeZone"
+
 
 # State store for large streaming state (off-heap, incremental checkpoints).
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -57,7 +60,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return apply_core_conf(spark)
 
 
 def apply_core_conf(spark: SparkSession) -> SparkSession:
@@ -66,7 +69,11 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked settings on some platforms
-            pass
+            if k == TIME_ZONE and spark.conf.get(k) != v:  # results depend on it
+                raise
+    rules = [r for r in (spark.conf.get(EXCLUDED_RULES, None) or "").split(",") if r.strip()]
+    if NO_GENERATE_FILTERS not in rules:
+        spark.conf.set(EXCLUDED_RULES, ",".join([*rules, NO_GENERATE_FILTERS]))
     return spark
 
 
@@ -80,8 +87,8 @@ def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Root for checkpoints, stream topics and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a local folder is chosen and registered.
+    Reads ``spark.checkpoint.dir`` from the session; only when it is unset and
+    the master is local (tests) a local folder is chosen and registered.
     """
     try:
         sc = spark.sparkContext
@@ -90,6 +97,8 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
+    if not d and (sc is None or not re.match(r"local(\[|$)", sc.master)):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = os.environ.get("TRENDSTREAM_LOCAL_DIR") or tempfile.mkdtemp(prefix="trendstream-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendstream.operators import messages as M
 from trendstream.operators import paging as PG
@@ -49,10 +50,21 @@ class SearchPage:
         return replace(self.request, max_id=self.next_max_id)
 
 
-def read_messages_json(spark: SparkSession, path: str, json_array: bool = True,
+def holds_json_array(spark: SparkSession, path: str) -> bool:
+    """Whether the first non-blank line of the file(s) opens an array over several lines."""
+    line = spark.read.text(path).select(F.trim("value").alias("v")).where("v <> ''").limit(1).collect()
+    return bool(line) and line[0]["v"].startswith("[")
+
+
+def read_messages_json(spark: SparkSession, path: str, json_array: bool | None = None,
                        default_now: bool = False) -> DataFrame:
-    """Message file(s): a JSON array per file (``json_array``) or JSON lines."""
-    df = spark.read.schema(MESSAGE).option("multiLine", str(json_array).lower()).json(path)
+    """Message file(s): a JSON array per file or JSON lines; told apart by the
+    first line unless ``json_array`` says which.  A line that is not JSON is an
+    error, so a file read in the wrong form never loses messages silently."""
+    if json_array is None:
+        json_array = holds_json_array(spark, path)
+    df = (spark.read.schema(MESSAGE).option("multiLine", str(json_array).lower())
+          .option("mode", "FAILFAST").json(path))
     return M.apply_defaults(df, default_now)
 
 
@@ -71,7 +83,7 @@ class FixedSource:
     """Returns every message of its file or DataFrame, whatever the request."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, messages: DataFrame | None = None,
-                 json_array: bool = True):
+                 json_array: bool | None = None):
         self._df = messages if messages is not None else read_messages_json(spark, path, json_array)
 
     def search(self, request: SearchRequest) -> SearchPage:
@@ -109,5 +121,5 @@ def reader(kind: str, spark: SparkSession, **kw):
             path = spark.conf.get(DEFAULT_MESSAGES_CONF, None)
             if not path:
                 raise ValueError(f"no message file: set {DEFAULT_MESSAGES_CONF}")
-        return FixedSource(spark, path, kw.get("messages"), kw.get("json_array", True))
+        return FixedSource(spark, path, kw.get("messages"), kw.get("json_array"))
     raise ValueError(f"unknown message source {kind!r}")

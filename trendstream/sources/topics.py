@@ -9,45 +9,81 @@ File layouts:
   text     one payload per line (enriched and alert JSON)
   parquet  body BINARY, enqueuedTime TIMESTAMP (raw posts)
 
-A file topic is a folder with one sub-folder per producer (a streaming
-sink, or one batch append).  Readers address ``<topic>/*``: for a glob
-path the file source does not restrict itself to the commit log of one
-sink, so every producer's files are seen, and each consumer's checkpoint
-records which files it has already processed.
+A file topic is a folder with one sub-folder per producer: ``batch-<number>``
+for each batch append, a name of its own for each streaming sink.  Batch
+appends are complete once they are there (an aborted attempt stays in a hidden
+folder), so they are read through one glob.  A streaming sink's folder also
+holds files of aborted attempts, which only its commit log tells from the
+others, so it is read by its own path: name such producers when reading.
+Each consumer's checkpoint records which files it has already processed.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstream.schemas import RAW
 
 
+def _folder(spark: SparkSession, path: str, kind: str, stream: bool, opts: dict) -> DataFrame | None:
+    """One producer's folder, or the batch appends; None when a bounded read finds nothing."""
+    r = (spark.readStream if stream else spark.read).format(kind).options(**opts)
+    try:
+        df = (r.schema(RAW) if kind == "parquet" else r).load(path)
+    except AnalysisException as e:
+        if stream or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return df.withColumnRenamed("value", "body") if kind == "text" else df
+
+
+def _ensure_folder(spark: SparkSession, path: str) -> None:
+    """A stream may start before its producer has written anything."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
 def read_topic(spark: SparkSession, path: str, kind: str = "text", stream: bool = True,
-               max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
-    """Open a topic as a streaming (default) or bounded DataFrame."""
-    r = spark.readStream if stream else spark.read
+               max_files_per_trigger: int | None = None, options: dict | None = None,
+               producers: tuple[str, ...] = ()) -> DataFrame:
+    """Open a topic as a streaming (default) or bounded DataFrame.
+
+    ``producers`` names the streaming sinks that feed a file topic; batch
+    appends are always read.  ``max_files_per_trigger`` (files) or, for Kafka,
+    the option ``maxOffsetsPerTrigger`` bounds a micro-batch.
+    """
     opts = dict(options or {})
     if kind in ("text", "parquet"):
-        path = f"{path.rstrip('/')}/*"
-    if stream and max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    if kind == "text":
-        df = r.format("text").options(**opts).load(path)
-        return df.withColumnRenamed("value", "body")
-    if kind == "parquet":
-        return r.format("parquet").schema(RAW).options(**opts).load(path)
+        if stream and max_files_per_trigger:
+            opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+        if stream:
+            for p in producers:
+                _ensure_folder(spark, producer_path(path, p))
+        names = [*producers, "batch-*"]
+        found = [df for df in (_folder(spark, producer_path(path, p), kind, stream, opts) for p in names)
+                 if df is not None]
+        if not found:
+            return spark.createDataFrame([], RAW if kind == "parquet" else "body string")
+        out = found[0]
+        for df in found[1:]:
+            out = out.unionByName(df)
+        return out
     if kind == "kafka":
+        r = spark.readStream if stream else spark.read
         # path = topic name; options carry kafka.bootstrap.servers etc.
         # Bounded reads of alerts start at the beginning of the topic.
         opts.setdefault("subscribe", path)
         if not stream:
             opts.setdefault("startingOffsets", "earliest")
         df = r.format("kafka").options(**opts).load()
-        return df.select(F.col("value").alias("body"), F.col("timestamp").alias("enqueuedTime"))
+        # a record's place in the topic is a key that a replay keeps
+        place = F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string"))
+        return df.select(F.col("value").alias("body"), F.col("timestamp").alias("enqueuedTime"),
+                         F.coalesce(F.col("key").cast("string"), place).alias("key"))
     raise ValueError(f"unknown topic kind {kind!r}")
 
 
@@ -58,21 +94,23 @@ def producer_path(topic: str, name: str) -> str:
 
 def write_topic(df: DataFrame, path: str, kind: str = "text", options: dict | None = None) -> None:
     """Append a bounded DataFrame of payloads to a topic (batch producer)."""
-    if kind == "text":
+    if kind in ("text", "parquet"):
         out = producer_path(path, f"batch-{uuid.uuid4().hex}")
+    if kind == "text":
         df.select(F.col("body").cast("string").alias("value")).write.text(out)
     elif kind == "parquet":
-        out = producer_path(path, f"batch-{uuid.uuid4().hex}")
-        df.select("body", "enqueuedTime").write.parquet(out)
+        df.select("body", "enqueuedTime", *[c for c in df.columns if c == "key"]).write.parquet(out)
     elif kind == "kafka":
-        (df.select(F.col("body").alias("value")).write.format("kafka")
+        (df.select(F.col("body").alias("value"), *[c for c in df.columns if c == "key"]).write.format("kafka")
          .options(**{"topic": path, **(options or {})}).save())
     else:
         raise ValueError(f"unknown topic kind {kind!r}")
 
 
-def produce_raw(posts: DataFrame, text: str = "text", time_col: str | None = None) -> DataFrame:
-    """Posts -> raw events: UTF-8 body and an arrival time (now unless given).
+def produce_raw(posts: DataFrame, text: str = "text", time_col: str | None = None,
+                key: str | None = None) -> DataFrame:
+    """Posts -> raw events: UTF-8 body and an arrival time (now unless given),
+    with the message's key from column ``key`` if there is one.
 
     An integral time column is read as epoch milliseconds (message timestamps).
     """
@@ -82,4 +120,30 @@ def produce_raw(posts: DataFrame, text: str = "text", time_col: str | None = Non
         t = F.timestamp_millis(F.col(time_col))
     else:
         t = F.col(time_col).cast("timestamp")
-    return posts.select(F.encode(F.col(text), "UTF-8").alias("body"), t.alias("enqueuedTime"))
+    keys = [F.col(key).cast("string").alias("key")] if key else []
+    return posts.select(F.encode(F.col(text), "UTF-8").alias("body"), t.alias("enqueuedTime"), *keys)
+
+
+def time_slices(df: DataFrame, time_col: str, slices: int) -> list[DataFrame]:
+    """``df`` cut at quantiles of its event time, earliest first, for a replay of history.
+
+    Written one after the other with the same number of files each, and read
+    with that number as ``max_files_per_trigger``, every micro-batch is one slice:
+    event time never runs ahead of rows still to come, so none is dropped as
+    late, and state holds a slice's windows, not the whole history's.
+    """
+    at = F.col(time_col)
+    cuts = df.agg(F.percentile_approx(F.unix_micros(at.cast("timestamp")),
+                                      [i / slices for i in range(1, slices)]).alias("c")).first()["c"] or []
+    micros = F.unix_micros(at.cast("timestamp"))
+    bounds = [None, *sorted(set(cuts)), None]
+    out = []
+    for low, high in zip(bounds, bounds[1:]):
+        part = df
+        if low is not None:
+            part = part.where(micros > low)
+        if high is not None:
+            # rows without a time come first
+            part = part.where((micros <= high) | micros.isNull() if low is None else micros <= high)
+        out.append(part)
+    return out

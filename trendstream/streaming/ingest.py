@@ -3,8 +3,10 @@
 ingest:  posts (any message source) -> skip shares -> raw topic (UTF-8 body,
          arrival time), in one distributed write instead of a driver loop;
 enrich:  raw topic stream -> language + entities -> enriched JSON topic.
+watch a table: new files of a posts table -> raw topic, as they arrive.
+
 Pacing of the original loop maps to ``max_files_per_trigger`` and a
-processing-time trigger on the consumer side.
+processing-time trigger.
 """
 
 from __future__ import annotations
@@ -19,12 +21,35 @@ from trendstream.streaming import pipelines as P
 from trendstream.streaming.runner import start
 
 
+# Names of the streaming producers of the raw, enriched and alerts topics.
+INGEST, ENRICH, ALERTS = "ingest", "enrich", "alerts"
+
+
 def ingest(posts: DataFrame, raw_topic: str, text: str = "text", time_col: str | None = None,
            drop_shares: bool = True) -> None:
     """Publish posts to the raw topic (parquet payloads); shares are skipped."""
     if drop_shares and "isShareOrRetweet" in posts.columns:
         posts = posts.where(~F.coalesce(F.col("isShareOrRetweet"), F.lit(False)))
-    write_topic(produce_raw(posts, text, time_col), raw_topic, "parquet")
+    write_topic(produce_raw(posts, text, time_col, _key(posts)), raw_topic, "parquet")
+
+
+def _key(posts: DataFrame, id_col: str = "id") -> str | None:
+    """Posts carry their id as the message's key, so that equal texts stay apart."""
+    return id_col if id_col in posts.columns else None
+
+
+def start_ingest(posts: DataFrame, raw_topic: str, checkpoint: str, text: str = "text",
+                 time_col: str | None = None, drop_shares: bool = True, mode: str = "continuous",
+                 interval: str = "10 seconds"):
+    """Continuous ingest: a stream of posts (``sources.tables.stream_table``) to the raw topic.
+
+    The checkpoint is the cursor: a restarted ingest goes on after the last file
+    it published.  Consumers name the producer ``INGEST``.
+    """
+    if drop_shares and "isShareOrRetweet" in posts.columns:
+        posts = posts.where(~F.coalesce(F.col("isShareOrRetweet"), F.lit(False)))
+    return start(produce_raw(posts, text, time_col, _key(posts)), sink="parquet",
+                 path=producer_path(raw_topic, INGEST), checkpoint=checkpoint, mode=mode, interval=interval)
 
 
 def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, checkpoint: str,
@@ -36,9 +61,10 @@ def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, c
     ``partitions`` spreads the payloads over that many output files
     (round-robin), as the broker spread events over its partitions.
     """
-    raw = read_topic(spark, raw_topic, "parquet", max_files_per_trigger=max_files_per_trigger)
+    raw = read_topic(spark, raw_topic, "parquet", max_files_per_trigger=max_files_per_trigger,
+                     producers=(INGEST,))
     bodies = P.enriched_bodies(ER.enrich(raw, gazetteer=gazetteer))
     bodies = bodies.repartition(partitions or default_parallelism(spark))
     return start(bodies.select(F.col("body").alias("value")), sink="text",
-                 path=producer_path(enriched_topic, "enrich"), checkpoint=checkpoint, mode=mode,
+                 path=producer_path(enriched_topic, ENRICH), checkpoint=checkpoint, mode=mode,
                  interval=interval)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from trendstream.operators import history as H
 from trendstream.operators import trends as TR
-from trendstream.session import shared_dir
 from trendstream.sources.topics import producer_path, read_topic
 from trendstream.streaming import ingest as I
 from trendstream.streaming import pipelines as P
@@ -43,6 +42,9 @@ class PipelineConfig:
     # (kafka.bootstrap.servers, security settings, ...)
     topic_kind: str = "files"
     topic_options: dict = field(default_factory=dict)
+    # most files (file topics) or offsets (broker topics) in a micro-batch
+    max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None
     extra: dict = field(default_factory=dict)
 
     def _topic(self, name):
@@ -62,8 +64,12 @@ class PipelineConfig:
 
     def read(self, spark, topic: str, file_kind: str = "text", stream: bool = True):
         if self.topic_kind == "kafka":
-            return read_topic(spark, topic, "kafka", stream=stream, options=self.topic_options)
-        return read_topic(spark, topic, file_kind, stream=stream)
+            limit = {"maxOffsetsPerTrigger": str(self.max_offsets_per_trigger)} \
+                if stream and self.max_offsets_per_trigger else {}
+            return read_topic(spark, topic, "kafka", stream=stream, options={**self.topic_options, **limit})
+        producer = {self.raw_topic: I.INGEST, self.enriched_topic: I.ENRICH, self.alerts_topic: I.ALERTS}[topic]
+        return read_topic(spark, topic, file_kind, stream=stream, producers=(producer,),
+                          max_files_per_trigger=self.max_files_per_trigger)
 
     def sink(self, topic: str, job: str) -> dict:
         """Arguments of ``runner.start`` that write payloads to ``topic``."""
@@ -79,10 +85,6 @@ class PipelineConfig:
         return f"{self.root}/checkpoints/{job}"
 
 
-def default_config(spark: SparkSession, name: str = "pipeline", **kw) -> PipelineConfig:
-    return PipelineConfig(root=f"{shared_dir(spark)}/{name}", **kw)
-
-
 def initialize(spark: SparkSession, cfg: PipelineConfig) -> str:
     return H.ensure_table(spark, cfg.history_location, cfg.table)
 
@@ -92,19 +94,31 @@ def ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = Non
         from trendstream.sources.topics import produce_raw, write_topic
         if "isShareOrRetweet" in posts.columns:
             posts = posts.where(~F.coalesce(F.col("isShareOrRetweet"), F.lit(False)))
-        write_topic(produce_raw(posts, "text", time_col), cfg.raw_topic, "kafka", cfg.topic_options)
+        write_topic(produce_raw(posts, "text", time_col, I._key(posts)), cfg.raw_topic, "kafka", cfg.topic_options)
     else:
         I.ingest(posts, cfg.raw_topic, time_col=time_col)
 
 
+def continuous_ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = None):
+    """A stream of posts -> raw topic; runs on in continuous mode."""
+    if cfg.topic_kind == "kafka":
+        from trendstream.sources.topics import produce_raw
+        raw = produce_raw(posts, "text", time_col, I._key(posts))
+        return start(raw.withColumnRenamed("body", "value").drop("enqueuedTime"), checkpoint=cfg.checkpoint("ingest"),
+                     mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.raw_topic, I.INGEST))
+    return I.start_ingest(posts, cfg.raw_topic, cfg.checkpoint("ingest"), time_col=time_col, mode=cfg.mode,
+                          interval=cfg.interval)
+
+
 def enrichment_job(spark: SparkSession, cfg: PipelineConfig):
     if cfg.topic_kind == "files":
         return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
-                                  mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval)
+                                  mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval,
+                                  max_files_per_trigger=cfg.max_files_per_trigger)
     from trendstream.operators import enrich as ER
     bodies = P.enriched_bodies(ER.enrich(cfg.read(spark, cfg.raw_topic), gazetteer=cfg.gazetteer))
     return start(bodies.select(F.col("body").alias("value")), checkpoint=cfg.checkpoint("enrich"),
-                 mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.enriched_topic, "enrich"))
+                 mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.enriched_topic, I.ENRICH))
 
 
 def history_job(spark: SparkSession, cfg: PipelineConfig):
@@ -118,7 +132,7 @@ def alerts_job(spark: SparkSession, cfg: PipelineConfig):
                       cfg.length, cfg.slide, cfg.delay)
     return start(P.alert_bodies(alerts).select(F.col("body").alias("value")),
                  checkpoint=cfg.checkpoint("alerts"), mode=cfg.mode, interval=cfg.interval,
-                 **cfg.sink(cfg.alerts_topic, "alerts"))
+                 **cfg.sink(cfg.alerts_topic, I.ALERTS))
 
 
 def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_minutes: float = 15,
@@ -127,8 +141,8 @@ def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_min
     import uuid
 
     from trendstream.streaming.watcher import wait_for_fresh
-    return wait_for_fresh(spark, cfg.alerts_topic, start_time, f"{cfg.root}/watch/{uuid.uuid4().hex}",
-                          deadline_minutes, poll_seconds)
+    return wait_for_fresh(lambda: cfg.read(spark, cfg.alerts_topic), start_time,
+                          f"{cfg.root}/watch/{uuid.uuid4().hex}", deadline_minutes, poll_seconds)
 
 
 def run_once(spark: SparkSession, cfg: PipelineConfig, posts: DataFrame,

@@ -18,7 +18,8 @@ from trendstream.operators import trends as TR
 
 def enriched_bodies(enriched: DataFrame) -> DataFrame:
     """Enriched columns -> JSON payload column ``body`` (text)."""
-    return enriched.select(codec.enriched_json().alias("body"))
+    key = "id" if "id" in enriched.columns else None
+    return enriched.select(codec.enriched_json(key=key).alias("body"))
 
 
 def alerts(bodies: DataFrame, threshold: int = TR.ALERT_THRESHOLD,

@@ -10,7 +10,7 @@ and state instead of re-reading or losing rows.  Two run kinds:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def start(df: DataFrame, *, sink: str, checkpoint: str, path: str | None = None,
@@ -51,8 +51,43 @@ def run_once(df: DataFrame, **kw) -> StreamingQuery:
     return q
 
 
+class ProgressCounts(StreamingQueryListener):
+    """Input rows of each micro-batch, rows dropped as late and most rows in state, of every batch of a query.
+
+    (``recentProgress`` forgets all but the last batches.)  Attach it with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self):
+        self.batches: dict[str, list[tuple[int, int, int]]] = {}
+
+    def onQueryStarted(self, event):
+        self.batches.setdefault(str(event.id), [])
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.batches.setdefault(str(p.id), []).append(
+            (p.numInputRows, sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+             sum(s.numRowsTotal for s in p.stateOperators)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def received(self, q: StreamingQuery) -> list[int]:
+        return [b[0] for b in self.batches.get(str(q.id), []) if b[0]]
+
+    def dropped(self, q: StreamingQuery) -> int:
+        return sum(b[1] for b in self.batches.get(str(q.id), []))
+
+    def most_state(self, q: StreamingQuery) -> int:
+        return max((b[2] for b in self.batches.get(str(q.id), [])), default=0)
+
+
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late, summed over the query's progress."""
+    """Rows the stateful operators dropped as late, over the last 100 micro-batches (see ``ProgressCounts``)."""
     total = 0
     for p in q.recentProgress:
         for s in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
@@ -62,5 +97,5 @@ def rows_dropped_by_watermark(q: StreamingQuery) -> int:
 
 
 def rows_received(q: StreamingQuery) -> list[int]:
-    """Input rows per micro-batch."""
+    """Input rows of the last 100 micro-batches (see ``ProgressCounts``)."""
     return [(p["numInputRows"] if isinstance(p, dict) else p.numInputRows) for p in q.recentProgress]
