@@ -1,11 +1,10 @@
 """Sliding-window topic counts and threshold alerts.
 
-Batch path: rows are first counted per (slide bucket, topic), then each
-bucket is expanded to the windows that contain it and summed.  Both
-aggregations are partial + final, so a topic that holds a large share of
-all rows is already reduced map-side before any shuffle, and the x(L/S)
-expansion runs on counts instead of raw rows.  The grouping key always
-contains the window start, so one hot topic spreads over many reducers.
+Batch path: rows are first counted per (slide bucket, topic), partial + final,
+so a topic that holds a large share of all rows is reduced map-side before any
+shuffle.  The counts are dealt by (topic, hour) and expanded to the windows that
+contain them there, so the x(L/S) expansion never travels.  The key always
+contains the time, so one hot topic spreads over many reducers.
 
 Streaming path: ``window()`` + watermark + state store, append output.
 """
@@ -39,19 +38,28 @@ def interval_seconds(text: str) -> int:
 
 def topic_counts(rows: DataFrame, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE,
                  ts: str = "ts", topic: str = "topic") -> DataFrame:
-    """Batch count per (sliding window, topic): windowStart, windowEnd, topic, count."""
+    """Batch count per (sliding window, topic): windowStart, windowEnd, topic, count.
+
+    A bucket's count travels to the one or two blocks (an hour, a day or a week)
+    its windows start in; the expansion to windows and their sum follow inside
+    the block, behind the last shuffle.
+    """
     L, S = interval_seconds(length), interval_seconds(slide)
-    if L % S:
+    block = next((unit for unit in ("hour", "day", "week") if L <= _UNITS[unit]), None)
+    if L % S or block is None:
         return _topic_counts_direct(rows, length, slide, ts, topic)
     k = L // S
     step = F.lit(_dt.timedelta(seconds=S))
     per_bucket = (rows.groupBy(F.window(ts, slide).start.alias("bucket"), F.col(topic).alias("topic"))
                   .agg(F.count(F.lit(1)).alias("n")))
+    bucket = F.col("bucket")
+    blocks = F.array_distinct(F.array(F.date_trunc(block, bucket), F.date_trunc(block, bucket - step * (k - 1))))
+    dealt = per_bucket.select("bucket", "topic", "n", F.explode(blocks).alias("block")).repartition("topic", "block")
     # The k window starts of a bucket as a literal-size array: stays in codegen.
-    expanded = per_bucket.select(
-        F.explode(F.array(*[F.col("bucket") - step * i for i in range(k)])).alias("windowStart"),
-        "topic", "n")
-    return (expanded.groupBy("windowStart", "topic").agg(F.sum("n").alias("count"))
+    expanded = (dealt.select("topic", "block", "n",
+                             F.explode(F.array(*[bucket - step * i for i in range(k)])).alias("windowStart"))
+                .where(F.date_trunc(block, "windowStart") == F.col("block")))
+    return (expanded.groupBy("topic", "block", "windowStart").agg(F.sum("n").alias("count"))
             .select("windowStart",
                     (F.col("windowStart") + F.lit(_dt.timedelta(seconds=L))).alias("windowEnd"),
                     "topic", "count"))

@@ -7,6 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Scans of at least so many splits are never shuffled to spread them.
+MAX_SPLITS = 64
+
+
 def _parallelism(spark: SparkSession) -> int | None:
     try:
         return spark.sparkContext.defaultParallelism
@@ -17,19 +21,19 @@ def _parallelism(spark: SparkSession) -> int | None:
 def balance(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread an under-partitioned scan over the cluster.
 
-    A scan of big data already has far more splits than cores and is left
-    alone (no shuffle).  A scan with fewer splits than the default
-    parallelism (a single small file or row group) would run all per-row
-    work in a few tasks, so it is split round-robin into
-    ``defaultParallelism`` partitions: even whatever the values (a key with
-    many copies cannot pile up), and deterministic on retry through Spark's
-    local sort before the split, which is cheap for such small inputs.  A
+    A scan of ``MAX_SPLITS`` splits or more is left alone on any cluster (no
+    shuffle).  One with fewer splits than that and than the default parallelism
+    (a small file, a single row group) would run all per-row work in a few
+    tasks, so it is split round-robin: even whatever the values (a key with many
+    copies cannot pile up), and deterministic on retry through Spark's local
+    sort before the split, which is cheap for so few splits.  A
     ``key`` hash-partitions instead, when a later stage wants that layout.
     Filters and column pruning are still pushed below the repartition.
     """
     target = _parallelism(df.sparkSession)
     if not target:
         return df
+    target = min(target, MAX_SPLITS)
     try:
         n = df.rdd.getNumPartitions()
     except Exception:
