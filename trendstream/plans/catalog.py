@@ -629,6 +629,95 @@ def watch_finds_fresh_alert(spark, sf_dir):
         F.lit(found[0]).alias("found"), F.lit(found[1]).alias("found_later"))
 
 
+# ------------------------------------------- run kinds, consumers, hooks
+@register("stream_memory_view", f"SELECT * FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}")
+def stream_memory_view(spark, sf_dir):
+    """The alert job in continuous mode towards an interactive in-memory table."""
+    import uuid
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.runner import start
+    view = f"alerts_{uuid.uuid4().hex[:12]}"
+    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=FILES_A_SLICE)
+    q = start(P.alerts(topic), sink="memory", checkpoint=fresh_path(spark, "memory") + ".chk",
+              mode="continuous", interval="1 second", query_name=view)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.table(view).select(F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
+                                    F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count")
+
+
+@register("two_consumers", f"""
+    SELECT (SELECT 2 * count(*) FROM events) AS history_rows,
+           (SELECT count(*) FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}) AS alert_rows""")
+def two_consumers(spark, sf_dir):
+    """History and alerts run at the same time over one topic, each from its own checkpoint."""
+    from trendstream.operators import history as H
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.runner import start
+    topic, loc, out = _enriched_topic(spark, sf_dir), fresh_path(spark, "history"), fresh_path(spark, "alerts")
+    read = lambda: read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)
+    running = [H.start_stream(P.history(read()), loc, loc + ".chk"),
+               start(P.alerts(read()), sink="parquet", path=out, checkpoint=out + ".chk")]
+    for q in running:
+        q.awaitTermination()
+    alerts = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"))
+    return H.read_history(spark, loc).agg(F.count(F.lit(1)).alias("history_rows")).withColumn(
+        "alert_rows", alerts.scalar())
+
+
+@register("random_message_ids", """
+    SELECT count(*) AS messages, 2 * count(*) AS history_rows, count(*) AS ids, 36 AS id_length FROM events""")
+def random_message_ids(spark, sf_dir):
+    """uuid() ids: one a message, shared by its topics (written once, as uuid() is not repeatable)."""
+    from trendstream.session import materialize
+    rows = materialize(T.history_rows(FX.enriched_events(spark, sf_dir), deterministic_ids=False), "random-ids")
+    per_id = rows.groupBy("uniqueId").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.agg(F.count_if(F.col("n") == 2).alias("messages"), F.sum("n").alias("history_rows"),
+                      F.count(F.lit(1)).alias("ids"), F.max(F.length("uniqueId")).alias("id_length"))
+
+
+@register("history_null_content", """
+    SELECT substr(sha256(coalesce(content || chr(1), '') || CAST(ts AS VARCHAR)), 1, 36) AS uniqueId, content,
+           CAST(ts AS VARCHAR) AS timestamp, 'en' AS language,
+           unnest([event_type, 'user_' || CAST(user_id AS VARCHAR)]) AS topic
+    FROM (SELECT *, CASE WHEN event_id % 5 <> 0 THEN props END AS content FROM events)""")
+def history_null_content(spark, sf_dir):
+    """Messages without a text keep a NULL content."""
+    ev = FX.read_table(spark, sf_dir, "events").withColumn(
+        "props", F.when(F.col("event_id") % 5 != 0, F.col("props")))
+    return T.history_rows(FX.enriched_from_events(ev))
+
+
+@register("search_second_page", f"""
+    SELECT doc_id AS id FROM documents
+    WHERE contains(lower(text), '{SEARCH_QUERY}') AND lang = '{SEARCH_LANG}'
+    ORDER BY doc_id DESC LIMIT 20 OFFSET 20""")
+def search_second_page(spark, sf_dir):
+    """The page protocol: the first page's next request gives the second page."""
+    from trendstream.sources import messages as SM
+    source = SM.reader("search", spark, posts=FX.document_messages(spark, sf_dir))
+    first = source.search(SM.SearchRequest(SEARCH_QUERY, lang=SEARCH_LANG, count=20))
+    return source.search(first.next_request()).messages.select("id")
+
+
+@register("language_and_entity_hooks", """
+    SELECT doc_id, CASE WHEN contains(text, 'der') THEN 'de' ELSE 'en' END AS language,
+           CASE WHEN contains(text, 'of') THEN ['of'] ELSE ['None'] END AS entities
+    FROM documents""")
+def language_and_entity_hooks(spark, sf_dir):
+    """User functions in place of the built-in language scorer and entity extractor."""
+    from trendstream.operators import service as SV
+    language = SV.language_udf(lambda t: "de" if "der" in t else "")
+    entities = SV.entities_udf(lambda t: ["of"] if "of" in t else [])
+    return _docs(spark, sf_dir).select("doc_id", language("text").alias("language"), entities("text").alias("entities"))
+
+
 # ------------------------------------------------------ declared operators
 
 
