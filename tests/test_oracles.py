@@ -11,6 +11,16 @@ QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 
 
+_BUILT: dict = {}
+
+
+def small(spark, name):
+    """The query over the small tables, built once for all its tests."""
+    if name not in _BUILT:
+        _BUILT[name] = QUERIES[name](spark, SF_SMALL)
+    return _BUILT[name]
+
+
 def test_every_query_has_an_oracle():
     assert set(catalog.QUERIES) == set(catalog.ORACLES)
     assert set(ORACLES) <= set(QUERIES)
@@ -18,7 +28,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_oracle_sf0001(spark, duck_small, name):
-    ok, msg = compare(QUERIES[name](spark, SF_SMALL), duck_small, ORACLES[name])
+    ok, msg = compare(small(spark, name), duck_small, ORACLES[name])
     assert ok, msg
 
 
@@ -44,7 +54,7 @@ _DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "doubl
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_result_types_match_oracle(spark, duck_small, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    df = small(spark, name)
     ours = {f.name: _DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
             for f in df.schema.fields}
     theirs = {r[0]: r[1] for r in duck_small.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
