@@ -35,8 +35,11 @@ def frequent_pieces(docs: DataFrame, text_col: str, most: int = FREQUENT) -> lis
         f"regexp_extract_all({quoted(text_col)}, r\"{PATTERN}\", 0)")).alias("piece"))
     sketches = words.groupBy((F.spark_partition_id() % GROUPS).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(piece, {TRACKED})").alias("sketch"))
-    top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {most})").alias("top"))
-    return [r["item"] for r in (top.first()["top"] or []) if r["item"]]
+    # grouped, so that partitions without a sketch make no empty one, which can't be combined
+    one = sketches.groupBy((F.col("part") < 0).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+    top = one.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
+    return [r["item"] for r in (top["top"] if top else []) if r["item"]]
 
 
 def length_table(pieces: list[str], tokenizer: str, bits: int = SLOT_BITS) -> Slots:
