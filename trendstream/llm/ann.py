@@ -35,7 +35,7 @@ PROBES = 512           # of those, vectors to learn the radius from
 ROUNDS = 40
 SUBSTRINGS = 4
 BITS = 16              # of each substring
-COVERAGE = 0.98
+COVERAGE = 0.95
 QUERY_BLOCK = 4096     # queries broadcast at once
 _FOUND = pa.schema([("qid", pa.int64()), ("vid", pa.int64()), ("score", pa.float64())])
 
@@ -64,8 +64,8 @@ def learn(sample: np.ndarray, k: int, coverage: float = COVERAGE, seed: int = 3)
     mean = sample.mean(axis=0)
     x = sample - mean
     dims = x.shape[1]
-    _, _, axes = np.linalg.svd(x, full_matrices=True)
-    spread = np.concatenate([axes.T] * (-(-n_bits // dims)), axis=1)[:, :n_bits] if dims < n_bits else axes.T[:, :n_bits]
+    axes = np.linalg.eigh(x.T @ x)[1][:, ::-1]                             # principal axes, widest first
+    spread = np.tile(axes, -(-n_bits // dims))[:, :n_bits]
     z = x @ spread
     turn = np.linalg.qr(rng.normal(size=(n_bits, n_bits)))[0]
     for _ in range(ROUNDS):
