@@ -16,7 +16,8 @@ that, the step 1 is 1 over the Lipschitz constant, so every step
 
     rate <- max(0, rate - p . G^-1 (S(rate) - T) / N)
 
-lowers the residual.  A longer step, with G over the documents whose rate is not
+lowers the residual; the fit ends at the targets or when steps gain next to
+nothing.  A longer step, with G over the documents whose rate is not
 at 0, is tried first and kept when it lowers the residual too.  S and G need one
 aggregate of a few numbers for each pair of domains, combined on the map side
 whatever the skew of sources; the step's direction is a number for each domain,
@@ -35,13 +36,16 @@ from pyspark.sql import functions as F
 from trendstream.llm.common import hash_below, quoted, text_or_empty, unpack
 from trendstream.session import materialize
 
-LABELLED = 20_000     # labelled rows to learn from, at most
+LABELLED = 10_000     # labelled rows to learn from, at most
 BUCKETS = 1 << 15
 BINS = 24             # bins of a share
 Z = 5.0               # a bucket's weight counts from this z-score
 STEPS = 24
 CLOSE = 1e-6          # residual over all tokens at which the fit ends
-NOT_WORD = r"[^\p{L}\p{N}]+"
+STALL = 0.02          # the fit also ends when a step lowers the residual by a smaller share
+# ASCII that is no letter and no digit; anything that is no ASCII mark.
+SEPARATOR = r"[\x00-/:-@\[-`{-\x7F]+"
+NOT_MARK = r"[^!-/:-@\[-`{-~]+"
 
 
 def quality_domain() -> Column:
@@ -50,19 +54,26 @@ def quality_domain() -> Column:
             .when(F.col("quality") == 1, "clean"))
 
 
+def with_words(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` plus ``words`` of column ``text``: lower-cased runs of letters, digits and anything not ASCII.
+
+    A column of its own, so that the text is cut once for all that reads its words.
+    """
+    return docs.withColumn("words", F.array_remove(F.split(F.lower(F.col(text)), SEPARATOR), ""))
+
+
 def _share(part: Column, whole: Column, first: int) -> Column:
     """The bucket of a share: BINS bins, finer for small shares."""
     share = F.least(F.lit(1.0), part / F.greatest(whole, F.lit(1)))
     return (F.lit(first) + F.floor(F.sqrt(share) * (BINS - 1))).cast("int")
 
 
-def _buckets(text: Column) -> Column:
+def _buckets(text: Column, words: Column) -> Column:
     """Buckets of a text: its words, then one for each binned share."""
-    words = F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
-    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
-    capitals, marks = F.length(F.regexp_replace(text, r"\P{Lu}+", "")), F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]+", ""))
+    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
+    marks = F.length(F.regexp_replace(text, NOT_MARK, ""))
     last = BUCKETS - 3 * BINS
-    shares = F.array(_share(capitals, letters, last), _share(marks, F.length(text), last + BINS),
+    shares = F.array(_share(capitals, F.length(text), last), _share(marks, F.length(text), last + BINS),
                      _share(F.size(F.array_distinct(words)), F.size(words), last + 2 * BINS))
     return F.concat(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(last)).cast("int")), shares)
 
@@ -80,9 +91,10 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, domains: l
              .groupBy("id").agg(F.min("domain").alias("domain")).withColumn("h", F.xxhash64("id")))
     known = (known.filter(hash_below(F.col("h"), labelled, known.count()))
              .orderBy("h", "id").limit(labelled).select("id", "domain"))          # bounded: broadcast below
-    rows = materialize(
-        docs.select(F.col(quoted(id_col)).alias("id"), text_or_empty(F.col(quoted(text_col))).alias("text"))
-        .join(F.broadcast(known), "id").select("domain", F.array_distinct(_buckets(F.col("text"))).alias("b")), "mix-sample")
+    sample = (docs.select(F.col(quoted(id_col)).alias("id"), text_or_empty(F.col(quoted(text_col))).alias("text"))
+              .join(F.broadcast(known), "id"))
+    rows = materialize(with_words(sample, "text").select(
+        "domain", F.array_distinct(_buckets(F.col("text"), F.col("words"))).alias("b")), "mix-sample")
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = [d for d in domains if d in sizes]
     if not names:
@@ -110,10 +122,14 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, domains: l
     return names, [math.log(sizes[d] / total) for d in names], weights
 
 
-def posteriors(text: Column, shares: list[float], weights: dict) -> list[Column]:
-    """Posterior of each domain for a whole text."""
+def weighted_buckets(text: Column, words: Column, weights: dict) -> Column:
+    """The distinct buckets of a whole text that have a weight."""
     clear = _numbers([float(b in weights) for b in range(BUCKETS)])
-    hits = F.array_distinct(F.filter(_buckets(text), lambda b: F.get(clear, b) > 0))
+    return F.array_distinct(F.filter(_buckets(text, words), lambda b: F.get(clear, b) > 0))
+
+
+def domain_logits(hits: Column, shares: list[float], weights: dict) -> list[Column]:
+    """Log of each domain's posterior, up to a constant."""
     logits = []
     for i, share in enumerate(shares):
         column = _numbers([weights[b][i] if b in weights else 0.0 for b in range(BUCKETS)])
@@ -155,7 +171,10 @@ def fit_rates(docs: DataFrame, tokens: str, members: list[str], targets: list[fl
             lower = (then - want) @ whitened @ (then - want) < off @ whitened @ off
             if lower or inverse is whitened:
                 break
+        stalled = (then - want) @ whitened @ (then - want) > (1 - STALL) * (off @ whitened @ off)
         rate, now = tried, then
+        if stalled:
+            break
         metric = np.linalg.pinv(free, rcond=1e-9, hermitian=True) if lower else whitened
     return rate, now.tolist(), want.tolist()
 
@@ -195,10 +214,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: C
     if not names:
         names = list(targets)
         shares = [math.log(1 / len(names))] * len(names)
-    text = text_or_empty(F.col(quoted(text_col)))
-    scored = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
-                         F.array(*posteriors(text, shares, weights)).alias("logits"),
-                         F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")).cast("double").alias("tokens"))
+    scored = with_words(docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
+                                    text_or_empty(F.col(quoted(text_col))).alias("text")), "text")
+    scored = scored.select("row", F.size("words").cast("double").alias("tokens"),
+                           weighted_buckets(F.col("text"), F.col("words"), weights).alias("hits"))
+    scored = scored.withColumn("logits", F.array(*domain_logits(F.col("hits"), shares, weights)))
     raised = F.transform("logits", lambda x: F.exp(x - F.array_max("logits")))
     scored = (scored.withColumn("raised", raised)
               .withColumn("sum", F.aggregate("raised", F.lit(0.0), lambda s, x: s + x)))
