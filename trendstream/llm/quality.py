@@ -35,7 +35,7 @@ DIM = 16
 EPOCHS = 8
 RATE = 6.0
 GRAMS = (3, 4)
-CACHE = 200_000        # words a worker remembers
+CACHE = 500_000        # words a worker remembers
 LONGEST = 64           # longer words are not remembered
 REPEAT, END = 0, 1     # buckets of the repeat and the end feature
 _RESERVED = 2
@@ -44,8 +44,14 @@ _RESERVED = 2
 def word_features(word: str, buckets: int = BUCKETS) -> list[int]:
     """Buckets of a word and of its character n-grams."""
     marked = f"<{word}>"
-    grams = [marked] + [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    return [_RESERVED + crc32(g.encode("utf-8", "replace")) % (buckets - _RESERVED) for g in grams]
+    if marked.isascii():
+        marked = marked.encode()                       # its slices are the n-grams' bytes
+        grams = [marked] + [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
+    else:
+        grams = [marked.encode("utf-8", "replace")] + [
+            marked[i:i + n].encode("utf-8", "replace") for n in GRAMS for i in range(len(marked) - n + 1)]
+    size = buckets - _RESERVED
+    return [_RESERVED + crc32(g) % size for g in grams]
 
 
 def document_features(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -94,11 +100,11 @@ class WordLogits(dict):
 
     def __init__(self, logits: np.ndarray):
         super().__init__()
-        self.logits = logits
+        self.logits = logits.tolist()
 
     def __missing__(self, word: str) -> complex:
         f = word_features(word, len(self.logits))
-        value = complex(float(self.logits[f].sum()), len(f))
+        value = complex(sum(map(self.logits.__getitem__, f)), len(f))
         if len(word) <= LONGEST:
             if len(self) >= CACHE:
                 self.clear()
