@@ -6,8 +6,9 @@ tokens of each domain, the sum of rate * tokens * posterior, meet the targets.
 
 Classifier: naive Bayes over hashed words, on whether a word occurs, and over
 binned shares of capitals, of marks and of distinct words.  Only buckets whose
-share in a domain differs clearly from their share elsewhere (z-score) have a
-weight; the others would add noise.  Counts come from a bounded sample of
+share in a domain, other than the most frequent one, is clearly (z-score) and
+far (``RATIO``) above their share elsewhere count, present or absent; the others
+would add noise, and common words would add up to the text's length.  Counts come from a bounded sample of
 labelled rows (``LABELLED``).
 
 Rates: projected gradient on the least-squares residual, whitened by the
@@ -40,6 +41,7 @@ LABELLED = 10_000     # labelled rows to learn from, at most
 BUCKETS = 1 << 15
 BINS = 24             # bins of a share
 Z = 5.0               # a bucket's weight counts from this z-score
+RATIO = 3.0           # and if it is so many times as frequent
 STEPS = 24
 CLOSE = 1e-6          # residual over all tokens at which the fit ends
 STALL = 0.02          # the fit also ends when a step lowers the residual by a smaller share
@@ -85,7 +87,8 @@ def _numbers(values: list[float]) -> Column:
 
 def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, domains: list[str],
                   id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> tuple[list[str], list[float], dict]:
-    """(domains with labelled documents, log of their shares, bucket -> weight in each domain)."""
+    """(domains with labelled documents, their log-probability of a text without any bucket that counts,
+    bucket -> what its presence adds in each domain)."""
     known = (labels.select(F.col(quoted(id_col)).alias("id"), domain.alias("domain"))
              .filter(F.col("id").isNotNull() & F.col("domain").isin(domains))
              .groupBy("id").agg(F.min("domain").alias("domain")).withColumn("h", F.xxhash64("id")))
@@ -93,33 +96,31 @@ def learn_domains(docs: DataFrame, labels: DataFrame, domain: Column, domains: l
              .orderBy("h", "id").limit(labelled).select("id", "domain"))          # bounded: broadcast below
     sample = (docs.select(F.col(quoted(id_col)).alias("id"), text_or_empty(F.col(quoted(text_col))).alias("text"))
               .join(F.broadcast(known), "id"))
-    rows = materialize(with_words(sample, "text").select(
+    words = materialize(with_words(sample, "text").select(
         "domain", F.array_distinct(_buckets(F.col("text"), F.col("words"))).alias("b")), "mix-sample")
-    sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["domain"]: r["n"] for r in words.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = [d for d in domains if d in sizes]
     if not names:
         return [], [], {}
     total = sum(sizes.values())
-    counts = (rows.select("domain", F.explode("b").alias("bucket")).groupBy("bucket")
+    counts = (words.select("domain", F.explode("b").alias("bucket")).groupBy("bucket")
               .agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{i}") for i, d in enumerate(names)]))
     counts = counts.withColumn("all", sum([F.col(f"n{i}") for i in range(len(names))], F.lit(0)))
-    weighted, found = [], []
+    usual = max(names, key=sizes.get)
+    odds, clear = [], F.lit(False)
     for i, d in enumerate(names):
         n, rest = sizes[d], max(1, total - sizes[d])
         here, there = (F.col(f"n{i}") + 0.5) / (n + 1), (F.col("all") - F.col(f"n{i}") + 0.5) / (rest + 1)
         both = (F.col("all") + 1) / (total + 2)
         score = (here - there) / F.sqrt(both * (1 - both) * (1 / n + 1 / rest) + 1e-12)
-        weighted.append(F.when(F.abs(score) >= Z, F.log(here / there)).otherwise(0.0).alias(f"w{i}"))
-        found.append(F.col(f"w{i}") != 0)
-    weights = {}
-    if len(names) > 1:
-        any_found = found[0]
-        for f in found[1:]:
-            any_found = any_found | f
-        # at most BUCKETS rows of as many numbers as domains
-        weights = {r["bucket"]: [r[f"w{i}"] for i in range(len(names))]
-                   for r in counts.select("bucket", *weighted).filter(any_found).collect()}
-    return names, [math.log(sizes[d] / total) for d in names], weights
+        if d != usual:
+            clear = clear | ((score >= Z) & (here >= RATIO * there))
+        odds += [F.log(here / (1 - here)).alias(f"w{i}"), F.log(1 - here).alias(f"a{i}")]
+    # at most BUCKETS rows of as many numbers as domains
+    rows = counts.filter(clear).select("bucket", *odds).collect() if len(names) > 1 else []
+    weights = {r["bucket"]: [r[f"w{i}"] for i in range(len(names))] for r in rows}
+    absent = [math.fsum(r[f"a{i}"] for r in rows) for i in range(len(names))]
+    return names, [math.log(sizes[d] / total) + a for d, a in zip(names, absent)], weights
 
 
 def weighted_buckets(text: Column, words: Column, weights: dict) -> Column:
