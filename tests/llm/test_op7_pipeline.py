@@ -93,6 +93,36 @@ def test_mixing_edge_rows(spark):
     assert out.columns == docs.columns and out.count() == sum(r.copies for r in got)
 
 
+def words_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return [r.words for r in mixing.with_words(docs, "text").orderBy("i").collect()]
+
+
+def test_words_are_cut_at_marks_and_spaces_of_any_script(spark):
+    texts = ["\u201cawful\u201d", "\u00abawful\u00bb", "\u00a1awful!", "awful\u2014awful", "awful\u00a0awful\u3000awful",
+             "\u00c9T\u00c9 caf\u00e9", "cafe\u0301 don\u2019t", "\u0423\u0416\u0410\u0421 x2", "\u0939\u093f\u0928\u094d\u0926\u0940"]
+    assert words_of(spark, texts) == [["awful"]] * 3 + [["awful"] * 2, ["awful"] * 3, ["\u00e9t\u00e9", "caf\u00e9"],
+                                                        ["cafe\u0301", "don", "t"], ["\u0443\u0436\u0430\u0441", "x2"], [texts[-1]]]
+
+
+def test_words_of_unspaced_scripts_count_by_length(spark):
+    chinese, japanese, thai = "\u6211\u4eec\u53bb\u5317\u4eac" * 40, "\u306d\u3053\u304c\u3044\u308b", "\u0e01\u0e34\u0e19\u0e02\u0e49\u0e32\u0e27"
+    got = words_of(spark, [chinese, japanese, thai, "see \u5317\u4eac2024\u3002\U00020000", "\ud55c\uad6d \ub9d0"])
+    assert got == [list(chinese), list(japanese), ["\u0e01\u0e34", "\u0e19", "\u0e02\u0e49", "\u0e32", "\u0e27"],
+                   ["see", "\u5317", "\u4eac", "2024", "\U00020000"], ["\ud55c\uad6d", "\ub9d0"]]
+    docs = spark.createDataFrame([(1, chinese, None, None), (2, "good words", None, None)], DDL)
+    assert {r.doc_id: r.tokens for r in with_rates(docs, spark.createDataFrame([], LABELS), Q.MIX).collect()} == {1: 200, 2: 2}
+
+
+def test_capitals_and_marks_of_any_script(spark):
+    pairs = [("\u0423\u0416\u0410\u0421", "AWFU"), ("\u00c9\u00e9", "Ee"), ("\u00bfa\u2026", "?a!"), ("a\u00a0b", "a b")]
+    docs = spark.createDataFrame([(i, j, t) for i, two in enumerate(pairs) for j, t in enumerate(two)], "i int, j int, text string")
+    got = (mixing.with_words(docs, "text").orderBy("i", "j")
+           .select(mixing._buckets(F.col("text"), F.col("words")).alias("b"), F.size("words").alias("n")).collect())
+    shares = [r.b[r.n:] for r in got]
+    assert shares[::2] == shares[1::2] and shares[0][0] > shares[2][0] > shares[4][0]
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs = spark.createDataFrame(edge(), DDL)
     none = spark.createDataFrame([], LABELS)

@@ -45,9 +45,13 @@ RATIO = 3.0           # and if it is so many times as frequent
 STEPS = 24
 CLOSE = 1e-6          # residual over all tokens at which the fit ends
 STALL = 0.02          # the fit also ends when a step lowers the residual by a smaller share
-# ASCII that is no letter and no digit; anything that is no ASCII mark.
-SEPARATOR = r"[\x00-/:-@\[-`{-\x7F]+"
-NOT_MARK = r"[^!-/:-@\[-`{-~]+"
+# Unicode classes; the ASCII ranges before them are parts of them that are quick to tell.
+SEPARATOR = r"[^a-z0-9\p{L}\p{M}\p{N}]+"
+NOT_CAPITAL = r"[ a-z\P{Lu}]+"
+NOT_MARK = r"[ a-zA-Z0-9[^\p{P}\p{S}]]+"
+# A character, with its combining marks, of a script written without spaces (none is below U+0E00).
+UNSPACED = (r"[\u0E00-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}"
+            r"\p{IsMyanmar}\p{IsJavanese}\p{IsBalinese}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{IsTai_Tham}\p{IsTai_Viet}]]\p{M}*")
 
 
 def quality_domain() -> Column:
@@ -57,11 +61,15 @@ def quality_domain() -> Column:
 
 
 def with_words(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` plus ``words`` of column ``text``: lower-cased runs of letters, digits and anything not ASCII.
+    """``docs`` plus ``words`` of column ``text``: lower-cased runs of letters, combining marks and digits.
 
-    A column of its own, so that the text is cut once for all that reads its words.
+    In scripts written without spaces each character is a word, so such texts
+    count by their length.  A column of its own, so that the text is cut once
+    for all that reads its words.
     """
-    return docs.withColumn("words", F.array_remove(F.split(F.lower(F.col(text)), SEPARATOR), ""))
+    c = F.col(text)
+    spaced = F.when(c.rlike(UNSPACED), F.regexp_replace(c, UNSPACED, " $0 ")).otherwise(c)
+    return docs.withColumn("words", F.array_remove(F.split(F.lower(spaced), SEPARATOR), ""))
 
 
 def _share(part: Column, whole: Column, first: int) -> Column:
@@ -72,7 +80,7 @@ def _share(part: Column, whole: Column, first: int) -> Column:
 
 def _buckets(text: Column, words: Column) -> Column:
     """Buckets of a text: its words, then one for each binned share."""
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
+    capitals = F.length(F.regexp_replace(text, NOT_CAPITAL, ""))
     marks = F.length(F.regexp_replace(text, NOT_MARK, ""))
     last = BUCKETS - 3 * BINS
     shares = F.array(_share(capitals, F.length(text), last), _share(marks, F.length(text), last + BINS),
