@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -192,6 +193,31 @@ def test_new_alert_stream_over_several_batches(spark):
     assert got == _as_set(LT.new_alerts(alerts)) and len(got) > 0
 
 
+def test_new_alert_query_reads_its_topic_slice_by_slice(spark):
+    """The registered query's own topic: several micro-batches in event time, none of its alerts dropped."""
+    from trendstream.operators import longterm as LT
+    alerts = _batch_closed(spark, 2)
+    topic, delay = C._alerts_topic(spark, SF_SMALL, 2)
+    out = fresh_path(spark, "new-alerts")
+    q = C._run_new_alert_stream(spark, topic, out, delay)
+    assert len([n for n in rows_received(q) if n > 0]) == C.SLICES and sum(rows_received(q)) == alerts.count()
+    assert rows_dropped_by_watermark(q) == 0
+    assert _as_set(C._read_alert_sink(spark, out)) == _as_set(LT.new_alerts(alerts))
+
+
+def test_dropped_alerts_are_reported(spark):
+    """Slices in the wrong order: what the watermark drops is an error, not silence."""
+    topic = fresh_path(spark, "topic-alerts")
+    for day in (20, 21, 1):           # a watermark holds for late rows one micro-batch later
+        part = spark.sql(f"SELECT TIMESTAMP '2024-01-{day:02} 00:00:00' AS windowStart, "
+                         f"TIMESTAMP '2024-01-{day:02} 00:10:00' AS windowEnd, 't' AS topic, 5L AS count")
+        write_topic(TR.alert_bodies(part), topic, "text", files=C.FILES_A_SLICE)
+    files = read_topic(spark, topic, "text", stream=False).inputFiles()
+    assert len(files) == 3 * C.FILES_A_SLICE                      # one row each, yet as many files as any slice
+    with pytest.raises(RuntimeError, match="1 alerts"):
+        C._run_new_alert_stream(spark, topic, fresh_path(spark, "new-alerts"), "1 hour")
+
+
 def test_incremental_watcher(spark):
     from trendstream.streaming.watcher import wait_for_fresh
     topic = fresh_path(spark, "topic-alerts")

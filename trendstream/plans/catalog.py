@@ -826,21 +826,45 @@ def service_reply_parsed(spark, sf_dir):
     WHERE prev_end IS NULL OR windowStart >= prev_end""")
 def stream_new_alerts(spark, sf_dir):
     """events -> enriched topic -> alerts topic (JSON) -> stateful new-episode stream."""
-    from trendstream.operators import watch as W
     from trendstream.session import fresh_path
-    from trendstream.sources.topics import producer_path, read_topic
+    topic, delay = _alerts_topic(spark, sf_dir)
+    out = fresh_path(spark, "new-alerts")
+    _run_new_alert_stream(spark, topic, out, delay)
+    return _read_alert_sink(spark, out)
+
+
+def _alerts_topic(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD) -> tuple[str, str]:
+    """The alert job's payloads, put in event-time slices, and the delay that covers a slice."""
+    from trendstream.operators import watch as W
+    from trendstream.session import fresh_path, materialize
+    from trendstream.sources.topics import producer_path, read_topic, time_slices, write_topic
     from trendstream.streaming import pipelines as P
-    from trendstream.streaming.newalerts import new_alerts_stream
+    from trendstream.streaming.newalerts import slice_delay
     from trendstream.streaming.runner import run_once
     topic = _enriched_topic(spark, sf_dir)
-    alerts_topic = fresh_path(spark, "topic-alerts")
-    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)))
+    raised, alerts_topic = fresh_path(spark, "topic-raised"), fresh_path(spark, "topic-alerts")
+    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold))
              .select(F.col("body").alias("value")),
-             sink="text", path=producer_path(alerts_topic, "alerts"), checkpoint=alerts_topic + ".chk")
-    out = fresh_path(spark, "new-alerts")
-    run_once(new_alerts_stream(W.parsed_alerts(read_topic(spark, alerts_topic, "text", producers=("alerts",)))),
-             sink="parquet", path=out, checkpoint=out + ".chk")
-    return _read_alert_sink(spark, out)
+             sink="text", path=producer_path(raised, "alerts"), checkpoint=raised + ".chk")
+    alerts = materialize(W.parsed_alerts(read_topic(spark, raised, "text", stream=False, producers=("alerts",))), "alerts")
+    slices = time_slices(alerts, "windowStart", SLICES)
+    for part in slices:
+        write_topic(P.alert_bodies(part), alerts_topic, "text", files=FILES_A_SLICE)
+    return alerts_topic, slice_delay(slices)
+
+
+def _run_new_alert_stream(spark, topic: str, out: str, delay: str):
+    """One slice in each micro-batch; alerts dropped as late are an error, as episodes would be missing."""
+    from trendstream.operators import watch as W
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming.newalerts import new_alerts_stream
+    from trendstream.streaming.runner import rows_dropped_by_watermark, run_once
+    alerts = W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE))
+    q = run_once(new_alerts_stream(alerts, delay=delay), sink="parquet", path=out, checkpoint=out + ".chk")
+    dropped = rows_dropped_by_watermark(q)
+    if dropped:
+        raise RuntimeError(f"{dropped} alerts came more than {delay} late and were dropped")
+    return q
 
 
 @register("stream_enriched_documents", f"""

@@ -92,12 +92,31 @@ def producer_path(topic: str, name: str) -> str:
     return f"{topic.rstrip('/')}/{name}"
 
 
-def write_topic(df: DataFrame, path: str, kind: str = "text", options: dict | None = None) -> None:
-    """Append a bounded DataFrame of payloads to a topic (batch producer)."""
+def _fill_folder(spark: SparkSession, path: str, files: int) -> None:
+    """Empty files for the tasks that had no rows and so wrote none, up to ``files``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = sum(f.getPath().getName().startswith("part-") for f in fs.listStatus(at))
+    for i in range(there, files):
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(at, f"part-empty-{i}.txt")).close()
+
+
+def write_topic(df: DataFrame, path: str, kind: str = "text", options: dict | None = None,
+                files: int | None = None) -> None:
+    """Append a bounded DataFrame of payloads to a topic (batch producer).
+
+    With ``files`` a text append has exactly that many, however few its rows are.
+    """
     if kind in ("text", "parquet"):
         out = producer_path(path, f"batch-{uuid.uuid4().hex}")
+    if files and kind != "text":
+        raise ValueError("a number of files is for text topics")
+    if files:
+        df = df.repartition(files)
     if kind == "text":
         df.select(F.col("body").cast("string").alias("value")).write.text(out)
+        if files:
+            _fill_folder(df.sparkSession, out, files)
     elif kind == "parquet":
         df.select("body", "enqueuedTime", *[c for c in df.columns if c == "key"]).write.parquet(out)
     elif kind == "kafka":

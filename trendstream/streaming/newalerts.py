@@ -2,9 +2,17 @@
 
 Keyed state per topic holds the end of the topic's last alert window; an
 alert starts a new episode when its window starts at or after that end
-(plus an optional quiet gap).  Rows of one topic within a micro-batch are
-few (the windows that closed in that batch), so the per-group pandas work
-is bounded; the state is one timestamp per topic.
+(plus an optional quiet gap).  A group is one topic's alerts of a micro-batch,
+so the reader's micro-batches bound the pandas work; the state is one
+timestamp per topic.
+
+Episodes depend on the order of alerts, so micro-batches have to come in event
+time.  The files of an alert job's sink don't: each batch's alerts, days of event
+time, are spread over them by key.  To replay a history of alerts, write it in
+slices of event time with a fixed number of files each (``sources.topics``), read
+one slice a micro-batch, and allow the longest slice as the delay
+(``slice_delay``).  Alerts beyond the delay are dropped; the progress of the
+query counts them (``runner.rows_dropped_by_watermark``, ``ProgressCounts``).
 """
 
 from __future__ import annotations
@@ -12,6 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 OUTPUT_SCHEMA = "windowStart timestamp, windowEnd timestamp, topic string, count bigint"
@@ -46,12 +55,19 @@ def _episodes(quiet_seconds: float):
     return fn
 
 
-# Disorder tolerated between alert rows of one topic (alerts of a window
+# Disorder tolerated between alert rows of a live alert job (alerts of a window
 # are emitted once the upstream watermark passes its end, so they arrive
-# nearly in order).
+# nearly in order).  A replay takes its own from ``slice_delay``.
 ALERT_DELAY = "1 hour"
 
 
+def slice_delay(slices: list[DataFrame]) -> str:
+    """The longest event time that one of the slices of alert rows covers."""
+    at = F.unix_micros(F.col("windowStart").cast("timestamp"))
+    spans = [s.agg((F.max(at) - F.min(at)).alias("span")).first()["span"] or 0 for s in slices]
+    return f"{max(spans, default=0) // 1_000_000 + 1} seconds"
+
+
 def new_alerts_stream(alert_rows: DataFrame, quiet_seconds: float = 0,
                       delay: str = ALERT_DELAY) -> DataFrame:
     """Streaming alert rows -> rows that open a new episode per topic.
