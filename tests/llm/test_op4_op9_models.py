@@ -6,6 +6,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from trendstream.llm import langid, quality
 from trendstream.llm import queries as Q
@@ -85,6 +86,33 @@ def test_held_out_labels_are_never_learned_from(spark):
     assert langid.fit(docs) is None
 
 
+def test_repeated_ids_take_one_place_in_a_sample(spark, monkeypatch):
+    ids = [i for i in range(1, 200) if not held(i)][:60]
+    first = ids[0]
+    docs = spark.createDataFrame([(i, f"text number {i} {n}", "en", "s", 1) for i in ids for n in range(200 if i == first else 1)]
+                                 + [(first, t, "en", "s", 1) for t in (None, "")], DDL)
+    learned = []
+    monkeypatch.setattr(langid, "train", lambda windows, labels, names: learned.append(len(labels)))
+    monkeypatch.setattr(quality, "train", lambda ids, counts, label, weight, buckets: learned.append((len(ids), min(map(len, ids)))))
+    langid.fit(docs, sample=100)
+    langid.fit(docs.filter(F.col("doc_id") == first), sample=100)
+    langid.fit(docs.withColumn("doc_id", F.col("doc_id") % 2 * 0 + first), sample=100)
+    quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int"))
+    assert learned[:3] == [2 * len(ids), 2, 2]                          # each window whole and cut short
+    assert learned[3][0] == len(ids) and learned[3][1] > 1
+
+
+def test_a_much_repeated_id_leaves_the_sample_to_others(spark, monkeypatch):
+    ids = [i for i in range(1, 200) if not held(i)][:60]
+    learned = []
+    monkeypatch.setattr(langid, "train", lambda windows, labels, names: learned.append(len(labels)))
+    order = spark.createDataFrame([(i,) for i in ids], "i long").select("i", F.xxhash64("i", F.lit("en")).alias("h"))
+    top = order.orderBy("h").first().i                                  # sorts first, so its copies took the sample
+    docs = spark.createDataFrame([(i, f"text {i} {n}", "en", "s", 1) for i in ids for n in range(20 if i == top else 1)], DDL)
+    langid.fit(docs, sample=20)
+    assert learned == [2 * 20]
+
+
 def test_language_edge_rows(spark, mid):
     ship_package(spark)
     net = langid.fit(spark.read.parquet(f"{SF_MID}/documents.parquet"))

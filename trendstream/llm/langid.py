@@ -125,20 +125,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = (docs.filter(~held_out(F.col(quoted(id_col))) & F.col(quoted(lang_col)).isNotNull()
                          & F.col(quoted(text_col)).isNotNull())
              .select(F.xxhash64(F.col(quoted(id_col)), F.col(quoted(lang_col))).alias("h"),
-                     F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang")))
+                     F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang")).distinct())
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     frequent = [r["lang"] for r in counts.collect()]
     order = Window.partitionBy("lang").orderBy("h", "id")
     chosen = (known.join(F.broadcast(counts), "lang")                     # at most ``languages`` rows
               .filter(hash_below(F.col("h"), sample, F.col("n"))).withColumn("nth", F.row_number().over(order))
-              .filter(F.col("nth") <= sample).select("id", "lang").distinct())
+              .filter(F.col("nth") <= sample).select("id", "lang"))
     data = F.col(quoted(text_col)).cast("binary")
     span = F.greatest(F.octet_length(data) - WINDOW, F.lit(0))
     starts = [1 + F.floor(span * i / (WINDOWS_A_TEXT - 1)).cast("int") for i in range(WINDOWS_A_TEXT)]
-    # at most sample * languages ids
+    # at most sample * languages ids, one row each: of an id's texts the one whose windows sort last (so no empty one)
     rows = (docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang"),
                         F.array(*[F.substring(data, s, F.lit(WINDOW)) for s in starts]).alias("windows"))
-            .join(F.broadcast(chosen), ["id", "lang"])
+            .join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.max("windows").alias("windows"))
             .select("id", "lang", F.array_distinct("windows").alias("windows")).toPandas().sort_values(["id", "lang"], kind="stable"))
     parts = [(bytes(w), lang) for ws, lang in zip(rows["windows"], rows["lang"]) for w in ws if w]
     if not parts:

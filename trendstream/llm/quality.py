@@ -140,10 +140,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def features(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([document_features(t, buckets) for t in texts], columns=["ids", "counts"])
 
-    # at most 2 * sample rows of 24 bytes
+    # at most 2 * sample ids, one row each: of an id's texts the one that sorts last (so no empty one)
     rows = (docs.select(F.col(quoted(id_col)).cast("long").alias("id"),
                         text_or_empty(F.col(quoted(text_col))).alias("text"))
-            .join(F.broadcast(chosen), "id")
+            .join(F.broadcast(chosen), "id").groupBy("id", "label", "n").agg(F.max("text").alias("text"))
             .select("id", "label", "n", features("text").alias("f")).select("id", "label", "n", "f.*")
             .toPandas().sort_values(["id", "label"], kind="stable"))
     if rows.empty:
