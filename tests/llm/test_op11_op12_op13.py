@@ -1,0 +1,291 @@
+"""N-gram Jaccard components, Merkle manifest and filter audit against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from trendstream.llm import queries as Q
+from trendstream.llm.cells import count_cells
+from trendstream.llm.filter_audit import filter_audit, text_failures
+from trendstream.llm.jaccard import ngram_components, prefix_length
+from trendstream.llm.merkle import LOWER, UPPER, folded, manifest, sha
+from trendstream.plans.verify import compare
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def low(t):
+    return "".join(c.lower() if c.isascii() else c for c in t)
+
+
+# ------------------------------------------------------------------- op11
+def shingles(text, words=4):
+    w = WORD.findall(low(text or ""))
+    return frozenset(" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))) if w else frozenset()
+
+
+def brute_jaccard(rows, percent=85):
+    sets = [shingles(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        common = Counter(j for x in s for j in holders[x])
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for x in s:
+            holders[x].append(i)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[find(i)] = min(r[0], least.get(find(i), r[0]))
+    return Counter((r[0], len(s), least.get(find(i))) for i, (r, s) in enumerate(zip(rows, sets)))
+
+
+def text_rows():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(60)]
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (9, "One\tTWO "), (5, "one two three"), (6, "one two three four"),
+            (None, "one two three four"), (7, "É One two three"), (8, "é one two three"), (None, "lonely null words here now"),
+            (None, "lonely null words here now"), (12, "same id"), (12, "another text"), (12, "same id"),
+            (13, "\x1ca \x1ca b c d"), (14, "a a b c d"), (15, "x " * 30000), (16, "x " * 29999 + "y"),
+            (17, " ".join(word() for _ in range(20000)))]
+    base = [word() for _ in range(150)]
+    for i in range(260):                        # copies with none to four edits: few link with the first
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            copy[rng.randrange(len(copy))] = word()
+        rows.append((100 + i, " ".join(copy)))
+    for i in range(80):                         # a passage that many hold
+        rows.append((500 + i, " ".join([word() for _ in range(rng.randrange(1, 60))] + passage + [word() for _ in range(rng.randrange(3))])))
+    chain = [word() for _ in range(60)]
+    for i in range(12):                         # a chain, whose ends share little
+        rows.append((700 + i, " ".join(chain[i:i + 45])))
+    rows += [(800 + i, " ".join(base)) for i in range(50)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_jaccard_edge_rows(spark):
+    rows = text_rows()
+    df = spark.createDataFrame([(*r, "clash", 5, 6) for r in rows], "doc_id long, text string, uid string, n int, s1 int")
+    got = ngram_components(df.repartition(7)).collect()
+    assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == brute_jaccard(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 100])
+def test_jaccard_other_shares(spark, percent):
+    rows = random.Random(3).sample(text_rows(), 150)
+    got = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()
+    assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == brute_jaccard(rows, percent)
+
+
+def test_jaccard_empty_table(spark):
+    assert ngram_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+    one = ngram_components(spark.createDataFrame([(5, None)], "doc_id long, text string")).collect()
+    assert [(r.id, r.n_shingles, r.component_id) for r in one] == [(5, 0, 5)]
+
+
+def test_op11_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = Q.op11_ngram_jaccard(spark, SF_SMALL).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_jaccard(docs)
+
+
+def test_prefixes_of_linked_sets_meet_under_any_order():
+    rng = random.Random(2)
+    for _ in range(300):
+        a = set(rng.sample(range(60), rng.randrange(1, 50)))
+        b = (a - set(rng.sample(sorted(a), min(len(a) - 1, rng.randrange(4))))) | set(rng.sample(range(60, 70), rng.randrange(4)))
+        if 100 * len(a & b) < 85 * len(a | b):
+            continue
+        order = list(range(70))
+        rng.shuffle(order)
+        first = [set(sorted(s, key=order.index)[:prefix_length(len(s), 85)]) for s in (a, b)]
+        assert first[0] & first[1]
+
+
+def test_cells_add_up_over_many_tasks(spark):
+    df = spark.range(3000).repartition(70)
+    counts = count_cells(df, lambda b: iter([(b.column("id").to_numpy().astype(np.uint64) % np.uint64(3)) << np.uint64(60)]))
+    assert counts.sum() == 3000 and sorted(counts[counts > 0]) == [1000] * 3
+
+
+# ------------------------------------------------------------------- op12
+def brute_manifest(rows):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of (doc_id, text, lang, source, n_chars) rows."""
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def leaf_of(r, text):
+        return sha("".join(map(field, (r[0], r[3], r[2], r[4], text))))
+
+    def tree(nodes):
+        """Root, and for each node the sides of every step up."""
+        paths, at, level = [[] for _ in nodes], list(range(len(nodes))), list(nodes)
+        while len(level) > 1:
+            for k, i in enumerate(at):
+                run = i // 8 * 8
+                paths[k].append(("".join(level[run:i]), "".join(level[i + 1:run + 8])))
+            level = [sha("".join(level[i:i + 8])) for i in range(0, len(level), 8)]
+            at = [i // 8 for i in at]
+        return level[0], paths
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r[2]].append((r[0] is not None, r[0] or 0, leaf_of(r, r[1]), r))
+    names = sorted(parts, key=lambda p: (p is not None, (p or "").encode()))
+    trees = {p: tree([x[2] for x in sorted(parts[p], key=lambda x: x[:3])]) for p in names}
+    root, above = tree([trees[p][0] for p in names])
+    out = []
+    for p, up in zip(names, above):
+        for (_, _, was, r), path in zip(sorted(parts[p], key=lambda x: x[:3]), trees[p][1]):
+            now = was
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[1] is not None:
+                now = leaf_of(r, low(r[1]))
+            whole = path + up
+            found = folded(now, whole)
+            out.append((r[0], was, trees[p][0], root, sha("".join(a + b for a, b in whole)), found, found == root))
+    return Counter(out)
+
+
+def manifest_rows():
+    rng = random.Random(8)
+    rows = [(i, f"Text {i}" if i % 3 else "plain", "en", "s", i) for i in rng.sample(range(-3, 5000), 1100)]
+    rows += [(6000 + i, "Ä" * i, None, None, None) for i in range(9)] + [(7000, None, "one", "s", 2), (7001, "", "", "s", 0)]
+    rows += [(None, "A", "en", "s", 1), (None, "A", "en", "s", 1), (9 << 54, "B", "en", "s", 1), (8, "B" * 200000, "en", "s", 1)]
+    rows += [(7, "Same", "de", "s", 4)] * 5 + [(7, "Other", "de", "s", 4)] * 60
+    rows += [(8000 + i, "T", f"l{i}", "s", 1) for i in range(70)]
+    rng.shuffle(rows)
+    return rows
+
+
+def tampering(df):
+    return manifest(df, where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+                    tampered={"text": F.translate("text", UPPER, LOWER)})
+
+
+def test_manifest_edge_rows(spark):
+    rows = manifest_rows()
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long, part string, pos long")
+    got = tampering(df.repartition(6)).collect()
+    assert Counter((r.id, r.leaf, r.subroot, r.root, r.proof, r.folded_root, r.verified) for r in got) == brute_manifest(rows)
+    assert any(not r.verified for r in got) and any(r.verified for r in got)
+
+
+def test_manifest_paths_prove_each_leaf(spark):
+    rows = manifest_rows()[:700]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for r in manifest(df, keep_path=True).collect():
+        assert folded(r.leaf, [(p.left, p.right) for p in r.path]) == r.root and r.verified
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "A", "en", "s", 1)], [(None, None, None, None, None)]])
+def test_manifest_of_few_rows(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = tampering(df).collect()
+    want = brute_manifest(rows) if rows else Counter()
+    assert Counter((r.id, r.leaf, r.subroot, r.root, r.proof, r.folded_root, r.verified) for r in got) == want
+    if rows:
+        assert got[0].leaf == got[0].root and got[0].proof == hashlib.sha256(b"").hexdigest()
+
+
+def test_op12_query(spark, duck_small):
+    ok, msg = compare(Q.op12_merkle_manifest(spark, SF_SMALL), duck_small, Q.ORACLES["op12_merkle_manifest"])
+    assert ok, msg
+
+
+# ------------------------------------------------------------------- op13
+def brute_audit(rows, labels):
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    least = {}
+    for r in rows:
+        if r[0] is not None:
+            least[r[1] or ""] = min(r[0], least.get(r[1] or "", r[0]))
+    parts = defaultdict(list)
+    for i, text, part in rows:
+        t = text or ""
+        w = WORD.findall(t)
+        fails = {"A": len(w) < 100, "B": 100 * len(set(w)) < 80 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": t in least and (i is None or least[t] < i)}
+        parts[part or ""].append(({f for f, x in fails.items() if x}, i in good, i in toxic))
+    out = Counter()
+    for part, docs in parts.items():
+        shapley, steps = Counter(), []
+        for order in permutations("ABCDE"):
+            for k, f in enumerate(order):
+                removed = [d for d in docs if f in d[0] and not d[0] & set(order[:k])]
+                shapley[f] += len(removed)
+                steps.append((part, "".join(order), k + 1, sum(not d[0] & set(order[:k + 1]) for d in docs), len(removed),
+                              sum(f in d[0] for d in docs) - len(removed), sum(d[0] == {f} for d in docs),
+                              sum(d[1] for d in removed), sum(d[2] for d in removed)))
+        out.update((*s, shapley[s[1][s[2] - 1]]) for s in steps)
+    return out
+
+
+def audit_rows():
+    rng = random.Random(5)
+    words = ["alpha", "Beta", "GAMMA", "x#", "d|", "plain", "été", "Ж"]
+    rows = [(1, None, "en"), (2, "", None), (3, " \t ", ""), (None, "", "en"), (None, "A", "xx"), (None, "A", "xx"), (4, "A", "xx"),
+            (5, "same", "en"), (5, "same", "en"), (6, "same", "en"), (7, "w " * 40000, "en"), (8, "A" * 5 + "b" * 45, "en"),
+            (9, "A" * 5 + "b" * 44, "en"), (10, " ".join(f"w{i}" for i in range(100)), "en"), (11, " ".join(f"w{i}" for i in range(99)), "en"),
+            (12, " ".join([f"w{i}" for i in range(80)] + ["w1"] * 20), "en"), (13, " ".join([f"w{i}" for i in range(79)] + ["w1"] * 21), "en")]
+    rows += [(20 + i, " ".join(rng.choice(words) + str(rng.randrange(400)) * (i % 2) for _ in range(rng.choice([3, 120]))),
+              rng.choice(["en", "de"])) for i in range(60)]
+    rows += [(90 + i, "hot copy", "de") for i in range(80)]
+    return rows
+
+
+def audit_labels():
+    return [(1, 1, 0), (5, 1, 1), (20, 0, 1), (20, 1, 0), (21, None, None), (None, 1, 1), (95, 1, 0), (90, 1, 0), (9999, 1, 1)] \
+        + [(22 + i, i % 2, (i + 1) % 2) for i in range(30)]
+
+
+COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def test_audit_edge_rows(spark):
+    rows, labels = audit_rows(), audit_labels()
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lang string, uid int, part string")
+    marks = spark.createDataFrame([(*x, "clash") for x in labels], "doc_id long, quality int, toxic int, good string")
+    got = filter_audit(df.repartition(5), marks).collect()
+    assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == brute_audit(rows, labels)
+    assert {r.filter_order[r.step - 1] == r["filter"] for r in got} == {True}
+
+
+def test_audit_empty_tables(spark):
+    docs, marks = "doc_id long, text string, lang string", "doc_id long, quality int, toxic int"
+    assert filter_audit(spark.createDataFrame([], docs), spark.createDataFrame([], marks)).collect() == []
+    rows = [(1, "#", "en"), (2, "#", None)]
+    got = filter_audit(spark.createDataFrame(rows, docs), spark.createDataFrame([], marks)).collect()
+    assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == brute_audit(rows, [])
+
+
+def test_limits_of_the_filters(spark):
+    texts = [" ".join(f"w{i}" for i in range(99)), " ".join(f"w{i}" for i in range(100)), "A" + "b" * 9, "AB" + "b" * 9, "a*", "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select(*[c.alias(f) for f, c in text_failures(F.col("text")).items()]).collect()
+    assert [r.A for r in got][:2] == [True, False]
+    assert [r.C for r in got][2:4] == [False, True]
+    assert [r.D for r in got][4:] == [True, False]
+
+
+def test_op13_query(spark, duck_small):
+    ok, msg = compare(Q.op13_filter_audit(spark, SF_SMALL), duck_small, Q.ORACLES["op13_filter_audit"])
+    assert ok, msg

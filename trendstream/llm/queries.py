@@ -161,3 +161,98 @@ def op7_mixing(spark, sf_dir):
     from trendstream.llm.mixing import with_rates
     mixed = with_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX)
     return mixed.select("doc_id", "source", *[c for c in mixed.columns if c.startswith("p_")], "tokens", "rate", "copies")
+
+
+@query()
+def op11_ngram_jaccard(spark, sf_dir):
+    from trendstream.llm.jaccard import ngram_components
+    found = ngram_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+           FROM documents),
+     m AS (SELECT d.part,
+                  CAST(len(words) < 100 AS INT)
+                  + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+                  + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
+                  + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+                  + 16 * CAST(d.doc_id > min(d.doc_id) OVER (PARTITION BY text) AS INT) AS fails,
+                  coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+           FROM d LEFT JOIN labels l USING (doc_id)),
+     c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+                  count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY ALL),
+     f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+     o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                  [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+     s AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS done
+           FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+     r AS (SELECT part, filter_order, CAST(step AS INT) AS step, bit,
+                  sum(CASE WHEN fails & (done | bit) = 0 THEN n ELSE 0 END) AS kept,
+                  sum(CASE WHEN fails & bit <> 0 AND fails & done = 0 THEN n ELSE 0 END) AS removed,
+                  sum(CASE WHEN fails & bit <> 0 AND fails & done <> 0 THEN n ELSE 0 END) AS redundant,
+                  sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+                  sum(CASE WHEN fails & bit <> 0 AND fails & done = 0 THEN good ELSE 0 END) AS good_lost,
+                  sum(CASE WHEN fails & bit <> 0 AND fails & done = 0 THEN toxic ELSE 0 END) AS toxic_lost
+           FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r""")
+def op13_filter_audit(spark, sf_dir):
+    from trendstream.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
+
+
+def _merkle_sql(levels: int = 7, upper_levels: int = 3) -> str:
+    """Levels of the trees one after the other (8 ** 7 rows a language, 8 ** 3 languages)."""
+    def field(c):
+        v = f"CAST({c} AS VARCHAR)"
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({v}) || ':' || {v} END"
+
+    def digest(text):
+        return "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte_step = "list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))"
+    crc = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: CAST(ord(c) AS BIGINT))), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))")
+    sql = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: {byte_step}) AS t),
+     d AS (SELECT doc_id, lang, {digest('text')} AS leaf,
+                  CASE WHEN {crc} % 3 = 0 THEN {digest(lowered)} ELSE {digest('text')} END AS f
+           FROM documents, crc),
+     l0 AS (SELECT doc_id, lang, leaf, coalesce('-' || lang, '') AS g, leaf AS h, f, '' AS proof,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i, '' AS subroot FROM d)"""
+    for k in range(levels + upper_levels):
+        source = f"l{k}"
+        if k == levels:
+            sql += f""",
+     upper AS (SELECT * REPLACE (h AS subroot, '' AS g, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS i) FROM l{k})"""
+            source = "upper"
+        sql += f""",
+     p{k} AS (SELECT g, i, count(*) OVER (PARTITION BY g) > 1 AS many,
+                     coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                     coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r,
+                     sha256(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS up
+              FROM (SELECT DISTINCT g, i, h FROM {source}) WINDOW w AS (PARTITION BY g, i // 8 ORDER BY i)),
+     l{k + 1} AS (SELECT doc_id, lang, leaf, g, CASE WHEN many THEN up ELSE h END AS h,
+                         CASE WHEN many THEN sha256(l || f || r) ELSE f END AS f,
+                         CASE WHEN many THEN proof || l || r ELSE proof END AS proof,
+                         CASE WHEN many THEN i // 8 ELSE i END AS i, subroot
+                  FROM {source} JOIN p{k} USING (g, i))"""
+    return sql + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM l{levels + upper_levels}"""
+
+
+@query(_merkle_sql())
+def op12_merkle_manifest(spark, sf_dir):
+    from trendstream.llm.merkle import LOWER, UPPER, manifest
+    found = manifest(table(spark, sf_dir, "documents"), where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+                     tampered={"text": F.translate("text", UPPER, LOWER)})
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+                        "folded_root", "verified")
