@@ -62,6 +62,19 @@ def alert_json(window_start="windowStart", window_end="windowEnd", topic="topic"
         _c(count).cast("bigint").alias("count")), _JSON_KEEP_NULLS)
 
 
+def one_json_object(body="body") -> Column:
+    """Whether the whole text is exactly one JSON object: no other value, nothing behind it but white space.
+
+    Spark's parsers stop after the first value.  Inside an array a text that goes
+    on has to close the array or add an element, inside an object it has to close
+    the object or add a field; one object alone is right in both.
+    """
+    c = _c(body)
+    in_array = F.json_array_length(F.concat(F.lit("["), c, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"a":'), c, F.lit("}")))
+    return F.coalesce(c.rlike("^[ \\t\\r\\n]*\\{") & (in_array == 1) & in_object.isNotNull(), F.lit(False))
+
+
 def parse_alert(body="body") -> Column:
-    """Alert payload to struct, all fields as text; NULL unless the whole payload is one JSON value."""
-    return F.when(F.try_parse_json(_c(body)).isNotNull(), F.from_json(_c(body), ALERT_TEXT))
+    """Alert payload to struct, all fields as text; NULL unless the whole payload is one JSON object."""
+    return F.when(one_json_object(body), F.from_json(_c(body), ALERT_TEXT))

@@ -629,6 +629,79 @@ def watch_finds_fresh_alert(spark, sf_dir):
         F.lit(found[0]).alias("found"), F.lit(found[1]).alias("found_later"))
 
 
+# ------------------------------------------------- jobs under a limit
+# Fixture (fixed values): payloads of a topic's file, and the alert threshold of its sparse topics.
+LIMITED_ROWS_PER_FILE, LIMITED_THRESHOLD = 1500, 2
+
+_POST_TOPICS = ("SELECT ts, unnest([upper(event_type[1]) || event_type[2:], chr(CAST(65 + user_id % 20 AS INT)) || 'roup']) "
+                "AS topic FROM events")
+_POST_CLOSED_SQL = f"""
+    SELECT * FROM ({_window_counts_sql(rows=_POST_TOPICS)})
+    WHERE windowEnd <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AND count >= {LIMITED_THRESHOLD}"""
+
+
+def _limited_pipeline(spark, sf_dir, rows_per_file: int = LIMITED_ROWS_PER_FILE, parts: int = 2):
+    """Posts of the events through the configured jobs, one file a micro-batch; the
+    later half of the history is ingested first."""
+    from trendstream.session import fresh_path
+    from trendstream.streaming import jobs as J
+    cfg = J.PipelineConfig(root=fresh_path(spark, "limited"), max_files_per_trigger=1, threshold=LIMITED_THRESHOLD,
+                           rows_per_file=rows_per_file)
+    posts = FX.event_posts(spark, sf_dir)
+    from trendstream.sources.topics import time_slices
+    for part in reversed(time_slices(posts, "created_at", parts)):
+        J.ingest_job(part, cfg, time_col="created_at")
+    J.enrichment_job(spark, cfg).awaitTermination()
+    return cfg
+
+
+@register("limited_alerts_job", _POST_CLOSED_SQL)
+def limited_alerts_job(spark, sf_dir):
+    """Ingest, enrichment and alert job with one file in each micro-batch: no window is lost."""
+    from trendstream.operators import watch as W
+    from trendstream.streaming import jobs as J
+    from trendstream.streaming.runner import ProgressCounts
+    cfg, counts = _limited_pipeline(spark, sf_dir), ProgressCounts()
+    spark.streams.addListener(counts)
+    try:
+        counts.complete(J.alerts_job(spark, cfg))
+    finally:
+        spark.streams.removeListener(counts)
+    alerts = W.parsed_alerts(cfg.read(spark, cfg.alerts_topic, stream=False))
+    return alerts.select(F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
+                         F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count")
+
+
+# Start time of the read that opens only later files (fixed value).
+READ_SINCE = "2024-01-20 12:00:00"
+
+
+@register("topic_read_since", f"""
+    SELECT event_id, ts AS timestamp FROM events WHERE ts >= TIMESTAMP '{READ_SINCE}'""")
+def topic_read_since(spark, sf_dir):
+    """A bounded read of the enriched topic from a time on: the manifest tells which files to open."""
+    from trendstream.sources.timeline import read_since
+    from trendstream.streaming.ingest import enriched_time
+    cfg = _limited_pipeline(spark, sf_dir)
+    dec = T.decode_enriched(read_since(spark, cfg.enriched_topic, "text", READ_SINCE, enriched_time()))
+    return dec.select(F.col("id").cast("bigint").alias("event_id"), T.event_time(dec, "timestamp").alias("timestamp"))
+
+
+@register("topic_manifest", """
+    SELECT count(*) AS payloads, min(ts) AS lowest, max(ts) AS highest, true AS in_order FROM events""")
+def topic_manifest(spark, sf_dir):
+    """The enriched topic's manifest: all payloads, and files of a write that don't overlap in time."""
+    from pyspark.sql import Window
+    from trendstream.sources.timeline import manifest
+    cfg = _limited_pipeline(spark, sf_dir)
+    files = manifest(spark, cfg.enriched_topic)                       # one row a file
+    before = F.max("highest").over(Window.partitionBy("write").orderBy("lowest", "file").rowsBetween(
+        Window.unboundedPreceding, -1))
+    return files.withColumn("after", F.coalesce(F.col("lowest") >= before, F.lit(True))).agg(
+        F.sum("rows").alias("payloads"), F.min("lowest").cast("timestamp_ntz").alias("lowest"),
+        F.max("highest").cast("timestamp_ntz").alias("highest"), F.bool_and("after").alias("in_order"))
+
+
 # ------------------------------------------- run kinds, consumers, hooks
 @register("stream_memory_view", f"SELECT * FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}")
 def stream_memory_view(spark, sf_dir):
@@ -875,11 +948,12 @@ def stream_enriched_documents(spark, sf_dir):
     """Ingest documents to the raw topic, enrich them as a stream, read the enriched topic."""
     from trendstream.session import fresh_path
     from trendstream.sources.topics import read_topic
-    from trendstream.streaming.ingest import ENRICH, ingest, start_enrichment
+    from trendstream.sources.timeline import ORDERED
+    from trendstream.streaming.ingest import ingest, start_enrichment
     raw, enriched = fresh_path(spark, "topic-raw"), fresh_path(spark, "topic-enriched")
     ingest(FX.document_messages(spark, sf_dir), raw)
     start_enrichment(spark, raw, enriched, enriched + ".chk").awaitTermination()
-    dec = T.decode_enriched(read_topic(spark, enriched, "text", stream=False, producers=(ENRICH,)))
+    dec = T.decode_enriched(read_topic(spark, enriched, "text", stream=False, producers=(ORDERED,)))
     return dec.select("content", "language", "entities")
 
 

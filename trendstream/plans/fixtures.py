@@ -47,3 +47,11 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").alias("id"), "text", "lang", "source")
+
+
+def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts whose text names two topics, the event's type and its user's group, as capitalised words."""
+    ev = read_table(spark, sf_dir, "events")
+    group = F.concat(F.char((F.col("user_id") % 20 + 65).cast("bigint")), F.lit("roup"))
+    return ev.select(F.col("event_id").alias("id"), F.concat_ws(" by ", F.initcap("event_type"), group).alias("text"),
+                     F.col("ts").alias("created_at"))

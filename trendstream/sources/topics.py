@@ -15,6 +15,8 @@ appends are complete once they are there (an aborted attempt stays in a hidden
 folder), so they are read through one glob.  A streaming sink's folder also
 holds files of aborted attempts, which only its commit log tells from the
 others, so it is read by its own path: name such producers when reading.
+Writes in event-time order (``sources.timeline``) share the folder ``ordered``,
+which streams name as a producer too.
 Each consumer's checkpoint records which files it has already processed.
 """
 
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstream.schemas import RAW
+from trendstream.sources.timeline import ORDERED
 
 
 def _folder(spark: SparkSession, path: str, kind: str, stream: bool, opts: dict) -> DataFrame | None:
@@ -64,6 +67,8 @@ def read_topic(spark: SparkSession, path: str, kind: str = "text", stream: bool
             for p in producers:
                 _ensure_folder(spark, producer_path(path, p))
         names = [*producers, "batch-*"]
+        if not stream and ORDERED not in producers:
+            names.append(ORDERED)
         found = [df for df in (_folder(spark, producer_path(path, p), kind, stream, opts) for p in names)
                  if df is not None]
         if not found:

@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from trendstream.operators import history as H
 from trendstream.operators import trends as TR
+from trendstream.sources.timeline import ORDERED, ROWS_PER_FILE, arrange
 from trendstream.sources.topics import producer_path, read_topic
 from trendstream.streaming import ingest as I
 from trendstream.streaming import pipelines as P
-from trendstream.streaming.runner import start
+from trendstream.streaming.runner import ProgressCounts, start
 
 
 @dataclass
@@ -45,6 +46,8 @@ class PipelineConfig:
     # most files (file topics) or offsets (broker topics) in a micro-batch
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
+    # payloads of a file of the raw and enriched topics, which are in event-time order
+    rows_per_file: int = ROWS_PER_FILE
     extra: dict = field(default_factory=dict)
 
     def _topic(self, name):
@@ -67,7 +70,7 @@ class PipelineConfig:
             limit = {"maxOffsetsPerTrigger": str(self.max_offsets_per_trigger)} \
                 if stream and self.max_offsets_per_trigger else {}
             return read_topic(spark, topic, "kafka", stream=stream, options={**self.topic_options, **limit})
-        producer = {self.raw_topic: I.INGEST, self.enriched_topic: I.ENRICH, self.alerts_topic: I.ALERTS}[topic]
+        producer = I.ALERTS if topic == self.alerts_topic else ORDERED
         return read_topic(spark, topic, file_kind, stream=stream, producers=(producer,),
                           max_files_per_trigger=self.max_files_per_trigger)
 
@@ -96,7 +99,7 @@ def ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = Non
             posts = posts.where(~F.coalesce(F.col("isShareOrRetweet"), F.lit(False)))
         write_topic(produce_raw(posts, "text", time_col, I._key(posts)), cfg.raw_topic, "kafka", cfg.topic_options)
     else:
-        I.ingest(posts, cfg.raw_topic, time_col=time_col)
+        I.ingest(posts, cfg.raw_topic, time_col=time_col, rows_per_file=cfg.rows_per_file)
 
 
 def continuous_ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str | None = None):
@@ -107,14 +110,15 @@ def continuous_ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str |
         return start(raw.withColumnRenamed("body", "value").drop("enqueuedTime"), checkpoint=cfg.checkpoint("ingest"),
                      mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.raw_topic, I.INGEST))
     return I.start_ingest(posts, cfg.raw_topic, cfg.checkpoint("ingest"), time_col=time_col, mode=cfg.mode,
-                          interval=cfg.interval)
+                          interval=cfg.interval, rows_per_file=cfg.rows_per_file)
 
 
 def enrichment_job(spark: SparkSession, cfg: PipelineConfig):
     if cfg.topic_kind == "files":
+        _in_order(spark, cfg, cfg.raw_topic, "enrich")
         return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
                                   mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval,
-                                  max_files_per_trigger=cfg.max_files_per_trigger)
+                                  max_files_per_trigger=cfg.max_files_per_trigger, rows_per_file=cfg.rows_per_file)
     from trendstream.operators import enrich as ER
     bodies = P.enriched_bodies(ER.enrich(cfg.read(spark, cfg.raw_topic), gazetteer=cfg.gazetteer))
     return start(bodies.select(F.col("body").alias("value")), checkpoint=cfg.checkpoint("enrich"),
@@ -127,7 +131,17 @@ def history_job(spark: SparkSession, cfg: PipelineConfig):
                           interval=cfg.interval)
 
 
+def _in_order(spark: SparkSession, cfg: PipelineConfig, topic: str, job: str) -> None:
+    """A job that starts on a backlog takes its files by event time, whatever the order of their writes."""
+    begun = spark._jvm.org.apache.hadoop.fs.Path(cfg.checkpoint(job) + "/offsets")
+    if not begun.getFileSystem(spark._jsc.hadoopConfiguration()).exists(begun):
+        arrange(spark, topic)
+
+
 def alerts_job(spark: SparkSession, cfg: PipelineConfig):
+    """Sliding counts over the enriched topic (``ProgressCounts.complete`` waits for a run and makes dropped rows an error)."""
+    if cfg.topic_kind == "files":
+        _in_order(spark, cfg, cfg.enriched_topic, "alerts")
     alerts = P.alerts(cfg.read(spark, cfg.enriched_topic), cfg.threshold,
                       cfg.length, cfg.slide, cfg.delay)
     return start(P.alert_bodies(alerts).select(F.col("body").alias("value")),
@@ -151,7 +165,12 @@ def run_once(spark: SparkSession, cfg: PipelineConfig, posts: DataFrame,
     initialize(spark, cfg)
     ingest_job(posts, cfg, time_col)
     enrichment_job(spark, cfg).awaitTermination()
-    qh, qa = history_job(spark, cfg), alerts_job(spark, cfg)
-    qh.awaitTermination()
-    qa.awaitTermination()
+    counts = ProgressCounts()
+    spark.streams.addListener(counts)
+    try:
+        qh, qa = history_job(spark, cfg), alerts_job(spark, cfg)
+        qh.awaitTermination()
+        counts.complete(qa)
+    finally:
+        spark.streams.removeListener(counts)
     H.refresh_partitions(spark, cfg.table)

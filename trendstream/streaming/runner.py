@@ -82,6 +82,19 @@ class ProgressCounts(StreamingQueryListener):
     def dropped(self, q: StreamingQuery) -> int:
         return sum(b[1] for b in self.batches.get(str(q.id), []))
 
+    def complete(self, q: StreamingQuery, seconds: float = 60.0) -> None:
+        """Wait for a bounded run and its progress; rows that were dropped as late are an error."""
+        import time
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        last, end = q.lastProgress, time.monotonic() + seconds
+        want = len({p["batchId"] for p in q.recentProgress}) if last else 0
+        while len(self.batches.get(str(q.id), [])) < want and time.monotonic() < end:
+            time.sleep(0.05)
+        if self.dropped(q):
+            raise RuntimeError(f"{self.dropped(q)} rows came too late and were dropped")
+
     def most_state(self, q: StreamingQuery) -> int:
         return max((b[2] for b in self.batches.get(str(q.id), [])), default=0)
 
