@@ -892,13 +892,76 @@ def service_reply_parsed(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", SV.reply_language(reply).alias("language"))
 
 
-@register("stream_new_alerts", f"""
+_NEW_CLOSED_SQL = f"""
     SELECT windowStart, windowEnd, topic, count FROM (
       SELECT *, lag(windowEnd) OVER (PARTITION BY topic ORDER BY windowStart) AS prev_end
       FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD})
-    WHERE prev_end IS NULL OR windowStart >= prev_end""")
+    WHERE prev_end IS NULL OR windowStart >= prev_end"""
+
+# Files of the shuffled alerts topic, at least (fixed value): one is read a micro-batch.
+SHUFFLED_FILES = 10
+
+
+@register("stream_new_alerts", _NEW_CLOSED_SQL)
 def stream_new_alerts(spark, sf_dir):
-    """events -> enriched topic -> alerts topic (JSON) -> stateful new-episode stream."""
+    """events -> enriched topic -> alerts topic (JSON, shuffled) -> episodes, one file of the topic a micro-batch."""
+    topic, span, last = _shuffled_alerts_topic(spark, sf_dir)
+    return _read_alert_sink(spark, _run_episodes(spark, topic, span, last))
+
+
+def _shuffled_alerts_topic(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD):
+    """Alert payloads in no order of time over several files; the span of their event times and its end."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import write_topic
+    from trendstream.streaming import pipelines as P
+    alerts = _raised_alerts(spark, sf_dir, threshold)
+    at = F.unix_micros("windowStart")
+    found = alerts.agg(F.count(F.lit(1)).alias("n"), (F.max(at) - F.min(at)).alias("span"), F.max("windowStart").alias("last")).first()
+    shuffled = fresh_path(spark, "topic-alerts")
+    mixed = P.alert_bodies(alerts.repartition(max(SHUFFLED_FILES, found["n"] // 100_000), F.xxhash64("topic", "windowStart")))
+    write_topic(mixed, shuffled, "text")
+    return shuffled, f"{(found['span'] or 0) // 1_000_000 + 1} seconds", found["last"]
+
+
+def _run_episodes(spark, topic: str, delay: str, last, limit: int = 1) -> str:
+    """The episode stream over a topic, brought to its end by a heartbeat."""
+    import datetime as dt
+    from trendstream.operators import watch as W
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic, write_topic
+    from trendstream.streaming.episodes import alert_episodes, heartbeat, rocksdb_state
+    from trendstream.streaming.runner import ProgressCounts, start
+    out, counts = fresh_path(spark, "new-alerts"), ProgressCounts()
+    end = (last or dt.datetime(2000, 1, 1)) + dt.timedelta(seconds=2 * TR.interval_seconds(delay))
+    write_topic(heartbeat(spark, end), topic, "text")
+    alerts = W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=limit))
+    spark.streams.addListener(counts)
+    try:
+        with rocksdb_state(spark):
+            q = start(alert_episodes(alerts, delay=delay), sink="parquet", path=out, checkpoint=out + ".chk")
+        counts.complete(q)
+    finally:
+        spark.streams.removeListener(counts)
+    return out
+
+
+def _raised_alerts(spark, sf_dir, threshold: int) -> DataFrame:
+    """The alert job's rows, read back from its topic."""
+    from trendstream.operators import watch as W
+    from trendstream.session import fresh_path, materialize
+    from trendstream.sources.topics import producer_path, read_topic
+    from trendstream.streaming import pipelines as P
+    from trendstream.streaming.runner import run_once
+    topic, raised = _enriched_topic(spark, sf_dir), fresh_path(spark, "topic-raised")
+    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold))
+             .select(F.col("body").alias("value")),
+             sink="text", path=producer_path(raised, "alerts"), checkpoint=raised + ".chk")
+    return materialize(W.parsed_alerts(read_topic(spark, raised, "text", stream=False, producers=("alerts",))), "alerts")
+
+
+@register("stream_new_alerts_at_once", _NEW_CLOSED_SQL)
+def stream_new_alerts_at_once(spark, sf_dir):
+    """The form that answers at once, over a topic in event-time slices."""
     from trendstream.session import fresh_path
     topic, delay = _alerts_topic(spark, sf_dir)
     out = fresh_path(spark, "new-alerts")
@@ -908,19 +971,12 @@ def stream_new_alerts(spark, sf_dir):
 
 def _alerts_topic(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD) -> tuple[str, str]:
     """The alert job's payloads, put in event-time slices, and the delay that covers a slice."""
-    from trendstream.operators import watch as W
-    from trendstream.session import fresh_path, materialize
-    from trendstream.sources.topics import producer_path, read_topic, time_slices, write_topic
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import time_slices, write_topic
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.newalerts import slice_delay
-    from trendstream.streaming.runner import run_once
-    topic = _enriched_topic(spark, sf_dir)
-    raised, alerts_topic = fresh_path(spark, "topic-raised"), fresh_path(spark, "topic-alerts")
-    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold))
-             .select(F.col("body").alias("value")),
-             sink="text", path=producer_path(raised, "alerts"), checkpoint=raised + ".chk")
-    alerts = materialize(W.parsed_alerts(read_topic(spark, raised, "text", stream=False, producers=("alerts",))), "alerts")
-    slices = time_slices(alerts, "windowStart", SLICES)
+    alerts_topic = fresh_path(spark, "topic-alerts")
+    slices = time_slices(_raised_alerts(spark, sf_dir, threshold), "windowStart", SLICES)
     for part in slices:
         write_topic(P.alert_bodies(part), alerts_topic, "text", files=FILES_A_SLICE)
     return alerts_topic, slice_delay(slices)
