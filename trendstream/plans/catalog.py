@@ -214,15 +214,38 @@ def message_defaults(spark, sf_dir):
     return SM.read_messages_json(spark, path)
 
 
-@register("search_topic_lang", f"""
+_SEARCH_SQL = f"""
     SELECT doc_id AS id, text, lang, source FROM documents
     WHERE contains(lower(text), '{SEARCH_QUERY}') AND lang = '{SEARCH_LANG}'
-    ORDER BY doc_id DESC LIMIT 100""")
+    ORDER BY doc_id DESC LIMIT 100"""
+
+
+@register("search_topic_lang", _SEARCH_SQL)
 def search_topic_lang(spark, sf_dir):
+    """One page by the trigram index: texts are read for the newest candidates only."""
+    from trendstream.operators import paging as PG
+    from trendstream.operators.search_index import TextIndex
+    index = TextIndex.build(FX.document_messages(spark, sf_dir))
+    return index.search(SEARCH_QUERY, SEARCH_LANG, PG.PAGE_SIZE)
+
+
+@register("search_topic_lang_scan", _SEARCH_SQL)
+def search_topic_lang_scan(spark, sf_dir):
     from trendstream.operators import paging as PG
     return PG.search(FX.document_messages(spark, sf_dir), SEARCH_QUERY, SEARCH_LANG, PG.PAGE_SIZE)
 
 
+@register("search_index_candidates", """
+    SELECT doc_id AS id, contains(lower(text), 'andre') AS matches FROM documents
+    WHERE contains(lower(text), 'and') AND contains(lower(text), 'ndr') AND contains(lower(text), 'dre')""")
+def search_index_candidates(spark, sf_dir):
+    """What the index proposes for a query, and which of it are matches."""
+    from trendstream.operators.search_index import TextIndex
+    index = TextIndex.build(FX.document_messages(spark, sf_dir))
+    found = index.texts().join(index.candidates("andre").hint("merge"), "place", "left_semi")
+    return found.select("id", F.contains(F.lower("text"), F.lit("andre")).alias("matches"))
+
+
 _PAGES_SQL = f"""
     SELECT doc_id AS id, text, lang, source, row_number() OVER (ORDER BY doc_id DESC) AS rank,
            CAST(ceil(row_number() OVER (ORDER BY doc_id DESC) / 100) AS BIGINT) AS page

@@ -102,12 +102,24 @@ class SearchSource:
         return SearchPage(page, request, cursor)
 
 
+class IndexedSource:
+    """Searches a trigram index of posts (``operators.search_index``)."""
+
+    def __init__(self, index):
+        self._index = index
+
+    def search(self, request: SearchRequest) -> SearchPage:
+        page = self._index.search(request.query, request.lang, request.count,
+                                  request.max_id if request.max_id >= 0 else None)
+        return SearchPage(page, request, PG.next_cursor(page))
+
+
 # Session setting naming the built-in message file of the fixed source.
 DEFAULT_MESSAGES_CONF = "trendstream.messages.path"
 
 
 def reader(kind: str, spark: SparkSession, **kw):
-    """Source by name: 'search' or 'fixed'; anything else is an error.
+    """Source by name: 'search', 'index' or 'fixed'; anything else is an error.
 
     ``fixed`` without a path or DataFrame reads the file named by the
     session setting ``trendstream.messages.path``.
@@ -115,6 +127,8 @@ def reader(kind: str, spark: SparkSession, **kw):
     k = kind.lower()
     if k == "search":
         return SearchSource(kw["posts"])
+    if k == "index":
+        return IndexedSource(kw["index"])
     if k == "fixed":
         path = kw.get("path")
         if path is None and kw.get("messages") is None:

@@ -20,15 +20,17 @@ start the query inside ``rocksdb_state``.
 from __future__ import annotations
 
 import datetime as _dt
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from trendstream.functions import codec
-from trendstream.session import ROCKSDB_PROVIDER, ship_package
+from trendstream.session import ROCKSDB_PROVIDER
 
 OUTPUT_SCHEMA = "windowStart timestamp, windowEnd timestamp, topic string, count bigint"
 ALERT_DELAY = "1 hour"
@@ -97,12 +99,17 @@ def alert_episodes(alert_rows: DataFrame, quiet_seconds: float = 0, delay: str =
     Rows without a topic (heartbeats) only move event time on.  An alert
     delivered again counts once.
     """
-    ship_package(alert_rows.sparkSession)
     rows = (alert_rows.where(F.col("windowStart").isNotNull() & F.col("windowEnd").isNotNull())
             .withWatermark("windowStart", delay)
             .select("windowStart", "topic", F.unix_micros("windowStart").alias("start"),
                     F.unix_micros("windowEnd").alias("end"), "count"))
-    return rows.groupBy("topic").transformWithState(Episodes(quiet_seconds), OUTPUT_SCHEMA, "append", "EventTime")
+    # the driver's worker for state has no shipped packages: the processor travels by value
+    here = sys.modules[__name__]
+    cloudpickle.register_pickle_by_value(here)
+    try:
+        return rows.groupBy("topic").transformWithState(Episodes(quiet_seconds), OUTPUT_SCHEMA, "append", "EventTime")
+    finally:
+        cloudpickle.unregister_pickle_by_value(here)
 
 
 def heartbeat(spark: SparkSession, at: _dt.datetime) -> DataFrame:
