@@ -162,3 +162,12 @@ def test_warc_empty_table(spark):
 def test_op8_query(spark, duck_small):
     ok, msg = compare(Q.op8_warc(spark, SF_SMALL), duck_small, Q.ORACLES["op8_warc"])
     assert ok, msg
+
+
+def test_reading_tasks_go_by_bytes(spark, monkeypatch):
+    from trendstream.llm import warc
+    rows = [(i, f"http://h/{i}", f"{i:09d}" * 3000) for i in range(120)]
+    index = write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6))
+    monkeypatch.setattr(warc, "TASK_BYTES", 1 << 10)
+    tasks = read_warc(index).select("page_id", F.spark_partition_id().alias("t")).collect()
+    assert len(tasks) == 120 and len({r.t for r in tasks}) > 1

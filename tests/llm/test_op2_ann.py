@@ -82,6 +82,22 @@ def test_edge_rows_ties_copies_and_few_candidates(spark):
     assert np.allclose([s for q in want for _, s in got[q]], [s for q in want for _, s in want[q]], atol=1e-12)
 
 
+def test_equidistant_distinct_vectors_by_smallest_id(spark):
+    """Far more distinct vectors at the same distance than are asked for, in any order of arrival."""
+    ship_package(spark)
+    rows = [(100, [1.0] * 8)]
+    for i in range(40):
+        v = [1.0] * 8
+        v[i % 8] += 3.0 if i < 8 else -3.0 if i < 16 else 0.0
+        v[(i + 1) % 8] += 0.0 if i < 16 else 3.0 * (-1) ** i
+        rows.append((1 + (i * 7) % 40 if i < 16 else 200 + i, v))
+    want = brute(rows, 5, lambda i: i % 100 == 0)
+    for parts in (1, 4):
+        df = spark.createDataFrame([(i, v, "", 0) for i, v in rows], DDL).repartition(parts)
+        got = answers(nearest_neighbours(df, F.col("vec_id") % 100 == 0, k=5))
+        assert {q: [i for i, _ in g] for q, g in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}
+
+
 def test_all_candidates_when_there_are_few(spark):
     ship_package(spark)
     df = spark.createDataFrame([(0, [1.0, 0.0], "", 0), (7, [0.0, 1.0], "", 0), (100, [-1.0, 0.5], "", 0)], DDL)

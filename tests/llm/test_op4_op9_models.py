@@ -168,3 +168,11 @@ def test_scores_do_not_depend_on_partitioning(spark, mid):
     logits = np.random.default_rng(2).normal(size=quality.BUCKETS)
     a, b = (quality.with_scores(docs.repartition(n), logits).select("doc_id", "score").toPandas().sort_values("doc_id") for n in (1, 7))
     pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True))
+
+
+def test_every_language_is_learned_however_many(spark):
+    """Rows of each language shrink with their number; none is left out."""
+    from trendstream.llm.langid import fit
+    rows = [(1000 * k + i, f"{chr(0x400 + k)}" * (20 + i), f"l{k:02}") for k in range(40) for i in range(8)]
+    net = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), total=60)
+    assert net.languages == sorted({r[2] for r in rows})

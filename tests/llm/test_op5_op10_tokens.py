@@ -165,3 +165,9 @@ def test_op5_query(spark, library):
     lost, total = padding(sequences, packing.WINDOW)
     assert lost <= 0.01 * total
     assert all(sum(r["length"] for r in s) <= 2048 for s in sequences.values())
+
+
+def test_sketches_of_many_partitions_merge_as_a_tree(spark):
+    from trendstream.llm.token_counts import frequent_pieces
+    df = spark.range(0, 4000, 1, 300).selectExpr("id AS doc_id", "concat('common word', if(id % 500 = 0, ' rare', '')) AS text")
+    assert set(frequent_pieces(df, "text", 2)) == {" word", "common"}

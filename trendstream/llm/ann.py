@@ -35,7 +35,7 @@ PROBES = 512           # of those, vectors to learn the radius from
 ROUNDS = 40
 SUBSTRINGS = 4
 BITS = 16              # of each substring
-COVERAGE = 0.95
+COVERAGE = 0.98
 QUERY_BLOCK = 4096     # queries broadcast at once
 _FOUND = pa.schema([("qid", pa.int64()), ("vid", pa.int64()), ("score", pa.float64())])
 
@@ -172,7 +172,7 @@ def _block(queries: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarray] | Non
 
 def _write_index(points: DataFrame, coder: Coder, dims: int) -> DataFrame:
     """(part, value, code, vid, v), one row per point and substring, sorted by (part, value)."""
-    fields = [("part", pa.int32()), ("value", pa.int32()), ("code", pa.int64()), ("vid", pa.int64()),
+    fields = [("part", pa.int32()), ("value", pa.int32()), ("code", pa.int64()), ("vid", pa.int64()), ("least", pa.int64()),
               ("v", pa.list_(pa.float64()))]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,29 +182,33 @@ def _write_index(points: DataFrame, coder: Coder, dims: int) -> DataFrame:
             for s in range(SUBSTRINGS):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(code), s, np.int32)), pa.array(subs[:, s].astype(np.int32)),
-                     pa.array(code), b.column("vid"), b.column("v")], schema=pa.schema(fields))
+                     pa.array(code), b.column("vid"), b.column("least"), b.column("v")], schema=pa.schema(fields))
 
-    entries = points.select("vid", "v").mapInArrow(encode, "part int, value int, code long, vid long, v array<double>")
+    entries = _named(points).mapInArrow(encode, "part int, value int, code long, vid long, least long, v array<double>")
     return materialize(entries.repartitionByRange("part", "value", "vid")
                        .sortWithinPartitions("part", "value"), "ann-index")
 
 
+def _named(points: DataFrame) -> DataFrame:
+    """Vectors with their smallest id, which orders vectors at equal distances."""
+    return points.select("vid", "v", F.get("ids", F.lit(0)).alias("least"))
+
+
 class _Best:
-    """The ``most`` smallest distances of each query, kept while a partition is read."""
+    """The ``most`` nearest vectors of each query, ties to the smaller least id, kept while a partition is read."""
 
     def __init__(self, queries: np.ndarray, most: int):
         self.most = most
         self.score = np.full((len(queries), most), np.inf)
         self.vid = np.full((len(queries), most), -1, dtype=np.int64)
+        self.least = np.full((len(queries), most), np.iinfo(np.int64).max)
 
-    def add(self, q: np.ndarray, vid: np.ndarray, score: np.ndarray) -> None:
+    def add(self, q: int, vid: np.ndarray, least: np.ndarray, score: np.ndarray) -> None:
         near = score <= self.score[q, -1]
-        q, vid, score = q[near], vid[near], score[near]
-        for one in np.unique(q):
-            at = q == one
-            s, v = np.concatenate([self.score[one], score[at]]), np.concatenate([self.vid[one], vid[at]])
-            keep = np.argsort(s, kind="stable")[:self.most]
-            self.score[one], self.vid[one] = s[keep], v[keep]
+        s = np.concatenate([self.score[q], score[near]])
+        low, v = np.concatenate([self.least[q], least[near]]), np.concatenate([self.vid[q], vid[near]])
+        keep = np.lexsort((low, s))[:self.most]
+        self.score[q], self.least[q], self.vid[q] = s[keep], low[keep], v[keep]
 
     def rows(self, ids: np.ndarray) -> pa.RecordBatch:
         q, at = np.nonzero(self.vid >= 0)
@@ -227,6 +231,7 @@ def _search(index: DataFrame, queries: tuple[np.ndarray, np.ndarray], coder: Cod
         for b in batches:
             part, value = b.column("part").to_numpy(), b.column("value").to_numpy().astype(np.uint16)
             code, vid, v = b.column("code").to_numpy().view(np.uint64), b.column("vid").to_numpy(), _matrix(b.column("v"), dims)
+            least = b.column("least").to_numpy()
             starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])])
             sizes = np.diff(np.r_[starts, len(part)])
             for s in np.unique(part):
@@ -238,7 +243,7 @@ def _search(index: DataFrame, queries: tuple[np.ndarray, np.ndarray], coder: Cod
                     rows = np.repeat(f - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     rows = rows[np.bitwise_count(code[rows] ^ codes[q]) <= coder.radius]
                     rows = rows[_first_here(code[rows] ^ codes[q], s, allowed)]
-                    best.add(np.full(len(rows), q), vid[rows], _distances(v[rows], vectors[q]))
+                    best.add(q, vid[rows], least[rows], _distances(v[rows], vectors[q]))
         yield best.rows(ids)
 
     return index.mapInArrow(probe, "qid long, vid long, score double")
@@ -258,12 +263,12 @@ def _scan(points: DataFrame, queries: tuple[np.ndarray, np.ndarray], dims: int,
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(ids, most)
         for b in batches:
-            vid, v = b.column("vid").to_numpy(), _matrix(b.column("v"), dims)
+            vid, least, v = b.column("vid").to_numpy(), b.column("least").to_numpy(), _matrix(b.column("v"), dims)
             for q in range(len(ids)):
-                best.add(np.full(len(vid), q), vid, _distances(v, vectors[q]))
+                best.add(q, vid, least, _distances(v, vectors[q]))
         yield best.rows(ids)
 
-    return points.select("vid", "v").mapInArrow(scan, "qid long, vid long, score double")
+    return _named(points).mapInArrow(scan, "qid long, vid long, score double")
 
 
 def _answers(asked: DataFrame, found: DataFrame, points: DataFrame, k: int) -> DataFrame:

@@ -23,7 +23,7 @@ from trendstream.llm.common import hash_below, held_out, quoted, text_or_empty
 
 UNKNOWN = "und"
 SAMPLE = 600           # labelled rows of each language to learn from, at most
-LANGUAGES = 128        # languages to learn, at most (the most frequent)
+TOTAL = 76_800         # labelled rows in all: with more than TOTAL / SAMPLE languages each has fewer (one at least)
 WINDOW = 256           # bytes
 WINDOWS_A_TEXT = 4     # windows of a text to learn from
 WIDTHS = (2, 3, 4)
@@ -120,22 +120,26 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample: int = SAMPLE, languages: int = LANGUAGES) -> ByteNet | None:
-    """The network learned from text and non-null language of rows that are not held out; None without such rows."""
+        sample: int = SAMPLE, total: int = TOTAL) -> ByteNet | None:
+    """The network learned from text and non-null language of rows that are not held out; None without such rows.
+
+    Every language is learned; the rows of each shrink as languages grow.
+    """
     known = (docs.filter(~held_out(F.col(quoted(id_col))) & F.col(quoted(lang_col)).isNotNull()
                          & F.col(quoted(text_col)).isNotNull())
              .select(F.xxhash64(F.col(quoted(id_col)), F.col(quoted(lang_col))).alias("h"),
                      F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang")).distinct())
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    frequent = [r["lang"] for r in counts.collect()]
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    names = sorted(r["lang"] for r in counts.select("lang").collect())     # the labels, which the network's output has one by one
+    sample = max(1, min(sample, total // max(1, len(names))))
     order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (known.join(F.broadcast(counts), "lang")                     # at most ``languages`` rows
+    chosen = (known.join(F.broadcast(counts), "lang")                     # one row a label
               .filter(hash_below(F.col("h"), sample, F.col("n"))).withColumn("nth", F.row_number().over(order))
               .filter(F.col("nth") <= sample).select("id", "lang"))
     data = F.col(quoted(text_col)).cast("binary")
     span = F.greatest(F.octet_length(data) - WINDOW, F.lit(0))
     starts = [1 + F.floor(span * i / (WINDOWS_A_TEXT - 1)).cast("int") for i in range(WINDOWS_A_TEXT)]
-    # at most sample * languages ids, one row each: of an id's texts the one whose windows sort last (so no empty one)
+    # at most ``total`` ids, one row each: of an id's texts the one whose windows sort last (so no empty one)
     rows = (docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).alias("lang"),
                         F.array(*[F.substring(data, s, F.lit(WINDOW)) for s in starts]).alias("windows"))
             .join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.max("windows").alias("windows"))
@@ -143,7 +147,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     parts = [(bytes(w), lang) for ws, lang in zip(rows["windows"], rows["lang"]) for w in ws if w]
     if not parts:
         return None
-    names = sorted(frequent)
     lengths = np.random.default_rng(1).integers(8, WINDOW // 2, len(parts))       # and short texts
     data = [w for w, _ in parts] + [w[:n] for (w, _), n in zip(parts, lengths)]
     return train(windows_of(data)[0], np.array([names.index(x) for _, x in parts] * 2), names)

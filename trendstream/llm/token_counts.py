@@ -20,11 +20,12 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 from trendstream.llm.common import quoted, text_or_empty
 from trendstream.llm.pieces import NO_IDS, Encoder, Slots, hashes, split, worker_encoder
+from trendstream.session import materialize
 
 FREQUENT = 16384       # entries of the broadcast table
 TRACKED = 65536        # items a sketch holds
 SLOT_BITS = 17         # 2**17 slots of 28 bytes: 3.7 MB to broadcast
-GROUPS = 16            # sketches that meet in the last merge
+FAN = 16               # sketches that meet in a merge
 # Pre-tokens as the JVM finds them; differences to the library's only cost hits.
 PATTERN = (r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -33,12 +34,15 @@ def frequent_pieces(docs: DataFrame, text_col: str, most: int = FREQUENT) -> lis
     """The frequent pre-tokens of all documents, at most ``most`` (bounded, so they may be collected)."""
     words = docs.select(F.explode(F.expr(
         f"regexp_extract_all({quoted(text_col)}, r\"{PATTERN}\", 0)")).alias("piece"))
-    sketches = words.groupBy((F.spark_partition_id() % GROUPS).alias("part")).agg(
-        F.expr(f"approx_top_k_accumulate(piece, {TRACKED})").alias("sketch"))
-    # grouped, so that partitions without a sketch make no empty one, which can't be combined
-    one = sketches.groupBy((F.col("part") < 0).alias("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
-    top = one.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
+    # a tree of merges: the tasks of a level grow with the input's splits
+    groups = -(-docs.rdd.getNumPartitions() // FAN)
+    part = F.floor(F.spark_partition_id() / FAN).alias("part")
+    sketches = materialize(words.groupBy(part).agg(F.expr(f"approx_top_k_accumulate(piece, {TRACKED})").alias("sketch")), "sketches")
+    while groups > 1:
+        groups = -(-groups // FAN)
+        sketches = materialize(sketches.groupBy(F.floor(F.col("part") / FAN).alias("part")).agg(
+            F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")), "sketches")
+    top = sketches.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top")).first()
     return [r["item"] for r in (top["top"] if top else []) if r["item"]]
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendstream.llm.common import quoted, text_or_empty
-from trendstream.session import fresh_path, materialize
+from trendstream.session import default_parallelism, fresh_path, materialize
 
 RESPONSE, REVISIT = "response", "revisit"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -34,6 +35,7 @@ ARCHIVE_BYTES = 1 << 30       # an archive is closed when it is larger
 READ_BYTES = 8 << 20          # one read is not larger, unless a record is
 GAP_BYTES = 64 << 10          # a smaller gap between two ranges is read with them
 CHUNK_BYTES = 64 << 20        # ranges of one archive that go to one reader
+TASK_BYTES = 256 << 10        # a reading task gets more than this before there are as many as cores
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = pa.schema([("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
                     ("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.string()),
@@ -48,8 +50,9 @@ _RECORD_DDL = ("page_id long, url string, record_type string, refers_to long, pa
 
 
 def _file_system(uri: str):
+    """The file system of a URI and the path in it; Hadoop's names of S3 are S3."""
     from pyarrow.fs import FileSystem
-    return FileSystem.from_uri(uri)
+    return FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def _page_urn(page_id) -> str:
@@ -156,8 +159,11 @@ def read_warc(index: DataFrame, where: Column | None = None) -> DataFrame:
     """
     chosen = index if where is None else index.filter(where)
     chunk = F.floor(F.col("offset") / CHUNK_BYTES)
+    # tasks by the bytes to be read: the index rows that are dealt out are far smaller
+    n_bytes = chosen.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-n_bytes // CHUNK_BYTES), min(default_parallelism(index.sparkSession), -(-n_bytes // TASK_BYTES)))
     ranges = (chosen.select("archive", "offset", "length", "url", chunk.alias("chunk"))
-              .repartition("archive", "chunk").sortWithinPartitions("archive", "offset"))
+              .repartition(tasks, "archive", "chunk").sortWithinPartitions("archive", "offset"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
