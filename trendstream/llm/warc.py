@@ -158,10 +158,10 @@ def read_warc(index: DataFrame, where: Column | None = None) -> DataFrame:
     its header stops the job.
     """
     chosen = index if where is None else index.filter(where)
-    chunk = F.floor(F.col("offset") / CHUNK_BYTES)
     # tasks by the bytes to be read: the index rows that are dealt out are far smaller
     n_bytes = chosen.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-n_bytes // CHUNK_BYTES), min(default_parallelism(index.sparkSession), -(-n_bytes // TASK_BYTES)))
+    chunk = F.floor(F.col("offset") / max(1, -(-n_bytes // tasks)))
     ranges = (chosen.select("archive", "offset", "length", "url", chunk.alias("chunk"))
               .repartition(tasks, "archive", "chunk").sortWithinPartitions("archive", "offset"))
 
