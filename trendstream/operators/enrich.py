@@ -16,6 +16,8 @@ from pyspark.sql.types import BinaryType
 from trendstream.functions import codec
 from trendstream.functions import entities as EN
 from trendstream.functions import lang as LG
+from trendstream.functions import langmodel as LM
+from trendstream.functions.langmodel import LanguageModel
 
 # Largest dictionary (estimated bytes) that is broadcast to every task.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -26,8 +28,9 @@ JOIN_SALTS = 32
 
 
 def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedTime",
-           gazetteer: list[str] | None = None) -> DataFrame:
-    """Raw posts (binary or text body + arrival time) -> enriched columns."""
+           gazetteer: list[str] | None = None, model: LanguageModel | None = None) -> DataFrame:
+    """Raw posts (binary or text body + arrival time) -> enriched columns; the language
+    is a learned ``model``'s or, without one, the stop words'."""
     content = F.col(body)
     if isinstance(raw.schema[body].dataType, BinaryType):
         content = codec.decode_body(content)
@@ -36,7 +39,8 @@ def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedT
     base = raw.select(content.alias("content"), ts.alias("timestamp"), *key)
     ents = (EN.gazetteer_entities("content", gazetteer) if gazetteer is not None
             else EN.capitalised_entities("content"))
-    return LG.with_language(base, "content").select("content", "timestamp", "language",
+    told = LM.with_language(base, model, "content") if model else LG.with_language(base, "content")
+    return told.select("content", "timestamp", "language",
                                                    ents.alias("entities"), *[c for c in base.columns if c == "id"])
 
 

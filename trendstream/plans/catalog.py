@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trendstream.functions import entities as EN
 from trendstream.functions import lang as LG
+from trendstream.functions import langmodel as LM
 from trendstream.operators import longterm as LT
 from trendstream.operators import topics as T
 from trendstream.operators import trends as TR
@@ -312,6 +313,52 @@ def language_accuracy(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+# Folds of the learned model (fixed values): rows whose id's CRC-32 leaves 0 are asked, the others are learned from.
+_LEARNED, _ASKED = "{crc} % 5 <> 0", "{crc} % 5 = 0"
+_MODEL_SQL = LM.detect_sql(_LEARNED, _ASKED)
+
+
+def _fold(asked: bool):
+    own = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return own if asked else ~own
+
+
+@register("language_learned", _MODEL_SQL)
+def language_learned(spark, sf_dir):
+    """Language by trigram log-odds learned from the other folds' labels."""
+    docs = _docs(spark, sf_dir).select("doc_id", "lang", "text")
+    model = LM.LanguageModel.learn(docs.where(_fold(False)))
+    return LM.with_language(docs.where(_fold(True)), model).select("doc_id", "lang", "language")
+
+
+@register("stream_language_learned", _MODEL_SQL)
+def stream_language_learned(spark, sf_dir):
+    """The enrichment job with a saved model: asked documents posted, enriched as a stream, read from the topic."""
+    from trendstream.session import fresh_path
+    from trendstream.streaming import jobs as J
+    root = fresh_path(spark, "learned")
+    cfg = J.PipelineConfig(root=root, language_model=f"{root}/language-model")
+    docs = _docs(spark, sf_dir).select("doc_id", "lang", "text")
+    LM.LanguageModel.learn(docs.where(_fold(False))).save(spark, cfg.language_model)
+    asked = docs.where(_fold(True))
+    J.ingest_job(asked.select(F.col("doc_id").alias("id"), "text"), cfg)
+    J.enrichment_job(spark, cfg).awaitTermination()
+    told = T.decode_enriched(cfg.read(spark, cfg.enriched_topic, stream=False))
+    return told.select(F.col("id").cast("bigint").alias("doc_id"), "language").join(
+        asked.select("doc_id", "lang"), "doc_id").select("doc_id", "lang", "language")
+
+
+@register("language_learned_accuracy", f"""
+    SELECT count(*) AS n, count(*) FILTER (WHERE lang = language) AS agreed,
+           count(*) FILTER (WHERE lang = language) >= 0.99 * count(*) AS good FROM ({_MODEL_SQL})""")
+def language_learned_accuracy(spark, sf_dir):
+    """Agreement of the learned model with the labels it was not learned from."""
+    found = language_learned(spark, sf_dir)
+    agreed = F.count_if(F.col("lang") == F.col("language"))
+    return found.agg(F.count(F.lit(1)).alias("n"), agreed.alias("agreed"),
+                     (agreed >= 0.99 * F.count(F.lit(1))).alias("good"))
+
+
 @register("entities_capitalised",
           f"SELECT doc_id, {EN.capitalised_entities_sql('text')} AS entities FROM documents")
 def entities_capitalised(spark, sf_dir):

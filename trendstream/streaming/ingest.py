@@ -63,11 +63,11 @@ def start_ingest(posts: DataFrame, raw_topic: str, checkpoint: str, text: str =
 def start_enrichment(spark: SparkSession, raw_topic: str, enriched_topic: str, checkpoint: str,
                      mode: str = "once", max_files_per_trigger: int | None = None,
                      gazetteer: list[str] | None = None, interval: str = "10 seconds",
-                     rows_per_file: int = ROWS_PER_FILE):
+                     rows_per_file: int = ROWS_PER_FILE, model=None):
     """Stateless enrichment stream from the raw topic to the enriched topic, in event-time order."""
     raw = read_topic(spark, raw_topic, "parquet", max_files_per_trigger=max_files_per_trigger,
                      producers=(ORDERED,))
-    enriched = ER.enrich(raw, gazetteer=gazetteer)
+    enriched = ER.enrich(raw, gazetteer=gazetteer, model=model)
     bodies = enriched.select(codec.enriched_json(key="id" if "id" in enriched.columns else None).alias("body"),
                              F.try_to_timestamp("timestamp").alias("at"))
     return start(bodies, sink="foreachBatch", checkpoint=checkpoint, mode=mode, interval=interval,

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendstream.functions.langmodel import LanguageModel
 from trendstream.operators import history as H
 from trendstream.operators import trends as TR
 from trendstream.sources.timeline import ORDERED, ROWS_PER_FILE, arrange
@@ -38,6 +39,8 @@ class PipelineConfig:
     mode: str = "once"
     interval: str = "10 seconds"
     gazetteer: list[str] | None = None
+    # a learned language model saved at this path (functions.langmodel); stop words without one
+    language_model: str | None = None
     # "files": topics are folders under root; "kafka": topics are broker topics
     # named raw/enriched/alerts, reached with ``topic_options``
     # (kafka.bootstrap.servers, security settings, ...)
@@ -114,13 +117,14 @@ def continuous_ingest_job(posts: DataFrame, cfg: PipelineConfig, time_col: str |
 
 
 def enrichment_job(spark: SparkSession, cfg: PipelineConfig):
+    model = LanguageModel.load(spark, cfg.language_model) if cfg.language_model else None
     if cfg.topic_kind == "files":
         _in_order(spark, cfg, cfg.raw_topic, "enrich")
         return I.start_enrichment(spark, cfg.raw_topic, cfg.enriched_topic, cfg.checkpoint("enrich"),
                                   mode=cfg.mode, gazetteer=cfg.gazetteer, interval=cfg.interval,
-                                  max_files_per_trigger=cfg.max_files_per_trigger, rows_per_file=cfg.rows_per_file)
+                                  max_files_per_trigger=cfg.max_files_per_trigger, rows_per_file=cfg.rows_per_file, model=model)
     from trendstream.operators import enrich as ER
-    bodies = P.enriched_bodies(ER.enrich(cfg.read(spark, cfg.raw_topic), gazetteer=cfg.gazetteer))
+    bodies = P.enriched_bodies(ER.enrich(cfg.read(spark, cfg.raw_topic), gazetteer=cfg.gazetteer, model=model))
     return start(bodies.select(F.col("body").alias("value")), checkpoint=cfg.checkpoint("enrich"),
                  mode=cfg.mode, interval=cfg.interval, **cfg.sink(cfg.enriched_topic, I.ENRICH))
 
