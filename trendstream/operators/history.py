@@ -82,14 +82,20 @@ def start_stream(rows: DataFrame, location: str, checkpoint: str, mode: str = "o
 
 def read_history(spark: SparkSession, location: str, since=None, until=None,
                  dedupe: bool = False) -> DataFrame:
-    """Read the table back; date bounds prune partitions.
+    """Read the table back, through its snapshot pointer once it was compacted
+    (``operators.compaction``); date bounds prune partitions.
 
     ``dedupe`` removes rows written twice by an at-least-once writer (a
     replayed JDBC batch): with deterministic ids, one row per (message, topic)
     is kept.  The key holds the message id, so one hot topic is spread over
     many reducers.
     """
-    df = spark.read.parquet(location).drop("Writer")
+    from trendstream.operators import compaction
+    df = None
+    if compaction.snapshot(spark, location)["dates"]:
+        df = compaction.read(spark, location, since, until)
+    if df is None:
+        df = spark.read.parquet(location).drop("Writer")
     if since is not None:
         df = df.where(F.col("TweetDate") >= F.to_date(F.lit(since)))
     if until is not None:

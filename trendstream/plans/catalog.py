@@ -479,6 +479,34 @@ def history_table_roundtrip(spark, sf_dir):
         "Content", "Language", "Topic")
 
 
+@register("history_compacted", f"""
+    SELECT uniqueId AS UniqueId, CAST(timestamp AS TIMESTAMP) AS TweetTime, content AS Content,
+           language AS Language, topic AS Topic
+    FROM ({_HISTORY_SQL}) UNION ALL
+    SELECT substr(sha256('key' || chr(1) || CAST(o_orderkey AS VARCHAR)), 1, 36), CAST(date_trunc('month', o_orderdate) AS TIMESTAMP),
+           o_orderstatus, 'en', o_orderpriority FROM orders""")
+def history_compacted(spark, sf_dir):
+    """A stream's partitions compacted, then a batch append compacted too, replaced files removed, read back."""
+    from trendstream.operators import compaction as CP
+    from trendstream.operators import history as H
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    from trendstream.streaming import pipelines as P
+    loc = fresh_path(spark, "history")
+    H.start_stream(P.history(read_topic(spark, _enriched_topic(spark, sf_dir), "text",
+                                        max_files_per_trigger=FILES_A_SLICE)), loc, loc + ".chk").awaitTermination()
+    CP.compact(spark, loc)
+    orders = FX.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("content"), F.date_trunc("month", "o_orderdate").alias("timestamp"),
+        F.lit("en").alias("language"), F.array("o_orderpriority").alias("entities"),
+        F.col("o_orderkey").cast("string").alias("id"))
+    H.append_batch(T.history_rows(orders), loc)
+    CP.compact(spark, loc)
+    CP.expire(spark, loc)
+    return H.read_history(spark, loc).select(
+        "UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"), "Content", "Language", "Topic")
+
+
 @register("history_two_writers", f"""
     SELECT uniqueId AS UniqueId, CAST(timestamp AS TIMESTAMP) AS TweetTime, content AS Content,
            language AS Language, topic AS Topic
