@@ -18,6 +18,9 @@ NO_ENTITIES = ["None"]
 # A capitalised word, and runs of them separated by single spaces.
 CAPITALISED_RUN = "\\p{Lu}\\p{Ll}+(?: \\p{Lu}\\p{Ll}+)*"
 
+# Largest gazetteer (bytes) that travels with a query as literals.
+LITERAL_MAX_BYTES = 4 << 20
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -65,8 +68,13 @@ def words_in(entry: str) -> int:
 def gazetteer_entities(text, gazetteer: list[str]) -> Column:
     """N-grams of ``text`` found in a literal gazetteer, distinct; n goes up to its longest entry.
 
-    ``isin`` over many literals is a hash lookup.
+    ``isin`` over many literals is a hash lookup.  The literals travel with
+    every task, so their size is checked; a larger gazetteer is for the
+    dictionary join.
     """
+    size = sum(len(g.encode()) for g in gazetteer)
+    if size > LITERAL_MAX_BYTES:
+        raise ValueError(f"a gazetteer of {size} bytes is too large for a literal: use operators.enrich.tag_entities")
     longest = max((words_in(g) for g in gazetteer), default=1)
     hits = F.filter(ngrams(word_tokens(text), max(1, longest)), lambda g: g.isin(*gazetteer))
     return or_none(F.array_distinct(hits))

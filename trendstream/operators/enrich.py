@@ -23,8 +23,11 @@ from trendstream.functions.langmodel import LanguageModel
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Per-row overhead added to the text bytes in that estimate.
 ROW_OVERHEAD_BYTES = 48
-# Number of salt values for the shuffle join of a large dictionary.
+# Salt values of a heavy entity in the shuffle join of a large dictionary.
 JOIN_SALTS = 32
+# An entity is salted if it holds this many candidate rows and one part in MOST_HEAVY of all.
+HEAVY_ROWS = 50_000
+MOST_HEAVY = 1000
 
 
 def enrich(raw: DataFrame, body: str = "body", time_col: str | None = "enqueuedTime",
@@ -91,6 +94,21 @@ def estimated_bytes(dictionary: DataFrame) -> int:
     return int(r["b"]) + ROW_OVERHEAD_BYTES * int(r["n"])
 
 
+def heavy_entities(candidates: DataFrame) -> DataFrame:
+    """(entity, _heavy) of the entities that hold so many candidate rows that their join has to be
+    split; at most MOST_HEAVY, as each holds at least that share of all rows."""
+    least = max(HEAVY_ROWS, -(-candidates.count() // MOST_HEAVY))
+    return (candidates.where(F.col("entity").isNotNull()).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= least).select("entity", F.lit(True).alias("_heavy")))
+
+
+def replicas(dictionary: DataFrame, heavy: DataFrame, salts: int = JOIN_SALTS) -> DataFrame:
+    """Dictionary rows with ``_salt``: every salt for the heavy entities, salt 0 for all others."""
+    last = F.when(F.col("_heavy"), F.lit(salts - 1)).otherwise(0)
+    return (dictionary.join(F.broadcast(heavy), "entity", "left")
+            .select(*[F.col(c) for c in dictionary.columns], F.explode(F.sequence(F.lit(0), last)).alias("_salt")))
+
+
 def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
                  text: str = "text", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  salts: int = JOIN_SALTS, candidates: str = "capitalised",
@@ -121,11 +139,13 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     if estimated_bytes(entry) <= broadcast_max_bytes:
         joined = cand.join(F.broadcast(entry), keys, "left")
     else:
+        rows = cand if candidate_rows is not None else materialize(cand, "candidates")
+        heavy = materialize(heavy_entities(rows), "heavy-entities")
         # per-row salt: rows are regrouped by id afterwards, so even many copies
         # of one (id, entity) pair spread over all salts
-        salted = cand.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-        replicas = entry.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        joined = salted.join(replicas, keys + ["_salt"], "left").drop("_salt")
+        spread = F.when(F.col("_heavy"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int")
+        salted = rows.join(F.broadcast(heavy), "entity", "left").withColumn("_salt", spread).drop("_heavy")
+        joined = salted.join(replicas(entry, heavy, salts), keys + ["_salt"], "left").drop("_salt")
     per_doc = joined.groupBy(id_col).agg(F.array_sort(F.array_distinct(F.collect_list("_name")))
                                          .alias("entities"))
     return per_doc.select(id_col, EN.or_none(F.col("entities")).alias("entities"))

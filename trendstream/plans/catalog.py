@@ -396,6 +396,23 @@ def _long_names_sql() -> str:
     FROM (SELECT doc_id, {names} AS found FROM (SELECT doc_id, {joined} AS joined FROM documents))"""
 
 
+@register("entities_gazetteer_shuffled", f"""
+    WITH c AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{EN.CAPITALISED_RUN}'))) AS entity
+               FROM documents),
+         t AS (SELECT c.doc_id, list_sort(list(c.entity)) AS ents FROM c
+               WHERE entity IN (SELECT entity FROM c GROUP BY entity HAVING count(*) >= {ENTITY_MIN_DOCS}) GROUP BY c.doc_id)
+    SELECT documents.doc_id, CASE WHEN t.ents IS NULL THEN ['None'] ELSE t.ents END AS entities
+    FROM documents LEFT JOIN t USING (doc_id)""")
+def entities_gazetteer_shuffled(spark, sf_dir):
+    """The dictionary join for dictionaries beyond the broadcast bound: only heavy entities are salted."""
+    from trendstream.operators import enrich as ER
+    from trendstream.session import materialize
+    docs = _docs(spark, sf_dir)
+    cand = materialize(ER.entity_candidates(docs), "candidates")
+    return ER.tag_entities(docs, ER.entity_dictionary(docs, ENTITY_MIN_DOCS, candidates=cand), candidate_rows=cand,
+                           broadcast_max_bytes=0)
+
+
 @register("entities_long_names", _long_names_sql())
 def entities_long_names(spark, sf_dir):
     """Entries of up to four words, by the dictionary join."""
@@ -919,6 +936,38 @@ def monthly_trends(spark, sf_dir):
     return LT.period_top_topics(_topic_rows(spark, sf_dir), "month")
 
 
+def _rollup(spark, sf_dir) -> str:
+    """The roll-up of the enriched topic, one slice a micro-batch, with the second micro-batch delivered again."""
+    from trendstream.operators import rollup as RU
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic
+    path = fresh_path(spark, "rollup")
+    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=FILES_A_SLICE)
+    rows = T.explode_topics(T.decode_enriched(topic, narrow=True), tz_aware=True)
+    write = RU.batch_writer(path)
+
+    def again(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1:
+            write(batch, batch_id)
+    from trendstream.streaming.runner import run_once
+    run_once(rows, sink="foreachBatch", checkpoint=path + ".chk", foreach_batch=again)
+    return path
+
+
+@register("weekly_rollup", _period_sql("week"))
+def weekly_rollup(spark, sf_dir):
+    """Weekly leaders from counts kept up by a stream; the history is not read."""
+    from trendstream.operators import rollup as RU
+    return RU.top_topics(spark, _rollup(spark, sf_dir), "week")
+
+
+@register("monthly_rollup", _period_sql("month"))
+def monthly_rollup(spark, sf_dir):
+    from trendstream.operators import rollup as RU
+    return RU.top_topics(spark, _rollup(spark, sf_dir), "month")
+
+
 @register("topic_anomaly", f"""
     SELECT windowStart, topic, count, round(a, 6) AS baseline_avg, round(s, 6) AS baseline_std,
            round(CASE WHEN s > 0 THEN (count - a) / s END, 6) AS z
