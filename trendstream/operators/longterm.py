@@ -17,9 +17,12 @@ RANK_SALTS = 32
 
 
 def recent_trends(rows: DataFrame, minutes: int = RECENT_MINUTES, k: int = TOP_K,
-                  ts: str = "ts", topic: str = "topic") -> DataFrame:
-    """Top-k topics of the last ``minutes`` before the newest row (ties by topic)."""
-    since = rows.agg(F.max(ts)).scalar() - F.lit(_dt.timedelta(minutes=minutes))
+                  ts: str = "ts", topic: str = "topic", times: DataFrame | None = None) -> DataFrame:
+    """Top-k topics of the last ``minutes`` before the newest row (ties by topic).
+
+    ``times`` has the same times in ``ts`` where they are cheaper to read than ``rows``.
+    """
+    since = (rows if times is None else times).agg(F.max(ts)).scalar() - F.lit(_dt.timedelta(minutes=minutes))
     return (rows.where(F.col(ts) > since).groupBy(F.col(topic).alias("topic"))
             .agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("topic")).limit(k))

@@ -102,6 +102,70 @@ def call_service(df: DataFrame, call: Callable[[str], str], document: str = "doc
     return df.select(key, document).mapInPandas(run, f"{key} {key_type}, reply string")
 
 
+class Throttled(Exception):
+    """A client raises this when the service asks to wait; ``seconds`` is for how long."""
+
+    def __init__(self, seconds: float = 1.0):
+        super().__init__(f"throttled for {seconds} s")
+        self.seconds = seconds
+
+
+def _answer(call: Callable[[str], str], request: str, max_attempts: int, max_wait: float) -> tuple[dict, str | None]:
+    """Replies by id and no error, or none and the last error.
+
+    Being throttled costs no attempt, but no more than ``max_wait`` seconds are
+    spent waiting for one request.
+    """
+    failed, waited = 0, 0.0
+    while True:
+        try:
+            return split_reply(call(request)), None
+        except Throttled as e:
+            pause, error = e.seconds, e
+        except Exception as e:
+            failed += 1
+            pause, error = min(2 ** (failed - 1), 30), e
+        if failed >= max_attempts or waited + pause > max_wait:
+            return {}, f"{type(error).__name__}: {error}"
+        time.sleep(pause)
+        waited += pause
+
+
+def call_once_a_text(df: DataFrame, call: Callable[[str], str], document: Callable[[Column, Column], Column],
+                     text: str = "text", docs_per_call: int = DOCS_PER_CALL, requests_per_second: float | None = None,
+                     tasks: int = 4, max_attempts: int = MAX_ATTEMPTS, max_wait: float = 120.0) -> DataFrame:
+    """``df`` plus ``reply`` and ``error``: a service call under limits.
+
+    Equal texts are sent once, however many rows hold them, and their reply goes
+    to all of them.  ``document`` makes a document of an id and a text column.
+    ``tasks`` tasks share ``requests_per_second``, so the service sees no more
+    than that whatever the cluster's size.  A request that fails
+    for good (attempts or waiting used up) is no end of the job: its rows have a
+    NULL reply and the error.  Rows with a NULL text are not sent.  The replies
+    are written once, so that nothing is asked again.
+    """
+    from trendstream.session import materialize, ship_package
+    ship_package(df.sparkSession)
+    keyed = df.withColumn("_sha", F.sha2(F.col(text).cast("binary"), 256))
+    once = (keyed.where(F.col("_sha").isNotNull()).groupBy("_sha").agg(F.first(text).alias("_text"))
+            .select("_sha", document(F.col("_sha"), F.col("_text")).alias("_document")))
+    pause = tasks / requests_per_second if requests_per_second else 0.0
+
+    def run(batches):
+        import pandas as pd
+        ready = 0.0
+        for pdf in batches:
+            for lo in range(0, len(pdf), docs_per_call):
+                part = pdf.iloc[lo:lo + docs_per_call]
+                time.sleep(max(0.0, ready - time.monotonic()))
+                ready = time.monotonic() + pause
+                replies, error = _answer(call, '{"documents":[' + ",".join(part["_document"]) + "]}", max_attempts, max_wait)
+                yield pd.DataFrame({"_sha": part["_sha"].values, "reply": [replies.get(k) for k in part["_sha"]], "error": error})
+
+    asked = materialize(once.repartition(tasks, "_sha").mapInPandas(run, "_sha string, reply string, error string"), "service-replies")
+    return keyed.join(asked.hint("merge"), "_sha", "left").drop("_sha")
+
+
 def language_udf(detect: Callable[[str], str]):
     """Wrap a per-text language function as an Arrow-batched pandas UDF
     (alternative body of the language column; the built-in scorer is the default)."""

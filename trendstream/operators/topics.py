@@ -24,6 +24,12 @@ def decode_enriched(raw: DataFrame, body: str = "body", narrow: bool = False) ->
     return raw.select(codec.parse_enriched(b, schema).alias("data")).select("data.*")
 
 
+def rejected_payloads(raw: DataFrame, body: str = "body") -> DataFrame:
+    """(body): payloads that are not one JSON object, which ``decode_enriched`` turns into no row."""
+    text = F.col(body).cast("string")
+    return raw.select(F.col(body)).where(text.isNull() | ~codec.one_json_object(text))
+
+
 def event_time(df: DataFrame, col: str = "timestamp", tz_aware: bool = False):
     """Event-time column from either a timestamp or its text form."""
     dt = df.schema[col].dataType.simpleString()

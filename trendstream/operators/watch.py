@@ -38,6 +38,16 @@ def rejected_payloads(bodies: DataFrame, body: str = "body") -> DataFrame:
                                      (F.count(F.lit(1)) - valid).alias("rejected"))
 
 
+def rejected_rows(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """(body, reason): the payloads that are no alerts, for a dead-letter table; in batch and in streams."""
+    text = F.col(body).cast("string")
+    start = codec.parse_alert_time(F.from_json(text, "windowStart string")["windowStart"])
+    reason = (F.when(text.isNull(), F.lit("no payload"))
+              .when(~codec.one_json_object(text), F.lit("not one JSON object"))
+              .when(start.isNull(), F.lit("no window start")))
+    return bodies.select(F.col(body), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def observed(bodies: DataFrame, name: str = "received"):
     """(DataFrame, Observation): payloads received and valid alerts are counted
     as metrics of whatever job consumes the DataFrame, without a second pass."""

@@ -84,8 +84,13 @@ def alert_json(spark, sf_dir):
     SELECT * FROM ({_window_counts_sql()})
     WHERE windowEnd <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def closed_window_counts(spark, sf_dir):
-    rows = _topic_rows(spark, sf_dir)
-    return TR.closed_windows(TR.topic_counts(rows), rows)
+    return TR.closed_windows(TR.topic_counts(_topic_rows(spark, sf_dir)), _topic_times(spark, sf_dir))
+
+
+def _topic_times(spark, sf_dir):
+    """Times of the messages that have a topic: two columns of the scan, nothing exploded or dealt out."""
+    ev = FX.enriched_from_events(FX.read_table(spark, sf_dir, "events", balanced=False))
+    return ev.where(F.size("entities") > 0).select(F.col("timestamp").alias("ts"))
 
 
 @register("distinct_per_message_counts", _window_counts_sql(
@@ -601,8 +606,8 @@ def message_array_file(spark, sf_dir):
     from trendstream.session import fresh_path
     from trendstream.sources import messages as SM
     path = fresh_path(spark, "messages-array")
-    # one array for each source and hundred documents: a file's array has to fit in a task
-    groups = (FX.document_messages(spark, sf_dir).groupBy("source", (F.col("id") % 97).alias("part"))
+    # one array for each source and hundred ids: a file's array has to fit in a task
+    groups = (FX.document_messages(spark, sf_dir).groupBy("source", F.floor(F.col("id") / 100).alias("part"))
               .agg(F.array_join(F.collect_list(F.to_json(F.struct("id", "text", "lang", "source"))), ",\n").alias("rows")))
     (groups.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value"),
                    F.concat_ws("-", "source", "part").alias("file"))
@@ -728,6 +733,34 @@ def rejected_payloads(spark, sf_dir):
     return W.rejected_payloads(_alert_topic(spark, sf_dir))
 
 
+_REJECTED_ROWS_SQL = f"""
+    SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS body, 'not one JSON object' AS reason FROM conversations
+    UNION ALL SELECT body[:length(body) - 12], 'not one JSON object' FROM ({_alert_json_sql(_ALERTS_SQL)})
+    UNION ALL SELECT body || ' and more', 'not one JSON object' FROM ({_alert_json_sql(_ALERTS_SQL)})
+    UNION ALL SELECT NULL, 'no payload' FROM region"""
+
+
+@register("rejected_payload_rows", _REJECTED_ROWS_SQL)
+def rejected_payload_rows(spark, sf_dir):
+    """What the watcher skips, as rows with the reason."""
+    from trendstream.operators import watch as W
+    return W.rejected_rows(_alert_topic(spark, sf_dir))
+
+
+@register("stream_dead_letters", "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS body FROM documents WHERE text <> ''")
+def stream_dead_letters(spark, sf_dir):
+    """An enriched topic that also holds plain texts: a job keeps them in a table of their own."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import write_topic
+    from trendstream.streaming import jobs as J
+    cfg = J.PipelineConfig(root=fresh_path(spark, "dead-letters"))
+    texts = _docs(spark, sf_dir).where("text <> ''").select(F.regexp_replace("text", "[\r\n]", " ").alias("body"))
+    write_topic(enriched_json(spark, sf_dir), cfg.enriched_topic, "text")
+    write_topic(texts, cfg.enriched_topic, "text")
+    J.rejected_job(spark, cfg).awaitTermination()
+    return spark.read.parquet(cfg.rejected_location)
+
+
 @register("watch_finds_fresh_alert", f"""
     SELECT count(*) FILTER (WHERE windowStart > TIMESTAMP '{WATCH_START}') > 0 AS found,
            count(*) FILTER (WHERE windowStart > TIMESTAMP '2100-01-01') > 0 AS found_later
@@ -914,7 +947,7 @@ def language_and_entity_hooks(spark, sf_dir):
     WHERE ts > (SELECT max(ts) FROM events) - INTERVAL {LT.RECENT_MINUTES} MINUTE
     GROUP BY topic ORDER BY count DESC, topic LIMIT {LT.TOP_K}""")
 def recent_trends(spark, sf_dir):
-    return LT.recent_trends(_topic_rows(spark, sf_dir))
+    return LT.recent_trends(_topic_rows(spark, sf_dir), times=_topic_times(spark, sf_dir))
 
 
 def _period_sql(unit: str) -> str:
@@ -1178,6 +1211,21 @@ def capture_dataset(spark, sf_dir):
     return SM.read_messages_json(spark, path)
 
 
+@register("service_calls_once_a_text", """
+    SELECT doc_id, CASE WHEN length(text) % 2 = 0 THEN 'de' ELSE 'en' END AS language, false AS failed FROM documents""")
+def service_calls_once_a_text(spark, sf_dir):
+    """A service that answers by a text's length parity, called under limits: each different text is sent once."""
+    import json
+    from trendstream.operators import service as SV
+
+    def call(request):
+        return json.dumps({"documents": [{"id": d["id"], "detectedLanguages": [{"iso6391Name": "en" if len(d["text"]) % 2 else "de"}]}
+                                         for d in json.loads(request)["documents"]]})
+    told = SV.call_once_a_text(_docs(spark, sf_dir).select("doc_id", "text"), call,
+                               lambda key, text: F.to_json(F.struct(key.alias("id"), text.alias("text"))))
+    return told.select("doc_id", SV.reply_language("reply").alias("language"), F.col("error").isNotNull().alias("failed"))
+
+
 @register("service_entities_parsed",
           f"SELECT doc_id, {EN.capitalised_entities_sql('text')} AS entities FROM documents")
 def service_entities_parsed(spark, sf_dir):

@@ -87,6 +87,10 @@ class PipelineConfig:
     def history_location(self):
         return f"{self.root}/tables/history"
 
+    @property
+    def rejected_location(self):
+        return f"{self.root}/tables/rejected"
+
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
@@ -153,6 +157,13 @@ def alerts_job(spark: SparkSession, cfg: PipelineConfig):
                  **cfg.sink(cfg.alerts_topic, I.ALERTS))
 
 
+def rejected_job(spark: SparkSession, cfg: PipelineConfig):
+    """Payloads of the enriched topic that its consumers can't read -> the dead-letter table."""
+    from trendstream.operators import topics as T
+    return start(T.rejected_payloads(cfg.read(spark, cfg.enriched_topic)), sink="parquet", path=cfg.rejected_location,
+                 checkpoint=cfg.checkpoint("rejected"), mode=cfg.mode, interval=cfg.interval)
+
+
 def watch_job(spark: SparkSession, cfg: PipelineConfig, start_time, deadline_minutes: float = 15,
               poll_seconds: float = 10.0) -> bool:
     """Incremental watch: every poll reads only the alert files that are new."""
