@@ -90,3 +90,37 @@ def test_topics_that_are_over_keep_no_state(spark):
     counts, q = run(spark, topic, out)
     assert result(spark, out) == sequential(alert_rows(2, 60))
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_running_baseline_equals_a_sequential_one(spark):
+    """Counts of shuffled arrival over several micro-batches, a silent time included."""
+    from trendstream.streaming.baseline import Baseline, running_baseline, step
+    rows = alert_rows(7, 200)
+    rows += [(a + dt.timedelta(days=2), b + dt.timedelta(days=2), t, n + 3) for a, b, t, n in rows[:60]]
+    random.Random(1).shuffle(rows)
+    topic, out = fresh_path(spark, "topic-counts"), fresh_path(spark, "baseline")
+    for i in range(0, len(rows), 150):
+        write_topic(bodies(spark, rows[i:i + 150]), topic, "text")
+    write_topic(heartbeat(spark, DAY + dt.timedelta(days=9)), topic, "text")
+    counts = ProgressCounts()
+    spark.streams.addListener(counts)
+    try:
+        parsed = W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=1))
+        with rocksdb_state(spark):
+            q = start(running_baseline(parsed, 0.3, 86400, "4 days"), sink="parquet", path=out, checkpoint=out + ".chk")
+        counts.complete(q)
+    finally:
+        spark.streams.removeListener(counts)
+    want, state = {}, {}
+    for a, b, t, n in sorted(rows):
+        mean, variance, end = state.get(t, (None, None, None))
+        if mean is None or a >= end + dt.timedelta(days=1):
+            want[t, a], state[t] = (n, None, None), (float(n), 0.0, b)
+        else:
+            want[t, a] = (n, mean, (n - mean) / variance ** 0.5 if variance > 0 else None)
+            state[t] = (*step(mean, variance, 0.3, n), max(b, end))
+    got = {(r.topic, r.windowStart): (r["count"], r.baseline_avg, r.z) for r in spark.read.parquet(out).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == want[k] or all((x is None) == (y is None) and (x is None or abs(x - y) < 1e-9) for x, y in zip(got[k], want[k]))
+    assert sum(v[1] is None for v in want.values()) > len(state) and isinstance(Baseline().until((1.0, 0.0, 5)), int)

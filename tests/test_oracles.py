@@ -36,7 +36,7 @@ def test_query_matches_oracle_sf0001(spark, duck_small, name):
 @pytest.mark.parametrize("name", ["threshold_alerts", "stream_threshold_alerts", "search_pages",
                                   "entities_gazetteer", "language_detected", "alert_json", "fresh_alerts", "has_fresh_alert",
                                   "rejected_payloads", "watch_finds_fresh_alert", "new_alerts", "stream_new_alerts",
-                                  "stream_memory_view", "limited_alerts_job"])
+                                  "stream_memory_view", "limited_alerts_job", "stream_alert_baseline"])
 def test_query_matches_oracle_sf001(spark, duck_mid, name):
     ok, msg = compare(QUERIES[name](spark, SF_MID), duck_mid, ORACLES[name])
     assert ok, msg

@@ -1103,8 +1103,8 @@ def _shuffled_alerts_topic(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD):
     return shuffled, f"{(found['span'] or 0) // 1_000_000 + 1} seconds", found["last"]
 
 
-def _run_episodes(spark, topic: str, delay: str, last, limit: int = 1) -> str:
-    """The episode stream over a topic, brought to its end by a heartbeat."""
+def _run_episodes(spark, topic: str, delay: str, last, limit: int = 1, form=None) -> str:
+    """The episode stream (or another form over alerts) over a topic, brought to its end by a heartbeat."""
     import datetime as dt
     from trendstream.operators import watch as W
     from trendstream.session import fresh_path
@@ -1118,13 +1118,36 @@ def _run_episodes(spark, topic: str, delay: str, last, limit: int = 1) -> str:
     spark.streams.addListener(counts)
     try:
         with rocksdb_state(spark):
-            q = start(alert_episodes(alerts, delay=delay), sink="parquet", path=out, checkpoint=out + ".chk")
+            q = start((form or alert_episodes)(alerts, delay=delay), sink="parquet", path=out, checkpoint=out + ".chk")
         counts.complete(q)
     finally:
         spark.streams.removeListener(counts)
     return out
 
 
+@register("stream_alert_baseline", f"""
+    WITH RECURSIVE a AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY windowStart) AS rn
+                         FROM ({_CLOSED_SQL}) WHERE count >= {TR.ALERT_THRESHOLD}),
+    r AS (SELECT windowStart, windowEnd, topic, count, rn, CAST(NULL AS DOUBLE) AS m0, CAST(NULL AS DOUBLE) AS v0,
+                 CAST(count AS DOUBLE) AS m, CAST(0 AS DOUBLE) AS v FROM a WHERE rn = 1
+          UNION ALL
+          SELECT a.windowStart, a.windowEnd, a.topic, a.count, a.rn, CASE WHEN old THEN NULL ELSE m END,
+                 CASE WHEN old THEN NULL ELSE v END, CASE WHEN old THEN a.count ELSE m + 0.2 * (a.count - m) END,
+                 CASE WHEN old THEN 0 ELSE 0.8 * (v + 0.2 * (a.count - m) * (a.count - m)) END
+          FROM (SELECT r.*, a.windowStart >= r.windowEnd + INTERVAL 1 DAY AS old
+                FROM r JOIN a ON a.topic = r.topic AND a.rn = r.rn + 1) p JOIN a ON a.topic = p.topic AND a.rn = p.rn + 1)
+    SELECT windowStart, windowEnd, topic, count, round(m0, 6) AS baseline_avg, round(sqrt(v0), 6) AS baseline_std,
+           round(CASE WHEN v0 > 0 THEN (count - m0) / sqrt(v0) END, 6) AS z FROM r""")
+def stream_alert_baseline(spark, sf_dir):
+    """Alert counts against their topic's running baseline, over the shuffled alerts topic."""
+    from trendstream.streaming.baseline import running_baseline
+    topic, span, last = _shuffled_alerts_topic(spark, sf_dir)
+    found = spark.read.parquet(_run_episodes(spark, topic, span, last, form=running_baseline))
+    return found.select(F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
+                        F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count",
+                        *[F.round(c, 6).alias(c) for c in ("baseline_avg", "baseline_std", "z")])
+
+
 def _raised_alerts(spark, sf_dir, threshold: int) -> DataFrame:
     """The alert job's rows, read back from its topic."""
     from trendstream.operators import watch as W

@@ -41,53 +41,78 @@ def _millis(micros: int) -> int:
     return -(-micros // 1000)
 
 
-class Episodes(StatefulProcessor):
-    """First alerts of each episode; times are microseconds."""
+class InOrder(StatefulProcessor):
+    """Takes each key's rows (start, end, count; microseconds) in event time, whatever their order of arrival.
 
-    def __init__(self, quiet_seconds: float = 0):
-        self.gap = int(quiet_seconds * 1_000_000)
+    A subclass keeps ``STATE`` (a tuple, None for a new key): ``take`` moves it on by
+    one row and gives the output row or None; ``until`` is the time after which the
+    state means nothing any more.
+    """
+
+    STATE = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "start bigint", "end bigint, count bigint")
-        self.last = handle.getValueState("last", "end bigint, until bigint")
+        self.state = handle.getValueState("state", self.STATE + ", seen bigint")
 
-    def _get(self) -> tuple[int | None, int]:
-        return tuple(self.last.get()) if self.last.exists() else (None, -1)
+    def take(self, state: tuple | None, topic: str, start: int, end: int, count: int) -> tuple[tuple, Row | None]:
+        raise NotImplementedError
+
+    def until(self, state: tuple) -> int:
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in rows:
             if r["topic"] is not None:
                 had = self.waiting.getValue((r["start"],))
-                # an alert delivered twice waits once
+                # a row delivered twice waits once
                 self.waiting.updateValue((r["start"],), (max(r["end"], had[0]) if had else r["end"], r["count"]))
                 self.handle.registerTimer(_millis(r["start"]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end, until = self._get()
-        now = timerValues.getCurrentWatermarkInMs()
-        if expiredTimerInfo.getExpiryTimeInMs() <= until and until >= now:
+        *kept, seen = self.state.get() if self.state.exists() else (-1,)
+        state, now = tuple(kept) or None, timerValues.getCurrentWatermarkInMs()
+        if expiredTimerInfo.getExpiryTimeInMs() <= seen and seen >= now:
             return                                       # taken by an earlier timer of this batch
         waiting = sorted((k[0], v[0], v[1]) for k, v in self.waiting.iterator())
         ready = [w for w in waiting if _millis(w[0]) <= now]
-        for start, stop, count in ready:
-            if end is None or start >= end + self.gap:
-                yield Row(windowStart=_time(start), windowEnd=_time(stop), topic=key[0], count=count)
-            end = stop if end is None else max(end, stop)
+        for start, end, count in ready:
+            state, out = self.take(state, key[0], start, end, count)
+            if out is not None:
+                yield out
             self.waiting.removeKey((start,))
-        over = end is None or _millis(end + self.gap) <= now
+        over = state is None or _millis(self.until(state)) <= now
         if over and len(ready) == len(waiting):
-            self.last.clear()                            # any later alert is new anyway
-        else:
-            self.last.update((end, now))
+            self.state.clear()
+        elif state is not None:
+            self.state.update((*state, now))
             if not over and ready:
-                self.handle.registerTimer(_millis(end + self.gap))
+                self.handle.registerTimer(_millis(self.until(state)))
 
     def close(self) -> None:
         pass
 
 
+class Episodes(InOrder):
+    """First alerts of each episode; the state is the end of the last alert."""
+
+    STATE = "end bigint"
+
+    def __init__(self, quiet_seconds: float = 0):
+        self.gap = int(quiet_seconds * 1_000_000)
+
+    def take(self, state, topic, start, end, count):
+        last = state[0] if state else None
+        new = last is None or start >= last + self.gap
+        out = Row(windowStart=_time(start), windowEnd=_time(end), topic=topic, count=count) if new else None
+        return (end if last is None else max(last, end),), out
+
+    def until(self, state):
+        return state[0] + self.gap                       # any later alert is new anyway
+
+
 def _time(micros: int) -> _dt.datetime:
     return _dt.datetime.fromtimestamp(0, _dt.timezone.utc) + _dt.timedelta(microseconds=micros)
 
@@ -99,17 +124,24 @@ def alert_episodes(alert_rows: DataFrame, quiet_seconds: float = 0, delay: str =
     Rows without a topic (heartbeats) only move event time on.  An alert
     delivered again counts once.
     """
-    rows = (alert_rows.where(F.col("windowStart").isNotNull() & F.col("windowEnd").isNotNull())
+    return in_order(alert_rows, Episodes(quiet_seconds), OUTPUT_SCHEMA, delay)
+
+
+def in_order(window_rows: DataFrame, processor: InOrder, schema: str, delay: str) -> DataFrame:
+    """Streaming (windowStart, windowEnd, topic, count) rows through a processor of each topic."""
+    rows = (window_rows.where(F.col("windowStart").isNotNull() & F.col("windowEnd").isNotNull())
             .withWatermark("windowStart", delay)
             .select("windowStart", "topic", F.unix_micros("windowStart").alias("start"),
                     F.unix_micros("windowEnd").alias("end"), "count"))
     # the driver's worker for state has no shipped packages: the processor travels by value
-    here = sys.modules[__name__]
-    cloudpickle.register_pickle_by_value(here)
+    modules = {sys.modules[c.__module__] for c in type(processor).__mro__ if c.__module__.startswith(__package__)}
+    for m in modules:
+        cloudpickle.register_pickle_by_value(m)
     try:
-        return rows.groupBy("topic").transformWithState(Episodes(quiet_seconds), OUTPUT_SCHEMA, "append", "EventTime")
+        return rows.groupBy("topic").transformWithState(processor, schema, "append", "EventTime")
     finally:
-        cloudpickle.unregister_pickle_by_value(here)
+        for m in modules:
+            cloudpickle.unregister_pickle_by_value(m)
 
 
 def heartbeat(spark: SparkSession, at: _dt.datetime) -> DataFrame:
