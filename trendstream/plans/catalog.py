@@ -1142,7 +1142,7 @@ def stream_alert_baseline(spark, sf_dir):
     """Alert counts against their topic's running baseline, over the shuffled alerts topic."""
     from trendstream.streaming.baseline import running_baseline
     topic, span, last = _shuffled_alerts_topic(spark, sf_dir)
-    found = spark.read.parquet(_run_episodes(spark, topic, span, last, form=running_baseline))
+    found = spark.read.parquet(_run_episodes(spark, topic, span, last, limit=4, form=running_baseline))
     return found.select(F.col("windowStart").cast("timestamp_ntz").alias("windowStart"),
                         F.col("windowEnd").cast("timestamp_ntz").alias("windowEnd"), "topic", "count",
                         *[F.round(c, 6).alias(c) for c in ("baseline_avg", "baseline_std", "z")])
