@@ -1,0 +1,140 @@
+"""Leaders kept up by a stream against the report over all rows."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trendstream.operators import longterm as LT
+from trendstream.session import fresh_path
+from trendstream.streaming import leaders as LD
+from trendstream.streaming.runner import run_once
+
+DDL = "ts timestamp, topic string"
+START = dt.datetime(2024, 1, 1)
+
+
+def rows(seed, n=400, minutes=60, nulls=True):
+    rng = random.Random(seed)
+    out = [(START + dt.timedelta(microseconds=rng.randrange(minutes * 60_000_000)), rng.choice(["hot"] * 6 + [f"t{i}" for i in range(12)]))
+           for _ in range(n)]
+    return out + ([(None, "no time"), (out[0][0], None), out[1], out[1]] if nulls else [])
+
+
+def stream_of(spark, parts):
+    """One micro-batch a part, in that order."""
+    path = fresh_path(spark, "leader-rows")
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, DDL).coalesce(1).write.parquet(f"{path}/{i}")
+    for i in range(len(parts)):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{i}")
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in fs.listStatus(at):
+            fs.setTimes(f.getPath(), 1_700_000_000_000 + 10_000 * i, -1)
+    return spark.readStream.schema(DDL).option("maxFilesPerTrigger", "1").parquet(path + "/*")
+
+
+def run(spark, parts, **kw):
+    out = fresh_path(spark, "leaders")
+    q = LD.start_leaders(stream_of(spark, parts), out, out + ".chk", **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+    return out
+
+
+def told(spark, path):
+    return [(r.topic, r["count"]) for r in LD.current(spark, path).orderBy("rank").collect()]
+
+
+def report(spark, parts, minutes=LT.RECENT_MINUTES, k=LT.TOP_K):
+    df = spark.createDataFrame([r for p in parts for r in p], DDL)
+    return [(r.topic, r["count"]) for r in LT.recent_trends(df, minutes, k).collect()]
+
+
+@pytest.mark.parametrize("order", ["in order", "backwards", "shuffled"])
+def test_leaders_equal_the_report_in_any_order_of_arrival(spark, order):
+    every = sorted(rows(1), key=lambda r: (r[0] is not None, r[0] or START))
+    if order == "backwards":
+        every.reverse()
+    elif order == "shuffled":
+        random.Random(2).shuffle(every)
+    parts = [every[i:i + 101] for i in range(0, len(every), 101)]
+    out = run(spark, parts)
+    assert told(spark, out) == report(spark, parts)
+    assert [r["rank"] for r in LD.current(spark, out).orderBy("rank").collect()] == list(range(1, 11))
+
+
+def test_ties_go_by_topic_and_few_topics_are_all_told(spark):
+    at = START + dt.timedelta(minutes=3)
+    parts = [[(at, "b"), (at, "a"), (at, None)], [(at, "c"), (at, "c")]]
+    out = run(spark, parts)
+    assert told(spark, out) == [("c", 2), (None, 1), ("a", 1), ("b", 1)] == report(spark, parts)
+    assert told(spark, run(spark, parts, k=2)) == [("c", 2), (None, 1)]
+
+
+def test_a_row_at_the_bound_is_not_recent(spark):
+    parts = [[(START, "old"), (START + dt.timedelta(microseconds=1), "in")], [(START + dt.timedelta(minutes=15), "new")]]
+    assert told(spark, run(spark, parts)) == [("in", 1), ("new", 1)]
+
+
+def test_tables_hold_the_last_minutes_and_two_versions(spark):
+    parts = [[(START + dt.timedelta(minutes=20 * i, seconds=j), f"t{j % 3}") for j in range(30)] for i in range(5)]
+    out = run(spark, parts)
+    kept = LD.versions(spark, out)
+    assert len(kept) == LD.KEEP
+    counts = spark.read.schema(LD.COUNTS_SCHEMA).parquet(f"{out}/counts/{kept[-1]:012d}")
+    assert counts.agg(F.min("at")).first()[0] == START + dt.timedelta(minutes=80)
+    assert counts.count() == 30
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    parts = [rows(i, 60, nulls=False) for i in range(4)]
+    out = fresh_path(spark, "leaders")
+    write = LD.upsert_writer(out)
+
+    def again(batch, batch_id):
+        write(batch, batch_id)
+        before = told(spark, out)
+        write(batch, batch_id)
+        assert told(spark, out) == before
+    q = run_once(LD.changing_counts(stream_of(spark, parts)), sink="foreachBatch", output_mode="update", checkpoint=out + ".chk",
+                 foreach_batch=again)
+    assert q.exception() is None and told(spark, out) == report(spark, parts)
+
+
+def test_an_unfinished_version_is_not_read(spark):
+    out = run(spark, [rows(3, 50, nulls=False)])
+    before, last = told(spark, out), LD.versions(spark, out)[-1]
+    spark.createDataFrame([("half", 99, 1)], LD.LEADERS_SCHEMA).write.parquet(f"{out}/leaders/{last + 1:012d}")
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/leaders/{last + 1:012d}/_SUCCESS")
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, False)
+    assert told(spark, out) == before
+
+
+def test_slots_hold_a_number_a_topic_and_slot(spark):
+    # whole minutes: slots of a minute lose nothing against exact times
+    parts = [[(START + dt.timedelta(minutes=m), t) for m in range(40) for t in ("a", "a", f"t{m % 4}")] for _ in range(2)]
+    out = run(spark, parts, slot="1 minute")
+    assert told(spark, out) == report(spark, parts)
+    last = LD.versions(spark, out)[-1]
+    assert spark.read.schema(LD.COUNTS_SCHEMA).parquet(f"{out}/counts/{last:012d}").count() == 15 * 2
+
+
+def test_nothing_yet(spark):
+    assert LD.current(spark, fresh_path(spark, "leaders")).collect() == []
+    out = run(spark, [[(None, "no time")]])
+    assert told(spark, out) == []
+
+
+def test_leaders_job_follows_the_enriched_topic(spark):
+    from trendstream.operators import topics as T
+    from trendstream.streaming import jobs as J
+    cfg = J.PipelineConfig(root=fresh_path(spark, "leaders-root"))
+    posts = spark.createDataFrame([(START + dt.timedelta(minutes=i % 30), f"text {i}", ["all", f"n{i % 3}"]) for i in range(60)],
+                                  "timestamp timestamp, content string, entities array<string>").withColumn("language", F.lit("en"))
+    J.I.ingest(posts.select(F.col("content").alias("text"), "timestamp"), cfg.raw_topic, time_col="timestamp")
+    J.enrichment_job(spark, cfg).awaitTermination()
+    J.leaders_job(spark, cfg).awaitTermination()
+    whole = T.explode_topics(T.decode_enriched(cfg.read(spark, cfg.enriched_topic, stream=False), narrow=True), tz_aware=True)
+    assert told(spark, cfg.leaders_location) == [(r.topic, r["count"]) for r in LT.recent_trends(whole).collect()] != []

@@ -2,7 +2,7 @@
 
   python -m trendstream <job> --root <shared folder> [options]
 
-jobs: initialize, ingest, enrich, history, alerts, watch
+jobs: initialize, ingest, enrich, history, alerts, leaders, watch
 ``--mode once`` processes what is available and stops; ``continuous`` keeps
 running.  The session is the one the platform provides (spark-submit);
 ``--master`` starts a local one.
@@ -25,7 +25,7 @@ def _lines(spark: SparkSession, path: str) -> list[str]:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="trendstream")
-    p.add_argument("job", choices=["initialize", "ingest", "enrich", "history", "alerts", "watch"])
+    p.add_argument("job", choices=["initialize", "ingest", "enrich", "history", "alerts", "leaders", "watch"])
     p.add_argument("--root", required=True, help="shared folder of topics, tables and checkpoints")
     p.add_argument("--mode", default="once", choices=["once", "continuous"])
     p.add_argument("--interval", default="10 seconds", help="trigger interval in continuous mode")
@@ -86,7 +86,7 @@ def main(argv=None) -> int:
     elif a.job == "watch":
         return 0 if J.watch_job(spark, cfg, a.start, a.deadline_minutes) else 1
     else:
-        q = {"enrich": J.enrichment_job, "history": J.history_job, "alerts": J.alerts_job}[a.job](spark, cfg)
+        q = {"enrich": J.enrichment_job, "history": J.history_job, "alerts": J.alerts_job, "leaders": J.leaders_job}[a.job](spark, cfg)
         q.awaitTermination()
     return 0
 

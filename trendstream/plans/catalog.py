@@ -123,8 +123,17 @@ def enriched_json(spark, sf_dir):
 
 
 # --------------------------------------------------------- stream queries
-# Micro-batches of a replayed history, and files of each (fixture rules, fixed values).
-SLICES, FILES_A_SLICE = 4, 4
+# Fewest micro-batches of a replayed history, fewest files of each, and most splits of the input in one
+# (fixture rules, fixed values).
+SLICES, FILES_A_SLICE, SPLITS_A_SLICE = 4, 4, 256
+
+
+def _replay(spark, sf_dir) -> tuple[int, int]:
+    """Micro-batches of a replayed history and files of each, by the input's splits: a file is about as large as
+    a split (smaller where there are few), and a micro-batch takes at most SPLITS_A_SLICE of them."""
+    splits = FX.read_table(spark, sf_dir, "events", balanced=False).rdd.getNumPartitions()
+    slices = max(SLICES, -(-splits // SPLITS_A_SLICE))
+    return slices, max(FILES_A_SLICE, -(-splits // slices))
 
 
 def _enriched_topic(spark, sf_dir) -> str:
@@ -133,17 +142,18 @@ def _enriched_topic(spark, sf_dir) -> str:
     from trendstream.sources.topics import time_slices, write_topic
     from trendstream.streaming import pipelines as P
     topic = fresh_path(spark, "topic-enriched")
-    for part in time_slices(FX.enriched_events(spark, sf_dir), "timestamp", SLICES):
-        write_topic(P.enriched_bodies(part).repartition(FILES_A_SLICE), topic, "text")
+    slices, files = _replay(spark, sf_dir)
+    for part in time_slices(FX.enriched_events(spark, sf_dir), "timestamp", slices):
+        write_topic(P.enriched_bodies(part).repartition(files), topic, "text")
     return topic
 
 
-def _run_alert_stream(spark, topic: str, out: str, threshold: int):
+def _run_alert_stream(spark, topic: str, out: str, threshold: int, files: int = FILES_A_SLICE):
     """One slice in each micro-batch, so no row is late and state holds a slice's windows."""
     from trendstream.sources.topics import read_topic
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import run_once
-    return run_once(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold),
+    return run_once(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=files), threshold),
                     sink="parquet", path=out, checkpoint=out + ".chk")
 
 
@@ -164,7 +174,7 @@ def stream_threshold_alerts(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD):
     from trendstream.session import fresh_path
     topic = _enriched_topic(spark, sf_dir)
     out = fresh_path(spark, "alerts")
-    _run_alert_stream(spark, topic, out, threshold)
+    _run_alert_stream(spark, topic, out, threshold, _replay(spark, sf_dir)[1])
     return _read_alert_sink(spark, out)
 
 
@@ -180,10 +190,10 @@ def late_data_dropped(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     topic = _enriched_topic(spark, sf_dir)
     out = fresh_path(spark, "counts")
-    _run_alert_stream(spark, topic, out, 1)
+    _run_alert_stream(spark, topic, out, 1, _replay(spark, sf_dir)[1])
     late = FX.enriched_events(spark, sf_dir).orderBy("timestamp").limit(LATE_REDELIVERED)
     write_topic(P.enriched_bodies(late), topic, "text")
-    _run_alert_stream(spark, topic, out, 1)
+    _run_alert_stream(spark, topic, out, 1, _replay(spark, sf_dir)[1])
     return _read_alert_sink(spark, out)
 
 
@@ -494,7 +504,7 @@ def history_table_roundtrip(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     topic = _enriched_topic(spark, sf_dir)
     loc = fresh_path(spark, "history")
-    H.start_stream(P.history(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)), loc,
+    H.start_stream(P.history(read_topic(spark, topic, "text", max_files_per_trigger=_replay(spark, sf_dir)[1])), loc,
                    loc + ".chk").awaitTermination()
     return H.read_history(spark, loc).select(
         "UniqueId", F.col("TweetTime").cast("timestamp_ntz").alias("TweetTime"),
@@ -516,7 +526,7 @@ def history_compacted(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     loc = fresh_path(spark, "history")
     H.start_stream(P.history(read_topic(spark, _enriched_topic(spark, sf_dir), "text",
-                                        max_files_per_trigger=FILES_A_SLICE)), loc, loc + ".chk").awaitTermination()
+                                        max_files_per_trigger=_replay(spark, sf_dir)[1])), loc, loc + ".chk").awaitTermination()
     CP.compact(spark, loc)
     orders = FX.read_table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("content"), F.date_trunc("month", "o_orderdate").alias("timestamp"),
@@ -545,7 +555,7 @@ def history_two_writers(spark, sf_dir):
     loc, table = fresh_path(spark, "history"), f"history_{uuid.uuid4().hex[:12]}"
     H.ensure_table(spark, loc, table)
     H.start_stream(P.history(read_topic(spark, _enriched_topic(spark, sf_dir), "text",
-                                        max_files_per_trigger=FILES_A_SLICE)), loc, loc + ".chk").awaitTermination()
+                                        max_files_per_trigger=_replay(spark, sf_dir)[1])), loc, loc + ".chk").awaitTermination()
     orders = FX.read_table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("content"), F.date_trunc("year", "o_orderdate").alias("timestamp"),
         F.lit("en").alias("language"), F.array("o_orderpriority").alias("entities"),
@@ -770,7 +780,7 @@ def watch_finds_fresh_alert(spark, sf_dir):
     from trendstream.session import fresh_path
     from trendstream.sources.topics import write_topic
     from trendstream.streaming import jobs as J
-    cfg = J.PipelineConfig(root=fresh_path(spark, "watched"), max_files_per_trigger=FILES_A_SLICE)
+    cfg = J.PipelineConfig(root=fresh_path(spark, "watched"), max_files_per_trigger=_replay(spark, sf_dir)[1])
     write_topic(alert_json(spark, sf_dir), cfg.alerts_topic, "text")
     found = [J.watch_job(spark, cfg, at, deadline_minutes=0) for at in (WATCH_START, "2100-01-01 00:00:00")]
     return FX.read_table(spark, sf_dir, "region").limit(1).select(
@@ -860,7 +870,7 @@ def stream_memory_view(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import start
     view = f"alerts_{uuid.uuid4().hex[:12]}"
-    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=FILES_A_SLICE)
+    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=_replay(spark, sf_dir)[1])
     q = start(P.alerts(topic), sink="memory", checkpoint=fresh_path(spark, "memory") + ".chk",
               mode="continuous", interval="1 second", query_name=view)
     try:
@@ -882,7 +892,7 @@ def two_consumers(spark, sf_dir):
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import start
     topic, loc, out = _enriched_topic(spark, sf_dir), fresh_path(spark, "history"), fresh_path(spark, "alerts")
-    read = lambda: read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE)
+    read = lambda: read_topic(spark, topic, "text", max_files_per_trigger=_replay(spark, sf_dir)[1])
     running = [H.start_stream(P.history(read()), loc, loc + ".chk"),
                start(P.alerts(read()), sink="parquet", path=out, checkpoint=out + ".chk")]
     for q in running:
@@ -942,14 +952,41 @@ def language_and_entity_hooks(spark, sf_dir):
 # ------------------------------------------------------ declared operators
 
 
-@register("recent_trends", f"""
+def _recent_sql(minutes: int) -> str:
+    return f"""
     SELECT topic, count(*) AS count FROM ({_TOPIC_ROWS})
-    WHERE ts > (SELECT max(ts) FROM events) - INTERVAL {LT.RECENT_MINUTES} MINUTE
-    GROUP BY topic ORDER BY count DESC, topic LIMIT {LT.TOP_K}""")
+    WHERE ts > (SELECT max(ts) FROM events) - INTERVAL {minutes} MINUTE
+    GROUP BY topic ORDER BY count DESC, topic LIMIT {LT.TOP_K}"""
+
+
+@register("recent_trends", _recent_sql(LT.RECENT_MINUTES))
 def recent_trends(spark, sf_dir):
     return LT.recent_trends(_topic_rows(spark, sf_dir), times=_topic_times(spark, sf_dir))
 
 
+# Minutes of the leaders that a stream keeps up over the history (fixed value): a day.
+LEADERS_MINUTES = 1440
+
+
+@register("stream_recent_trends", f"""
+    SELECT topic, count, CAST(row_number() OVER (ORDER BY count DESC, topic) AS INT) AS rank
+    FROM ({_recent_sql(LEADERS_MINUTES)})""")
+def stream_recent_trends(spark, sf_dir):
+    """Leaders of the last day, kept up by a stream that takes the posts in any order, in several micro-batches."""
+    from trendstream.session import fresh_path
+    from trendstream.sources.topics import read_topic, write_topic
+    from trendstream.streaming import leaders as LD
+    from trendstream.streaming import pipelines as P
+    topic, out = fresh_path(spark, "topic-shuffled"), fresh_path(spark, "leaders")
+    slices, files = _replay(spark, sf_dir)
+    posts = FX.enriched_events(spark, sf_dir)
+    write_topic(P.enriched_bodies(posts).repartition(slices * files, F.xxhash64("body")), topic, "text")
+    bodies = read_topic(spark, topic, "text", max_files_per_trigger=files)
+    rows = T.explode_topics(T.decode_enriched(bodies, narrow=True), tz_aware=True)
+    LD.start_leaders(rows, out, out + ".chk", minutes=LEADERS_MINUTES).awaitTermination()
+    return LD.current(spark, out)
+
+
 def _period_sql(unit: str) -> str:
     return f"""
     SELECT * FROM (
@@ -975,7 +1012,7 @@ def _rollup(spark, sf_dir) -> str:
     from trendstream.session import fresh_path
     from trendstream.sources.topics import read_topic
     path = fresh_path(spark, "rollup")
-    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=FILES_A_SLICE)
+    topic = read_topic(spark, _enriched_topic(spark, sf_dir), "text", max_files_per_trigger=_replay(spark, sf_dir)[1])
     rows = T.explode_topics(T.decode_enriched(topic, narrow=True), tz_aware=True)
     write = RU.batch_writer(path)
 
@@ -1156,7 +1193,7 @@ def _raised_alerts(spark, sf_dir, threshold: int) -> DataFrame:
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import run_once
     topic, raised = _enriched_topic(spark, sf_dir), fresh_path(spark, "topic-raised")
-    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE), threshold))
+    run_once(P.alert_bodies(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=_replay(spark, sf_dir)[1]), threshold))
              .select(F.col("body").alias("value")),
              sink="text", path=producer_path(raised, "alerts"), checkpoint=raised + ".chk")
     return materialize(W.parsed_alerts(read_topic(spark, raised, "text", stream=False, producers=("alerts",))), "alerts")
@@ -1168,7 +1205,7 @@ def stream_new_alerts_at_once(spark, sf_dir):
     from trendstream.session import fresh_path
     topic, delay = _alerts_topic(spark, sf_dir)
     out = fresh_path(spark, "new-alerts")
-    _run_new_alert_stream(spark, topic, out, delay)
+    _run_new_alert_stream(spark, topic, out, delay, _replay(spark, sf_dir)[1])
     return _read_alert_sink(spark, out)
 
 
@@ -1179,19 +1216,20 @@ def _alerts_topic(spark, sf_dir, threshold: int = TR.ALERT_THRESHOLD) -> tuple[s
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.newalerts import slice_delay
     alerts_topic = fresh_path(spark, "topic-alerts")
-    slices = time_slices(_raised_alerts(spark, sf_dir, threshold), "windowStart", SLICES)
+    n_slices, files = _replay(spark, sf_dir)
+    slices = time_slices(_raised_alerts(spark, sf_dir, threshold), "windowStart", n_slices)
     for part in slices:
-        write_topic(P.alert_bodies(part), alerts_topic, "text", files=FILES_A_SLICE)
+        write_topic(P.alert_bodies(part), alerts_topic, "text", files=files)
     return alerts_topic, slice_delay(slices)
 
 
-def _run_new_alert_stream(spark, topic: str, out: str, delay: str):
+def _run_new_alert_stream(spark, topic: str, out: str, delay: str, files: int = FILES_A_SLICE):
     """One slice in each micro-batch; alerts dropped as late are an error, as episodes would be missing."""
     from trendstream.operators import watch as W
     from trendstream.sources.topics import read_topic
     from trendstream.streaming.newalerts import new_alerts_stream
     from trendstream.streaming.runner import rows_dropped_by_watermark, run_once
-    alerts = W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=FILES_A_SLICE))
+    alerts = W.parsed_alerts(read_topic(spark, topic, "text", max_files_per_trigger=files))
     q = run_once(new_alerts_stream(alerts, delay=delay), sink="parquet", path=out, checkpoint=out + ".chk")
     dropped = rows_dropped_by_watermark(q)
     if dropped:

@@ -5,6 +5,7 @@ ingest      message source -> raw topic (shares skipped)
 enrich      raw topic -> enriched topic            (stateless stream)
 history     enriched topic -> history table        (stream, exactly-once file sink)
 alerts      enriched topic -> alerts topic         (stateful sliding count + threshold)
+leaders     enriched topic -> leading topics of the last minutes (versions of a small table)
 watch       alerts topic -> success if a fresh alert appears before the deadline
 
 Every stream job has its own checkpoint under ``root``; ``mode`` is "once"
@@ -87,6 +88,10 @@ class PipelineConfig:
     def history_location(self):
         return f"{self.root}/tables/history"
 
+    @property
+    def leaders_location(self):
+        return f"{self.root}/tables/leaders"
+
     @property
     def rejected_location(self):
         return f"{self.root}/tables/rejected"
@@ -157,6 +162,14 @@ def alerts_job(spark: SparkSession, cfg: PipelineConfig):
                  **cfg.sink(cfg.alerts_topic, I.ALERTS))
 
 
+def leaders_job(spark: SparkSession, cfg: PipelineConfig, slot: str | None = None):
+    """The leading topics of the last minutes, kept up as the enriched topic grows (``leaders.current`` reads them)."""
+    from trendstream.operators import topics as T
+    from trendstream.streaming.leaders import start_leaders
+    rows = T.explode_topics(T.decode_enriched(cfg.read(spark, cfg.enriched_topic), narrow=True), tz_aware=True)
+    return start_leaders(rows, cfg.leaders_location, cfg.checkpoint("leaders"), slot=slot, mode=cfg.mode, interval=cfg.interval)
+
+
 def rejected_job(spark: SparkSession, cfg: PipelineConfig):
     """Payloads of the enriched topic that its consumers can't read -> the dead-letter table."""
     from trendstream.operators import topics as T
