@@ -86,21 +86,28 @@ def with_language(df: DataFrame, model: LanguageModel, text: str = "text", out:
     return scored.withColumn(out, answer).drop("_buckets", *names.values())
 
 
+def crc_table_sql() -> str:
+    """SQL of the 256 numbers that ``crc_sql`` looks up, as a list ``tab``."""
+    step = "list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))"
+    return f"list_transform(range(256), lambda i: {step}) AS tab"
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes in DuckDB SQL, beside the list ``tab``."""
+    b = f"encode({text})"
+    octets = f"list_transform(range(CAST(octet_length({b}) AS BIGINT)), lambda i: CAST(('0x' || hex({b})[2 * i + 1:2 * i + 2]) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)))"
+
+
 def detect_sql(learn: str, ask: str) -> str:
     """The same in DuckDB SQL: (doc_id, lang, language) of the rows of ``documents`` that ``ask`` holds for,
     learned from those that ``learn`` holds for ({crc} in either stands for the id's CRC-32)."""
-    step = "list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))"
-    octets = "list_transform(range(CAST(octet_length({b}) AS BIGINT)), lambda i: CAST(('0x' || hex({b})[2 * i + 1:2 * i + 2]) AS BIGINT))"
-
-    def crc(text: str) -> str:
-        b = octets.format(b=f"encode({text})")
-        return f"xor(4294967295, list_reduce(list_prepend(4294967295, {b}), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)))"
-    ids = crc("CAST(doc_id AS VARCHAR)")
+    ids = crc_sql("CAST(doc_id AS VARCHAR)")
     return f"""
-    WITH tabs AS (SELECT list_transform(range(256), lambda i: {step}) AS tab),
+    WITH tabs AS (SELECT {crc_table_sql()}),
          d AS (SELECT doc_id, lang, lower(text) AS low, {ids} AS id_crc FROM documents, tabs),
          g AS (SELECT DISTINCT doc_id, lang, id_crc, unnest(list_transform(range(1, length(low) - 1), lambda i: substr(low, i, 3))) AS t FROM d),
-         h AS (SELECT t, CAST({crc('t')} % {BUCKETS} AS INT) AS bucket FROM (SELECT DISTINCT t FROM g), tabs),
+         h AS (SELECT t, CAST({crc_sql('t')} % {BUCKETS} AS INT) AS bucket FROM (SELECT DISTINCT t FROM g), tabs),
          c AS (SELECT lang, bucket, count(*) AS n FROM g JOIN h USING (t) WHERE lang IS NOT NULL AND {learn.format(crc='id_crc')} GROUP BY ALL),
          s AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
          w AS (SELECT lang, bucket, CAST(round({SCALE} * ln((coalesce(n, 0) + 1) / (total + {BUCKETS}))) AS BIGINT) AS weight

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trendstream.functions import entities as EN
 from trendstream.functions import lang as LG
 from trendstream.functions import langmodel as LM
+from trendstream.functions import polarity as PO
 from trendstream.operators import longterm as LT
 from trendstream.operators import topics as T
 from trendstream.operators import trends as TR
@@ -1054,6 +1055,39 @@ def sentiment_score(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", LT.sentiment("text").alias("sentiment"))
 
 
+# Seeds of the learned sentiment (fixed values): the lexicon and blaming words that the documents use.
+PRAISE, BLAME = LT.POSITIVE_WORDS, [*LT.NEGATIVE_WORDS, "idiot", "stupid", "trash", "pathetic"]
+SEED_LANG = "en"
+_POLARITY_SQL = PO.sentiment_sql(PRAISE, BLAME, f"lang = '{SEED_LANG}'")
+
+
+def _learned_sentiment(spark, sf_dir):
+    docs = _docs(spark, sf_dir).select("doc_id", "lang", "text")
+    model = PO.PolarityModel.learn(docs.where(F.col("lang") == SEED_LANG), praise=PRAISE, blame=BLAME)
+    return PO.with_sentiment(docs, model)
+
+
+@register("sentiment_learned", _POLARITY_SQL)
+def sentiment_learned(spark, sf_dir):
+    """Sentiment of every document by polarity learned from the seeds' company in texts of their language."""
+    return _learned_sentiment(spark, sf_dir).select("doc_id", "sentiment")
+
+
+@register("sentiment_learned_spread", f"""
+    SELECT toxic, count(*) AS n, count(*) FILTER (WHERE sentiment < 0) AS blaming,
+           count(*) FILTER (WHERE sentiment < 0 AND len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}]+'),
+               lambda x: list_contains({BLAME!r}, x))) = 0) AS without_seed
+    FROM ({_POLARITY_SQL}) JOIN documents USING (doc_id) JOIN labels USING (doc_id) GROUP BY toxic""")
+def sentiment_learned_spread(spark, sf_dir):
+    """How far the seeds reach: documents that read as blaming, and those of them without a seed, by label."""
+    told = _learned_sentiment(spark, sf_dir)
+    labels = FX.read_table(spark, sf_dir, "labels", balanced=False).select("doc_id", "toxic")
+    seeded = F.arrays_overlap(PO.words(F.coalesce("text", F.lit(""))), F.array(*[F.lit(w) for w in BLAME]))
+    blaming = F.col("sentiment") < 0
+    return (told.select("doc_id", blaming.alias("b"), (blaming & ~seeded).alias("s")).join(labels, "doc_id")
+            .groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.count_if("b").alias("blaming"), F.count_if("s").alias("without_seed")))
+
+
 @register("new_alerts", f"""
     SELECT windowStart, windowEnd, topic, count FROM (
       SELECT *, lag(windowEnd) OVER (PARTITION BY topic ORDER BY windowStart) AS prev_end
