@@ -26,6 +26,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` has it (in any case)."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def held_out(id_col: Column, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo ``folds``, is 0 (null id: as empty text)."""
     return F.crc32(text_or_empty(id_col).cast("binary")) % folds == 0

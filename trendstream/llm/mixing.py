@@ -202,10 +202,16 @@ def _expected(docs: DataFrame, t: Column, p: list[Column], rate: Column) -> tupl
     return values[0], np.array(values[1:1 + k]), gram
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None,
-        id_col: str = "doc_id", text_col: str = "text", total: float | None = None,
-        labelled: int = LABELLED) -> DataFrame:
-    """(row, tokens, p_<domain> ..., rate, copies) for each row of ``docs``.
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **options) -> DataFrame:
+    """(row, tokens, p_<domain> ..., rate, copies) for each row of ``docs``; see ``mix_with_totals``."""
+    return mix_with_totals(docs, labels, targets, **options)[0]
+
+
+def mix_with_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None,
+                    id_col: str = "doc_id", text_col: str = "text", total: float | None = None,
+                    labelled: int = LABELLED) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """(row, tokens, p_<domain> ..., rate, copies) for each row of ``docs``, and domain -> expected tokens
+    under the fitted rates and tokens wanted, which differ where no rates meet the targets or the fit ended early.
 
     ``row`` holds all columns.  tokens counts the words of the text; rate is the
     fitted rate; copies is the rate rounded up or down with the fraction as the
@@ -234,11 +240,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: C
     scored = materialize(scored.select("row", "tokens", *[(F.get("raised", F.lit(i)) / F.col("sum")).alias(f"p_{n}")
                                                           for i, n in enumerate(names)]), "mix-scored")
     members = [f"p_{n}" for n in names]
-    rate, _, _ = fit_rates(scored, "tokens", members, [targets[n] for n in names], total)
+    rate, reached, wanted = fit_rates(scored, "tokens", members, [targets[n] for n in names], total)
     chance = F.pmod(F.xxhash64(F.col("row")[id_col], F.col("row")[text_col]), F.lit(1 << 30)) / float(1 << 30)
-    return (scored.withColumn("rate", rate)
-            .select("row", F.col("tokens").cast("long").alias("tokens"), *members, "rate",
-                    F.floor(F.col("rate") + chance).cast("int").alias("copies")))
+    rated = (scored.withColumn("rate", rate)
+             .select("row", F.col("tokens").cast("long").alias("tokens"), *members, "rate",
+                     F.floor(F.col("rate") + chance).cast("int").alias("copies")))
+    return rated, {n: (r, w) for n, r, w in zip(names, reached, wanted)}
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **options) -> DataFrame:
@@ -248,6 +255,9 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **options) -> DataFrame:
-    """``docs`` plus tokens, posteriors, rate and copies; columns of the same names are replaced."""
-    mixed = mix(docs, labels, targets, **options)
+    """``docs`` plus tokens, posteriors, rate, copies and, in every row, the tokens of each domain that the rates
+    reach and that were wanted (reached_<domain>, wanted_<domain>); columns of the same names are replaced."""
+    mixed, totals = mix_with_totals(docs, labels, targets, **options)
+    for name, (reached, wanted) in totals.items():
+        mixed = mixed.withColumns({f"reached_{name}": F.lit(reached), f"wanted_{name}": F.lit(wanted)})
     return unpack(mixed, "row", [c for c in mixed.columns if c != "row"])

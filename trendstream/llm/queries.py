@@ -160,7 +160,8 @@ MIX = {"clean": 0.92, "toxic": 0.04, "junk": 0.04}
 def op7_mixing(spark, sf_dir):
     from trendstream.llm.mixing import with_rates
     mixed = with_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX)
-    return mixed.select("doc_id", "source", *[c for c in mixed.columns if c.startswith("p_")], "tokens", "rate", "copies")
+    totals = [f"{kind}_{domain}" for domain in MIX for kind in ("reached", "wanted") if f"{kind}_{domain}" in mixed.columns]
+    return mixed.select("doc_id", "source", *[c for c in mixed.columns if c.startswith("p_")], "tokens", "rate", "copies", *totals)
 
 
 @query()
