@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendstream.llm.common import quoted, table
+from trendstream.llm.common import free_name, quoted, table
 from trendstream.llm.exact_dedup import drop_exact_duplicates
 from trendstream.llm.mixing import mixed_documents
 from trendstream.llm.packing import pack
@@ -31,8 +31,9 @@ MIX = {"clean": 0.96, "toxic": 0.04}
 def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least ACCEPT."""
     logits = fit(docs, table(spark, sf_dir, "labels"))
-    scored = with_scores(docs, logits, out="__quality")
-    return scored.filter(F.col("__quality") >= ACCEPT).select(*[F.col(quoted(c)) for c in docs.columns])
+    score = free_name("__quality", docs.columns)
+    scored = with_scores(docs, logits, out=score)
+    return scored.filter(F.col(score) >= ACCEPT).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
