@@ -53,7 +53,10 @@ def search(posts: DataFrame, query: str | None = None, lang: str | None = None,
            .withColumn("_n", F.row_number().over(group)).where(F.col("_n") <= count)
            .select(id_col).orderBy(F.col(id_col).desc()).limit(count))
     lowest = ids.agg(F.min(id_col)).scalar()
-    return found.where(F.col(id_col) >= lowest).orderBy(F.col(id_col).desc()).limit(count)
+    # ids first: older rows are skipped by the scan or at the first comparison, so a text is matched again
+    # only where it may be on the page
+    newest = posts.where(F.col(id_col) >= lowest)
+    return matches(newest, query, lang, max_id, id_col=id_col).orderBy(F.col(id_col).desc()).limit(count)
 
 
 def page_min_id(page: DataFrame, id_col: str = "id") -> Column:
