@@ -2,8 +2,8 @@
 
 Batch path: rows are first counted per (slide bucket, topic), partial + final,
 so a topic that holds a large share of all rows is reduced map-side before any
-shuffle.  The counts are dealt by (topic, hour) and expanded to the windows that
-contain them there, so the x(L/S) expansion never travels.  The key always
+shuffle.  The counts are dealt by (topic, hour), sorted and turned into windows
+there, so the x(L/S) expansion never travels nor waits in memory.  The key always
 contains the time, so one hot topic spreads over many reducers.
 
 Streaming path: ``window()`` + watermark + state store, append output.
@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendstream.functions import codec
@@ -41,28 +41,34 @@ def topic_counts(rows: DataFrame, length: str = WINDOW_LENGTH, slide: str = WIND
     """Batch count per (sliding window, topic): windowStart, windowEnd, topic, count.
 
     A bucket's count travels to the one or two blocks (an hour, a day or a week)
-    its windows start in; the expansion to windows and their sum follow inside
-    the block, behind the last shuffle.
+    its windows start in.  There the buckets of a topic are sorted by time, and
+    each gives the windows that it is the first bucket of, with the sum of the
+    buckets that follow inside them: every window comes out once, and what a task
+    holds is the buckets it sorts, not their windows.
     """
     L, S = interval_seconds(length), interval_seconds(slide)
     block = next((unit for unit in ("hour", "day", "week") if L <= _UNITS[unit]), None)
     if L % S or block is None:
         return _topic_counts_direct(rows, length, slide, ts, topic)
     k = L // S
-    step = F.lit(_dt.timedelta(seconds=S))
+    step, reach = F.lit(_dt.timedelta(seconds=S)), F.lit(_dt.timedelta(seconds=L))
     per_bucket = (rows.groupBy(F.window(ts, slide).start.alias("bucket"), F.col(topic).alias("topic"))
                   .agg(F.count(F.lit(1)).alias("n")))
     bucket = F.col("bucket")
     blocks = F.array_distinct(F.array(F.date_trunc(block, bucket), F.date_trunc(block, bucket - step * (k - 1))))
     dealt = per_bucket.select("bucket", "topic", "n", F.explode(blocks).alias("block")).repartition("topic", "block")
+    inside = Window.partitionBy("topic", "block").orderBy("bucket")
+    seen = dealt.select("topic", "block", "bucket", "n", F.lag("bucket").over(inside).alias("before"),
+                        F.collect_list(F.struct("bucket", "n")).over(inside.rowsBetween(0, k - 1)).alias("next"))
     # The k window starts of a bucket as a literal-size array: stays in codegen.
-    expanded = (dealt.select("topic", "block", "n",
-                             F.explode(F.array(*[bucket - step * i for i in range(k)])).alias("windowStart"))
-                .where(F.date_trunc(block, "windowStart") == F.col("block")))
-    return (expanded.groupBy("topic", "block", "windowStart").agg(F.sum("n").alias("count"))
-            .select("windowStart",
-                    (F.col("windowStart") + F.lit(_dt.timedelta(seconds=L))).alias("windowEnd"),
-                    "topic", "count"))
+    first = (seen.select("topic", "block", "n", "before", "next",
+                         F.explode(F.array(*[bucket - step * i for i in range(k)])).alias("windowStart"))
+             .where((F.date_trunc(block, "windowStart") == F.col("block"))
+                    & (F.col("before").isNull() | (F.col("windowStart") > F.col("before")))))
+    end = F.col("windowStart") + reach
+    within = F.aggregate("next", F.lit(0).cast("bigint"), lambda a, b: a + F.when(b["bucket"] < end, b["n"]).otherwise(0))
+    return first.select("windowStart", end.alias("windowEnd"), "topic",
+                        F.when(F.size("next") == 1, F.col("n")).otherwise(within).alias("count"))
 
 
 def _topic_counts_direct(rows, length, slide, ts, topic):
