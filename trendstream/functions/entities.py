@@ -46,18 +46,30 @@ def word_tokens(text="text") -> Column:
     return F.filter(F.split(_c(text), "[^\\p{L}]+"), lambda t: t != F.lit(""))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ngrams(tokens: Column, longest: int = 2) -> Column:
     """Space-joined runs of 1 to ``longest`` tokens, shorter ones first.
 
     Runs of n pair the runs of n - 1 with the tokens n - 1 places on
-    (``zip_with``), so no array is evaluated once per position.
+    (``zip_with``), so no array is evaluated once per position; the tokens and
+    the runs of each length are made once.
     """
-    runs, out = tokens, [tokens]
-    for n in range(2, longest + 1):
-        later = F.slice(tokens, n, F.greatest(F.size(tokens) - (n - 1), F.lit(1)))
-        runs = F.zip_with(runs, later, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
-        out.append(F.filter(runs, lambda g: g.isNotNull()))
-    return F.concat(*out) if len(out) > 1 else tokens
+    if longest < 2:
+        return tokens
+
+    def longer(words: Column, runs: Column, n: int) -> Column:
+        if n > longest:
+            return runs
+        later = F.slice(words, n, F.greatest(F.size(words) - (n - 1), F.lit(1)))
+        paired = F.filter(F.zip_with(runs, later, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b))),
+                          lambda g: g.isNotNull())
+        # what is left out stands at the end, so runs of n still start at tokens 1, 2, ...
+        return F.concat(runs, _once(paired, lambda r: longer(words, r, n + 1)))
+    return _once(tokens, lambda words: longer(words, words, 2))
 
 
 def words_in(entry: str) -> int:
@@ -68,13 +80,26 @@ def words_in(entry: str) -> int:
 def gazetteer_entities(text, gazetteer: list[str]) -> Column:
     """N-grams of ``text`` found in a literal gazetteer, distinct; n goes up to its longest entry.
 
-    ``isin`` over many literals is a hash lookup.  The literals travel with
+    Texts are cut once, and ``isin`` over many literals is a hash lookup.  The literals travel with
     every task, so their size is checked; a larger gazetteer is for the
     dictionary join.
     """
     size = sum(len(g.encode()) for g in gazetteer)
     if size > LITERAL_MAX_BYTES:
         raise ValueError(f"a gazetteer of {size} bytes is too large for a literal: use operators.enrich.tag_entities")
-    longest = max((words_in(g) for g in gazetteer), default=1)
-    hits = F.filter(ngrams(word_tokens(text), max(1, longest)), lambda g: g.isin(*gazetteer))
-    return or_none(F.array_distinct(hits))
+    by_length: dict[int, list[str]] = {}
+    for g in gazetteer:
+        by_length.setdefault(words_in(g), []).append(g)
+
+    def runs(tokens: Column, n: int, entries: list[str]) -> Column:
+        """Runs of n tokens that are entries; only those that begin like one are joined."""
+        begin = sorted({g.split(" ")[0] for g in entries})
+        places = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        some = F.filter(places, lambda i: F.get(tokens, i - 1).isin(*begin))
+        return F.filter(F.transform(some, lambda i: F.array_join(F.slice(tokens, i, n), " ")), lambda g: g.isin(*entries))
+
+    def hits(tokens: Column) -> Column:
+        found = [F.filter(tokens, lambda t: t.isin(*entries)) if n == 1 else runs(tokens, n, entries)
+                 for n, entries in sorted(by_length.items()) if n]
+        return F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
+    return _once(_once(word_tokens(text), hits), or_none)

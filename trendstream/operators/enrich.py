@@ -137,7 +137,7 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     elif has_lang:
         entry = entry.drop("_lang")
     if estimated_bytes(entry) <= broadcast_max_bytes:
-        joined = cand.join(F.broadcast(entry), keys, "left")
+        joined = cand.join(F.broadcast(entry), keys)
     else:
         rows = cand if candidate_rows is not None else materialize(cand, "candidates")
         heavy = materialize(heavy_entities(rows), "heavy-entities")
@@ -145,7 +145,9 @@ def tag_entities(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
         # of one (id, entity) pair spread over all salts
         spread = F.when(F.col("_heavy"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int")
         salted = rows.join(F.broadcast(heavy), "entity", "left").withColumn("_salt", spread).drop("_heavy")
-        joined = salted.join(replicas(entry, heavy, salts), keys + ["_salt"], "left").drop("_salt")
-    per_doc = joined.groupBy(id_col).agg(F.array_sort(F.array_distinct(F.collect_list("_name")))
+        joined = salted.join(replicas(entry, heavy, salts), keys + ["_salt"])
+    # only candidates that are entries travel; a row without a name stands for each document
+    asked = (candidate_rows if candidate_rows is not None else docs).select(id_col, F.lit(None).cast("string").alias("_name"))
+    per_doc = joined.select(id_col, "_name").unionByName(asked).groupBy(id_col).agg(F.array_sort(F.array_distinct(F.collect_list("_name")))
                                          .alias("entities"))
     return per_doc.select(id_col, EN.or_none(F.col("entities")).alias("entities"))
