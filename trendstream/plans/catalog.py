@@ -791,6 +791,8 @@ def watch_finds_fresh_alert(spark, sf_dir):
 # ------------------------------------------------- jobs under a limit
 # Fixture (fixed values): payloads of a topic's file, and the alert threshold of its sparse topics.
 LIMITED_ROWS_PER_FILE, LIMITED_THRESHOLD = 1500, 2
+# Most files of a limited topic (fixed value): a longer history has larger files, not more micro-batches.
+LIMITED_FILES = 24
 
 _POST_TOPICS = ("SELECT ts, unnest([upper(event_type[1]) || event_type[2:], chr(CAST(65 + user_id % 20 AS INT)) || 'roup']) "
                 "AS topic FROM events")
@@ -799,14 +801,16 @@ _POST_CLOSED_SQL = f"""
     WHERE windowEnd <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AND count >= {LIMITED_THRESHOLD}"""
 
 
-def _limited_pipeline(spark, sf_dir, rows_per_file: int = LIMITED_ROWS_PER_FILE, parts: int = 2):
+def _limited_pipeline(spark, sf_dir, rows_per_file: int | None = None, parts: int = 2):
     """Posts of the events through the configured jobs, one file a micro-batch; the
     later half of the history is ingested first."""
     from trendstream.session import fresh_path
     from trendstream.streaming import jobs as J
+    posts = FX.event_posts(spark, sf_dir)
+    if rows_per_file is None:
+        rows_per_file = max(LIMITED_ROWS_PER_FILE, -(-posts.count() // LIMITED_FILES))
     cfg = J.PipelineConfig(root=fresh_path(spark, "limited"), max_files_per_trigger=1, threshold=LIMITED_THRESHOLD,
                            rows_per_file=rows_per_file)
-    posts = FX.event_posts(spark, sf_dir)
     from trendstream.sources.topics import time_slices
     for part in reversed(time_slices(posts, "created_at", parts)):
         J.ingest_job(part, cfg, time_col="created_at")
