@@ -18,12 +18,32 @@ def _parallelism(spark: SparkSession) -> int | None:
         return None
 
 
+def _row_groups(df: DataFrame, enough: int) -> int:
+    """Row groups of the files of a parquet scan, counted up to ``enough``: a split without one of its own reads nothing.
+
+    Footers are read for fewer than ``enough`` files only, as each has a row group.
+    """
+    files, spark = df.inputFiles(), df.sparkSession
+    if len(files) >= enough:
+        return enough
+    jvm, conf, found = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for f in files:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+            jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(at, conf))
+        try:
+            found += reader.getRowGroups().size()
+        finally:
+            reader.close()
+    return min(found, enough)
+
+
 def balance(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread an under-partitioned scan over the cluster.
 
     A scan of ``MAX_SPLITS`` splits or more is left alone on any cluster (no
     shuffle).  One with fewer splits than that and than the default parallelism
-    (a small file, a single row group) would run all per-row work in a few
+    (a small file, large row groups) would run all per-row work in a few
     tasks, so it is split round-robin: even whatever the values (a key with many
     copies cannot pile up), and deterministic on retry through Spark's local
     sort before the split, which is cheap for so few splits.  A
@@ -38,6 +58,11 @@ def balance(df: DataFrame, key: str | None = None) -> DataFrame:
         n = df.rdd.getNumPartitions()
     except Exception:
         return df
+    if n >= target:
+        try:
+            n = _row_groups(df, target)
+        except Exception:  # not a scan of parquet files
+            return df
     if n >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)

@@ -32,6 +32,8 @@ ROWS_PER_FILE = 100_000
 # Files of one write, at most (its manifest passes through the driver).
 FILES_A_WRITE = 10_000
 SUFFIX = {"text": "txt", "parquet": "parquet"}
+# A row group of a parquet topic's file: what a consumer's task reads at least, so that one file spreads over many tasks.
+ROW_GROUP_BYTES = 4 << 20
 
 
 def _path(spark: SparkSession, *parts: str):
@@ -118,31 +120,45 @@ def publish(payloads: DataFrame, topic: str, kind: str, write: str, time_col: st
     spark = payloads.sparkSession
     entries = _committed(spark, topic, write)
     if entries is None:
-        total = payloads.count()
-        if not total:
+        # counted, sampled for the ranges and dealt: what makes the payloads runs once
+        kept = payloads.persist()
+        try:
+            entries = _staged(kept, topic, kind, write, time_col, read_time, rows_per_file)
+        finally:
+            kept.unpersist()
+        if not entries:
             return
-        files = min(FILES_A_WRITE, -(-total // rows_per_file))
-        dealt = payloads.repartitionByRange(files, F.col(time_col).asc_nulls_first(), F.xxhash64("body"))
-        staged = f"{topic.rstrip('/')}/{STAGING}/{write}"
-        if kind == "text":
-            dealt.select(F.col("body").cast("string").alias("value")).write.mode("overwrite").text(staged)
-            back = spark.read.text(staged).withColumnRenamed("value", "body")
-        else:
-            dealt.write.mode("overwrite").parquet(staged)
-            back = spark.read.parquet(staged)
-        at = F.unix_micros(read_time)
-        found = (back.select(F.col("_metadata.file_name").alias("name"), at.alias("at")).groupBy("name")
-                 .agg(F.min("at").alias("lowest"), F.max("at").alias("highest"), F.count(F.lit(1)).alias("rows"),
-                      F.count("at").alias("timed")).collect())
-        # a file that holds payloads without a time comes first, whatever else it holds
-        ranked = sorted(found, key=lambda r: (r["timed"] == r["rows"], r["lowest"] or 0, r["name"]))
-        entries = [{"file": f"{write}-{i:06d}.{SUFFIX[kind]}", "staged": f"{write}/{r['name']}",
-                    "lowest": r["lowest"] if r["timed"] == r["rows"] else None, "highest": r["highest"], "rows": r["rows"],
-                    "write": write} for i, r in enumerate(ranked)]
         _commit(spark, topic, write, entries)
     _admit(spark, topic, entries)
 
 
+def _staged(payloads: DataFrame, topic: str, kind: str, write: str, time_col: str, read_time: Column,
+            rows_per_file: int) -> list[dict]:
+    """The payloads written to the hidden folder; the manifest's entries of their files (none without payloads)."""
+    spark = payloads.sparkSession
+    total = payloads.count()
+    if not total:
+        return []
+    files = min(FILES_A_WRITE, -(-total // rows_per_file))
+    dealt = payloads.repartitionByRange(files, F.col(time_col).asc_nulls_first(), F.xxhash64("body"))
+    staged = f"{topic.rstrip('/')}/{STAGING}/{write}"
+    if kind == "text":
+        dealt.select(F.col("body").cast("string").alias("value")).write.mode("overwrite").text(staged)
+        back = spark.read.text(staged).withColumnRenamed("value", "body")
+    else:
+        dealt.write.mode("overwrite").option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(staged)
+        back = spark.read.parquet(staged)
+    at = F.unix_micros(read_time)
+    found = (back.select(F.col("_metadata.file_name").alias("name"), at.alias("at")).groupBy("name")
+             .agg(F.min("at").alias("lowest"), F.max("at").alias("highest"), F.count(F.lit(1)).alias("rows"),
+                  F.count("at").alias("timed")).collect())
+    # a file that holds payloads without a time comes first, whatever else it holds
+    ranked = sorted(found, key=lambda r: (r["timed"] == r["rows"], r["lowest"] or 0, r["name"]))
+    return [{"file": f"{write}-{i:06d}.{SUFFIX[kind]}", "staged": f"{write}/{r['name']}",
+             "lowest": r["lowest"] if r["timed"] == r["rows"] else None, "highest": r["highest"], "rows": r["rows"],
+             "write": write} for i, r in enumerate(ranked)]
+
+
 def publisher(topic: str, kind: str, producer: str, time_col: str, read_time: Column, rows_per_file: int = ROWS_PER_FILE):
     """foreachBatch function that publishes each micro-batch; a repeated one is the same write."""
     def write(batch: DataFrame, batch_id: int) -> None:
