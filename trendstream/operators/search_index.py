@@ -15,27 +15,66 @@ or two characters are prefixes of trigrams.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendstream.operators import paging as PG
 from trendstream.session import fresh_path, materialize
 
 BLOCK = 8192            # places of a posting list, at most
-CHUNK = 10_000          # characters of a text that are cut into trigrams at once
+CHUNK = 1 << 20         # characters of a text that are cut into trigrams at once
+SLICE = 4 << 20         # characters of texts whose lists are made at once
 PAD = "\u0000\u0000"
-
-
-def trigrams(text: Column) -> Column:
-    """Distinct runs of three characters; linear in the text's length."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{3}))"), 1))
-
-
-def _chunks(text: Column) -> Column:
-    """Pieces of CHUNK characters, each with the two that follow it."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{CHUNK + 2}}})).{{1,{CHUNK}}}"), 1)
+_U = np.uint64
+_LISTS = pa.schema([("trigram", pa.string()), ("block", pa.int64()), ("places", pa.list_(pa.int64()))])
+
+
+def posting_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(trigram, block, places) of the texts ``low`` (not null) at ``place``, a list for each slice of a block's texts.
+
+    A text is cut into pieces of CHUNK characters, each with the two that follow it.
+    """
+    texts, places, size = [], [], 0
+    for batch in batches:
+        for place, text in zip(batch.column("place").to_pylist(), batch.column("low").to_pylist()):
+            for at in range(0, len(text), CHUNK):
+                if texts and (size >= SLICE or place // BLOCK != places[0] // BLOCK):
+                    yield _slice_lists(texts, places)
+                    texts, places, size = [], [], 0
+                texts.append(text[at:at + CHUNK + 2])
+                places.append(place)
+                size += len(texts[-1])
+    if texts:
+        yield _slice_lists(texts, places)
+
+
+def _slice_lists(texts: list[str], places: list[int]) -> pa.RecordBatch:
+    """Lists of one slice: its runs of three characters sorted by their code points, texts in order."""
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    owner = np.repeat(np.array(places, dtype=np.int64), [len(t) for t in texts])
+    piece = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    inside = piece[:-2] == piece[2:]
+    code = ((chars[:-2] << _U(42)) | (chars[1:-1] << _U(21)) | chars[2:])[inside]
+    order = np.argsort(code, kind="stable")
+    code, place = code[order], owner[:-2][inside][order]
+    other = np.ones(len(code), dtype=bool)
+    other[1:] = code[1:] != code[:-1]
+    kept = other.copy()
+    kept[1:] |= place[1:] != place[:-1]
+    starts = np.flatnonzero(other[kept])
+    found, place = code[kept][starts], place[kept]
+    last = _U((1 << 21) - 1)
+    runs = np.stack([found >> _U(42), (found >> _U(21)) & last, found & last], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    return pa.RecordBatch.from_arrays(
+        [pa.array([runs[i:i + 3] for i in range(0, len(runs), 3)], pa.string()),
+         pa.array(np.full(len(starts), places[0] // BLOCK), pa.int64()),
+         pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)), pa.int32()), pa.array(place, pa.int64()))],
+        schema=_LISTS)
 
 
 @dataclass
@@ -57,13 +96,13 @@ class TextIndex:
         newest = F.col(id_col).desc()
         (posts.repartitionByRange(newest, F.xxhash64(*posts.columns)).sortWithinPartitions(newest)
          .withColumn("place", F.monotonically_increasing_id()).write.parquet(f"{index.path}/texts"))
-        low = F.concat(F.lower(F.col(text)), F.lit(PAD))
-        pieces = index.texts().select("place", F.explode(_chunks(low)).alias("piece"))
-        (pieces.select("place", F.explode(trigrams(F.col("piece"))).alias("trigram"))
-         .groupBy("trigram", F.floor(F.col("place") / BLOCK).alias("block"))
-         .agg(F.sort_array(F.collect_set("place")).alias("places"))
-         .repartitionByRange("trigram", "block").sortWithinPartitions("trigram", "block")
-         .write.parquet(f"{index.path}/postings"))
+        low = F.make_valid_utf8(F.concat(F.lower(F.col(text)), F.lit(PAD)))
+        # a task cuts neighbouring texts, so what is written and sorted is lists, not a row for each trigram of a text
+        lists = materialize(index.texts().where(F.col(text).isNotNull()).select("place", low.alias("low"))
+                            .mapInArrow(posting_lists, "trigram string, block long, places array<long>"), "index-lists")
+        (lists.repartitionByRange("trigram", "block").groupBy("trigram", "block")
+         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
+         .sortWithinPartitions("trigram", "block").write.parquet(f"{index.path}/postings"))
         return index
 
     def texts(self) -> DataFrame:
