@@ -1,9 +1,10 @@
 """Alert episodes whatever the order of arrival.
 
 Alerts wait in keyed state until the watermark has passed their window's start:
-until then an earlier one of the topic may still come.  A timer at that start
+until then an earlier one of the topic may still come.  A timer at the earliest start
 wakes the topic, which takes its waiting alerts in event time and emits those that open
-a new episode.  State per topic: the waiting alerts (a map by window start), the
+a new episode.  State per topic: the waiting alerts (a list, added to and read as a
+whole, so a micro-batch costs a topic a few calls), the time it wakes, the
 end of the last alert, and how far it has gone.  A topic whose last episode is
 over and that has nothing waiting keeps no state.
 
@@ -13,7 +14,7 @@ counted (``runner.ProgressCounts``).  A bounded run ends with the alerts of the
 idle topic's producer does, so a replay can be brought to its end.
 
 This is the exact form.  ``newalerts.new_alerts_stream`` answers at once and relies
-on the order of its input.  Map state and timers need the RocksDB state store:
+on the order of its input.  List state and timers need the RocksDB state store:
 start the query inside ``rocksdb_state``.
 """
 
@@ -53,7 +54,8 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "start bigint", "end bigint, count bigint")
+        self.waiting = handle.getListState("waiting", "start bigint, end bigint, count bigint")
+        self.wake = handle.getValueState("wake", "start bigint")
         self.state = handle.getValueState("state", self.STATE + ", seen bigint")
 
     def take(self, state: tuple | None, topic: str, start: int, end: int, count: int) -> tuple[tuple, Row | None]:
@@ -63,28 +65,46 @@ class InOrder(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in rows:
-            if r["topic"] is not None:
-                had = self.waiting.getValue((r["start"],))
-                # a row delivered twice waits once
-                self.waiting.updateValue((r["start"],), (max(r["end"], had[0]) if had else r["end"], r["count"]))
-                self.handle.registerTimer(_millis(r["start"]))
+        new = [(r["start"], r["end"], r["count"]) for r in rows if r["topic"] is not None]
+        if new:
+            self.waiting.appendList(new)
+            first = min(w[0] for w in new)
+            if not self.wake.exists() or first < self.wake.get()[0]:
+                self._wake_at(first)
         return iter([])
 
+    def _wake_at(self, start: int) -> None:
+        self.handle.registerTimer(_millis(start))
+        self.wake.update((start,))
+
+    def _waiting(self) -> list[tuple[int, int, int]]:
+        """Waiting rows by their start; a row delivered twice waits once."""
+        found = {}
+        for start, end, count in self.waiting.get():
+            found[start] = (max(end, found[start][0]) if start in found else end, count)
+        return sorted((start, *v) for start, v in found.items())
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         *kept, seen = self.state.get() if self.state.exists() else (-1,)
         state, now = tuple(kept) or None, timerValues.getCurrentWatermarkInMs()
         if expiredTimerInfo.getExpiryTimeInMs() <= seen and seen >= now:
             return                                       # taken by an earlier timer of this batch
-        waiting = sorted((k[0], v[0], v[1]) for k, v in self.waiting.iterator())
+        waiting = self._waiting() if self.waiting.exists() else []
         ready = [w for w in waiting if _millis(w[0]) <= now]
         for start, end, count in ready:
             state, out = self.take(state, key[0], start, end, count)
             if out is not None:
                 yield out
-            self.waiting.removeKey((start,))
+        later = waiting[len(ready):]
+        if later:
+            if ready:
+                self.waiting.put(later)
+            self._wake_at(later[0][0])
+        else:
+            self.waiting.clear()
+            self.wake.clear()
         over = state is None or _millis(self.until(state)) <= now
-        if over and len(ready) == len(waiting):
+        if over and not later:
             self.state.clear()
         elif state is not None:
             self.state.update((*state, now))
