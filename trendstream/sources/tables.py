@@ -24,7 +24,7 @@ def _row_groups(df: DataFrame, enough: int) -> int:
     Footers are read for fewer than ``enough`` files only, as each has a row group.
     """
     files, spark = df.inputFiles(), df.sparkSession
-    if len(files) >= enough:
+    if not files or len(files) >= enough:      # no scan of files, or a row group in each of many
         return enough
     jvm, conf, found = spark._jvm, spark._jsc.hadoopConfiguration(), 0
     for f in files:
