@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from trendstream.llm.cells import cell_of, count_cells
 from trendstream.llm.common import quoted
 from trendstream.llm.components import connected_components
-from trendstream.session import materialize
+from trendstream.session import discard, materialize
 
 SLICE_BYTES = 4 << 20       # texts that a worker cuts at once, unless one is longer
 _U = np.uint64
@@ -181,8 +181,10 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, rare, word
 
     made = texts.mapInArrow(sets, "id long, s1 long, s2 long, tokens array<long>, p1 array<long>, p2 array<long>")
     known = wanted.select("uid", "s1", "s2", F.col("id").alias("least"))
+    # no key of the join, whose partitioning by (s1, s2) then serves the duplicates too
+    own_id = F.when(F.col("least").isNull(), F.col("id").isNull()).otherwise(F.col("id") == F.col("least"))
     full = materialize(
-        made.join(known.hint("merge"), ["s1", "s2"]).filter(F.col("id").eqNullSafe(F.col("least")))
+        made.join(known.hint("merge"), ["s1", "s2"]).filter(own_id)
         .dropDuplicates(["s1", "s2"]).select("uid", "tokens", "p1", "p2"), "jaccard-sets")
     # the filters of the other orders, intersected
     few = full.select("uid", "p1", "p2")
@@ -196,10 +198,12 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, rare, word
     left, right = (whole.select(*[F.col(c).alias(f"{side}{c}") for c in whole.columns]) for side in "ab")
     shared = F.size(F.array_intersect("atokens", "btokens")).cast("long")
     union = F.size("atokens") + F.size("btokens") - shared
-    return materialize(
+    links = materialize(
         both.join(left.hint("merge"), F.col("a") == F.col("auid")).drop("auid")
         .join(right.hint("merge"), F.col("b") == F.col("buid"))
         .filter(100 * shared >= percent * union).select("a", "b"), "jaccard-links")
+    discard(full)
+    return links
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
@@ -242,7 +246,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                           "jaccard-classes")
     posts = (rows.join(classes.select("uid").hint("merge"), "uid", "left_semi")
              .select("uid", "n", F.posexplode("prefix").alias("pos", "token")))
-    several = posts.groupBy("token").count().filter("count > 1").select("token")
+    several = materialize(posts.groupBy("token").count().filter("count > 1").select("token"), "jaccard-tokens")
     posts = materialize(posts.join(several.hint("merge"), "token", "left_semi"), "jaccard-postings")
 
     # each class with the centre it shares most buckets with

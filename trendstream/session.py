@@ -14,7 +14,7 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on.  The time zone is pinned because
 # timestamps travel as strings between stages (enriched JSON, alerts).
@@ -32,6 +32,8 @@ CORE_CONF = {
 EXCLUDED_RULES = "spark.sql.optimizer.excludedRules"
 NO_GENERATE_FILTERS = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate"
 TIME_ZONE = "spark.sql.session.timeZone"
+# Shuffle files go at the end of their query, not when the driver next collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # State store for large streaming state (off-heap, incremental checkpoints).
@@ -118,13 +120,27 @@ def materialize(df, kind: str = "stage"):
     Cuts the lineage (a lost executor does not recompute the source), keeps
     computed columns fixed (ids, positions), and is reused by every consumer
     of the result.  Columnar and compressed, so cheaper than an RDD checkpoint.
+    What the write has shuffled is not read again, and is freed with its end.
     """
     spark = df.sparkSession
     path = fresh_path(spark, kind)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Delete the files of a frame made by ``materialize`` that nothing reads any more."""
+    spark = written.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 _SHIPPED: set = set()
 _SHIP_LOCK = threading.Lock()
 
