@@ -5,6 +5,7 @@ weights, packed into sequences.
 Each stage is (name, function of (spark, docs, sf_dir)); all but the last return
 the columns of ``documents``.  ``run`` writes every stage's result to the shared
 folder and reads it back, so a lost executor never repeats an earlier stage.
+Stages that run Python bound the size of the batches they send it.
 
 Rows of ``documents`` with null or empty text are scored, compared and packed like
 any other; an empty table gives an empty result of every stage.
@@ -22,7 +23,7 @@ from trendstream.llm.packing import pack
 from trendstream.llm.quality import fit, with_scores
 from trendstream.llm.queries import tokenizer_path
 from trendstream.llm.simhash import drop_near_duplicates
-from trendstream.session import materialize, ship_package
+from trendstream.session import bound_batches, materialize, ship_package
 
 ACCEPT = 0.3
 MIX = {"clean": 0.96, "toxic": 0.04}
@@ -30,6 +31,7 @@ MIX = {"clean": 0.96, "toxic": 0.04}
 
 def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least ACCEPT."""
+    bound_batches(spark)
     logits = fit(docs, table(spark, sf_dir, "labels"))
     score = free_name("__quality", docs.columns)
     scored = with_scores(docs, logits, out=score)
@@ -43,6 +45,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of fingerprints at most two bits apart (3-word shingles)."""
+    bound_batches(spark)
     return drop_near_duplicates(docs, words=3, radius=2)
 
 
@@ -53,6 +56,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 2048 tokens."""
+    bound_batches(spark)
     return pack(docs, tokenizer_path(), window=2048, end_id=1)
 
 

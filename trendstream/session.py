@@ -34,6 +34,9 @@ NO_GENERATE_FILTERS = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromG
 TIME_ZONE = "spark.sql.session.timeZone"
 # Shuffle files go at the end of their query, not when the driver next collects garbage.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Rows sent to a Python worker at once, by their size: a batch is held by the task, the worker and its lists.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+TEXT_BATCH = 2 << 20
 
 
 # State store for large streaming state (off-heap, incremental checkpoints).
@@ -79,6 +82,11 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession, most: int = TEXT_BATCH) -> None:
+    """Rows of whole texts reach Python workers in batches of about ``most`` bytes, from now on in this session."""
+    spark.conf.set(BATCH_BYTES, str(most))
+
+
 def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
     try:
         return spark.sparkContext.defaultParallelism
