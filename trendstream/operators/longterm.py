@@ -59,6 +59,8 @@ def period_top_topics(rows: DataFrame, unit: str = "week", k: int = TOP_K,
 
 # Time chunk of the per-topic ordered windows (anomaly, new alerts).
 CHUNK = "day"
+# Rows that a task sorts for them (fixed value): more rows are more tasks, not larger ones.
+ROWS_A_TASK = 500_000
 
 
 def with_halo(df: DataFrame, key: str, order: str, history: int, chunk_unit: str = CHUNK) -> DataFrame:
@@ -72,24 +74,30 @@ def with_halo(df: DataFrame, key: str, order: str, history: int, chunk_unit: str
     the last ``history`` rows of each earlier chunk: since every chunk present
     has at least one row, the previous ``history`` chunks of the key contain
     them all (a window over chunk summaries, one row per key and chunk).
+
+    Every sort here is dealt to as many tasks as the rows ask for: left to
+    themselves adaptive shuffles join partitions up to the parallelism of the
+    cluster, and a task's sort would grow with the input.
     """
-    from trendstream.session import materialize
+    from trendstream.session import default_parallelism, materialize
     cols = df.columns
     # the input (already aggregated) feeds both the rows and the tails: write it
     # once to the shared folder instead of recomputing it from the source
     rows = materialize(df.withColumn("_chunk", F.date_trunc(chunk_unit, F.col(order))), "halo-input")
+    tasks = max(default_parallelism(df.sparkSession), -(-rows.count() // ROWS_A_TASK))
     # last `history` rows of each (key, chunk): one hash aggregate over a chunk-bounded group
     rest = [c for c in cols if c not in (key, order)]
     chunk_rows = F.sort_array(F.collect_list(F.struct(order, *rest)), asc=False)
-    tails = (rows.groupBy(key, "_chunk")
-             .agg(F.reverse(F.slice(chunk_rows, 1, history)).alias("_tail")))
+    tails = (rows.repartition(tasks, key, "_chunk").groupBy(key, "_chunk")
+             .agg(F.reverse(F.slice(chunk_rows, 1, history)).alias("_tail"))
+             .repartition(tasks, key))
     prev = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-history, -1)
     before = F.flatten(F.collect_list("_tail").over(prev))
     halos = (tails.select(key, "_chunk", before.alias("_prev"))
              .select(key, "_chunk", F.explode(F.slice("_prev", F.greatest(F.size("_prev") - history + 1,
                                                                           F.lit(1)), history)).alias("_h"))
              .select(key, "_chunk", "_h.*", F.lit(True).alias("_halo")))
-    return rows.withColumn("_halo", F.lit(False)).unionByName(halos)
+    return rows.withColumn("_halo", F.lit(False)).unionByName(halos).repartition(tasks, key, "_chunk")
 
 
 def topic_anomaly(counts: DataFrame, history: int = ANOMALY_HISTORY, chunk_unit: str = CHUNK) -> DataFrame:
