@@ -124,38 +124,46 @@ def enriched_json(spark, sf_dir):
 
 
 # --------------------------------------------------------- stream queries
-# Fewest micro-batches of a replayed history, fewest files of each, and most splits of the input in one
+# Fewest micro-batches of a replayed history, fewest files of each, and most splits and events of the input in one
 # (fixture rules, fixed values).
-SLICES, FILES_A_SLICE, SPLITS_A_SLICE = 4, 4, 256
+SLICES, FILES_A_SLICE, SPLITS_A_SLICE, EVENTS_A_SLICE = 4, 4, 256, 1_000_000
 
 
 def _replay(spark, sf_dir) -> tuple[int, int]:
-    """Micro-batches of a replayed history and files of each, by the input's splits: a file is about as large as
-    a split (smaller where there are few), and a micro-batch takes at most SPLITS_A_SLICE of them."""
-    splits = FX.read_table(spark, sf_dir, "events", balanced=False).rdd.getNumPartitions()
-    slices = max(SLICES, -(-splits // SPLITS_A_SLICE))
+    """Micro-batches of a replayed history and files of each, by the input's splits and events: a file is about as
+    large as a split (smaller where there are few), and a micro-batch takes at most SPLITS_A_SLICE of them and about
+    EVENTS_A_SLICE events, so that its state stays the same size however long the history is."""
+    events = FX.read_table(spark, sf_dir, "events", balanced=False)
+    splits = events.rdd.getNumPartitions()
+    slices = max(SLICES, -(-splits // SPLITS_A_SLICE), -(-events.count() // EVENTS_A_SLICE))
     return slices, max(FILES_A_SLICE, -(-splits // slices))
 
 
 def _enriched_topic(spark, sf_dir) -> str:
     """The history of enriched payloads, replayed into a topic in event-time slices."""
     from trendstream.session import fresh_path
-    from trendstream.sources.topics import time_slices, write_topic
+    from trendstream.sources.topics import stored_slices, write_topic
     from trendstream.streaming import pipelines as P
     topic = fresh_path(spark, "topic-enriched")
     slices, files = _replay(spark, sf_dir)
-    for part in time_slices(FX.enriched_events(spark, sf_dir), "timestamp", slices):
+    for part in stored_slices(FX.enriched_events(spark, sf_dir), "timestamp", slices):
         write_topic(P.enriched_bodies(part).repartition(files), topic, "text")
     return topic
 
 
+# Partitions of the state for each core (fixture rule, fixed value): a micro-batch is bounded, so is each of them.
+STATE_A_CORE = 2
+
+
 def _run_alert_stream(spark, topic: str, out: str, threshold: int, files: int = FILES_A_SLICE):
     """One slice in each micro-batch, so no row is late and state holds a slice's windows."""
+    from trendstream.session import default_parallelism
     from trendstream.sources.topics import read_topic
     from trendstream.streaming import pipelines as P
     from trendstream.streaming.runner import run_once
     return run_once(P.alerts(read_topic(spark, topic, "text", max_files_per_trigger=files), threshold),
-                    sink="parquet", path=out, checkpoint=out + ".chk")
+                    sink="parquet", path=out, checkpoint=out + ".chk",
+                    state_partitions=STATE_A_CORE * default_parallelism(spark))
 
 
 def _read_alert_sink(spark, out: str) -> DataFrame:

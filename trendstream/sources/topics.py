@@ -23,6 +23,7 @@ Each consumer's checkpoint records which files it has already processed.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -156,11 +157,8 @@ def time_slices(df: DataFrame, time_col: str, slices: int) -> list[DataFrame]:
     event time never runs ahead of rows still to come, so none is dropped as
     late, and state holds a slice's windows, not the whole history's.
     """
-    at = F.col(time_col)
-    cuts = df.agg(F.percentile_approx(F.unix_micros(at.cast("timestamp")),
-                                      [i / slices for i in range(1, slices)]).alias("c")).first()["c"] or []
-    micros = F.unix_micros(at.cast("timestamp"))
-    bounds = [None, *sorted(set(cuts)), None]
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    bounds = [None, *_cuts(df, time_col, slices), None]
     out = []
     for low, high in zip(bounds, bounds[1:]):
         part = df
@@ -171,3 +169,29 @@ def time_slices(df: DataFrame, time_col: str, slices: int) -> list[DataFrame]:
             part = part.where((micros <= high) | micros.isNull() if low is None else micros <= high)
         out.append(part)
     return out
+
+
+def _cuts(df: DataFrame, time_col: str, slices: int) -> list[int]:
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    found = df.agg(F.percentile_approx(micros, [i / slices for i in range(1, slices)]).alias("c")).first()["c"]
+    return sorted(set(found or []))
+
+
+def stored_slices(df: DataFrame, time_col: str, slices: int) -> Iterator[DataFrame]:
+    """The slices of ``time_slices``, written once to the shared folder: many slices do not read ``df`` many times.
+
+    Their files are deleted when the last slice is done with.
+    """
+    from trendstream.session import discard, fresh_path
+    cuts = _cuts(df, time_col, slices)
+    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
+    # the cuts before a row's time; rows without a time come first
+    number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c < micros))
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "slices")
+    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(path)
+    stored = spark.read.schema(df.withColumn("_slice", number).schema).parquet(path)
+    try:
+        for i in range(len(cuts) + 1):
+            yield stored.where(F.col("_slice") == i).drop("_slice")
+    finally:
+        discard(stored)

@@ -12,12 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def start(df: DataFrame, *, sink: str, checkpoint: str, path: str | None = None,
           mode: str = "once", output_mode: str = "append", interval: str = "10 seconds",
           query_name: str | None = None, options: dict | None = None,
-          foreach_batch=None, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Start ``df`` towards ``sink`` (parquet, json, text, kafka, memory, console, foreachBatch)."""
+          foreach_batch=None, partition_by: list[str] | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``df`` towards ``sink`` (parquet, json, text, kafka, memory, console, foreachBatch).
+
+    A new checkpoint gets at most ``state_partitions`` partitions of state (and of shuffles): where a
+    micro-batch is bounded, more of them only add files to every commit.  An older one keeps its own.
+    """
     if not checkpoint:
         raise ValueError("every streaming query needs a checkpoint location")
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -39,7 +46,14 @@ def start(df: DataFrame, *, sink: str, checkpoint: str, path: str | None = None,
         w = w.trigger(processingTime=interval)
     else:
         raise ValueError(f"unknown run kind {mode!r}")
-    return w.start()
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_PARTITIONS)
+    if state_partitions is not None:
+        conf.set(SHUFFLE_PARTITIONS, str(min(state_partitions, int(before))))
+    try:
+        return w.start()   # the query runs on a copy of the session's settings
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def run_once(df: DataFrame, **kw) -> StreamingQuery:
