@@ -625,13 +625,8 @@ def message_array_file(spark, sf_dir):
     from trendstream.session import fresh_path
     from trendstream.sources import messages as SM
     path = fresh_path(spark, "messages-array")
-    # one array for each source and hundred ids: a file's array has to fit in a task
-    groups = (FX.document_messages(spark, sf_dir).groupBy("source", F.floor(F.col("id") / 100).alias("part"))
-              .agg(F.array_join(F.collect_list(F.to_json(F.struct("id", "text", "lang", "source"))), ",\n").alias("rows")))
-    (groups.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value"),
-                   F.concat_ws("-", "source", "part").alias("file"))
-     .repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(path))
-    return SM.reader("fixed", spark, path=path).search(SM.SearchRequest("any")).messages.drop("file")
+    SM.write_message_arrays(FX.document_messages(spark, sf_dir), path)
+    return SM.reader("fixed", spark, path=path).search(SM.SearchRequest("any")).messages
 
 
 @register("payloads_with_bad_bytes", """

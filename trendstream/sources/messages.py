@@ -9,8 +9,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +75,35 @@ def write_messages(messages: DataFrame, path: str, mode: str = "overwrite") -> N
     messages.write.mode(mode).json(path)
 
 
+# Bytes of one array file, about: a task parses an array as a whole.
+ARRAY_BYTES = 16 << 20
+
+
+def write_message_arrays(messages: DataFrame, path: str, mode: str = "overwrite", most: int = ARRAY_BYTES) -> None:
+    """Write messages as files that hold one JSON array over several lines.
+
+    A partition fills one file of about ``most`` bytes after the other, without
+    a shuffle, so the number of files follows the bytes of the messages and no
+    value.  A message over ``most`` bytes has a file of its own.
+    """
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def array() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"value": pa.array([b"[\n" + b",\n".join(rows) + b"\n]"], pa.binary())})
+
+        rows, held = [], 0
+        for row in (r.as_py() for batch in batches for r in batch.column(0)):
+            if rows and held + len(row) > most:
+                yield array()
+                rows, held = [], 0
+            rows.append(row)
+            held += len(row)
+        if rows:
+            yield array()
+
+    (messages.select(F.to_json(F.struct("*")).cast("binary").alias("row")).mapInArrow(arrays, "value binary")
+     .select(F.col("value").cast("string")).write.mode(mode).option("maxRecordsPerFile", "1").text(path))
+
+
 def fixed_messages(spark: SparkSession, rows: list) -> DataFrame:
     """Small in-memory message list (tests, fixtures)."""
     df = spark.createDataFrame(rows, MESSAGE) if rows else spark.createDataFrame([], MESSAGE)
